@@ -51,22 +51,30 @@ def _check_colors(num_colors: int) -> None:
 # counting core
 # --------------------------------------------------------------------------
 
-def orient_edges(edges: DataFrame, keys: Sequence[str] = (), order: str = "degree") -> DataFrame:
-    """Canonical edges (keys.., u, v) -> oriented edges (keys.., src, dst)."""
-    keys = list(keys)
+def orient_edges(edges: DataFrame, order: str = "degree") -> DataFrame:
+    """Canonical edges (u, v, extra..) -> oriented edges (extra.., src, dst).
+
+    Extra columns (a subset key, say) are carried along.  The orientation
+    is computed once on the whole graph.  Any total order on the vertices
+    is a valid orientation of every subgraph, so keyed variants (colours,
+    runs, subsets, colour triplets) attach their keys afterwards instead
+    of re-orienting C or R copies of the edges; the out-degree bound holds
+    within every group as well.
+    """
     if order not in ORDERS:
         raise ValueError(f"order must be one of {ORDERS}")
+    extra = [c for c in edges.columns if c not in ("u", "v")]
     if order == "id":
-        return edges.select(*keys, F.col("u").alias("src"), F.col("v").alias("dst"))
-    ends = edges.select(*keys, F.explode(F.array("u", "v")).alias("x"))
-    deg = ends.groupBy(*keys, "x").agg(F.count(F.lit(1)).alias("d"))
-    du = deg.select(*keys, F.col("x").alias("u"), F.col("d").alias("du"))
-    dv = deg.select(*keys, F.col("x").alias("v"), F.col("d").alias("dv"))
-    e = edges.join(du, [*keys, "u"]).join(dv, [*keys, "v"])
+        return edges.select(*extra, F.col("u").alias("src"), F.col("v").alias("dst"))
+    ends = edges.select(F.explode(F.array("u", "v")).alias("x"))
+    deg = ends.groupBy("x").agg(F.count(F.lit(1)).alias("d"))
+    du = deg.select(F.col("x").alias("u"), F.col("d").alias("du"))
+    dv = deg.select(F.col("x").alias("v"), F.col("d").alias("dv"))
+    e = edges.join(du, "u").join(dv, "v")
     # u < v on canonical edges, so ties on degree orient by id.
     forward = F.col("du") <= F.col("dv")
     return e.select(
-        *keys,
+        *extra,
         F.when(forward, F.col("u")).otherwise(F.col("v")).alias("src"),
         F.when(forward, F.col("v")).otherwise(F.col("u")).alias("dst"),
     )
@@ -77,21 +85,22 @@ def neighbour_lists(oriented: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return oriented.groupBy(*keys, "src").agg(F.collect_list("dst").alias("nbrs"))
 
 
-def common_neighbours(edges: DataFrame, keys: Sequence[str] = (), order: str = "degree") -> DataFrame:
-    """(keys.., src, dst, common) for every oriented edge whose head has
-    out-neighbours; ``common`` = N+(src) & N+(dst), the third vertices of
-    the triangles counted at this edge."""
+def common_neighbours(oriented: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Oriented edges (keys.., src, dst) -> (keys.., src, dst, common) for
+    every edge whose head has out-neighbours; ``common`` = N+(src) & N+(dst),
+    the third vertices of the triangles counted at this edge."""
     keys = list(keys)
-    adj = neighbour_lists(orient_edges(edges, keys, order), keys)
+    adj = neighbour_lists(oriented, keys)
     tails = adj.select(*keys, "src", F.explode("nbrs").alias("dst"), F.col("nbrs").alias("n_src"))
     heads = adj.select(*keys, F.col("src").alias("dst"), F.col("nbrs").alias("n_dst"))
     return tails.join(heads, [*keys, "dst"]).select(
         *keys, "src", "dst", F.array_intersect("n_src", "n_dst").alias("common"))
 
 
-def triangle_counts(edges: DataFrame, keys: Sequence[str] = (), order: str = "degree",
+def triangle_counts(oriented: DataFrame, keys: Sequence[str] = (),
                     keep: Callable[[Column], Column] | None = None) -> DataFrame:
-    """Triangles per group -> (keys.., t); one row (t) when there are no keys.
+    """Triangles per group of oriented edges -> (keys.., t); one row (t)
+    when there are no keys.
 
     ``keep(w)`` optionally restricts which third vertices count (used by
     the colour-triplet algorithm); it is a column lambda, run JVM-side.
@@ -99,7 +108,7 @@ def triangle_counts(edges: DataFrame, keys: Sequence[str] = (), order: str = "de
     """
     keys = list(keys)
     common = F.col("common") if keep is None else F.filter("common", keep)
-    per_edge = common_neighbours(edges, keys, order).select(*keys, F.size(common).alias("n"))
+    per_edge = common_neighbours(oriented, keys).select(*keys, F.size(common).alias("n"))
     if not keys:
         return per_edge.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("t"))
     return per_edge.groupBy(*keys).agg(F.sum("n").cast("bigint").alias("t")).where("t > 0")
@@ -111,7 +120,7 @@ def triangle_counts(edges: DataFrame, keys: Sequence[str] = (), order: str = "de
 
 def triangles(edges: DataFrame, order: str = "degree") -> DataFrame:
     """List every triangle once -> (u, v, w) with u < v < w by id."""
-    tri = (common_neighbours(edges, (), order)
+    tri = (common_neighbours(orient_edges(edges, order))
            .select("src", "dst", F.explode("common").alias("w"))
            .select(F.array_sort(F.array("src", "dst", "w")).alias("t")))
     return tri.select(F.col("t")[0].alias("u"), F.col("t")[1].alias("v"), F.col("t")[2].alias("w"))
@@ -119,28 +128,35 @@ def triangles(edges: DataFrame, order: str = "degree") -> DataFrame:
 
 def exact_tc(edges: DataFrame, order: str = "degree") -> DataFrame:
     """Exact triangle count of canonical edges -> one row (triangles)."""
-    return triangle_counts(edges, (), order).select(F.col("t").alias("triangles"))
+    return triangle_counts(orient_edges(edges, order)).select(F.col("t").alias("triangles"))
 
 
 # --------------------------------------------------------------------------
 # node colouring (P5, A7, T4, T4r)
 # --------------------------------------------------------------------------
 
+def _mono(edges: DataFrame, num_colors: int, params: LinearParams, p: int,
+          ends: tuple[str, str]) -> DataFrame:
+    x, y = ends
+    cx = vertex_color(x, num_colors, params.a, params.b, p)
+    cy = vertex_color(y, num_colors, params.a, params.b, p)
+    return (edges.select(cx.alias("cx"), cy.alias("cy"), x, y)
+            .where("cx = cy").select(F.col("cx").alias("color"), x, y))
+
+
 def monochromatic(edges: DataFrame, num_colors: int, params: LinearParams,
                   p: int = PRIME) -> DataFrame:
     """P5: edges whose ends have the same colour -> (color, u, v)."""
     _check_colors(num_colors)
-    cu = vertex_color("u", num_colors, params.a, params.b, p)
-    cv = vertex_color("v", num_colors, params.a, params.b, p)
-    return (edges.select(cu.alias("cu"), cv.alias("cv"), "u", "v")
-            .where("cu = cv").select(F.col("cu").alias("color"), "u", "v"))
+    return _mono(edges, num_colors, params, p, ("u", "v"))
 
 
 def triangles_by_color(edges: DataFrame, num_colors: int, params: LinearParams,
                        p: int = PRIME, order: str = "degree") -> DataFrame:
     """t(i), the triangles of the edges of colour i -> (color, t)."""
-    mono = monochromatic(edges, num_colors, params, p)
-    return triangle_counts(mono, ["color"], order)
+    _check_colors(num_colors)
+    mono = _mono(orient_edges(edges, order), num_colors, params, p, ("src", "dst"))
+    return triangle_counts(mono, ["color"])
 
 
 def approx_tc_colors(edges: DataFrame, num_colors: int, params: LinearParams,
@@ -151,9 +167,10 @@ def approx_tc_colors(edges: DataFrame, num_colors: int, params: LinearParams,
     vertices), so counting the monochromatic subgraph at once equals the
     sum of t(i) without a per-colour step.
     """
-    mono = monochromatic(edges, num_colors, params, p).select("u", "v")
+    _check_colors(num_colors)
+    mono = _mono(orient_edges(edges, order), num_colors, params, p, ("src", "dst"))
     c2 = F.lit(num_colors).cast("bigint") * F.lit(num_colors).cast("bigint")
-    return triangle_counts(mono, (), order).select((c2 * F.col("t")).alias("estimate"))
+    return triangle_counts(mono.select("src", "dst")).select((c2 * F.col("t")).alias("estimate"))
 
 
 def _runs_column(runs: Sequence[LinearParams]) -> Column:
@@ -167,22 +184,22 @@ def approx_tc_runs(edges: DataFrame, num_colors: int, runs: Sequence[LinearParam
                    p: int = PRIME, order: str = "degree") -> DataFrame:
     """T4 repeated R times in one plan -> (run, estimate), every run present.
 
-    Each edge is replicated once per run by exploding a literal array of
-    the R colourings (no join), and dropped at once unless monochromatic,
-    so the shuffle carries about R/C of the edges.  Runs without triangles
-    come from ``range(R)`` with estimate 0: a missing zero would bias the
-    median.
+    Each oriented edge is replicated once per run by exploding a literal
+    array of the R colourings (no join), and dropped at once unless
+    monochromatic, so the shuffle carries about R/C of the edges.  Runs
+    without triangles come from ``range(R)`` with estimate 0: a missing
+    zero would bias the median.
     """
     _check_colors(num_colors)
     if len(runs) < 1:
         raise ValueError("at least one run is needed")
     spark = edges.sparkSession
-    rep = edges.select("u", "v", F.explode(_runs_column(runs)).alias("r"))
-    cu = vertex_color("u", num_colors, F.col("r.a"), F.col("r.b"), p)
-    cv = vertex_color("v", num_colors, F.col("r.a"), F.col("r.b"), p)
-    mono = (rep.select(F.col("r.run").alias("run"), "u", "v", cu.alias("cu"), cv.alias("cv"))
-            .where("cu = cv").select("run", "u", "v"))
-    counts = triangle_counts(mono, ["run"], order)
+    rep = orient_edges(edges, order).select("src", "dst", F.explode(_runs_column(runs)).alias("r"))
+    cs = vertex_color("src", num_colors, F.col("r.a"), F.col("r.b"), p)
+    cd = vertex_color("dst", num_colors, F.col("r.a"), F.col("r.b"), p)
+    mono = (rep.select(F.col("r.run").alias("run"), "src", "dst", cs.alias("cs"), cd.alias("cd"))
+            .where("cs = cd").select("run", "src", "dst"))
+    counts = triangle_counts(mono, ["run"])
     zeros = spark.range(len(runs)).select(F.col("id").cast("int").alias("run"),
                                           F.lit(0).cast("bigint").alias("t"))
     c2 = F.lit(num_colors).cast("bigint") * F.lit(num_colors).cast("bigint")
@@ -207,9 +224,18 @@ def bucketed(edges: DataFrame, num_buckets: int, params: BucketParams, p: int =
     return edges.select(edge_bucket("u", "v", num_buckets, params, p).alias("bucket"), "u", "v")
 
 
+def _oriented_buckets(edges: DataFrame, num_buckets: int, params: BucketParams, p: int,
+                      order: str) -> DataFrame:
+    # The subset hash reads the canonical (least, greatest) ends, so an
+    # edge's subset does not depend on its orientation.
+    o = orient_edges(edges, order)
+    lo, hi = F.least("src", "dst"), F.greatest("src", "dst")
+    return o.select(edge_bucket(lo, hi, num_buckets, params, p).alias("bucket"), "src", "dst")
+
+
 def triangles_by_bucket(bucketed_edges: DataFrame, order: str = "degree") -> DataFrame:
-    """t(i) within each subset -> (bucket, t)."""
-    return triangle_counts(bucketed_edges, ["bucket"], order)
+    """t(i) within each subset of (bucket, u, v) -> (bucket, t)."""
+    return triangle_counts(orient_edges(bucketed_edges, order), ["bucket"])
 
 
 def _scaled_sum(per_group: DataFrame, num_buckets: int) -> DataFrame:
@@ -217,15 +243,22 @@ def _scaled_sum(per_group: DataFrame, num_buckets: int) -> DataFrame:
     return per_group.agg((c2 * F.coalesce(F.sum("t"), F.lit(0))).cast("bigint").alias("estimate"))
 
 
+def triangles_by_hash_bucket(edges: DataFrame, num_buckets: int, params: BucketParams,
+                             p: int = PRIME, order: str = "degree") -> DataFrame:
+    """A8 (hash mode) -> (bucket, t), the subset computed after orienting."""
+    _check_colors(num_buckets)
+    return triangle_counts(_oriented_buckets(edges, num_buckets, params, p, order), ["bucket"])
+
+
 def approx_tc_buckets(edges: DataFrame, num_buckets: int, params: BucketParams,
                       p: int = PRIME, order: str = "degree") -> DataFrame:
     """T5: C^2 * sum of triangles inside random edge subsets -> (estimate)."""
-    return _scaled_sum(triangles_by_bucket(bucketed(edges, num_buckets, params, p), order),
-                       num_buckets)
+    return _scaled_sum(triangles_by_hash_bucket(edges, num_buckets, params, p, order), num_buckets)
 
 
-def partition_buckets(edges: DataFrame, num_buckets: int) -> DataFrame:
-    """P7 (partition mode): Spark's own C partitions as the subsets.
+def partition_buckets(edges: DataFrame, num_buckets: int, order: str = "degree") -> DataFrame:
+    """P7 (partition mode): Spark's own C partitions as the subsets
+    -> oriented (bucket, src, dst).
 
     ``repartition(C)`` deals rows round robin; the partition id is then
     written once with ``checkpoint()`` (into ``spark.checkpoint.dir``), so
@@ -236,40 +269,47 @@ def partition_buckets(edges: DataFrame, num_buckets: int) -> DataFrame:
 
     _check_colors(num_buckets)
     checkpoint_root(edges.sparkSession)
-    dealt = edges.repartition(num_buckets).select(
-        F.spark_partition_id().cast("bigint").alias("bucket"), "u", "v")
+    dealt = orient_edges(edges, order).repartition(num_buckets).select(
+        F.spark_partition_id().cast("bigint").alias("bucket"), "src", "dst")
     return dealt.checkpoint(eager=True)
 
 
 def approx_tc_partitions(edges: DataFrame, num_buckets: int, order: str = "degree") -> DataFrame:
     """T5 with Spark partitions as the subsets -> (estimate)."""
-    return _scaled_sum(triangles_by_bucket(partition_buckets(edges, num_buckets), order),
-                       num_buckets)
+    per_bucket = triangle_counts(partition_buckets(edges, num_buckets, order), ["bucket"])
+    return _scaled_sum(per_bucket, num_buckets)
 
 
 # --------------------------------------------------------------------------
 # colour triplets
 # --------------------------------------------------------------------------
 
+def _triplets(edges: DataFrame, num_colors: int, params: LinearParams, p: int,
+              ends: tuple[str, str]) -> DataFrame:
+    x, y = ends
+    cx = vertex_color(x, num_colors, params.a, params.b, p)
+    cy = vertex_color(y, num_colors, params.a, params.b, p)
+    i = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(num_colors - 1).cast("bigint")))
+    return (edges.select(x, y, cx.alias("cx"), cy.alias("cy"), i.alias("i"))
+            .select(x, y, F.array_sort(F.array("cx", "cy", "i")).alias("k"))
+            .select(F.col("k")[0].alias("k1"), F.col("k")[1].alias("k2"), F.col("k")[2].alias("k3"),
+                    x, y))
+
+
 def expand_triplets(edges: DataFrame, num_colors: int, params: LinearParams,
                     p: int = PRIME) -> DataFrame:
     """Each edge once per i in [0, C-1], keyed by the sorted colours
     (h(u), h(v), i) -> (k1, k2, k3, u, v).  Data grows C times."""
     _check_colors(num_colors)
-    cu = vertex_color("u", num_colors, params.a, params.b, p)
-    cv = vertex_color("v", num_colors, params.a, params.b, p)
-    i = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(num_colors - 1).cast("bigint")))
-    return (edges.select("u", "v", cu.alias("cu"), cv.alias("cv"), i.alias("i"))
-            .select("u", "v", F.array_sort(F.array("cu", "cv", "i")).alias("k"))
-            .select(F.col("k")[0].alias("k1"), F.col("k")[1].alias("k2"), F.col("k")[2].alias("k3"),
-                    "u", "v"))
+    return _triplets(edges, num_colors, params, p, ("u", "v"))
 
 
 def triangles_by_triplet(edges: DataFrame, num_colors: int, params: LinearParams,
                          p: int = PRIME, order: str = "degree") -> DataFrame:
     """t_k, the triangles inside key k whose sorted colours equal k
     -> (k1, k2, k3, t).  Every triangle is counted at exactly one key."""
-    expanded = expand_triplets(edges, num_colors, params, p)
+    _check_colors(num_colors)
+    expanded = _triplets(orient_edges(edges, order), num_colors, params, p, ("src", "dst"))
 
     def color(x: Column) -> Column:
         return vertex_color(x, num_colors, params.a, params.b, p)
@@ -278,7 +318,7 @@ def triangles_by_triplet(edges: DataFrame, num_colors: int, params: LinearParams
         got = F.array_sort(F.array(color(F.col("src")), color(F.col("dst")), color(w)))
         return got == F.array("k1", "k2", "k3")
 
-    return triangle_counts(expanded, ["k1", "k2", "k3"], order, keep=keep)
+    return triangle_counts(expanded, ["k1", "k2", "k3"], keep=keep)
 
 
 def exact_tc_triplets(edges: DataFrame, num_colors: int, params: LinearParams,

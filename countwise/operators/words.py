@@ -42,25 +42,28 @@ def word_count_salted(docs: DataFrame, num_keys: int, seed: int = 0,
                       keys: Sequence[str] = DOC_KEYS) -> DataFrame:
     """A4: two rounds with random keys -> (word, n).
 
-    Round 1 groups the per-document counts by (salt, word), salt in
-    [0, K-1] drawn per (document, word) by a seeded hash (deterministic, so
-    a retried task reproduces its output); round 2 sums by word.  A word
-    is spread over up to K reducers in round 1.
+    Every (document, word) pair draws a key in [0, K-1] from a seeded hash
+    of the document identity and the word (deterministic, so a retried
+    task reproduces its output).  Round 1 sums by (key, word), round 2 by
+    word, so a hot word is spread over up to K reducers in round 1.  The
+    per-document combine of the reference is the partial aggregation of
+    round 1: all tokens of a document sit in one task and share the key.
     """
     if num_keys < 1:
         raise ValueError("the number of random keys K must be >= 1")
-    per_doc = doc_word_counts(docs, keys)
+    tok = tokenize(docs, keys)
     salt = F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.col("word"), F.lit(seed)),
                   F.lit(num_keys).cast("bigint"))
-    round1 = per_doc.groupBy(salt.alias("salt"), "word").agg(F.sum("n").alias("n"))
+    round1 = tok.groupBy(salt.alias("salt"), "word").agg(F.count(F.lit(1)).alias("n"))
     return round1.groupBy("word").agg(F.sum("n").cast("bigint").alias("n"))
 
 
 def word_count_by_partition(docs: DataFrame, keys: Sequence[str] = DOC_KEYS) -> DataFrame:
-    """A5: two rounds keyed by the physical partition -> (word, n)."""
-    per_doc = doc_word_counts(docs, keys)
-    round1 = (per_doc.groupBy(F.spark_partition_id().alias("part"), "word")
-              .agg(F.sum("n").alias("n")))
+    """A5: two rounds, the first keyed by the physical input partition
+    -> (word, n)."""
+    tok = tokenize(docs, keys)
+    round1 = (tok.groupBy(F.spark_partition_id().alias("part"), "word")
+              .agg(F.count(F.lit(1)).alias("n")))
     return round1.groupBy("word").agg(F.sum("n").cast("bigint").alias("n"))
 
 

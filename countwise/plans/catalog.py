@@ -127,8 +127,8 @@ QUERIES: dict[str, Query] = {
     "word_stats": lambda s, d: wd.word_stats(wd.word_count(_lines(s, d))),
     # triangle counts
     "triangles_by_color": lambda s, d: tri.triangles_by_color(_edges(s, d), P.COLORS, P.COLORING),
-    "triangles_by_bucket": lambda s, d: tri.triangles_by_bucket(
-        tri.bucketed(_edges(s, d), P.BUCKETS, P.BUCKET_PARAMS)),
+    "triangles_by_bucket": lambda s, d: tri.triangles_by_hash_bucket(_edges(s, d), P.BUCKETS,
+                                                                     P.BUCKET_PARAMS),
     "triangles_by_triplet": lambda s, d: tri.triangles_by_triplet(_edges(s, d), P.COLORS,
                                                                   P.COLORING),
     "approx_tc_colors": lambda s, d: tri.approx_tc_colors(_edges(s, d), P.COLORS, P.COLORING),
