@@ -19,7 +19,7 @@ def int_median(values) -> Column:
     ``collect_list`` inside a group of that size.
     """
     arr = F.col(values) if isinstance(values, str) else values
-    s = F.array_sort(arr)
+    s = F.sort_array(arr)
     n = F.size(s)
     half = F.shiftright(n, 1)
     upper = F.element_at(s, half + 1)

@@ -25,7 +25,7 @@ in the same plan.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,7 +70,12 @@ def orient_edges(edges: DataFrame, order: str = "degree") -> DataFrame:
     deg = ends.groupBy("x").agg(F.count(F.lit(1)).alias("d"))
     du = deg.select(F.col("x").alias("u"), F.col("d").alias("du"))
     dv = deg.select(F.col("x").alias("v"), F.col("d").alias("dv"))
-    e = edges.join(du, "u").join(dv, "v")
+    # Shuffled hash joins built on the degree table (one row per vertex,
+    # never more rows than the edges): the edges stream through in
+    # parallel, a hub's many edges are split by AQE's skew handling, and no
+    # side is broadcast without a size bound.
+    e = (edges.join(du.hint("shuffle_hash"), "u")
+         .join(dv.hint("shuffle_hash"), "v"))
     # u < v on canonical edges, so ties on degree orient by id.
     forward = F.col("du") <= F.col("dv")
     return e.select(
@@ -81,8 +86,14 @@ def orient_edges(edges: DataFrame, order: str = "degree") -> DataFrame:
 
 
 def neighbour_lists(oriented: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """(keys.., src, nbrs): out-neighbours of every vertex with out-edges."""
-    return oriented.groupBy(*keys, "src").agg(F.collect_list("dst").alias("nbrs"))
+    """(keys.., src, nbrs): out-neighbours of every vertex with out-edges.
+
+    The explicit not-null filter equals the one the optimizer infers for
+    the join side, so both sides of the self-join in ``common_neighbours``
+    share one exchange (the grouping runs once).
+    """
+    return (oriented.where(F.col("src").isNotNull())
+            .groupBy(*keys, "src").agg(F.collect_list("dst").alias("nbrs")))
 
 
 def common_neighbours(oriented: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -97,18 +108,13 @@ def common_neighbours(oriented: DataFrame, keys: Sequence[str] = ()) -> DataFram
         *keys, "src", "dst", F.array_intersect("n_src", "n_dst").alias("common"))
 
 
-def triangle_counts(oriented: DataFrame, keys: Sequence[str] = (),
-                    keep: Callable[[Column], Column] | None = None) -> DataFrame:
+def triangle_counts(oriented: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Triangles per group of oriented edges -> (keys.., t); one row (t)
-    when there are no keys.
-
-    ``keep(w)`` optionally restricts which third vertices count (used by
-    the colour-triplet algorithm); it is a column lambda, run JVM-side.
-    Groups without triangles are absent; with no keys the row is 0.
+    when there are no keys.  Groups without triangles are absent; with no
+    keys the row is 0.
     """
     keys = list(keys)
-    common = F.col("common") if keep is None else F.filter("common", keep)
-    per_edge = common_neighbours(oriented, keys).select(*keys, F.size(common).alias("n"))
+    per_edge = common_neighbours(oriented, keys).select(*keys, F.size("common").alias("n"))
     if not keys:
         return per_edge.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("t"))
     return per_edge.groupBy(*keys).agg(F.sum("n").cast("bigint").alias("t")).where("t > 0")
@@ -118,12 +124,18 @@ def triangle_counts(oriented: DataFrame, keys: Sequence[str] = (),
 # exact
 # --------------------------------------------------------------------------
 
+def sorted3(a: Column, b: Column, c: Column) -> tuple[Column, Column, Column]:
+    """Three values in non-decreasing order, as plain codegen'd arithmetic."""
+    lo, hi = F.least(a, b, c), F.greatest(a, b, c)
+    return lo, a + b + c - lo - hi, hi
+
+
 def triangles(edges: DataFrame, order: str = "degree") -> DataFrame:
     """List every triangle once -> (u, v, w) with u < v < w by id."""
     tri = (common_neighbours(orient_edges(edges, order))
-           .select("src", "dst", F.explode("common").alias("w"))
-           .select(F.array_sort(F.array("src", "dst", "w")).alias("t")))
-    return tri.select(F.col("t")[0].alias("u"), F.col("t")[1].alias("v"), F.col("t")[2].alias("w"))
+           .select("src", "dst", F.explode("common").alias("w")))
+    u, v, w = sorted3(F.col("src"), F.col("dst"), F.col("w"))
+    return tri.select(u.alias("u"), v.alias("v"), w.alias("w"))
 
 
 def exact_tc(edges: DataFrame, order: str = "degree") -> DataFrame:
@@ -290,10 +302,9 @@ def _triplets(edges: DataFrame, num_colors: int, params: LinearParams, p: int,
     cx = vertex_color(x, num_colors, params.a, params.b, p)
     cy = vertex_color(y, num_colors, params.a, params.b, p)
     i = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(num_colors - 1).cast("bigint")))
-    return (edges.select(x, y, cx.alias("cx"), cy.alias("cy"), i.alias("i"))
-            .select(x, y, F.array_sort(F.array("cx", "cy", "i")).alias("k"))
-            .select(F.col("k")[0].alias("k1"), F.col("k")[1].alias("k2"), F.col("k")[2].alias("k3"),
-                    x, y))
+    rows = edges.select(x, y, cx.alias("cx"), cy.alias("cy"), i.alias("i"))
+    k1, k2, k3 = sorted3(F.col("cx"), F.col("cy"), F.col("i"))
+    return rows.select(k1.alias("k1"), k2.alias("k2"), k3.alias("k3"), x, y)
 
 
 def expand_triplets(edges: DataFrame, num_colors: int, params: LinearParams,
@@ -307,18 +318,23 @@ def expand_triplets(edges: DataFrame, num_colors: int, params: LinearParams,
 def triangles_by_triplet(edges: DataFrame, num_colors: int, params: LinearParams,
                          p: int = PRIME, order: str = "degree") -> DataFrame:
     """t_k, the triangles inside key k whose sorted colours equal k
-    -> (k1, k2, k3, t).  Every triangle is counted at exactly one key."""
+    -> (k1, k2, k3, t).  Every triangle is counted at exactly one key.
+
+    An edge (x, y) sits in key k = sort(h(x), h(y), i) for exactly one i,
+    so a triangle x, y, w of that group has colours k iff h(w) = i.  The
+    candidates w are exploded (one row per triangle of the group) and
+    tested with a plain column filter.
+    """
     _check_colors(num_colors)
+    keys = ["k1", "k2", "k3"]
     expanded = _triplets(orient_edges(edges, order), num_colors, params, p, ("src", "dst"))
-
-    def color(x: Column) -> Column:
-        return vertex_color(x, num_colors, params.a, params.b, p)
-
-    def keep(w: Column) -> Column:
-        got = F.array_sort(F.array(color(F.col("src")), color(F.col("dst")), color(w)))
-        return got == F.array("k1", "k2", "k3")
-
-    return triangle_counts(expanded, ["k1", "k2", "k3"], keep=keep)
+    common = common_neighbours(expanded, keys)
+    i = F.col("k1") + F.col("k2") + F.col("k3") \
+        - vertex_color("src", num_colors, params.a, params.b, p) \
+        - vertex_color("dst", num_colors, params.a, params.b, p)
+    cand = common.select(*keys, i.alias("i"), F.explode("common").alias("w"))
+    hits = cand.where(vertex_color("w", num_colors, params.a, params.b, p) == F.col("i"))
+    return hits.groupBy(*keys).agg(F.count(F.lit(1)).alias("t"))
 
 
 def exact_tc_triplets(edges: DataFrame, num_colors: int, params: LinearParams,

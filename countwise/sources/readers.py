@@ -52,8 +52,11 @@ def canonical_edges(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     removed map-side before the shuffle.
     """
     a, b = F.col(u).cast("bigint"), F.col(v).cast("bigint")
-    return (edges.where(a != b)
-            .select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v"))
+    lo, hi = F.least(a, b), F.greatest(a, b)
+    # The explicit not-null test matches what joins on (u, v) infer, so
+    # every branch that reads these edges shares one scan and exchange.
+    return (edges.where((a != b) & lo.isNotNull() & hi.isNotNull())
+            .select(lo.alias("u"), hi.alias("v"))
             .distinct())
 
 
