@@ -89,6 +89,16 @@ def q_estimates(spark, d):
                                    P.FAMILY, P.SKETCH_W)
 
 
+def q_estimates_range(spark, d):
+    items = _items(spark, d)
+    return fq.estimate_frequencies(_sketch(spark, d), fq.range_candidates(items, P.LEFT, P.RIGHT),
+                                   P.FAMILY, P.SKETCH_W)
+
+
+def q_sketch_from_freq(spark, d):
+    return fq.sketch_from_frequencies(_freq(spark, d), P.FAMILY, P.SKETCH_W)
+
+
 def q_f2_estimate(spark, d):
     n = fq.in_range(_items(spark, d), P.LEFT, P.RIGHT).agg(F.count(F.lit(1))).scalar()
     return fq.f2_estimate(_sketch(spark, d), P.SKETCH_D, n)
@@ -138,12 +148,15 @@ QUERIES: dict[str, Query] = {
                                                             P.BUCKET_PARAMS),
     "approx_tc_partitions": lambda s, d: tri.approx_tc_partitions(_edges(s, d), P.BUCKETS),
     "exact_tc": lambda s, d: tri.exact_tc(_edges(s, d)),
+    "exact_tc_id_order": lambda s, d: tri.exact_tc(_edges(s, d), order="id"),
     "exact_tc_triplets": lambda s, d: tri.exact_tc_triplets(_edges(s, d), P.COLORS, P.COLORING),
     # frequencies and sketch
     "item_frequencies": _freq,
     "count_sketch": _sketch,
     "merge_sketches": q_merge_sketches,
     "estimate_frequencies": q_estimates,
+    "estimate_range": q_estimates_range,
+    "count_sketch_from_frequencies": q_sketch_from_freq,
     "f2_exact": lambda s, d: fq.f2_exact(_freq(s, d)),
     "f2_estimate": q_f2_estimate,
     "kth_frequency": lambda s, d: fq.kth_frequency(_freq(s, d), P.TOP_K),
@@ -158,6 +171,8 @@ QUERIES: dict[str, Query] = {
         tb.edges_partsupp(s, d), P.COLORS, P.RUN_PARAMS, P.BUCKET_PARAMS),
     "report_tc": lambda s, d: rp.report_tc(tb.edges_partsupp(s, d), P.COLORS, P.RUN_PARAMS, 1,
                                            P.COLORING),
+    "report_tc_colors": lambda s, d: rp.report_tc(tb.edges_partsupp(s, d), P.COLORS,
+                                                  P.RUN_PARAMS, 0),
     "report_sketch": q_report_sketch,
     "report_distinct": lambda s, d: rp.report_distinct(tb.items_users(s, d).select("item")),
     # streaming (file source, availableNow; results read back in batch)
@@ -328,6 +343,7 @@ ORACLE_SQL: dict[str, str] = {
     "approx_tc_buckets": (f"SELECT CAST({_B2} * coalesce(sum(t), 0) AS BIGINT) AS estimate "
                           f"FROM ({S_BUCKET_T})"),
     "exact_tc": S_EXACT,
+    "exact_tc_id_order": S_EXACT,
     "exact_tc_triplets": (f"SELECT CAST(coalesce(sum(t), 0) AS BIGINT) AS triangles "
                           f"FROM ({S_TRIPLET_T})"),
     "item_frequencies": S_FREQ,
@@ -336,6 +352,11 @@ ORACLE_SQL: dict[str, str] = {
         f"SELECT item FROM ({S_ITEMS} UNION ALL {S_USERS}) "
         f"WHERE item BETWEEN {P.LEFT} AND {P.RIGHT}"),
     "estimate_frequencies": _estimates(f"SELECT item FROM ({S_FREQ})"),
+    "estimate_range": _estimates(f"SELECT CAST(range AS BIGINT) AS item "
+                                 f"FROM range({P.LEFT}, {P.RIGHT + 1})"),
+    "count_sketch_from_frequencies": (
+        f"SELECT j, h, CAST(sum(g * f) AS BIGINT) AS c FROM ({_cells(S_FREQ, extra=', i.f')}) "
+        f"GROUP BY j, h"),
     "f2_exact": S_F2,
     "f2_estimate": S_F2EST,
     "kth_frequency": S_PHI,
@@ -355,6 +376,9 @@ ORACLE_SQL: dict[str, str] = {
     "report_tc": (
         f"SELECT (SELECT count(*) FROM lineitem) AS n_edges, {P.COLORS} AS \"C\", "
         f"{P.RUNS} AS \"R\", 1 AS mode, ({S_EXACT}) AS triangles"),
+    "report_tc_colors": (
+        f"SELECT (SELECT count(*) FROM lineitem) AS n_edges, {P.COLORS} AS \"C\", "
+        f"{P.RUNS} AS \"R\", 0 AS mode, ({S_MEDIAN_RUNS}) AS triangles"),
     "report_sketch": (
         f"SELECT {P.SKETCH_D} AS \"D\", {P.SKETCH_W} AS \"W\", {P.LEFT} AS \"left\", "
         f"{P.RIGHT} AS \"right\", {P.TOP_K} AS \"K\", (SELECT count(*) FROM lineitem) AS n_items, "

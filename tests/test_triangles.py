@@ -144,3 +144,18 @@ def test_exact_matches_brute_force_under_noise(spark, pairs, seed):
     rng.shuffle(noisy)
     want = brute(pairs)
     assert exact(spark, noisy) == want
+
+
+def test_hub_out_degree_is_bounded(spark):
+    # hub 0 holds half of all edges; a ring among its leaves makes triangles
+    n = 200
+    pairs = [(0, i) for i in range(1, n + 1)] + [(i, i + 1) for i in range(1, n)]
+    e = canonical_edges(edges_df(spark, pairs))
+    m = e.count()
+    from pyspark.sql import functions as F
+    adj = T.neighbour_lists(T.orient_edges(e, "degree"))
+    assert adj.agg(F.max(F.size("nbrs"))).first()[0] <= int((2 * m) ** 0.5)
+    # by id the hub would own every edge it touches
+    by_id = T.neighbour_lists(T.orient_edges(e, "id"))
+    assert by_id.agg(F.max(F.size("nbrs"))).first()[0] == n
+    assert exact(spark, pairs) == brute(pairs) == n - 1
