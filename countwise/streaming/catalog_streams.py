@@ -40,11 +40,13 @@ def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
         q = st.start_partials(st.item_stream(spark, src), out, ckpt,
                               st.frequency_partials(P.LEFT, P.RIGHT))
         st.run_to_end(q)
+        st.compact_partials(spark, out, "freq")
         return st.running_frequencies(spark, out)
     if name == "stream_distinct_items":
         src, out, ckpt = _staged(spark, tb.items_users(spark, sf_dir), name)
         q = st.start_partials(st.item_stream(spark, src), out, ckpt, st.distinct_partials())
         st.run_to_end(q)
+        st.compact_partials(spark, out, "seen")
         return st.running_distinct(spark, out)
     if name in ("stream_prefix", "batch_counts"):
         src, out, ckpt = _staged(spark, tb.items_parts(spark, sf_dir), name)

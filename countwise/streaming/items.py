@@ -24,7 +24,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -110,18 +110,76 @@ def start_partials(stream: DataFrame, out: str, checkpoint: str,
     return _trigger(writer, trigger).start()
 
 
+# Linear partials: name -> (key columns, summed columns, schema).
+LINEAR = {
+    "freq": (["item"], ["f"], "item BIGINT, f BIGINT"),
+    "seen": (["item"], ["n"], "item BIGINT, n BIGINT"),
+}
+
+
+def _latest_base(spark: SparkSession, out: str, name: str) -> tuple[DataFrame | None, Column]:
+    """The newest committed base snapshot of ``name`` and the batch id it
+    covers.  A base counts only once its marker row exists; the marker is
+    written after the base's own write job has committed, so a compaction
+    that died midway is never read."""
+    try:
+        marks = spark.read.parquet(f"{out}/{name}_compactions")
+    except AnalysisException:
+        return None, F.lit(-1)
+    upto = marks.agg(F.max("upto")).scalar()
+    base = spark.read.parquet(f"{out}/{name}_base")
+    return base.where(F.col("upto") == upto).drop("upto"), upto
+
+
+def merged_partials(spark: SparkSession, out: str, name: str,
+                    through_batch: int | None = None) -> DataFrame:
+    """Newest base snapshot + the partials of later batches (up to
+    ``through_batch`` when given), summed by key."""
+    keys, sums, schema = LINEAR[name]
+    parts = _read_partials(spark, f"{out}/{name}", schema)
+    base, upto = _latest_base(spark, out, name)
+    rows = parts.where(F.col("batch_id") > upto)
+    if through_batch is not None:
+        rows = rows.where(F.col("batch_id") <= through_batch)
+    rows = rows.drop("batch_id")
+    if base is not None:
+        rows = base.unionByName(rows)
+    return rows.groupBy(*keys).agg(*[F.sum(c).cast("bigint").alias(c) for c in sums])
+
+
+def compact_partials(spark: SparkSession, out: str, name: str) -> int | None:
+    """Fold the committed partials of ``name`` into a new base snapshot
+    ``<name>_base/upto=<B>`` (B = last committed batch) -> B.
+
+    Partials are linear, so base + later partials always equals the full
+    merge; batches committed while this runs stay in the partials (the
+    merge is bounded by B).  It keeps the number of files a reader opens
+    bounded on long-running streams; partial folders up to B can then be
+    removed.
+    """
+    keys, sums, schema = LINEAR[name]
+    parts = _read_partials(spark, f"{out}/{name}", schema)
+    last = parts.agg(F.max("batch_id")).first()[0]
+    if last is None:
+        return None
+    (merged_partials(spark, out, name, through_batch=last).select(*keys, *sums)
+     .write.mode("overwrite").parquet(f"{out}/{name}_base/upto={last}"))
+    (spark.range(1).select(F.lit(last).cast("bigint").alias("at"))
+     .write.mode("overwrite").parquet(f"{out}/{name}_compactions/upto={last}"))
+    return last
+
+
 def running_frequencies(spark: SparkSession, out: str) -> DataFrame:
     """W3a result: merge of the ``freq`` partials -> (item, f)."""
-    parts = _read_partials(spark, f"{out}/freq", "item BIGINT, f BIGINT")
-    return parts.groupBy("item").agg(F.sum("f").cast("bigint").alias("f"))
+    return merged_partials(spark, out, "freq")
 
 
 def running_distinct(spark: SparkSession, out: str) -> DataFrame:
     """W3c result: (n_items, n_distinct, max_item) from the ``seen`` partials."""
-    parts = _read_partials(spark, f"{out}/seen", "item BIGINT, n BIGINT")
-    return parts.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_items"),
-                     F.count_distinct("item").alias("n_distinct"),
-                     F.max("item").alias("max_item"))
+    return merged_partials(spark, out, "seen").agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_items"),
+        F.count_distinct("item").alias("n_distinct"),
+        F.max("item").alias("max_item"))
 
 
 def batch_counts(spark: SparkSession, out: str) -> DataFrame:

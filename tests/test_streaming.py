@@ -73,3 +73,25 @@ def test_text_item_stream_parses(spark, tmp_path):
     S.run_to_end(S.start_partials(S.text_item_stream(spark, str(d)), out, ckpt,
                                   S.frequency_partials(None, None)))
     assert rows(S.running_frequencies(spark, out), "item", "f") == [(1, 1), (2, 2)]
+
+
+def test_compaction_keeps_results(spark, landed):
+    items, _, root = landed
+    src = land_items(items, f"{root}/cmp-landing", 2)
+    out, ckpt = f"{root}/cmp-out", f"{root}/cmp-ckpt"
+    parts = {**S.frequency_partials(None, None), **S.distinct_partials()}
+    S.run_to_end(S.start_partials(S.item_stream(spark, src), out, ckpt, parts))
+    want = rows(Q.item_frequencies(items), "item", "f")
+    assert S.compact_partials(spark, out, "freq") == 1
+    assert rows(S.running_frequencies(spark, out), "item", "f") == want
+    # more data arrives after the compaction: base + later partials
+    extra = spark.createDataFrame([(1,), (1,), (999999,)], "item BIGINT").coalesce(1)
+    extra.write.mode("append").parquet(src)
+    S.run_to_end(S.start_partials(S.item_stream(spark, src), out, ckpt, parts))
+    want2 = rows(Q.item_frequencies(items.unionByName(extra)), "item", "f")
+    assert rows(S.running_frequencies(spark, out), "item", "f") == want2
+    assert S.compact_partials(spark, out, "freq") == 2
+    assert S.compact_partials(spark, out, "seen") == 2
+    assert rows(S.running_frequencies(spark, out), "item", "f") == want2
+    got = S.running_distinct(spark, out).first()
+    assert got["n_items"] == items.count() + 3
