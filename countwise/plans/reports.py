@@ -73,13 +73,19 @@ def report_sketch(items: DataFrame, family: Sequence[SketchRow], width: int, lef
     """C4 -> (D, W, left, right, K, n_items, n_in_range, range_width,
     distinct_items, avg_rel_err, f2, f2_est).
 
+    One range-filtered scan feeds the exact frequencies; the sketch is
+    built from them (linear: C[j][h] = sum g_j(i) f(i)), and the in-range
+    length and distinct count are sums over them, so every figure but the
+    total length reuses that one aggregation (shared exchange).
     ``range_width`` is what the reference printed as the number of
     distinct items; ``distinct_items`` is the true number.
     """
     freq = fq.item_frequencies(items, left, right)
-    sketch = fq.count_sketch(items, family, width, left, right, p)
-    n_in_range = fq.in_range(items, left, right).agg(F.count(F.lit(1))).scalar()
-    distinct_items = freq.agg(F.count(F.lit(1))).scalar()
+    sketch = fq.sketch_from_frequencies(freq, family, width, p)
+    sizes = freq.agg(F.coalesce(F.sum("f"), F.lit(0)).cast("bigint").alias("n"),
+                     F.count(F.lit(1)).alias("d"))
+    n_in_range = sizes.select("n").scalar()
+    distinct_items = sizes.select("d").scalar()
     err = fq.top_k_error(freq, sketch, family, width, k, p).scalar()
     f2 = fq.f2_exact(freq).scalar()
     f2_est = fq.f2_estimate(sketch, len(family), n_in_range).scalar()
