@@ -19,7 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countwise.functions.hashing import PRIME, linear_hash, sign_hash, vertex_color
+from countwise.functions.hashing import PRIME, vertex_color
 from countwise.operators import frequency as fq
 from countwise.operators import triangles as tri
 from countwise.operators import words as wd
@@ -95,6 +95,12 @@ def q_estimates_range(spark, d):
                                    P.FAMILY, P.SKETCH_W)
 
 
+def q_estimate_median(spark, d):
+    sketch = fq.count_sketch(_items(spark, d), P.FAMILY_EVEN, P.SKETCH_W, P.LEFT, P.RIGHT)
+    return fq.estimate_frequencies(sketch, _freq(spark, d).select("item"), P.FAMILY_EVEN,
+                                   P.SKETCH_W)
+
+
 def q_sketch_from_freq(spark, d):
     return fq.sketch_from_frequencies(_freq(spark, d), P.FAMILY, P.SKETCH_W)
 
@@ -156,6 +162,7 @@ QUERIES: dict[str, Query] = {
     "merge_sketches": q_merge_sketches,
     "estimate_frequencies": q_estimates,
     "estimate_range": q_estimates_range,
+    "estimate_median": q_estimate_median,
     "count_sketch_from_frequencies": q_sketch_from_freq,
     "f2_exact": lambda s, d: fq.f2_exact(_freq(s, d)),
     "f2_estimate": q_f2_estimate,
@@ -219,19 +226,24 @@ S_ITEMS = "SELECT CAST(l_partkey AS BIGINT) AS item FROM lineitem"
 S_USERS = "SELECT CAST(user_id AS BIGINT) AS item FROM events"
 S_INR = f"SELECT item FROM ({S_ITEMS}) WHERE item BETWEEN {P.LEFT} AND {P.RIGHT}"
 S_FREQ = f"SELECT item, count(*) AS f FROM ({S_INR}) GROUP BY item"
-S_FAMILY = ("SELECT * FROM (VALUES " + ", ".join(
-    f"({r.j}, {r.ah}, {r.bh}, {r.ag}, {r.bg})" for r in P.FAMILY) + ") AS t(j, ah, bh, ag, bg)")
+def _family_sql(family) -> str:
+    return ("SELECT * FROM (VALUES " + ", ".join(
+        f"({r.j}, {r.ah}, {r.bh}, {r.ag}, {r.bg})" for r in family) + ") AS t(j, ah, bh, ag, bg)")
+
+
+S_FAMILY = _family_sql(P.FAMILY)
 
 
-def _cells(src: str, extra: str = "") -> str:
+def _cells(src: str, extra: str = "", family_sql: str = S_FAMILY) -> str:
     h = _h("i.item", "f.ah", "f.bh", P.SKETCH_W)
     g = f"CASE WHEN {_h('i.item', 'f.ag', 'f.bg', 2)} = 0 THEN -1 ELSE 1 END"
     return (f"SELECT i.item AS item{extra}, CAST(f.j AS BIGINT) AS j, CAST({h} AS BIGINT) AS h, "
-            f"CAST({g} AS BIGINT) AS g FROM ({src}) i CROSS JOIN ({S_FAMILY}) f")
+            f"CAST({g} AS BIGINT) AS g FROM ({src}) i CROSS JOIN ({family_sql}) f")
 
 
-def _sketch_of(src: str) -> str:
-    return (f"SELECT j, h, CAST(sum(g) AS BIGINT) AS c FROM ({_cells(src)}) GROUP BY j, h")
+def _sketch_of(src: str, family_sql: str = S_FAMILY) -> str:
+    return (f"SELECT j, h, CAST(sum(g) AS BIGINT) AS c FROM ({_cells(src, '', family_sql)}) "
+            f"GROUP BY j, h")
 
 
 S_SKETCH = _sketch_of(S_INR)
@@ -243,12 +255,13 @@ def _median(lst: str) -> str:
             f"ELSE ({lst}[{n} // 2] + {lst}[{n} // 2 + 1]) // 2 END)")
 
 
-def _estimates(cands: str, extra: str = "") -> str:
+def _estimates(cands: str, extra: str = "", family_sql: str = S_FAMILY) -> str:
     # cands: SELECT item[, f] ...
-    cells = _cells(cands, extra=", i.f" if extra else "")
+    cells = _cells(cands, ", i.f" if extra else "", family_sql)
     keep = ", f" if extra else ""
+    sketch = _sketch_of(S_INR, family_sql)
     return (f"SELECT item{keep}, CAST({_median('list_sort(list(x.g * coalesce(s.c, 0)))')} "
-            f"AS BIGINT) AS est FROM ({cells}) x LEFT JOIN ({S_SKETCH}) s "
+            f"AS BIGINT) AS est FROM ({cells}) x LEFT JOIN ({sketch}) s "
             f"ON x.j = s.j AND x.h = s.h GROUP BY item{keep}")
 
 
@@ -354,6 +367,8 @@ ORACLE_SQL: dict[str, str] = {
     "estimate_frequencies": _estimates(f"SELECT item FROM ({S_FREQ})"),
     "estimate_range": _estimates(f"SELECT CAST(range AS BIGINT) AS item "
                                  f"FROM range({P.LEFT}, {P.RIGHT + 1})"),
+    "estimate_median": _estimates(f"SELECT item FROM ({S_FREQ})",
+                                  family_sql=_family_sql(P.FAMILY_EVEN)),
     "count_sketch_from_frequencies": (
         f"SELECT j, h, CAST(sum(g * f) AS BIGINT) AS c FROM ({_cells(S_FREQ, extra=', i.f')}) "
         f"GROUP BY j, h"),

@@ -34,6 +34,9 @@ SKETCH_D = 5
 SKETCH_W = 128
 SKETCH_SEED = 42
 FAMILY = hash_family(SKETCH_SEED, SKETCH_D, PRIME)
+# An even depth: the median of D estimates is then the truncated mean of
+# the middle two (N1's even branch).
+FAMILY_EVEN = hash_family(SKETCH_SEED + 1, 4, PRIME)
 LEFT = 100
 RIGHT = 1100
 TOP_K = 10

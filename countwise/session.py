@@ -10,7 +10,6 @@ which happens in local test sessions, never on a configured cluster.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -70,12 +69,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder name under the shared checkpoint folder."""
     root = checkpoint_root(spark)
     return f"{root}/countwise/{name}-{uuid.uuid4().hex}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for Python-side existence checks."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def path_exists(path: str) -> bool:
-    return os.path.exists(local_path(path))

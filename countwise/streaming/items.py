@@ -221,6 +221,30 @@ def latest_sketch(spark: SparkSession, out: str) -> DataFrame:
     return snaps.where(F.col("batch_id") == last).select("j", "h", "c")
 
 
+def stop_after_prefix(query: StreamingQuery, spark: SparkSession, out: str, n_items: int,
+                      poll_s: float = 0.5, timeout_s: float | None = None) -> int:
+    """W4 for live triggers: the main thread stops the query once the
+    committed length (read back, one row) reaches ``n_items`` -> the
+    committed length.  Batches arriving before the stop are ignored by the
+    prefix test in ``start_partials``."""
+    import time
+
+    start = time.monotonic()
+    while query.isActive:
+        done = committed_length(spark, out).first()["n_items"]
+        if done >= n_items:
+            query.stop()
+            break
+        if timeout_s is not None and time.monotonic() - start > timeout_s:
+            query.stop()
+            break
+        time.sleep(poll_s)
+    err = query.exception()
+    if err is not None:
+        raise err
+    return committed_length(spark, out).first()["n_items"]
+
+
 def run_to_end(query: StreamingQuery, timeout_s: float | None = None) -> None:
     """Wait for an availableNow query; raise its error if it failed."""
     query.awaitTermination(timeout_s)

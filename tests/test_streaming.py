@@ -95,3 +95,14 @@ def test_compaction_keeps_results(spark, landed):
     assert rows(S.running_frequencies(spark, out), "item", "f") == want2
     got = S.running_distinct(spark, out).first()
     assert got["n_items"] == items.count() + 3
+
+
+def test_live_trigger_stops_after_prefix(spark, landed):
+    items, src, root = landed
+    out, ckpt = f"{root}/live-out", f"{root}/live-ckpt"
+    q = S.start_partials(S.item_stream(spark, src), out, ckpt, S.frequency_partials(None, None),
+                         prefix_items=1, trigger="100 milliseconds")
+    n = S.stop_after_prefix(q, spark, out, 1, poll_s=0.2, timeout_s=120)
+    assert not q.isActive
+    assert 0 < n < items.count()
+    assert S.committed_length(spark, out).first()["n_batches"] == 1

@@ -159,3 +159,11 @@ def test_hub_out_degree_is_bounded(spark):
     by_id = T.neighbour_lists(T.orient_edges(e, "id"))
     assert by_id.agg(F.max(F.size("nbrs"))).first()[0] == n
     assert exact(spark, pairs) == brute(pairs) == n - 1
+
+
+def test_read_edges_from_text_file(spark, tmp_path):
+    from countwise.sources import read_edges
+    f = tmp_path / "g.txt"
+    f.write_text("1,2\n2,3\n3,1\n3,4\n")
+    e = canonical_edges(read_edges(spark, str(f)))
+    assert T.exact_tc(e).first()["triangles"] == 1
