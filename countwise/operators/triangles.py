@@ -167,8 +167,8 @@ def triangles_by_color(edges: DataFrame, num_colors: int, params: LinearParams,
                        p: int = PRIME, order: str = "degree") -> DataFrame:
     """t(i), the triangles of the edges of colour i -> (color, t)."""
     _check_colors(num_colors)
-    mono = _mono(orient_edges(edges, order), num_colors, params, p, ("src", "dst"))
-    return triangle_counts(mono, ["color"])
+    mono = _mono(edges, num_colors, params, p, ("u", "v"))
+    return triangle_counts(orient_edges(mono, order), ["color"])
 
 
 def approx_tc_colors(edges: DataFrame, num_colors: int, params: LinearParams,
@@ -180,9 +180,12 @@ def approx_tc_colors(edges: DataFrame, num_colors: int, params: LinearParams,
     sum of t(i) without a per-colour step.
     """
     _check_colors(num_colors)
-    mono = _mono(orient_edges(edges, order), num_colors, params, p, ("src", "dst"))
+    # One colouring keeps about 1/C of the edges: filter first, then orient
+    # only the monochromatic subgraph (its own degrees order it).
+    mono = _mono(edges, num_colors, params, p, ("u", "v")).select("u", "v")
     c2 = F.lit(num_colors).cast("bigint") * F.lit(num_colors).cast("bigint")
-    return triangle_counts(mono.select("src", "dst")).select((c2 * F.col("t")).alias("estimate"))
+    return (triangle_counts(orient_edges(mono, order))
+            .select((c2 * F.col("t")).alias("estimate")))
 
 
 def _runs_column(runs: Sequence[LinearParams]) -> Column:

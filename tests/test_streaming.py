@@ -106,3 +106,13 @@ def test_live_trigger_stops_after_prefix(spark, landed):
     assert not q.isActive
     assert 0 < n < items.count()
     assert S.committed_length(spark, out).first()["n_batches"] == 1
+
+
+def test_malformed_stream_item_raises(spark, tmp_path):
+    d = tmp_path / "bad"
+    d.mkdir()
+    (d / "a.txt").write_text("1\nx\n")
+    out, ckpt = str(tmp_path / "o"), str(tmp_path / "c")
+    with pytest.raises(Exception):
+        S.run_to_end(S.start_partials(S.text_item_stream(spark, str(d)), out, ckpt,
+                                      S.frequency_partials(None, None)))
