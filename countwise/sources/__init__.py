@@ -4,6 +4,7 @@ from countwise.sources.readers import (
     canonical_edges,
     document_lines,
     edges_from_text,
+    read_documents,
     read_edges,
     read_item_lines,
     read_lines,
@@ -17,6 +18,6 @@ from countwise.sources.tables import (
 )
 
 __all__ = [
-    "canonical_edges", "document_lines", "edges_from_text", "read_edges", "read_item_lines",
+    "canonical_edges", "document_lines", "edges_from_text", "read_documents", "read_edges", "read_item_lines",
     "read_lines", "documents", "edges_partsupp", "items_parts", "items_users", "table",
 ]

@@ -26,6 +26,18 @@ def document_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
 
 
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """Text file(s) with one document per line -> (doc_id, line_no, text).
+
+    ``doc_id`` is ``monotonically_increasing_id()``: unique, and stable for
+    the same files and splits, which is all the per-document keys need.
+    """
+    return read_lines(spark, path).select(
+        F.monotonically_increasing_id().alias("doc_id"),
+        F.lit(0).alias("line_no"),
+        F.col("value").alias("text"))
+
+
 def edges_from_text(lines: DataFrame, col: str = "value") -> DataFrame:
     """S2 on a DataFrame of ``"u,v"`` lines -> (u BIGINT, v BIGINT).
 

@@ -19,10 +19,12 @@ def spread_if_narrow(df: DataFrame) -> DataFrame:
     yields fewer partitions than that (a file with one row group is one
     split); a scan that is already wide -- the normal case at scale -- is
     left alone, so no shuffle is added there."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        narrow = df.rdd.getNumPartitions() < target
+    except Exception:  # noqa: BLE001 -- no RDD access (e.g. Spark Connect): leave as is
+        return df
+    return df.repartition(target) if narrow else df
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -61,3 +61,15 @@ def test_word_stats_and_report(doc_lines):
 def test_salted_rejects_bad_k(doc_lines):
     with pytest.raises(ValueError):
         W.word_count_salted(doc_lines, 0)
+
+
+def test_word_count_from_text_file(spark, tmp_path):
+    from countwise.sources import read_documents
+    f = tmp_path / "docs.txt"
+    f.write_text("a b a\nb  c \n\n")
+    docs = read_documents(spark, str(f))
+    got = {r["word"]: r["n"] for r in W.word_count(docs).collect()}
+    # line 2 "b  c " -> ["b", "", "c"]; line 3 "" -> [""]
+    assert got == {"a": 2, "b": 2, "c": 1, "": 2}
+    rep = report_words(docs).first()
+    assert rep["n_docs"] == 3 and rep["n_distinct_words"] == 4
