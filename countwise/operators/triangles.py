@@ -271,27 +271,52 @@ def approx_tc_buckets(edges: DataFrame, num_buckets: int, params: BucketParams,
     return _scaled_sum(triangles_by_hash_bucket(edges, num_buckets, params, p, order), num_buckets)
 
 
-def partition_buckets(edges: DataFrame, num_buckets: int, order: str = "degree") -> DataFrame:
-    """P7 (partition mode): Spark's own C partitions as the subsets
+DEALS = ("in_place", "shuffle")
+
+
+def partition_buckets(edges: DataFrame, num_buckets: int, order: str = "degree",
+                      deal: str = "in_place", seed: int = 0) -> DataFrame:
+    """P7 (partition mode): Spark's round-robin partitioning into C subsets
     -> oriented (bucket, src, dst).
 
-    ``repartition(C)`` deals rows round robin; the partition id is then
-    written once with ``checkpoint()`` (into ``spark.checkpoint.dir``), so
-    every later branch and every retried task sees the same subset of an
-    edge.  A recomputed ``spark_partition_id()`` is not promised to agree.
+    ``deal="shuffle"`` is the literal ``repartition(C)`` + partition id: all
+    edges pass through C tasks, so it only suits a large C.
+    ``deal="in_place"`` (default) computes the same round-robin deal where
+    the rows already are: row i of input partition q goes to subset
+    ``(start(q) + i) mod C`` with a seeded start per partition -- the subsets
+    have the sizes ``repartition(C)`` gives them, but no row moves and every
+    task stays an input split.
+
+    Either way the subset is written once with ``checkpoint()`` (into
+    ``spark.checkpoint.dir``), so later branches and retried tasks see the
+    same subset of an edge; positional ids are not promised to be stable
+    under recomputation.
     """
     from countwise.session import checkpoint_root
 
     _check_colors(num_buckets)
+    if deal not in DEALS:
+        raise ValueError(f"deal must be one of {DEALS}")
     checkpoint_root(edges.sparkSession)
-    dealt = orient_edges(edges, order).repartition(num_buckets).select(
-        F.spark_partition_id().cast("bigint").alias("bucket"), "src", "dst")
+    o = orient_edges(edges, order)
+    c = F.lit(num_buckets).cast("bigint")
+    if deal == "shuffle":
+        dealt = o.repartition(num_buckets).select(
+            F.spark_partition_id().cast("bigint").alias("bucket"), "src", "dst")
+    else:
+        part = F.spark_partition_id()
+        # monotonically_increasing_id = partition id << 33 | row index
+        row = F.monotonically_increasing_id() - F.shiftleft(part.cast("bigint"), 33)
+        start = F.pmod(F.xxhash64(part, F.lit(seed)), c)
+        dealt = o.select(F.pmod(start + row, c).alias("bucket"), "src", "dst")
     return dealt.checkpoint(eager=True)
 
 
-def approx_tc_partitions(edges: DataFrame, num_buckets: int, order: str = "degree") -> DataFrame:
-    """T5 with Spark partitions as the subsets -> (estimate)."""
-    per_bucket = triangle_counts(partition_buckets(edges, num_buckets, order), ["bucket"])
+def approx_tc_partitions(edges: DataFrame, num_buckets: int, order: str = "degree",
+                         deal: str = "in_place", seed: int = 0) -> DataFrame:
+    """T5 with Spark's round-robin partitions as the subsets -> (estimate)."""
+    per_bucket = triangle_counts(partition_buckets(edges, num_buckets, order, deal, seed),
+                                 ["bucket"])
     return _scaled_sum(per_bucket, num_buckets)
 
 

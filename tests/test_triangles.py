@@ -6,6 +6,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from conftest import SF_SMALL, edges_df
+from pyspark.sql import functions as F
+
 from countwise.functions import BucketParams, LinearParams, color_params
 from countwise.operators import triangles as T
 from countwise.sources import canonical_edges, edges_from_text, edges_partsupp
@@ -121,11 +123,23 @@ def test_median_of_runs_matches_per_run(partsupp):
         assert one in runs
 
 
-def test_partition_buckets_cover_each_edge_once(partsupp):
-    b = T.partition_buckets(partsupp, 4)
-    assert b.count() == partsupp.count()
-    assert b.select("src", "dst").distinct().count() == partsupp.count()
-    assert b.where("bucket < 0 OR bucket > 3").count() == 0
+@pytest.mark.parametrize("deal", ["in_place", "shuffle"])
+def test_partition_buckets_cover_each_edge_once(partsupp, deal):
+    b = T.partition_buckets(partsupp, 4, deal=deal)
+    m = partsupp.count()
+    assert b.count() == m
+    assert b.select("src", "dst").distinct().count() == m
+    sizes = [r["n"] for r in b.groupBy("bucket").agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 4 and sum(sizes) == m
+    # a round-robin deal: subset sizes differ by at most one row per input split
+    splits = partsupp.rdd.getNumPartitions() if deal == "in_place" else 1
+    assert max(sizes) - min(sizes) <= splits
+
+
+def test_partition_estimates_with_c1(spark):
+    e = canonical_edges(edges_df(spark, BOWTIE))
+    for deal in ["in_place", "shuffle"]:
+        assert T.approx_tc_partitions(e, 1, deal=deal).first()["estimate"] == 2
 
 
 def test_bucketed_input_matches_hash_buckets(partsupp):
