@@ -82,15 +82,14 @@ def committed_length(spark: SparkSession, out: str, before_batch: int | None = N
                       F.count(F.lit(1)).alias("n_batches"))
 
 
-def start_partials(stream: DataFrame, out: str, checkpoint: str,
-                   per_batch: Mapping[str, BatchFn], prefix_items: int | None = None,
-                   trigger: str | None = "availableNow") -> StreamingQuery:
-    """Run ``per_batch`` aggregates of every micro-batch into partials.
+def partials_handler(spark: SparkSession, out: str, per_batch: Mapping[str, BatchFn],
+                     prefix_items: int | None = None) -> Callable[[DataFrame, int], None]:
+    """The ``foreachBatch`` function of ``start_partials``.
 
-    Also records (n_items) per batch under ``counts`` (W5).  With
-    ``prefix_items`` the query ignores batches once N items are committed.
+    Every write is an overwrite of the batch's own folder, so running it
+    again for the same batch id (a replay after a failure) leaves exactly
+    the output of one run.
     """
-    spark = stream.sparkSession
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         if prefix_items is not None:
@@ -106,6 +105,18 @@ def start_partials(stream: DataFrame, out: str, checkpoint: str,
         finally:
             batch.unpersist()
 
+    return handle
+
+
+def start_partials(stream: DataFrame, out: str, checkpoint: str,
+                   per_batch: Mapping[str, BatchFn], prefix_items: int | None = None,
+                   trigger: str | None = "availableNow") -> StreamingQuery:
+    """Run ``per_batch`` aggregates of every micro-batch into partials.
+
+    Also records (n_items) per batch under ``counts`` (W5).  With
+    ``prefix_items`` the query ignores batches once N items are committed.
+    """
+    handle = partials_handler(stream.sparkSession, out, per_batch, prefix_items)
     writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return _trigger(writer, trigger).start()
 

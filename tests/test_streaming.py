@@ -116,3 +116,15 @@ def test_malformed_stream_item_raises(spark, tmp_path):
     with pytest.raises(Exception):
         S.run_to_end(S.start_partials(S.text_item_stream(spark, str(d)), out, ckpt,
                                       S.frequency_partials(None, None)))
+
+
+def test_replayed_batch_changes_nothing(spark, landed):
+    items, _, root = landed
+    out = f"{root}/replay-out"
+    handle = S.partials_handler(spark, out, S.frequency_partials(None, None))
+    first = items.limit(500)
+    handle(first, 0)
+    once = rows(S.running_frequencies(spark, out), "item", "f")
+    handle(first, 0)  # the same batch delivered again
+    assert rows(S.running_frequencies(spark, out), "item", "f") == once
+    assert S.committed_length(spark, out).first()["n_items"] == 500
