@@ -184,6 +184,7 @@ QUERIES: dict[str, Query] = {
     "report_distinct": lambda s, d: rp.report_distinct(tb.items_users(s, d).select("item")),
     # streaming (file source, availableNow; results read back in batch)
     "stream_frequencies": _stream("stream_frequencies"),
+    "stream_frequencies_stateful": _stream("stream_frequencies_stateful"),
     "stream_count_sketch": _stream("stream_count_sketch"),
     "stream_distinct_items": _stream("stream_distinct_items"),
     "stream_prefix": _stream("stream_prefix"),
@@ -405,6 +406,7 @@ ORACLE_SQL: dict[str, str] = {
                         f"max(item) AS max_item FROM ({S_USERS})"),
     # streams equal their batch counterparts
     "stream_frequencies": S_FREQ,
+    "stream_frequencies_stateful": S_FREQ,
     "stream_count_sketch": S_SKETCH,
     "stream_distinct_items": (f"SELECT count(*) AS n_items, count(DISTINCT item) AS n_distinct, "
                               f"max(item) AS max_item FROM ({S_USERS})"),

@@ -42,6 +42,11 @@ def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
         st.run_to_end(q)
         st.compact_partials(spark, out, "freq")
         return st.running_frequencies(spark, out)
+    if name == "stream_frequencies_stateful":
+        src, out, ckpt = _staged(spark, tb.items_parts(spark, sf_dir), name)
+        q = st.start_stateful_frequencies(st.item_stream(spark, src), out, ckpt, P.LEFT, P.RIGHT)
+        st.run_to_end(q)
+        return st.stateful_frequencies(spark, out)
     if name == "stream_distinct_items":
         src, out, ckpt = _staged(spark, tb.items_users(spark, sf_dir), name)
         q = st.start_partials(st.item_stream(spark, src), out, ckpt, st.distinct_partials())

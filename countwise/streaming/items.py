@@ -225,6 +225,34 @@ def start_sketch(stream: DataFrame, out: str, checkpoint: str, family: Sequence[
     return _trigger(writer, trigger).start()
 
 
+def start_stateful_frequencies(stream: DataFrame, out: str, checkpoint: str,
+                               left: int | None = None, right: int | None = None,
+                               trigger: str | None = "availableNow") -> StreamingQuery:
+    """W3a with a state store: streaming ``groupBy(item).count()``.
+
+    Update mode hands each batch only the items whose count changed, with
+    their new running totals; they are written under the batch id
+    (overwrite, so a replay rewrites them).  The state is one row per
+    distinct item, spread over the shuffle partitions; for many keys use
+    the RocksDB state store provider.
+    """
+    counts = fq.item_frequencies(stream, left, right)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/updates/batch_id={batch_id}")
+
+    writer = (counts.writeStream.outputMode("update").foreachBatch(handle)
+              .option("checkpointLocation", checkpoint))
+    return _trigger(writer, trigger).start()
+
+
+def stateful_frequencies(spark: SparkSession, out: str) -> DataFrame:
+    """W3a (state store) result: the newest running total of every item
+    -> (item, f), by ``max_by`` over the per-batch updates."""
+    ups = _read_partials(spark, f"{out}/updates", "item BIGINT, f BIGINT")
+    return ups.groupBy("item").agg(F.max_by("f", "batch_id").cast("bigint").alias("f"))
+
+
 def latest_sketch(spark: SparkSession, out: str) -> DataFrame:
     """The last committed sketch snapshot -> (j, h, c)."""
     snaps = _read_partials(spark, f"{out}/sketch", "j BIGINT, h BIGINT, c BIGINT")

@@ -128,3 +128,11 @@ def test_replayed_batch_changes_nothing(spark, landed):
     handle(first, 0)  # the same batch delivered again
     assert rows(S.running_frequencies(spark, out), "item", "f") == once
     assert S.committed_length(spark, out).first()["n_items"] == 500
+
+
+def test_stateful_frequencies_equal_batch(spark, landed):
+    items, src, root = landed
+    out, ckpt = f"{root}/sf-out", f"{root}/sf-ckpt"
+    S.run_to_end(S.start_stateful_frequencies(S.item_stream(spark, src), out, ckpt, 10, 120))
+    want = rows(Q.item_frequencies(items, 10, 120), "item", "f")
+    assert rows(S.stateful_frequencies(spark, out), "item", "f") == want
