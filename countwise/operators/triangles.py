@@ -104,7 +104,9 @@ def common_neighbours(oriented: DataFrame, keys: Sequence[str] = ()) -> DataFram
     adj = neighbour_lists(oriented, keys)
     tails = adj.select(*keys, "src", F.explode("nbrs").alias("dst"), F.col("nbrs").alias("n_src"))
     heads = adj.select(*keys, F.col("src").alias("dst"), F.col("nbrs").alias("n_dst"))
-    return tails.join(heads, [*keys, "dst"]).select(
+    # Built on the heads (one row per vertex): the exploded tails, which
+    # carry arrays, stream through unsorted.
+    return tails.join(heads.hint("shuffle_hash"), [*keys, "dst"]).select(
         *keys, "src", "dst", F.array_intersect("n_src", "n_dst").alias("common"))
 
 
