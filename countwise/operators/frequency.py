@@ -26,7 +26,7 @@ from countwise.functions.hashing import (
     linear_hash,
     sign_hash,
 )
-from countwise.functions.stats import int_median
+from countwise.functions.stats import WIDE, int_median
 
 # Sketches up to this many cells (D*W) are broadcast to the lookup; a
 # larger one is joined by a shuffle instead.
@@ -140,9 +140,12 @@ def range_candidates(items: DataFrame, left: int, right: int) -> DataFrame:
 def f2_exact(freq: DataFrame) -> DataFrame:
     """K5: sum f^2 / (sum f)^2 -> one row (f2); NULL when the range is empty.
 
-    Sums stay exact BIGINTs; one DOUBLE division at the end.
+    Squares are summed exactly in DECIMAL(38,0): a hot item with a third of
+    10^12 rows already has f^2 ~ 10^23, past BIGINT (which raises under
+    ANSI).  One DOUBLE division at the end.
     """
-    agg = freq.agg(F.sum(F.col("f") * F.col("f")).alias("s2"), F.sum("f").alias("n"))
+    f = F.col("f").cast(WIDE)
+    agg = freq.agg(F.sum(f * f).alias("s2"), F.sum("f").alias("n"))
     n = F.col("n").cast("double")
     return agg.select((F.col("s2").cast("double") / F.nullif(n * n, F.lit(0.0))).alias("f2"))
 
@@ -151,15 +154,17 @@ def f2_estimate(sketch: DataFrame, depth: int, n_in_range: Column) -> DataFrame:
     """K6: median_j sum_h C[j][h]^2 / n^2 -> one row (f2_est).
 
     All D rows take part (an empty row counts 0, from ``range(D)``), so the
-    median is over exactly D values.  ``n_in_range`` is a scalar column
-    (for example a scalar subquery counting the items in range).
+    median is over exactly D values; row sums of squares are exact
+    DECIMAL(38,0).  ``n_in_range`` is a scalar column (for example a scalar
+    subquery counting the items in range).
     """
     spark = sketch.sparkSession
-    per_row = sketch.groupBy("j").agg(F.sum(F.col("c") * F.col("c")).alias("s"))
-    zeros = spark.range(depth).select(F.col("id").alias("j"), F.lit(0).cast("bigint").alias("s"))
-    rows = per_row.unionByName(zeros).groupBy("j").agg(F.sum("s").cast("bigint").alias("s"))
+    c = F.col("c").cast(WIDE)
+    per_row = sketch.groupBy("j").agg(F.sum(c * c).cast(WIDE).alias("s"))
+    zeros = spark.range(depth).select(F.col("id").alias("j"), F.lit(0).cast(WIDE).alias("s"))
+    rows = per_row.unionByName(zeros).groupBy("j").agg(F.sum("s").cast(WIDE).alias("s"))
     n = n_in_range.cast("double")
-    med = int_median(F.collect_list("s")).cast("double")
+    med = int_median(F.collect_list("s"), wide=True).cast("double")
     return rows.agg((med / F.nullif(n * n, F.lit(0.0))).alias("f2_est"))
 
 

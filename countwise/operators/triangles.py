@@ -14,13 +14,14 @@ All variants share one counting core on canonical edges (u < v):
    Rows stay one per edge: no wedge (vertex pair) is ever emitted.
 
 The join in 3 takes N+(x) from the exploded adjacency row, so it is the
-only shuffle after the grouping; AQE splits a skewed ``dst`` partition
-(many in-edges of a hub) and turns small sides into broadcasts at run
-time, from their measured size.
-
-Group columns (colour, run, bucket, colour triplet) are simply extra key
-columns of every grouping and join, so each group is counted separately
-in the same plan.
+only shuffle after the grouping.  Every join is a shuffled hash join built
+on the per-vertex side (degrees, neighbour lists): the edge rows stream
+through unsorted, AQE splits a skewed partition (a hub's many in-edges),
+and nothing is broadcast without a size bound.
+
+The orientation is computed once on the base graph; group columns
+(colour, run, bucket, colour triplet) are then extra key columns of every
+grouping and join, so each group is counted separately in the same plan.
 """
 
 from __future__ import annotations

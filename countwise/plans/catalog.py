@@ -272,7 +272,7 @@ S_TOPEST = _estimates(S_TOP, extra="f")
 S_ERR = (f"SELECT round(avg(abs(f - est) / CAST(f AS DOUBLE)), 12) AS avg_rel_err "
          f"FROM ({S_TOPEST})")
 S_F2 = (f"SELECT CAST(s2 AS DOUBLE) / nullif(CAST(n AS DOUBLE) * CAST(n AS DOUBLE), 0.0) AS f2 "
-        f"FROM (SELECT sum(f * f) AS s2, sum(f) AS n FROM ({S_FREQ}))")
+        f"FROM (SELECT sum(CAST(f AS HUGEINT) * f) AS s2, sum(f) AS n FROM ({S_FREQ}))")
 S_F2EST = (
     f"SELECT CAST({_median('list_sort(list(s))')} AS DOUBLE) / "
     f"nullif(CAST((SELECT count(*) FROM ({S_INR})) AS DOUBLE) * "

@@ -110,3 +110,24 @@ def test_range_candidates_cover_unseen(spark, parts):
 def test_width_above_prime_warns(spark, parts):
     with pytest.warns(UserWarning):
         Q.count_sketch(parts, hash_family(1, 2), 9000)
+
+
+def test_second_moments_past_bigint(spark):
+    # f ~ 4e10: f^2 ~ 1.6e21 is past BIGINT; the sums must stay exact
+    big = 40_000_000_000
+    freq = spark.createDataFrame([(1, big), (2, big), (3, 1)], "item BIGINT, f BIGINT")
+    n = 2 * big + 1
+    assert Q.f2_exact(freq).first()["f2"] == pytest.approx((2 * big * big + 1) / (n * n))
+    sketch = spark.createDataFrame([(0, 0, big), (0, 1, big), (1, 0, 2 * big)],
+                                   "j BIGINT, h BIGINT, c BIGINT")
+    got = Q.f2_estimate(sketch, 2, F.lit(n)).first()["f2_est"]
+    # rows: 2*big^2 and 4*big^2 -> median = 3*big^2
+    assert got == pytest.approx(3 * big * big / (n * n))
+
+
+def test_wide_median(spark):
+    from decimal import Decimal
+    df = spark.createDataFrame([([Decimal(10**20), Decimal(3)],), ([Decimal(-5), Decimal(-2)],)],
+                               "x ARRAY<DECIMAL(38,0)>")
+    got = [r["m"] for r in df.select(int_median("x", wide=True).alias("m")).collect()]
+    assert [int(v) for v in got] == [(10**20 + 3) // 2, -3]
