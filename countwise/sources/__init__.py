@@ -8,6 +8,7 @@ from countwise.sources.readers import (
     read_edges,
     read_item_lines,
     read_lines,
+    rejected_edges,
 )
 from countwise.sources.tables import (
     documents,
@@ -19,5 +20,5 @@ from countwise.sources.tables import (
 
 __all__ = [
     "canonical_edges", "document_lines", "edges_from_text", "read_documents", "read_edges", "read_item_lines",
-    "read_lines", "documents", "edges_partsupp", "items_parts", "items_users", "table",
+    "read_lines", "rejected_edges", "documents", "edges_partsupp", "items_parts", "items_users", "table",
 ]

@@ -38,17 +38,43 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
         F.col("value").alias("text"))
 
 
-def edges_from_text(lines: DataFrame, col: str = "value") -> DataFrame:
+# Fixed value: what Java's Integer.parseInt / Long.parseLong accept.
+JAVA_INT = r"^[+-]?[0-9]+$"
+
+
+def _parse_int(field, kind: str, strict: bool):
+    """Strict: Java rules (no blanks, raises on anything else, ANSI CAST
+    raises on overflow).  Permissive: whatever strict would reject -> NULL."""
+    col = F.col(field) if isinstance(field, str) else field
+    if not strict:
+        return F.when(col.rlike(JAVA_INT), col.try_cast(kind))
+    bad = F.raise_error(F.concat(F.lit("malformed integer: "), F.coalesce(col, F.lit("<missing>"))))
+    return F.when(col.rlike(JAVA_INT), col.cast(kind)).otherwise(bad.cast(kind))
+
+
+def edges_from_text(lines: DataFrame, col: str = "value", strict: bool = True) -> DataFrame:
     """S2 on a DataFrame of ``"u,v"`` lines -> (u BIGINT, v BIGINT).
 
-    Both ends must be 32-bit integers; a malformed line raises (ANSI CAST,
-    ``element_at`` out of bounds).  Fields after the second are ignored.
+    Both ends must be 32-bit integers.  ``strict`` (default) fails the job
+    on a malformed line, like the reference's parser; otherwise malformed
+    lines are dropped (see ``rejected_edges`` for the count).  Fields after
+    the second are ignored.
     """
     parts = F.split(F.col(col), ",")
-    return lines.select(
-        F.element_at(parts, 1).cast("int").cast("bigint").alias("u"),
-        F.element_at(parts, 2).cast("int").cast("bigint").alias("v"),
-    )
+    u = _parse_int(F.get(parts, 0), "int", strict).cast("bigint")
+    v = _parse_int(F.get(parts, 1), "int", strict).cast("bigint")
+    out = lines.select(u.alias("u"), v.alias("v"))
+    return out if strict else out.where(F.col("u").isNotNull() & F.col("v").isNotNull())
+
+
+def rejected_edges(lines: DataFrame, col: str = "value") -> DataFrame:
+    """Lines that a strict edge parse would reject -> (value)."""
+    parts = F.split(F.col(col), ",")
+    ok = (F.coalesce(F.get(parts, 0).rlike(JAVA_INT), F.lit(False))
+          & F.coalesce(F.get(parts, 1).rlike(JAVA_INT), F.lit(False)))
+    u = F.get(parts, 0).try_cast("int")
+    v = F.get(parts, 1).try_cast("int")
+    return lines.where(~(ok & u.isNotNull() & v.isNotNull())).select(F.col(col).alias("value"))
 
 
 def read_edges(spark: SparkSession, path: str) -> DataFrame:
@@ -72,6 +98,9 @@ def canonical_edges(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
             .distinct())
 
 
-def read_item_lines(lines: DataFrame, col: str = "value") -> DataFrame:
-    """S4 parse step: one integer per line -> (item BIGINT); malformed raises."""
-    return lines.select(F.col(col).cast("bigint").alias("item"))
+def read_item_lines(lines: DataFrame, col: str = "value", strict: bool = True) -> DataFrame:
+    """S4 parse step: one integer per line -> (item BIGINT); a malformed line
+    raises when ``strict``, else it is dropped."""
+    item = _parse_int(col, "bigint", strict)
+    out = lines.select(item.alias("item"))
+    return out if strict else out.where(F.col("item").isNotNull())

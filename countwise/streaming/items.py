@@ -30,6 +30,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from countwise.functions.hashing import PRIME, SketchRow
 from countwise.operators import frequency as fq
+from countwise.sources.readers import read_item_lines
 
 ITEM_SCHEMA = "item BIGINT"
 
@@ -48,16 +49,17 @@ def item_stream(spark: SparkSession, path: str, max_files_per_trigger: int | Non
 
 
 def text_item_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = 1,
-                     fmt: str = "text", **options) -> DataFrame:
+                     fmt: str = "text", strict: bool = True, **options) -> DataFrame:
     """S4 for line sources (text files; ``fmt="socket"`` is a caller option):
-    one integer per line -> (item BIGINT), malformed lines raise."""
+    one integer per line -> (item BIGINT); malformed lines raise (``strict``)
+    or are dropped."""
     reader = spark.readStream.format(fmt)
     if max_files_per_trigger and fmt == "text":
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     for k, v in options.items():
         reader = reader.option(k, v)
     src = reader.load(path) if path else reader.load()
-    return src.select(F.col("value").cast("bigint").alias("item"))
+    return read_item_lines(src, "value", strict)
 
 
 def _trigger(writer, trigger: str | None):

@@ -181,3 +181,15 @@ def test_read_edges_from_text_file(spark, tmp_path):
     f.write_text("1,2\n2,3\n3,1\n3,4\n")
     e = canonical_edges(read_edges(spark, str(f)))
     assert T.exact_tc(e).first()["triangles"] == 1
+
+
+def test_strict_and_permissive_edge_parsing(spark):
+    from countwise.sources import rejected_edges
+    lines = spark.createDataFrame([("1,2",), (" 3,4",), ("5,x",), ("6",), ("+7,-8",),
+                                   ("9,99999999999",)], "value STRING")
+    with pytest.raises(Exception):
+        edges_from_text(lines).collect()  # Java rejects a blank before 3
+    ok = sorted(map(tuple, edges_from_text(lines, strict=False).collect()))
+    assert ok == [(1, 2), (7, -8)]
+    assert sorted(r["value"] for r in rejected_edges(lines).collect()) == \
+        sorted([" 3,4", "5,x", "6", "9,99999999999"])
