@@ -101,6 +101,7 @@ def canonical_edges(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
 def read_item_lines(lines: DataFrame, col: str = "value", strict: bool = True) -> DataFrame:
     """S4 parse step: one integer per line -> (item BIGINT); a malformed line
     raises when ``strict``, else it is dropped."""
-    item = _parse_int(col, "bigint", strict)
+    # A binary value (a message-queue source) is read as UTF-8 text first.
+    item = _parse_int(F.col(col).cast("string"), "bigint", strict)
     out = lines.select(item.alias("item"))
     return out if strict else out.where(F.col("item").isNotNull())
