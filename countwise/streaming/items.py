@@ -76,8 +76,11 @@ def _read_partials(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def committed_length(spark: SparkSession, out: str, before_batch: int | None = None) -> DataFrame:
-    """K10 over committed batches -> one row (n_items, n_batches)."""
-    counts = _read_partials(spark, f"{out}/counts", "n_items BIGINT")
+    """K10 over committed batches -> one row (n_items, n_batches).
+
+    Reads the newest compacted base of ``counts`` plus later partials, so
+    the per-batch prefix test stays cheap on long-running streams."""
+    counts = merged_partials(spark, out, "counts")
     if before_batch is not None:
         counts = counts.where(F.col("batch_id") < before_batch)
     return counts.agg(F.coalesce(F.sum("n_items"), F.lit(0)).cast("bigint").alias("n_items"),
@@ -127,6 +130,8 @@ def start_partials(stream: DataFrame, out: str, checkpoint: str,
 LINEAR = {
     "freq": (["item"], ["f"], "item BIGINT, f BIGINT"),
     "seen": (["item"], ["n"], "item BIGINT, n BIGINT"),
+    # one row per batch; the batch id itself is the key
+    "counts": (["batch_id"], ["n_items"], "n_items BIGINT"),
 }
 
 
@@ -154,9 +159,9 @@ def merged_partials(spark: SparkSession, out: str, name: str,
     rows = parts.where(F.col("batch_id") > upto)
     if through_batch is not None:
         rows = rows.where(F.col("batch_id") <= through_batch)
-    rows = rows.drop("batch_id")
+    rows = rows.select(*keys, *sums)
     if base is not None:
-        rows = base.unionByName(rows)
+        rows = base.select(*keys, *sums).unionByName(rows)
     return rows.groupBy(*keys).agg(*[F.sum(c).cast("bigint").alias(c) for c in sums])
 
 
@@ -197,7 +202,7 @@ def running_distinct(spark: SparkSession, out: str) -> DataFrame:
 
 def batch_counts(spark: SparkSession, out: str) -> DataFrame:
     """W5 result: (batch_id, n_items) per committed micro-batch."""
-    return _read_partials(spark, f"{out}/counts", "n_items BIGINT").select("batch_id", "n_items")
+    return merged_partials(spark, out, "counts").select("batch_id", "n_items")
 
 
 def frequency_partials(left: int | None, right: int | None) -> dict[str, BatchFn]:

@@ -95,6 +95,10 @@ def test_compaction_keeps_results(spark, landed):
     assert rows(S.running_frequencies(spark, out), "item", "f") == want2
     got = S.running_distinct(spark, out).first()
     assert got["n_items"] == items.count() + 3
+    before = sorted(map(tuple, S.batch_counts(spark, out).collect()))
+    assert S.compact_partials(spark, out, "counts") == 2
+    assert sorted(map(tuple, S.batch_counts(spark, out).collect())) == before
+    assert S.committed_length(spark, out).first()["n_items"] == items.count() + 3
 
 
 def test_live_trigger_stops_after_prefix(spark, landed):
