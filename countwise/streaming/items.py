@@ -1,22 +1,25 @@
 """Frequency statistics on an item stream (Structured Streaming).
 
-Two ways of keeping running state, chosen by its size:
+Two ways of keeping running state:
 
 * Per-batch partials (W3a running frequencies, W3c distinct items, W5
   batch lengths).  ``foreachBatch`` writes each micro-batch's aggregate
   to ``<out>/<name>/batch_id=<id>`` with overwrite, so a replayed batch
   rewrites the same files (effectively exactly-once, W6).  The running
   result is a batch aggregation over the partials, so its size is never
-  tied to one task or to the driver; state grows with distinct items
-  only on storage.
-* Streaming aggregation with state store (W3b count sketch): the state is
-  bounded by D*W cells whatever the stream, so the complete state is
-  written per batch as a snapshot and the last committed one is read.
+  tied to one task or to the driver.  ``compact_partials`` folds committed
+  partials into a base snapshot (made visible by a marker written after
+  it), so readers open a bounded number of files on long-running streams.
+* Streaming aggregation with a state store: the count sketch (W3b, state
+  bounded by D*W cells, complete mode, one snapshot per batch) and a
+  state-store variant of the running frequencies (update mode, the newest
+  total per item read back with ``max_by``).
 
 A bounded prefix (W4) stops taking batches once the committed length
 (read back from the ``counts`` partials, not from a Python variable, so it
 survives restarts) has reached N; the batch that crosses N is wholly
-counted, as in the reference.
+counted, as in the reference.  With a live trigger the main thread stops
+the query (``stop_after_prefix``).
 """
 
 from __future__ import annotations
