@@ -176,6 +176,8 @@ QUERIES: dict[str, Query] = {
     "report_words": lambda s, d: rp.report_words(_lines(s, d)),
     "report_tc_approx": lambda s, d: rp.report_tc_approx(
         tb.edges_partsupp(s, d), P.COLORS, P.RUN_PARAMS, P.BUCKET_PARAMS),
+    "report_tc_approx_partitions": lambda s, d: rp.report_tc_approx(
+        tb.edges_partsupp(s, d), P.COLORS, P.RUN_PARAMS, None),
     "report_tc": lambda s, d: rp.report_tc(tb.edges_partsupp(s, d), P.COLORS, P.RUN_PARAMS, 1,
                                            P.COLORING),
     "report_tc_colors": lambda s, d: rp.report_tc(tb.edges_partsupp(s, d), P.COLORS,
