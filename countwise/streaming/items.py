@@ -91,12 +91,15 @@ def committed_length(spark: SparkSession, out: str, before_batch: int | None = N
 
 
 def partials_handler(spark: SparkSession, out: str, per_batch: Mapping[str, BatchFn],
-                     prefix_items: int | None = None) -> Callable[[DataFrame, int], None]:
+                     prefix_items: int | None = None,
+                     compact_every: int | None = None) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function of ``start_partials``.
 
     Every write is an overwrite of the batch's own folder, so running it
     again for the same batch id (a replay after a failure) leaves exactly
-    the output of one run.
+    the output of one run.  With ``compact_every`` = k, batch B (B a
+    multiple of k) first compacts the partials through B-1: batches run one
+    at a time, so nothing is being written then.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -104,6 +107,10 @@ def partials_handler(spark: SparkSession, out: str, per_batch: Mapping[str, Batc
             done = committed_length(spark, out, before_batch=batch_id).first()["n_items"]
             if done >= prefix_items:
                 return
+        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+            for name in [*per_batch, "counts"]:
+                if name in LINEAR:
+                    compact_partials(spark, out, name, through_batch=batch_id - 1)
         batch.persist()
         try:
             for name, fn in per_batch.items():
@@ -118,13 +125,15 @@ def partials_handler(spark: SparkSession, out: str, per_batch: Mapping[str, Batc
 
 def start_partials(stream: DataFrame, out: str, checkpoint: str,
                    per_batch: Mapping[str, BatchFn], prefix_items: int | None = None,
-                   trigger: str | None = "availableNow") -> StreamingQuery:
+                   trigger: str | None = "availableNow",
+                   compact_every: int | None = None) -> StreamingQuery:
     """Run ``per_batch`` aggregates of every micro-batch into partials.
 
     Also records (n_items) per batch under ``counts`` (W5).  With
-    ``prefix_items`` the query ignores batches once N items are committed.
+    ``prefix_items`` the query ignores batches once N items are committed;
+    with ``compact_every`` it compacts its partials every k batches.
     """
-    handle = partials_handler(stream.sparkSession, out, per_batch, prefix_items)
+    handle = partials_handler(stream.sparkSession, out, per_batch, prefix_items, compact_every)
     writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return _trigger(writer, trigger).start()
 
@@ -168,21 +177,38 @@ def merged_partials(spark: SparkSession, out: str, name: str,
     return rows.groupBy(*keys).agg(*[F.sum(c).cast("bigint").alias(c) for c in sums])
 
 
-def compact_partials(spark: SparkSession, out: str, name: str) -> int | None:
-    """Fold the committed partials of ``name`` into a new base snapshot
-    ``<name>_base/upto=<B>`` (B = last committed batch) -> B.
+def _last_committed_batch(spark: SparkSession, out: str) -> int | None:
+    # ``counts`` of a batch is written after all its other partials, so it
+    # marks the batch as complete.
+    counts = _read_partials(spark, f"{out}/counts", LINEAR["counts"][2])
+    return counts.agg(F.max("batch_id")).first()[0]
+
+
+def compact_partials(spark: SparkSession, out: str, name: str,
+                     through_batch: int | None = None) -> int | None:
+    """Fold the partials of ``name`` up to ``through_batch`` (default: the
+    last complete batch) into a new base snapshot ``<name>_base/upto=<B>``
+    -> B, or None when there is nothing new to fold.
 
     Partials are linear, so base + later partials always equals the full
-    merge; batches committed while this runs stay in the partials (the
-    merge is bounded by B).  It keeps the number of files a reader opens
-    bounded on long-running streams; partial folders up to B can then be
-    removed.
+    merge, and readers only see a base once its marker row exists.  Only
+    complete batches are folded (their ``counts`` row exists), so running
+    this beside a live stream never folds a half-written batch; inside the
+    stream use ``start_partials(compact_every=...)``.  A base that already
+    covers B is left alone, so a replayed compaction rewrites nothing.
     """
-    keys, sums, schema = LINEAR[name]
-    parts = _read_partials(spark, f"{out}/{name}", schema)
-    last = parts.agg(F.max("batch_id")).first()[0]
+    keys, sums, _ = LINEAR[name]
+    last = _last_committed_batch(spark, out)
     if last is None:
         return None
+    if through_batch is not None:
+        last = min(last, through_batch)
+    try:
+        done = spark.read.parquet(f"{out}/{name}_compactions").agg(F.max("upto")).first()[0]
+    except AnalysisException:
+        done = None
+    if done is not None and done >= last:
+        return None
     (merged_partials(spark, out, name, through_batch=last).select(*keys, *sums)
      .write.mode("overwrite").parquet(f"{out}/{name}_base/upto={last}"))
     (spark.range(1).select(F.lit(last).cast("bigint").alias("at"))

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from countwise.functions import hash_family
@@ -140,3 +141,18 @@ def test_stateful_frequencies_equal_batch(spark, landed):
     S.run_to_end(S.start_stateful_frequencies(S.item_stream(spark, src), out, ckpt, 10, 120))
     want = rows(Q.item_frequencies(items, 10, 120), "item", "f")
     assert rows(S.stateful_frequencies(spark, out), "item", "f") == want
+
+
+def test_compaction_inside_the_stream(spark, landed):
+    items, src, root = landed
+    out, ckpt = f"{root}/ce-out", f"{root}/ce-ckpt"
+    parts = {**S.frequency_partials(None, None), **S.distinct_partials()}
+    S.run_to_end(S.start_partials(S.item_stream(spark, src), out, ckpt, parts, compact_every=2))
+    # batch 2 compacted batches 0-1 before it ran
+    marks = spark.read.parquet(f"{out}/freq_compactions").agg(F.max("upto")).first()[0]
+    assert marks == 1
+    assert rows(S.running_frequencies(spark, out), "item", "f") == \
+        rows(Q.item_frequencies(items), "item", "f")
+    assert S.committed_length(spark, out).first()["n_items"] == items.count()
+    # a second compaction through the same batch is a no-op
+    assert S.compact_partials(spark, out, "freq", through_batch=1) is None
