@@ -346,18 +346,36 @@ def expand_triplets(edges: DataFrame, num_colors: int, params: LinearParams,
     return _triplets(edges, num_colors, params, p, ("u", "v"))
 
 
+TRIPLET_METHODS = ("expand", "direct")
+
+
 def triangles_by_triplet(edges: DataFrame, num_colors: int, params: LinearParams,
-                         p: int = PRIME, order: str = "degree") -> DataFrame:
+                         p: int = PRIME, order: str = "degree",
+                         method: str = "expand") -> DataFrame:
     """t_k, the triangles inside key k whose sorted colours equal k
     -> (k1, k2, k3, t).  Every triangle is counted at exactly one key.
 
+    ``method="expand"`` is the colour-triplet algorithm: every edge is
+    replicated into its C keys and each key group is counted on its own.
     An edge (x, y) sits in key k = sort(h(x), h(y), i) for exactly one i,
-    so a triangle x, y, w of that group has colours k iff h(w) = i.  The
-    candidates w are exploded (one row per triangle of the group) and
-    tested with a plain column filter.
+    so a triangle x, y, w of that group has colours k iff h(w) = i; the
+    candidates w are exploded and tested with a plain column filter.
+
+    ``method="direct"`` gives the same t_k without replication: list the
+    triangles once and group them by their sorted colours (the partial
+    aggregation folds them map-side into at most C^3 rows per task).
     """
     _check_colors(num_colors)
+    if method not in TRIPLET_METHODS:
+        raise ValueError(f"method must be one of {TRIPLET_METHODS}")
     keys = ["k1", "k2", "k3"]
+    if method == "direct":
+        listed = (common_neighbours(orient_edges(edges, order))
+                  .select("src", "dst", F.explode("common").alias("w")))
+        k1, k2, k3 = sorted3(*[vertex_color(c, num_colors, params.a, params.b, p)
+                               for c in ("src", "dst", "w")])
+        return (listed.groupBy(k1.alias("k1"), k2.alias("k2"), k3.alias("k3"))
+                .agg(F.count(F.lit(1)).alias("t")))
     expanded = _triplets(orient_edges(edges, order), num_colors, params, p, ("src", "dst"))
     common = common_neighbours(expanded, keys)
     i = F.col("k1") + F.col("k2") + F.col("k3") \
@@ -369,7 +387,7 @@ def triangles_by_triplet(edges: DataFrame, num_colors: int, params: LinearParams
 
 
 def exact_tc_triplets(edges: DataFrame, num_colors: int, params: LinearParams,
-                      p: int = PRIME, order: str = "degree") -> DataFrame:
+                      p: int = PRIME, order: str = "degree", method: str = "expand") -> DataFrame:
     """Sum of t_k -> one row (triangles); equals ``exact_tc``."""
-    per_key = triangles_by_triplet(edges, num_colors, params, p, order)
+    per_key = triangles_by_triplet(edges, num_colors, params, p, order, method)
     return per_key.agg(F.coalesce(F.sum("t"), F.lit(0)).cast("bigint").alias("triangles"))

@@ -147,6 +147,8 @@ QUERIES: dict[str, Query] = {
                                                                      P.BUCKET_PARAMS),
     "triangles_by_triplet": lambda s, d: tri.triangles_by_triplet(_edges(s, d), P.COLORS,
                                                                   P.COLORING),
+    "triangles_by_triplet_direct": lambda s, d: tri.triangles_by_triplet(
+        _edges(s, d), P.COLORS, P.COLORING, method="direct"),
     "approx_tc_colors": lambda s, d: tri.approx_tc_colors(_edges(s, d), P.COLORS, P.COLORING),
     "approx_tc_runs": q_n1_check,
     "approx_tc_median": lambda s, d: tri.approx_tc_median(_edges(s, d), P.COLORS, P.RUN_PARAMS),
@@ -351,6 +353,7 @@ ORACLE_SQL: dict[str, str] = {
     "triangles_by_color": S_COLOR_T,
     "triangles_by_bucket": S_BUCKET_T,
     "triangles_by_triplet": S_TRIPLET_T,
+    "triangles_by_triplet_direct": S_TRIPLET_T,
     "approx_tc_colors": (f"{W_E}, m AS ({S_MONO}) SELECT CAST({_C2} * count(*) AS BIGINT) "
                          f"AS estimate FROM m x JOIN m y ON x.v = y.u "
                          f"JOIN m z ON z.u = x.u AND z.v = y.v"),

@@ -193,3 +193,12 @@ def test_strict_and_permissive_edge_parsing(spark):
     assert ok == [(1, 2), (7, -8)]
     assert sorted(r["value"] for r in rejected_edges(lines).collect()) == \
         sorted([" 3,4", "5,x", "6", "9,99999999999"])
+
+
+@pytest.mark.parametrize("c", [1, 3, 4])
+def test_triplet_methods_agree(partsupp, c):
+    params = LinearParams(77, 5)
+    a = sorted(map(tuple, T.triangles_by_triplet(partsupp, c, params).collect()))
+    b = sorted(map(tuple, T.triangles_by_triplet(partsupp, c, params, method="direct").collect()))
+    assert a == b
+    assert T.exact_tc_triplets(partsupp, c, params, method="direct").first()["triangles"] == 7852
