@@ -176,6 +176,8 @@ QUERIES: dict[str, Query] = {
     "distinct_items": lambda s, d: fq.distinct_stats(_items(s, d)),
     # reports
     "report_words": lambda s, d: rp.report_words(_lines(s, d)),
+    "report_word_counts": lambda s, d: rp.report_word_counts(_lines(s, d), P.SALT_KEYS,
+                                                             P.SALT_SEED),
     "report_tc_approx": lambda s, d: rp.report_tc_approx(
         tb.edges_partsupp(s, d), P.COLORS, P.RUN_PARAMS, P.BUCKET_PARAMS),
     "report_tc_approx_partitions": lambda s, d: rp.report_tc_approx(
@@ -389,6 +391,11 @@ ORACLE_SQL: dict[str, str] = {
                      f"count(*) AS n_distinct_words, "
                      f"CAST(sum(length(word)) // count(*) AS BIGINT) AS avg_word_length "
                      f"FROM ({S_WORDS})"),
+    "report_word_counts": (f"SELECT (SELECT count(*) FROM ({S_LINES})) AS n_docs, "
+                           f"count(*) AS n_words_one_round, count(*) AS n_words_salted, "
+                           f"count(*) AS n_words_partitioned, "
+                           f"CAST(sum(length(word)) // count(*) AS BIGINT) AS avg_word_length "
+                           f"FROM ({S_WORDS})"),
     "report_tc_approx": (
         f"SELECT (SELECT count(*) FROM lineitem) AS n_edges, {P.COLORS} AS \"C\", "
         f"{P.RUNS} AS \"R\", ({S_MEDIAN_RUNS}) AS est_colors_median, "

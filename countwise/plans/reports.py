@@ -27,6 +27,20 @@ def report_words(lines: DataFrame) -> DataFrame:
     return stats.select(n_docs.alias("n_docs"), "n_distinct_words", "avg_word_length")
 
 
+def report_word_counts(lines: DataFrame, num_keys: int, seed: int = 0) -> DataFrame:
+    """The word-count program's cross-check -> (n_docs, n_words_one_round,
+    n_words_salted, n_words_partitioned, avg_word_length): the distinct-word
+    count after each variant (they must agree) and the average length."""
+    stats = wd.word_stats(wd.word_count(lines))
+    n_docs = lines.agg(F.count(F.lit(1))).scalar()
+    salted = wd.word_count_salted(lines, num_keys, seed).agg(F.count(F.lit(1))).scalar()
+    parts = wd.word_count_by_partition(lines).agg(F.count(F.lit(1))).scalar()
+    return stats.select(n_docs.alias("n_docs"),
+                        F.col("n_distinct_words").alias("n_words_one_round"),
+                        salted.alias("n_words_salted"), parts.alias("n_words_partitioned"),
+                        "avg_word_length")
+
+
 def report_tc_approx(raw_edges: DataFrame, num_colors: int, runs: Sequence[LinearParams],
                      buckets: BucketParams | None = None, p: int = PRIME,
                      order: str = "degree") -> DataFrame:
