@@ -37,8 +37,8 @@ FAMILY = hash_family(SKETCH_SEED, SKETCH_D, PRIME)
 # An even depth: the median of D estimates is then the truncated mean of
 # the middle two (N1's even branch).
 FAMILY_EVEN = hash_family(SKETCH_SEED + 1, 4, PRIME)
-LEFT = 100
-RIGHT = 1100
+LEFT = 0
+RIGHT = 999_999
 TOP_K = 10
 
 # Streaming: items per micro-batch file and the prefix length N.

@@ -30,11 +30,15 @@ def test_triangle_estimates_near_exact(graph):
     assert T.exact_tc_triplets(e, 3, P.COLORING).first()["triangles"] == exact
 
 
+# The interval this check was calibrated on (1,001 part ids at sf0.01).
+LEFT, RIGHT = 100, 1100
+
+
 def test_sketch_estimates_near_exact(spark):
     items = items_parts(spark, SF_MID)
-    freq = Q.item_frequencies(items, P.LEFT, P.RIGHT)
-    sketch = Q.count_sketch(items, P.FAMILY, 1024, P.LEFT, P.RIGHT)
-    n = Q.in_range(items, P.LEFT, P.RIGHT).agg(F.count("*")).scalar()
+    freq = Q.item_frequencies(items, LEFT, RIGHT)
+    sketch = Q.count_sketch(items, P.FAMILY, 1024, LEFT, RIGHT)
+    n = Q.in_range(items, LEFT, RIGHT).agg(F.count("*")).scalar()
     f2 = Q.f2_exact(freq).first()["f2"]
     f2_est = Q.f2_estimate(sketch, len(P.FAMILY), n).first()["f2_est"]
     # The reference's hash family ((a*x + b) mod 8191) gives structured signs
