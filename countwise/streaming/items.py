@@ -71,9 +71,16 @@ def _trigger(writer, trigger: str | None):
     return writer.trigger(processingTime=trigger)  # W1, e.g. "100 milliseconds"
 
 
+def _read_known(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Read a folder whose layout this module wrote: an explicit schema
+    (partition column included) skips schema inference, i.e. listing and
+    reading the footers of every file before the query itself."""
+    return spark.read.schema(schema).parquet(path)
+
+
 def _read_partials(spark: SparkSession, path: str, schema: str) -> DataFrame:
     try:
-        return spark.read.parquet(path)
+        return _read_known(spark, path, f"{schema}, batch_id INT")
     except AnalysisException:  # nothing committed yet
         return spark.createDataFrame([], f"{schema}, batch_id INT")
 
@@ -138,13 +145,19 @@ def start_partials(stream: DataFrame, out: str, checkpoint: str,
     return _trigger(writer, trigger).start()
 
 
-# Linear partials: name -> (key columns, summed columns, schema).
+# Linear partials: name -> (key columns, summed columns, partial schema).
 LINEAR = {
     "freq": (["item"], ["f"], "item BIGINT, f BIGINT"),
     "seen": (["item"], ["n"], "item BIGINT, n BIGINT"),
     # one row per batch; the batch id itself is the key
     "counts": (["batch_id"], ["n_items"], "n_items BIGINT"),
 }
+# Schema of a compacted base: keys and sums (batch_id is a column there).
+BASE_SCHEMA = {
+    "freq": "item BIGINT, f BIGINT",
+    "seen": "item BIGINT, n BIGINT",
+    "counts": "batch_id INT, n_items BIGINT",
+}
 
 
 def _latest_base(spark: SparkSession, out: str, name: str) -> tuple[DataFrame | None, Column]:
@@ -153,11 +166,11 @@ def _latest_base(spark: SparkSession, out: str, name: str) -> tuple[DataFrame |
     written after the base's own write job has committed, so a compaction
     that died midway is never read."""
     try:
-        marks = spark.read.parquet(f"{out}/{name}_compactions")
+        marks = _read_known(spark, f"{out}/{name}_compactions", "at BIGINT, upto BIGINT")
     except AnalysisException:
         return None, F.lit(-1)
     upto = marks.agg(F.max("upto")).scalar()
-    base = spark.read.parquet(f"{out}/{name}_base")
+    base = _read_known(spark, f"{out}/{name}_base", f"{BASE_SCHEMA[name]}, upto BIGINT")
     return base.where(F.col("upto") == upto).drop("upto"), upto
 
 
@@ -204,7 +217,8 @@ def compact_partials(spark: SparkSession, out: str, name: str,
     if through_batch is not None:
         last = min(last, through_batch)
     try:
-        done = spark.read.parquet(f"{out}/{name}_compactions").agg(F.max("upto")).first()[0]
+        done = (_read_known(spark, f"{out}/{name}_compactions", "at BIGINT, upto BIGINT")
+                .agg(F.max("upto")).first()[0])
     except AnalysisException:
         done = None
     if done is not None and done >= last:
