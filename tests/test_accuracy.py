@@ -13,7 +13,8 @@ from countwise.sources import canonical_edges, edges_partsupp, items_parts
 @pytest.fixture(scope="module")
 def graph(spark):
     e = canonical_edges(edges_partsupp(spark, SF_MID)).cache()
-    return e, T.exact_tc(e).first()["triangles"]
+    yield e, T.exact_tc(e).first()["triangles"]
+    e.unpersist()
 
 
 def test_triangle_estimates_near_exact(graph):

@@ -85,7 +85,9 @@ def test_hash_of_known_family(spark):
 
 @pytest.fixture(scope="module")
 def parts(spark):
-    return items_parts(spark, SF_SMALL).cache()
+    df = items_parts(spark, SF_SMALL).cache()
+    yield df
+    df.unpersist()
 
 
 def test_sketch_is_linear(spark, parts):

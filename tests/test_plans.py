@@ -13,6 +13,12 @@ STREAMING = {"stream_frequencies", "stream_frequencies_stateful", "stream_count_
              "stream_distinct_items", "stream_prefix", "batch_counts"}
 
 
+@pytest.fixture(autouse=True)
+def no_cached_data(spark):
+    # a cached relation would replace the Parquet scan in the plan
+    spark.catalog.clearCache()
+
+
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 

@@ -72,7 +72,9 @@ def test_edges_from_text_ignores_extra_fields(spark):
 
 @pytest.fixture(scope="module")
 def partsupp(spark):
-    return canonical_edges(edges_partsupp(spark, SF_SMALL)).cache()
+    df = canonical_edges(edges_partsupp(spark, SF_SMALL)).cache()
+    yield df
+    df.unpersist()
 
 
 def test_partsupp_fixture_numbers(partsupp):

@@ -34,7 +34,9 @@ def test_document_lines_split(spark):
 
 @pytest.fixture(scope="module")
 def doc_lines(spark):
-    return document_lines(documents(spark, SF_SMALL)).cache()
+    df = document_lines(documents(spark, SF_SMALL)).cache()
+    yield df
+    df.unpersist()
 
 
 def test_four_word_counts_agree(doc_lines):
