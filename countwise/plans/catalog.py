@@ -73,7 +73,7 @@ def q_item_hashes(spark, d):
     return fq.sketch_cells(cand, P.FAMILY, P.SKETCH_W)
 
 
-def q_n1_check(spark, d):
+def q_runs(spark, d):
     return tri.approx_tc_runs(_edges(spark, d), P.COLORS, P.RUN_PARAMS)
 
 
@@ -150,7 +150,7 @@ QUERIES: dict[str, Query] = {
     "triangles_by_triplet_direct": lambda s, d: tri.triangles_by_triplet(
         _edges(s, d), P.COLORS, P.COLORING, method="direct"),
     "approx_tc_colors": lambda s, d: tri.approx_tc_colors(_edges(s, d), P.COLORS, P.COLORING),
-    "approx_tc_runs": q_n1_check,
+    "approx_tc_runs": q_runs,
     "approx_tc_median": lambda s, d: tri.approx_tc_median(_edges(s, d), P.COLORS, P.RUN_PARAMS),
     "approx_tc_buckets": lambda s, d: tri.approx_tc_buckets(_edges(s, d), P.BUCKETS,
                                                             P.BUCKET_PARAMS),
