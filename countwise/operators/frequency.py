@@ -115,18 +115,34 @@ def estimate_frequencies(sketch: DataFrame, candidates: DataFrame, family: Seque
     """K4: f~(u) = median_j g_j(u) * C[j][h_j(u)] for distinct candidates
     -> (item, keep.., est).
 
-    The sketch side has at most D*W rows, so it is broadcast when D*W is
-    within ``BROADCAST_MAX_CELLS``.  When the candidates come from an
-    aggregation by item, the final grouping by item reuses that
-    partitioning and adds no shuffle.
+    Within ``BROADCAST_MAX_CELLS`` (D*W cells, a size fixed by the
+    parameters), each sketch row j (at most W cells) is broadcast and looked
+    up by the expression h_j(item): D map-side lookups in one pipeline and a
+    median over an array of D columns, so the candidates are never
+    shuffled.  A larger sketch is joined by a shuffle instead: the
+    candidates are exploded into D cells and grouped back by item.
     """
     _check_sketch(family, width, p)
-    cells = sketch_cells(candidates, family, width, p, extra=list(keep))
-    sk = sketch.select("j", "h", "c")
+    zero = F.lit(0).cast("bigint")
     if len(family) * width <= BROADCAST_MAX_CELLS:
-        sk = F.broadcast(sk)
-    looked = cells.join(sk, ["j", "h"], "left")
-    value = F.col("g") * F.coalesce(F.col("c"), F.lit(0).cast("bigint"))
+        # One broadcast side, keyed by cell = j*W + h and identical for every
+        # row j, so it is computed and broadcast once and reused D times.
+        cells = F.broadcast(sketch.select(
+            (F.col("j") * F.lit(width).cast("bigint") + F.col("h")).alias("cell"), "c"))
+        out = candidates.select("item", *keep).alias("cand")
+        values = []
+        for r in family:
+            side = cells.alias(f"row{r.j}")
+            cell = F.lit(r.j * width).cast("bigint") + linear_hash("item", r.ah, r.bh, width, p)
+            out = out.join(side, cell == F.col(f"row{r.j}.cell"), "left")
+            values.append(sign_hash(F.col("cand.item"), r.ag, r.bg, p)
+                          * F.coalesce(F.col(f"row{r.j}.c"), zero))
+        return out.select(F.col("cand.item").alias("item"),
+                          *[F.col(f"cand.{k}").alias(k) for k in keep],
+                          int_median(F.array(*values)).alias("est"))
+    cells = sketch_cells(candidates, family, width, p, extra=list(keep))
+    looked = cells.join(sketch.select("j", "h", "c"), ["j", "h"], "left")
+    value = F.col("g") * F.coalesce(F.col("c"), zero)
     return (looked.groupBy("item", *keep)
             .agg(int_median(F.collect_list(value)).alias("est")))
 

@@ -133,3 +133,15 @@ def test_wide_median(spark):
                                "x ARRAY<DECIMAL(38,0)>")
     got = [r["m"] for r in df.select(int_median("x", wide=True).alias("m")).collect()]
     assert [int(v) for v in got] == [(10**20 + 3) // 2, -3]
+
+
+def test_estimates_same_on_both_join_paths(spark, parts, monkeypatch):
+    fam = hash_family(9, 4)
+    sketch = Q.count_sketch(parts, fam, 32, 0, 150)
+    freq = Q.item_frequencies(parts, 0, 150)
+    broadcast_path = sorted(map(tuple, Q.estimate_frequencies(sketch, freq, fam, 32,
+                                                              keep=["f"]).collect()))
+    monkeypatch.setattr(Q, "BROADCAST_MAX_CELLS", 0)
+    shuffle_path = sorted(map(tuple, Q.estimate_frequencies(sketch, freq, fam, 32,
+                                                            keep=["f"]).collect()))
+    assert broadcast_path == shuffle_path and len(broadcast_path) == freq.count()
