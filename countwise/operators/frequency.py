@@ -111,22 +111,27 @@ def merge_sketches(*sketches: DataFrame) -> DataFrame:
 
 
 def estimate_frequencies(sketch: DataFrame, candidates: DataFrame, family: Sequence[SketchRow],
-                         width: int, p: int = PRIME, keep: Sequence[str] = ()) -> DataFrame:
+                         width: int, p: int = PRIME, keep: Sequence[str] = (),
+                         candidates_by_item: bool = True) -> DataFrame:
     """K4: f~(u) = median_j g_j(u) * C[j][h_j(u)] for distinct candidates
     -> (item, keep.., est).
 
-    Within ``BROADCAST_MAX_CELLS`` (D*W cells, a size fixed by the
-    parameters), each sketch row j (at most W cells) is broadcast and looked
-    up by the expression h_j(item): D map-side lookups in one pipeline and a
-    median over an array of D columns, so the candidates are never
-    shuffled.  A larger sketch is joined by a shuffle instead: the
-    candidates are exploded into D cells and grouped back by item.
+    The sketch (at most D*W cells) is broadcast when D*W is within
+    ``BROADCAST_MAX_CELLS``, else joined by a shuffle.
+
+    ``candidates_by_item=True`` (candidates from an aggregation by item,
+    e.g. the exact frequencies): each candidate is exploded into its D
+    cells, looked up, and grouped back by item -- the grouping reuses the
+    candidates' partitioning, so nothing is shuffled.
+    ``candidates_by_item=False`` (e.g. ``range_candidates``): the D lookups
+    run as D map-side joins against one broadcast keyed by
+    cell = j*W + h (built once, reused), and the median is taken over an
+    array of D columns, so the candidates are never shuffled either.
     """
     _check_sketch(family, width, p)
     zero = F.lit(0).cast("bigint")
-    if len(family) * width <= BROADCAST_MAX_CELLS:
-        # One broadcast side, keyed by cell = j*W + h and identical for every
-        # row j, so it is computed and broadcast once and reused D times.
+    fits = len(family) * width <= BROADCAST_MAX_CELLS
+    if fits and not candidates_by_item:
         cells = F.broadcast(sketch.select(
             (F.col("j") * F.lit(width).cast("bigint") + F.col("h")).alias("cell"), "c"))
         out = candidates.select("item", *keep).alias("cand")
@@ -141,7 +146,10 @@ def estimate_frequencies(sketch: DataFrame, candidates: DataFrame, family: Seque
                           *[F.col(f"cand.{k}").alias(k) for k in keep],
                           int_median(F.array(*values)).alias("est"))
     cells = sketch_cells(candidates, family, width, p, extra=list(keep))
-    looked = cells.join(sketch.select("j", "h", "c"), ["j", "h"], "left")
+    sk = sketch.select("j", "h", "c")
+    if fits:
+        sk = F.broadcast(sk)
+    looked = cells.join(sk, ["j", "h"], "left")
     value = F.col("g") * F.coalesce(F.col("c"), zero)
     return (looked.groupBy("item", *keep)
             .agg(int_median(F.collect_list(value)).alias("est")))

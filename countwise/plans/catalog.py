@@ -92,7 +92,7 @@ def q_estimates(spark, d):
 def q_estimates_range(spark, d):
     items = _items(spark, d)
     return fq.estimate_frequencies(_sketch(spark, d), fq.range_candidates(items, P.LEFT, P.RIGHT),
-                                   P.FAMILY, P.SKETCH_W)
+                                   P.FAMILY, P.SKETCH_W, candidates_by_item=False)
 
 
 def q_estimate_median(spark, d):

@@ -141,6 +141,9 @@ def test_estimates_same_on_both_join_paths(spark, parts, monkeypatch):
     freq = Q.item_frequencies(parts, 0, 150)
     broadcast_path = sorted(map(tuple, Q.estimate_frequencies(sketch, freq, fam, 32,
                                                               keep=["f"]).collect()))
+    lookup_path = sorted(map(tuple, Q.estimate_frequencies(sketch, freq, fam, 32, keep=["f"],
+                                                           candidates_by_item=False).collect()))
+    assert lookup_path == broadcast_path
     monkeypatch.setattr(Q, "BROADCAST_MAX_CELLS", 0)
     shuffle_path = sorted(map(tuple, Q.estimate_frequencies(sketch, freq, fam, 32,
                                                             keep=["f"]).collect()))
