@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from countwise.llm import chat, packing, token_codes, url_filter
+from countwise.llm import chat, minhash, packing, substrings, token_codes, url_filter
 from countwise.llm.frames import table
+from countwise.llm.shipping import ship_package
 from countwise.llm.sql import ORACLE_SQL  # noqa: F401
 from countwise.session import scratch_path
 
@@ -20,6 +23,11 @@ URL_RULES = [
 ]
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def tokenizer_file(name: str) -> str:
     """Place of a public vocabulary file; operators take it as a parameter."""
     import public_tokenizers
@@ -41,10 +49,23 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), "byte", 2)
 
 
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(table(spark, sf_dir, "conversations"))
 
 
+def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_token_codes, op3_url_filter, op4_best_fit_packing, op8_chat_rotation)
+    f.__name__: _shipped(f) for f in (op2_token_codes, op3_url_filter, op4_best_fit_packing, op6_minhash_near_dedup, op8_chat_rotation, op10_substring_dedup)
 }

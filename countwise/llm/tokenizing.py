@@ -9,7 +9,6 @@ safe is encoded whole by the library.
 
 from __future__ import annotations
 
-import re
 import unicodedata
 from functools import lru_cache
 from itertools import chain
@@ -25,9 +24,24 @@ FIRST = "\x01"
 #: Stands between units that are given to the library together.
 MARK = "|"
 JOINED = 500
-ODD_ASCII = ("  ", " \n", "\n ", "\t", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x1f", FIRST)
-_ODD_SPACE = re.compile(r"[^\S \n]|[\x1c-\x1f\x85\x01]| [ \n]|\n ")
-_ODD_WORD = re.compile(r"[\x1c-\x1f\x01]")
+#: White space that Python and the library see differently, and the mark itself.
+_ODD_WORD = ("\x1c", "\x1d", "\x1e", "\x1f", FIRST)
+#: White space other than single blanks and line feeds between words.
+_ODD_BYTE = _ODD_WORD + ("  ", " \n", "\n ", "\t", "\r", "\x0b", "\x0c")
+_ODD_WIDE = tuple("\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000") + tuple(map(chr, range(0x2000, 0x200B)))
+
+
+class _Index(dict):
+    """Row of each unit; a unit not met before gets the next row."""
+
+    def __init__(self, *items):
+        super().__init__(*items)
+        self.new: list[str] = []
+
+    def __missing__(self, unit: str) -> int:
+        row = self[unit] = len(self)
+        self.new.append(unit)
+        return row
 
 
 class Encoder:
@@ -55,7 +69,7 @@ class Encoder:
         self._start()
 
     def _start(self) -> None:
-        self.index: dict[str, int] = {}
+        self.index = _Index()
         self.ids = np.zeros(1 << 16, np.uint32)
         self.used = 0
         self.starts = np.zeros(1 << 14, np.int64)
@@ -68,16 +82,18 @@ class Encoder:
     def units(self, text: str) -> list[str] | None:
         """The text's units, or None if it must be encoded whole."""
         if self.kind == "word":
-            if _ODD_WORD.search(text) or not (text.isascii() or unicodedata.is_normalized("NFC", text)):
+            if any(x in text for x in _ODD_WORD):
                 return None
-            return text.split()
+            try:
+                text.encode("latin-1")
+            except UnicodeEncodeError:
+                return text.split() if unicodedata.is_normalized("NFC", text) else None
+            return text.lower().split()  # as the library lowers these characters; composed as they are
         if not text:
             return []
-        if text.isascii():
-            odd = any(x in text for x in ODD_ASCII)
-        else:
-            odd = _ODD_SPACE.search(text)
-        if odd or text[0] in " \n" or text[-1] in " \n":
+        if any(x in text for x in _ODD_BYTE) or text[0] in " \n" or text[-1] in " \n":
+            return None
+        if not text.isascii() and any(x in text for x in _ODD_WIDE):
             return None
         return (FIRST + text.replace("\n", " \n")).split(" ")
 
@@ -86,18 +102,18 @@ class Encoder:
             return unit
         return unit[1:] if unit[0] == FIRST else " " + unit
 
-    def _spelled(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all units in a row, and how many each one has.
+    def _spelled(self, units: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The units in the order used, the ids of all, one after another, and how many each one has.
 
-        Most units go to the library joined, many in one call: with a
-        byte-level file a token that begins with the blank opens a unit, with
-        a word file the mark between units does.
+        Units go to the library joined, many in one call: with a byte-level
+        file a token that begins with the blank opens a unit, with a word file
+        the mark between units does.  Units where that is unclear go alone.
         """
-        plain = [u for u in units if u[0] not in self.marks and MARK not in u]
-        other = [u for u in units if u[0] in self.marks or MARK in u]
+        alone = [u for u in units if u[0] in self.marks or MARK in u]
+        joined = [u for u in units if not (u[0] in self.marks or MARK in u)] if alone else units
         parts, sizes = [], []
-        for k in range(0, len(plain), JOINED):
-            some = plain[k:k + JOINED]
+        for k in range(0, len(joined), JOINED):
+            some = joined[k:k + JOINED]
             text = " " + " ".join(some) if self.kind == "byte" else f" {MARK} ".join(some) + f" {MARK}"
             ids = np.array(self._library([text])[0], np.uint32)
             if self.kind == "byte":
@@ -110,24 +126,24 @@ class Encoder:
                 sizes.append(np.diff(np.append(-1, at)) - 1)
             if len(sizes[-1]) != len(some):
                 raise ValueError("a joined text did not come apart into its units")
-        found = self._library([self._spell(u) for u in other])
+        found = self._library([self._spell(u) for u in alone])
         parts.append(np.fromiter(chain.from_iterable(found), np.uint32))
         sizes.append(np.fromiter(map(len, found), np.int64))
-        units[:] = plain + other
-        return np.concatenate(parts), np.concatenate(sizes)
+        return joined + alone, np.concatenate(parts), np.concatenate(sizes)
 
-    def _learn(self, units: list[str]) -> None:
-        ids, sizes = self._spelled(units)
-        n, more = len(self.index), len(self.index) + len(units)
+    def _learn(self) -> None:
+        """Spell the units that the last look-ups added to the index."""
+        units, ids, sizes = self._spelled(self.index.new)
+        self.index.new = []
         if self.used + len(ids) > len(self.ids):
             self.ids = np.resize(self.ids, 2 * (self.used + len(ids)))
-        if more > len(self.starts):
-            self.starts, self.sizes, self.hits = (np.resize(x, 2 * more) for x in (self.starts, self.sizes, self.hits))
+        if len(self.index) > len(self.starts):
+            self.starts, self.sizes, self.hits = (np.resize(x, 2 * len(self.index)) for x in (self.starts, self.sizes, self.hits))
+        rows = np.fromiter(map(self.index.__getitem__, units), np.int64, len(units))
         self.ids[self.used:self.used + len(ids)] = ids
-        self.starts[n:more] = self.used + np.cumsum(sizes) - sizes
-        self.sizes[n:more] = sizes
-        self.hits[n:more] = 0
-        self.index.update(zip(units, range(n, more)))
+        self.starts[rows] = self.used + np.cumsum(sizes) - sizes
+        self.sizes[rows] = sizes
+        self.hits[rows] = 0
         self.used += len(ids)
 
     def _thin(self) -> None:
@@ -146,7 +162,7 @@ class Encoder:
         self.used = total
         self.starts[:len(keep)], self.sizes[:len(keep)] = ends - sizes, sizes
         self.hits[:len(keep)] = 1
-        self.index = {names[k]: i for i, k in enumerate(keep.tolist())}
+        self.index = _Index((names[k], i) for i, k in enumerate(keep.tolist()))
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text (None counts as empty), as uint32 arrays."""
@@ -164,16 +180,11 @@ class Encoder:
         split = [self.units(t) for t in texts]
         if len(self.index) > CACHE_UNITS:
             self._thin()
-        unknown = set()
-        for units in split:
-            if units:
-                unknown.update(units)
-        unknown = [u for u in unknown if u not in self.index]
-        if unknown:
-            self._learn(unknown)
         known = [u or [] for u in split]
         lengths = np.fromiter(map(len, known), np.int64, len(known))
         rows = np.fromiter(map(self.index.__getitem__, chain.from_iterable(known)), np.int64, int(lengths.sum()))
+        if self.index.new:
+            self._learn()
         self.hits[:len(self.index)] += np.bincount(rows, minlength=len(self.index))
         sizes = self.sizes[rows]
         ends = np.append(0, np.cumsum(sizes))
