@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countwise.llm import chat, minhash, packing, substrings, token_codes, url_filter
+from countwise.llm import chat, embeddings, line_dedup, minhash, packing, quality, substrings, token_codes, url_filter
 from countwise.llm.frames import table
 from countwise.llm.shipping import ship_package
 from countwise.llm.sql import ORACLE_SQL  # noqa: F401
@@ -23,6 +23,10 @@ URL_RULES = [
 ]
 
 
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -35,6 +39,11 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op2_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-codes")
     token_codes.write_token_files(table(spark, sf_dir, "documents"), path, tokenizer_file("word_bpe_49k.json"), "word", 1)
@@ -53,6 +62,10 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(table(spark, sf_dir, "conversations"))
 
@@ -67,5 +80,5 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: _shipped(f) for f in (op2_token_codes, op3_url_filter, op4_best_fit_packing, op6_minhash_near_dedup, op8_chat_rotation, op10_substring_dedup)
+    f.__name__: _shipped(f) for f in (op1_line_dedup, op2_token_codes, op3_url_filter, op4_best_fit_packing, op6_minhash_near_dedup, op7_quality_classifier, op8_chat_rotation, op9_embedding_near_dedup, op10_substring_dedup)
 }

@@ -2,6 +2,39 @@
 
 from __future__ import annotations
 
+OP1 = r"""
+WITH split AS (
+  SELECT row_number() OVER () AS r, doc_id, text, string_split(text, chr(10)) AS lines FROM documents
+), each AS (
+  SELECT r, doc_id, unnest(range(len(lines))) AS line_no, unnest(lines) AS line FROM split
+), heads AS (
+  SELECT line, length(line) AS n, min({'doc_id': doc_id, 'line_no': line_no}) AS place
+  FROM each WHERE length(line) >= 20 GROUP BY line
+), met AS (
+  SELECT a.line AS x, a.n AS nx, a.place AS px, b.line AS y, b.n AS ny, b.place AS py FROM heads a JOIN heads b
+    ON a.n = b.n AND left(a.line, a.n // 2) = left(b.line, a.n // 2) AND a.place < b.place
+  UNION SELECT a.line, a.n, a.place, b.line, b.n, b.place FROM heads a JOIN heads b
+    ON a.n = b.n AND right(a.line, a.n - a.n // 2) = right(b.line, a.n - a.n // 2) AND a.place < b.place
+  UNION SELECT a.line, a.n, a.place, b.line, b.n, b.place FROM heads a JOIN heads b
+    ON b.n = a.n + 1 AND left(a.line, a.n // 2) = left(b.line, a.n // 2)
+  UNION SELECT a.line, a.n, a.place, b.line, b.n, b.place FROM heads a JOIN heads b
+    ON b.n = a.n + 1 AND right(a.line, a.n - a.n // 2) = right(b.line, a.n - a.n // 2)
+), first_difference AS (
+  SELECT *, coalesce(list_min(list_filter(range(1, nx + 1), lambda i: x[i] <> y[i])), nx + 1) AS d FROM met
+), later AS (
+  SELECT DISTINCT greatest(px, py) AS place FROM first_difference
+  WHERE (nx = ny AND substr(x, d + 1) = substr(y, d + 1)) OR (ny = nx + 1 AND substr(x, d) = substr(y, d + 1))
+), kept AS (
+  SELECT place FROM heads WHERE place NOT IN (SELECT place FROM later)
+), marked AS (
+  SELECT r, line_no, line, length(line) < 20 OR k.place IS NOT NULL AS stays
+  FROM each LEFT JOIN kept k ON k.place = {'doc_id': each.doc_id, 'line_no': each.line_no}
+)
+SELECT any_value(doc_id) AS doc_id, count(line_no) AS n_lines, count(line_no) FILTER (NOT stays) AS n_removed,
+  CASE WHEN any_value(text) IS NOT NULL THEN sha256(coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (stays), '')) END AS kept_sha256
+FROM split LEFT JOIN marked USING (r) GROUP BY r
+"""
+
 OP3 = r"""
 WITH split AS (
   SELECT page_id, url,
@@ -66,4 +99,4 @@ SELECT conv_id, participant, count(*) AS n_turns,
 FROM lines GROUP BY conv_id, participant
 """
 
-ORACLE_SQL: dict[str, str] = {"op3_url_filter": OP3, "op8_chat_rotation": OP8}
+ORACLE_SQL: dict[str, str] = {"op1_line_dedup": OP1, "op3_url_filter": OP3, "op8_chat_rotation": OP8}
