@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countwise.llm import chat, embeddings, line_dedup, minhash, packing, quality, substrings, token_codes, url_filter
+from countwise.llm import chat, decontamination, embeddings, line_dedup, minhash, packing, quality, substrings, token_codes, url_filter
 from countwise.llm.frames import table
 from countwise.llm.shipping import ship_package
 from countwise.llm.sql import ORACLE_SQL  # noqa: F401
@@ -58,6 +58,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), "byte", 2)
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -80,5 +84,5 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: _shipped(f) for f in (op1_line_dedup, op2_token_codes, op3_url_filter, op4_best_fit_packing, op6_minhash_near_dedup, op7_quality_classifier, op8_chat_rotation, op9_embedding_near_dedup, op10_substring_dedup)
+    f.__name__: _shipped(f) for f in (op1_line_dedup, op2_token_codes, op3_url_filter, op4_best_fit_packing, op5_benchmark_decontamination, op6_minhash_near_dedup, op7_quality_classifier, op8_chat_rotation, op9_embedding_near_dedup, op10_substring_dedup)
 }

@@ -78,6 +78,37 @@ SELECT page_id, host, path, rule, coalesce(explicit, CASE WHEN n_learned > 0 THE
 FROM judged LEFT JOIN hits USING (r)
 """
 
+OP5 = r"""
+WITH words AS (
+  SELECT 'd' AS kind, doc_id AS id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+  UNION ALL
+  SELECT 'b', item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') FROM benchmark
+), own AS (
+  SELECT DISTINCT kind, id, CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+    WHEN len(w) > 0 THEN [len(w)::VARCHAR || ' ' || array_to_string(w, ' ')] END AS own FROM words
+), docs AS (SELECT id AS doc_id, own, len(own) AS n FROM own WHERE kind = 'd' AND own IS NOT NULL
+), items AS (SELECT id AS item_id, own AS asked, len(own) AS m FROM own WHERE kind = 'b' AND own IS NOT NULL
+), places AS (
+  SELECT doc_id, item_id, count(*) AS hits
+  FROM (SELECT doc_id, unnest(own) AS h FROM docs) JOIN (SELECT DISTINCT item_id, h FROM (SELECT item_id, unnest(asked) AS h FROM items)) USING (h)
+  GROUP BY doc_id, item_id
+), pairs AS (
+  SELECT *, least(n, m) AS w FROM places JOIN docs USING (doc_id) JOIN items USING (item_id) WHERE 175 * hits >= 75 * (m + least(n, m))
+), windows AS (
+  SELECT doc_id, item_id, m, w, asked, start, own[start + 1:start + w] AS part
+  FROM (SELECT *, unnest(range(0, n - w + 1)) AS start FROM pairs)
+), counted AS (
+  SELECT doc_id, item_id, m, w, start, sum(least(x, len(list_filter(asked, lambda v: v = h))))::BIGINT AS n_shared
+  FROM (SELECT doc_id, item_id, m, w, start, asked, h, count(*) AS x
+        FROM (SELECT doc_id, item_id, m, w, start, asked, unnest(part) AS h FROM windows) GROUP BY ALL)
+  GROUP BY ALL
+), best AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_shared DESC, start) AS r FROM counted
+  WHERE 175 * n_shared >= 75 * (m + w)
+)
+SELECT doc_id, item_id, start AS start_shingle, n_shared, n_shared / (m + w - n_shared) AS similarity FROM best WHERE r = 1
+"""
+
 OP8 = r"""
 WITH said AS (
   SELECT conv_id, turn, replace(CASE WHEN trim(coalesce(role, '')) = '' THEN 'unknown' ELSE role END, '"', '''') AS speaker,
@@ -99,4 +130,4 @@ SELECT conv_id, participant, count(*) AS n_turns,
 FROM lines GROUP BY conv_id, participant
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_line_dedup": OP1, "op3_url_filter": OP3, "op8_chat_rotation": OP8}
+ORACLE_SQL: dict[str, str] = {"op1_line_dedup": OP1, "op3_url_filter": OP3, "op5_benchmark_decontamination": OP5, "op8_chat_rotation": OP8}
