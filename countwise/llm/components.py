@@ -8,6 +8,7 @@ with very many links.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +28,13 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return stored(moved.union(least.select("high", F.col("least").alias("low"))).distinct(), "links")
 
 
+def _flat(edges: DataFrame) -> bool:
+    """Does every node point to one end, which itself points nowhere?"""
+    ends = edges.select(F.col("high").alias("node"), F.lit(1).alias("out")).union(edges.select("low", F.lit(0)))
+    nodes = ends.groupBy("node").agg(F.sum("out").alias("out"), F.min("out").alias("least"))
+    return nodes.filter("out > 1 or (out = 1 and least = 0)").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of every node of ``links`` (a, b) but the smallest of each component.
 
@@ -35,10 +43,24 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges = stored(
         links.filter("a <> b").select(F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low")).distinct(), "links")
-    seen = None
-    while True:
-        now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("high", "low"))).first()
-        if now == seen or not now[0]:
-            return edges.select(F.col("high").alias("node"), F.col("low").alias("component"))
-        seen = now
+    while not _flat(edges):
         edges = _small_star(_large_star(edges))
+    return edges.select(F.col("high").alias("node"), F.col("low").alias("component"))
+
+
+def local_roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The smallest member of each of n nodes' component under links (i, j), within one task."""
+    root = np.arange(n)
+    while True:
+        low = np.minimum(root[i], root[j])
+        new = root.copy()
+        np.minimum.at(new, root[i], low)
+        np.minimum.at(new, root[j], low)
+        while True:
+            jumped = new[new]
+            if (jumped == new).all():
+                break
+            new = jumped
+        if (new == root).all():
+            return root
+        root = new

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from countwise.llm.components import components
+from countwise.llm.components import components, local_roots
 from countwise.llm.frames import stored
 
 THRESHOLD = 0.98
@@ -68,24 +68,6 @@ def close_pairs(x: np.ndarray, y: np.ndarray | None, threshold: float = THRESHOL
     return i[keep], j[keep]
 
 
-def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """The smallest member of each of n nodes' component under links (i, j)."""
-    root = np.arange(n)
-    while True:
-        low = np.minimum(root[i], root[j])
-        new = root.copy()
-        np.minimum.at(new, root[i], low)
-        np.minimum.at(new, root[j], low)
-        while True:
-            jumped = new[new]
-            if (jumped == new).all():
-                break
-            new = jumped
-        if (new == root).all():
-            return root
-        root = new
-
-
 def _gather(key: tuple, rows: pa.Table) -> pa.Table:
     values = rows["embedding"].combine_chunks()
     values = values.combine_chunks() if isinstance(values, pa.ChunkedArray) else values
@@ -114,7 +96,7 @@ def _compare(threshold: float):
         order = np.argsort(rep, kind="stable")  # so that the least root is the least rep
         rank = np.empty_like(order)
         rank[order] = np.arange(len(order))
-        root = rep[order][_roots(len(rep), rank[i], rank[j])[rank]]
+        root = rep[order][local_roots(len(rep), rank[i], rank[j])[rank]]
         n = np.bincount(i, copies[j], len(rep)) + np.bincount(j, copies[i], len(rep))
         linked = n > 0
         return pa.table({"rep": rep[linked], "n_links": n[linked].astype(np.int64), "root": root[linked]})

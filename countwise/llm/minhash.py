@@ -6,24 +6,27 @@
    signature.  The match threshold is the largest one that two sets just
    similar enough miss with a chance of at most ``MISS``.
 3. Values met once can match nothing and are skipped; of the rest, rarest
-   first, only a prefix must be posted: texts with as many values in common as the threshold
-   share one of their first (values - threshold + 1).
+   first, only a prefix must be posted: texts with as many values in common as
+   the threshold share one of their first (values - threshold + 1).
 4. Each list is first compared with its smallest member.  Only lists that
-   still hold several components are then merged pair by pair, between
-   components.  Pairs that collide often enough are confirmed on the full sets.
+   still hold several groups are then merged pair by pair, between groups.
+   Texts that collide often enough, directly or by way of others, make up a
+   group of candidates.
+5. Within a group all full sets are compared, in tiles, and the links become
+   components.  A task returns a spanning forest of its links, not the pairs.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from math import comb
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from countwise.llm.components import components
+from countwise.llm.components import components, local_roots
 from countwise.llm.frames import pick, stored
 from countwise.llm.word_hashes import column_words, mix, run_hashes
 
@@ -35,6 +38,10 @@ COORDINATES = 48
 MISS = 1e-6
 #: Texts handled at once in a task.
 SLICE_ROWS = 256
+#: Candidates per tile, rows per group of tiles, and shingles counted at once.
+TILE = 256
+BUCKET_ROWS = 2048
+COLUMNS = 8192
 
 _RNG = np.random.default_rng(6)
 _FACTORS = _RNG.integers(0, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -47,7 +54,7 @@ def match_threshold(percent: int) -> int:
     p, t, tail = percent / 100, 0, (1 - percent / 100) ** COORDINATES
     while tail <= MISS and t < COORDINATES:
         t += 1
-        tail += comb(COORDINATES, t) * p ** t * (1 - p) ** (COORDINATES - t)
+        tail += math.comb(COORDINATES, t) * p ** t * (1 - p) ** (COORDINATES - t)
     return max(1, t)
 
 
@@ -102,29 +109,63 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([some.column(0), pa.array(sets, pa.binary())], ["doc_id", "shingles"])
 
 
-def _confirm(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+def shared_counts(x: list[np.ndarray], y: list[np.ndarray] | None = None) -> np.ndarray:
+    """Sizes of the intersections of distinct sets, as a matrix; y None: among x."""
+    every = x if y is None else x + y
+    sizes = [len(s) for s in every]
+    values, column, times = np.unique(np.concatenate(every), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    again = np.flatnonzero(times > 1)
+    place = np.full(len(values), -1, np.int64)
+    place[again] = np.arange(len(again))
+    column = place[column]
+    row, column = row[column >= 0], column[column >= 0]
+    own, other = slice(None, len(x)), slice(None) if y is None else slice(len(x), None)
+    out = np.zeros((len(x), len(x) if y is None else len(y)), np.float32)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for first in range(0, len(again), COLUMNS):
+        lo, hi = np.searchsorted(column, (first, first + COLUMNS))
+        part = np.zeros((len(sizes), min(COLUMNS, len(again) - first)), np.float32)
+        part[row[lo:hi], column[lo:hi] - first] = 1
+        out += part[own] @ part[other].T
+    return out.astype(np.int64)
+
+
+def _links_of(rows: list[dict], percent: int) -> Iterator[tuple[int, int]]:
+    """A spanning forest of the links between two tiles of a group (or within one)."""
+    low, high = rows[0]["low"], rows[0]["high"]
+    if low == high:
+        left = right = rows
+    else:
+        left, right = ([r for r in rows if r["tile"] == t] for t in (low, high))
+    if not left or not right or len(rows) < 2:
+        return
+    x, y = ([np.frombuffer(r["shingles"], np.uint64) for r in side] for side in (left, right))
+    common = shared_counts(x, None if low == high else y)
+    sizes = np.array([len(s) for s in x])[:, None] + np.array([len(s) for s in y])
+    i, j = np.nonzero(100 * common >= percent * (sizes - common))
+    names = np.array([r["rep"] for r in (left if low == high else left + right)], np.int64)
+    roots = local_roots(len(names), i, j if low == high else j + len(left))
+    for k in np.flatnonzero(roots != np.arange(len(names))):
+        yield int(names[roots[k]]), int(names[k])
+
+
+def _compare(percent: int):
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        groups: dict[tuple, list[dict]] = {}
+        for r in table.to_pylist():
+            groups.setdefault((r["cluster"], r["low"], r["high"]), []).append(r)
+        found = [link for rows in groups.values() for link in _links_of(rows, percent)]
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
     return run
 
 
-def _links(pairs: DataFrame, cards: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that collide on enough coordinates and whose full sets confirm it."""
-    x = cards.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
-    y = cards.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
-    hit = pairs.join(y, "b").join(x, "a").filter(
-        (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (F.size(F.array_intersect("ta", "tb")) >= match_threshold(percent))
-    ).select("a", "b")
-    full = hit.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb")), "b").join(
-        sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), "a")
-    return stored(full.select("a", "b", "sa", "sb").mapInArrow(_confirm(percent), "a BIGINT, b BIGINT").distinct(), "minhash-links")
+def _colliding(pairs: DataFrame, cards: DataFrame, matches: int) -> DataFrame:
+    """The pairs (a, b) that agree on at least ``matches`` coordinates."""
+    x, y = (cards.select(F.col("rep").alias(s), F.col("tokens").alias("t" + s)) for s in "ab")
+    return pairs.join(y, "b").join(x, "a").filter(F.size(F.array_intersect("ta", "tb")) >= matches).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -149,28 +190,38 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     own = own.filter(F.size("own") >= matches).select(
         "rep", F.explode(F.slice("own", F.lit(1), F.size("own") - (matches - 1))).alias("entry"))
     postings = stored(own.select("rep", F.col("entry.token").alias("token")), "minhash-postings")
-
     members = postings.select("rep").distinct()
-    cards = stored(classes.join(members, "rep", "left_semi").select("rep", F.col("n_shingles").alias("n"), "tokens"), "minhash-cards")
-    sets = stored(
-        rows.join(members, F.col("doc_id") == F.col("rep"), "left_semi").mapInArrow(_sets, "doc_id BIGINT, shingles BINARY"), "minhash-sets")
+    cards = stored(classes.join(members, "rep", "left_semi").select("rep", "tokens"), "minhash-cards")
 
     heads = stored(postings.groupBy("token").agg(F.min("rep").alias("a")), "minhash-heads")
     star = postings.join(heads, "token").filter("rep <> a").select("a", F.col("rep").alias("b")).distinct()
-    links = _links(star, cards, sets, percent)
-
-    label = stored(components(links), "minhash-labels")
+    near = stored(_colliding(star, cards, matches), "minhash-near")
+    label = stored(components(near), "minhash-labels")
     placed = postings.join(label, postings["rep"] == label["node"], "left").select(
         "rep", "token", F.coalesce("component", "rep").alias("label"))
     mixed = placed.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("token")
     rest = stored(placed.join(mixed, "token", "left_semi").join(cards, "rep"), "minhash-rest")
-    x, y = (rest.select("token", *[F.col(c).alias(c + s) for c in ("rep", "label", "n", "tokens")]) for s in ("_x", "_y"))
-    cross = x.join(y, (x["token"] == y["token"]) & (F.col("label_x") != F.col("label_y")) & (F.col("rep_x") < F.col("rep_y"))
-                   & (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y"))
+    x, y = (rest.select("token", *[F.col(c).alias(c + s) for c in ("rep", "label", "tokens")]) for s in ("_x", "_y"))
+    cross = x.join(y, (x["token"] == y["token"]) & (F.col("label_x") < F.col("label_y"))
                    & (F.size(F.array_intersect("tokens_x", "tokens_y")) >= matches))
-    more = _links(cross.select(F.col("rep_x").alias("a"), F.col("rep_y").alias("b")).distinct(), cards, sets, percent)
-
-    found = stored(components(links.union(more)), "minhash-components")
+    more = cross.select(F.col("label_x").alias("a"), F.col("label_y").alias("b")).distinct()
+
+    groups = components(near.union(more))
+    groups = groups.union(groups.select(F.col("component").alias("node"), "component").distinct())
+    sizes = stored(groups.groupBy("component").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles")), "minhash-sizes")
+    tile = F.pmod(F.xxhash64("node", "component"), F.col("tiles")).cast("int")
+    dealt = groups.join(sizes, "component").select(
+        F.col("node").alias("rep"), F.col("component").alias("cluster"), tile.alias("tile"),
+        F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
+    dealt = stored(dealt.select("rep", "cluster", "tile", F.least("tile", "other").alias("low"),
+                                F.greatest("tile", "other").alias("high")), "minhash-groups")
+    sets = rows.join(dealt.select("rep").distinct(), F.col("doc_id") == F.col("rep"), "left_semi").mapInArrow(
+        _sets, "doc_id BIGINT, shingles BINARY").withColumnRenamed("doc_id", "rep")
+    buckets = max(1, math.ceil(dealt.count() / BUCKET_ROWS))
+    together = dealt.join(sets, "rep").withColumn("bucket", F.pmod(F.xxhash64("cluster", "low", "high"), F.lit(buckets)))
+    links = together.groupBy("bucket").applyInArrow(_compare(percent), "a BIGINT, b BIGINT")
+
+    found = stored(components(links), "minhash-components")
     named = classes.select(*key, "rep").join(found, classes["rep"] == found["node"], "left").select(
         *key, F.coalesce("component", "rep").alias("component_id"))
     named = stored(named, "minhash-named")
