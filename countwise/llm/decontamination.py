@@ -94,6 +94,11 @@ def weighted_shared(x: Column, y: Column) -> Column:
     return F.when(plain, F.size(F.array_intersect(x, y))).otherwise(counted)
 
 
+def _name() -> Column:
+    """What tells documents apart: the id, null or not, and the text."""
+    return F.struct("doc_id", F.xxhash64("text").alias("text_hash")).alias("doc")
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS) -> DataFrame:
     """doc_id, item_id, start_shingle, n_shared, similarity: the best window per document and item.
 
@@ -104,13 +109,26 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS) -> D
     empty texts match nothing.  Ties go to the earliest window.  Repeated rows
     count once; null ids are ids like others.
     """
+    return _best_windows(docs, benchmark, radius).select(
+        F.col("doc.doc_id").alias("doc_id"), F.col("item.item_id").alias("item_id"), (-F.col("best.start")).alias("start_shingle"),
+        F.col("best.n_shared").alias("n_shared"), F.col("best.similarity").alias("similarity"))
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """The rows and columns of ``docs`` whose text holds no window of a benchmark item."""
+    leaks = _best_windows(docs, benchmark, radius).select(F.col("doc").alias("leaked")).distinct()
+    return docs.withColumn("_name", _name()).join(leaks, F.col("_name") == F.col("leaked"), "left_anti").drop("_name")
+
+
+def _best_windows(docs: DataFrame, benchmark: DataFrame, radius: int) -> DataFrame:
+    """(doc, item, best): the most similar window of each document and item."""
     items = benchmark.select(F.struct("item_id", F.xxhash64("text").alias("text_hash")).alias("item"), shingles(F.col("text")).alias("own"))
     items = stored(items.filter(F.size("own") > 0).distinct().withColumn("m", F.size("own")), "items")
     entries = items.select("item", "m", F.explode(F.array_distinct("own")).alias("h"))
     if (items.agg(F.sum("m")).first()[0] or 0) <= BROADCAST_SHINGLES:
         entries = F.broadcast(entries)
 
-    texts = docs.select(F.struct("doc_id", F.xxhash64("text").alias("text_hash")).alias("doc"), "text")
+    texts = docs.select(_name(), "text")
     hashed = texts.select("doc", shingles(F.col("text")).alias("own"))
     shared = hashed.select("doc", F.size("own").alias("n"), F.posexplode("own").alias("place", "h")).join(entries, "h")
     w = F.least("n", "m")
@@ -147,7 +165,4 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS) -> D
         "doc", "item", "start", (F.size("own") + F.size("asked")).alias("both"), weighted_shared(F.col("own"), F.col("asked")).alias("n_shared"))
     alike = pairs.filter((100 + SIMILAR) * F.col("n_shared") >= SIMILAR * F.col("both")).withColumn(
         "similarity", F.col("n_shared") / (F.col("both") - F.col("n_shared")))
-    best = alike.groupBy("doc", "item").agg(F.max(F.struct("similarity", (-F.col("start")).alias("start"), "n_shared")).alias("best"))
-    return best.select(F.col("doc.doc_id").alias("doc_id"), F.col("item.item_id").alias("item_id"),
-                       (-F.col("best.start")).alias("start_shingle"), F.col("best.n_shared").alias("n_shared"),
-                       F.col("best.similarity").alias("similarity"))
+    return alike.groupBy("doc", "item").agg(F.max(F.struct("similarity", (-F.col("start")).alias("start"), "n_shared")).alias("best"))

@@ -122,15 +122,18 @@ def _characters(line: Column) -> Column:
 
 
 def dedup_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """doc_id, n_lines, n_removed, kept_text: one row per row of ``docs`` (doc_id, text).
+    """The rows and columns of ``docs`` (doc_id, text, ..) with n_lines, n_removed and kept_text.
 
     Lines end at line feeds; lines of fewer than ``min_chars`` characters stay
     and remove nothing.  Kept lines are joined by line feeds.  A null text has
     no line and stays null; an empty text has one, empty line.  Rows that
     repeat a doc_id (null counts as one id, before all others) are one place,
-    so they do not remove each other's lines.  Other columns are ignored.
+    so they do not remove each other's lines.  Other columns pass through; one
+    named like a result is replaced.
     """
-    rows = docs.select(F.struct("doc_id").alias("doc"), "text")
+    others = [c for c in docs.columns if c not in ("text", "n_lines", "n_removed", "kept_text")]
+    full = docs.select(F.struct("doc_id").alias("doc"), "text", F.struct(*[F.col(f"`{c}`") for c in others]).alias("row"))
+    rows = full.select("doc", "text")
     each = rows.select("doc", F.posexplode_outer(F.split("text", "\n")).alias("line_no", "line"))
     each = each.withColumn("n", F.char_length("line")).filter(F.col("n") >= min_chars)
     line, n = F.col("line"), F.col("n")
@@ -158,12 +161,13 @@ def dedup_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MI
     first = heads.groupBy(F.col("place.doc").alias("first_doc")).agg(F.collect_set("place.line_no").alias("first"))
 
     none = F.array().cast("array<int>")
-    decided = (rows.join(first, F.col("doc") == F.col("first_doc"), "left").join(later, F.col("doc") == F.col("near_doc"), "left")
-               .select("doc", F.split("text", "\n").alias("lines"),
+    decided = (full.join(first, F.col("doc") == F.col("first_doc"), "left").join(later, F.col("doc") == F.col("near_doc"), "left")
+               .select("row", "text", F.split("text", "\n").alias("lines"),
                        F.array_except(F.coalesce("first", none), F.coalesce("near", none)).alias("kept")))
     short = F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: F.char_length(F.get("lines", i)) < min_chars)
     at = decided.withColumn("at", F.sort_array(F.filter(F.concat("kept", short), lambda i: i < F.size("lines"))))
-    return at.select(
-        F.col("doc.doc_id").alias("doc_id"), F.coalesce(F.size("lines"), F.lit(0)).cast("bigint").alias("n_lines"),
+    done = at.select(
+        "row", "text", F.coalesce(F.size("lines"), F.lit(0)).cast("bigint").alias("n_lines"),
         F.coalesce(F.size("lines") - F.size("at"), F.lit(0)).cast("bigint").alias("n_removed"),
         F.array_join(F.transform("at", lambda i: F.get("lines", i)), "\n").alias("kept_text"))
+    return done.select(*[F.col("row").getField(c).alias(c) for c in others], "text", "n_lines", "n_removed", "kept_text")
