@@ -76,20 +76,19 @@ def sum_of_squares(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.nd
 def _pieces(tokenizer: str, kind: str, end_id: int, capacity: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first in range(0, batch.num_rows, 256):
-                some = batch.slice(first, 256)
-                rows: list[tuple] = []
-                for doc, x in zip(some.column(0).to_pylist(), encoder(tokenizer, kind).encode(some.column(1).to_pylist())):
-                    x, start = np.append(x, np.uint32(end_id)).astype("<u4"), 0
-                    for piece, n in enumerate(cut_lengths(len(x), capacity)):
-                        own = x[start:start + n]
-                        rows.append((doc, piece, start, n, zlib.crc32(own.tobytes()), own.tolist() if with_ids else None))
-                        start += n
-                columns = list(zip(*rows))
-                kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
-                names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(columns, kinds)][:6 if with_ids else 5], names[:6 if with_ids else 5])
+            flat, offsets = encoder(tokenizer, kind).encode(batch.column(1))
+            rows: list[tuple] = []
+            for doc, lo, hi in zip(batch.column(0).to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist()):
+                x, start = np.append(flat[lo:hi], np.uint32(end_id)).astype("<u4"), 0
+                for piece, n in enumerate(cut_lengths(len(x), capacity)):
+                    own = x[start:start + n]
+                    rows.append((doc, piece, start, n, zlib.crc32(own.tobytes()), own.tolist() if with_ids else None))
+                    start += n
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
+            names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
+            columns = list(zip(*rows)) or [()] * 6
+            n = 6 if with_ids else 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns[:n], kinds)], names[:n])
 
     return run
 

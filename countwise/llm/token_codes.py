@@ -97,14 +97,13 @@ def _segments(tokenizer: str, kind: str, end_id: int):
             return pa.RecordBatch.from_pylist([row], schema=_ARROW)
 
         for batch in batches:
-            for first in range(0, batch.num_rows, 256):
-                some = batch.slice(first, 256)
-                for doc, x in zip(some.column(0).to_pylist(), encoder(tokenizer, kind).encode(some.column(1).to_pylist())):
-                    docs.append(doc)
-                    ids.append(np.append(x, np.uint32(end_id)))
-                    held += len(ids[-1])
-                    if held >= SEGMENT_TOKENS:
-                        yield flush()
+            flat, offsets = encoder(tokenizer, kind).encode(batch.column(1))
+            for doc, lo, hi in zip(batch.column(0).to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist()):
+                docs.append(doc)
+                ids.append(np.append(flat[lo:hi], np.uint32(end_id)))
+                held += hi - lo + 1
+                if held >= SEGMENT_TOKENS:
+                    yield flush()
         if docs:
             yield flush()
 

@@ -2,53 +2,83 @@
 
 Both vocabularies split a text into pre-tokens that never reach across
 certain white space, so the ids of a text are the ids of its units in order.
-A unit's ids always come from the library; they are kept in a bounded cache
-because the same units recur.  A text for which the split is not provably
-safe is encoded whole by the library.
+A unit's ids always come from the library; they are kept under the unit's
+64-bit hash, because the same units recur.  A text for which the split is not
+provably safe is encoded whole by the library.
 """
 
 from __future__ import annotations
 
-import unicodedata
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 
-#: Cached units beyond which a worker drops those it met only once.
-CACHE_UNITS = 600_000
-#: Bytes of text handled at once in a task.
-SLICE_CHARS = 2_000_000
-#: A first unit is marked by this character; texts that hold it are encoded whole.
-FIRST = "\x01"
-#: Stands between units that are given to the library together.
-MARK = "|"
-JOINED = 500
-#: White space that Python and the library see differently, and the mark itself.
-_ODD_WORD = ("\x1c", "\x1d", "\x1e", "\x1f", FIRST)
-#: White space other than single blanks and line feeds between words.
-_ODD_BYTE = _ODD_WORD + ("  ", " \n", "\n ", "\t", "\r", "\x0b", "\x0c")
-_ODD_WIDE = tuple("\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000") + tuple(map(chr, range(0x2000, 0x200B)))
-
-
-class _Index(dict):
-    """Row of each unit; a unit not met before gets the next row."""
+from countwise.llm.word_hashes import mix, span_hashes, text_buffer, word_spans
 
-    def __init__(self, *items):
-        super().__init__(*items)
-        self.new: list[str] = []
-
-    def __missing__(self, unit: str) -> int:
-        row = self[unit] = len(self)
-        self.new.append(unit)
-        return row
+#: Cached units beyond which a worker forgets them all.
+CACHE_UNITS = 1 << 21
+#: Bytes of text handled at once in a task.
+SLICE_BYTES = 1 << 22
+#: Units given to the library in one call, and what stands between them.
+JOINED = 1000
+_BAR, _FEED = "|", "\n"
+#: How a unit follows what is before it.
+_FIRST, _AFTER_BLANK, _AFTER_FEED = 0, 1, 2
+#: First bytes of white space beyond ASCII, and the bytes that follow them.
+_WIDE = {0xC2: [(0x85,), (0xA0,)], 0xE1: [(0x9A, 0x80)],
+         0xE2: [(0x80, x) for x in [*range(0x80, 0x8B), 0xA8, 0xA9, 0xAF]] + [(0x81, 0x9F)], 0xE3: [(0x80, 0x80)]}
+_WIDE_FIRST = np.zeros(256, bool)
+_WIDE_FIRST[list(_WIDE)] = True
+_ODD = np.zeros(256, bool)  # white space other than blank and line feed
+_ODD[[0x09, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F]] = True
+
+
+class _Slots:
+    """Row numbers by 64-bit key: open addressing in arrays, for whole arrays of keys at once."""
+
+    def __init__(self):
+        self.table = np.full(1 << 16, -1, np.int32)
+        self.keys = np.zeros(0, np.uint64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The row of each key, or -1."""
+        mask = np.uint64(len(self.table) - 1)
+        at = keys & mask
+        rows = self.table[at]
+        open_ = np.flatnonzero(rows >= 0)
+        open_ = open_[self.keys[rows[open_]] != keys[open_]]
+        while len(open_):
+            at[open_] = (at[open_] + np.uint64(1)) & mask
+            rows[open_] = self.table[at[open_]]
+            open_ = open_[rows[open_] >= 0]
+            open_ = open_[self.keys[rows[open_]] != keys[open_]]
+        return rows
+
+    def add(self, keys: np.ndarray) -> None:
+        """Give new, distinct keys the next rows."""
+        first = len(self.keys)
+        self.keys = np.concatenate([self.keys, keys])
+        if 2 * len(self.keys) > len(self.table):
+            self.table = np.full(4 * len(self.table), -1, np.int32)
+            while 2 * len(self.keys) > len(self.table):
+                self.table = np.full(2 * len(self.table), -1, np.int32)
+            first, keys = 0, self.keys
+        mask = np.uint64(len(self.table) - 1)
+        rows, at = np.arange(first, first + len(keys), dtype=np.int32), keys & mask
+        while len(rows):
+            free = self.table[at] < 0
+            self.table[at[free]] = rows[free]
+            lost = self.table[at] != rows
+            rows, at = rows[lost], (at[lost] + np.uint64(1)) & mask
 
 
 class Encoder:
     """Encodes texts with one tokenizer file.
 
     ``kind`` is ``"byte"`` (byte-level BPE: a blank belongs to the word after
-    it, a line feed stands alone) or ``"word"`` (white space is dropped).
+    it, a line feed stands alone) or ``"word"`` (white space is dropped, letters
+    are lowered).
     """
 
     def __init__(self, path: str, kind: str):
@@ -59,141 +89,131 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.kind = kind
-        self.marks = FIRST + "\n"
-        if kind == "byte":
-            self.opens = np.zeros(self.tokenizer.get_vocab_size(), bool)
-            for token, k in self.tokenizer.get_vocab().items():
-                self.opens[k] = token.startswith("\u0120")  # how byte-level files spell a blank
-        else:
-            (self.mark_id,) = self._library([MARK])[0]
+        self.mark = _FEED if kind == "byte" else _BAR
+        (self.mark_id,) = self._library([self.mark])[0]
         self._start()
 
     def _start(self) -> None:
-        self.index = _Index()
+        self.slots = _Slots()
         self.ids = np.zeros(1 << 16, np.uint32)
         self.used = 0
-        self.starts = np.zeros(1 << 14, np.int64)
-        self.sizes = np.zeros(1 << 14, np.int64)
-        self.hits = np.zeros(1 << 14, np.int64)
+        self.starts = np.zeros(0, np.int64)
+        self.sizes = np.zeros(0, np.int64)
 
     def _library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def units(self, text: str) -> list[str] | None:
-        """The text's units, or None if it must be encoded whole."""
-        if self.kind == "word":
-            if any(x in text for x in _ODD_WORD):
-                return None
-            try:
-                text.encode("latin-1")
-            except UnicodeEncodeError:
-                return text.split() if unicodedata.is_normalized("NFC", text) else None
-            return text.lower().split()  # as the library lowers these characters; composed as they are
-        if not text:
-            return []
-        if any(x in text for x in _ODD_BYTE) or text[0] in " \n" or text[-1] in " \n":
-            return None
-        if not text.isascii() and any(x in text for x in _ODD_WIDE):
-            return None
-        return (FIRST + text.replace("\n", " \n")).split(" ")
-
-    def _spell(self, unit: str) -> str:
-        if self.kind == "word" or unit[0] == "\n":
-            return unit
-        return unit[1:] if unit[0] == FIRST else " " + unit
-
-    def _spelled(self, units: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """The units in the order used, the ids of all, one after another, and how many each one has.
-
-        Units go to the library joined, many in one call: with a byte-level
-        file a token that begins with the blank opens a unit, with a word file
-        the mark between units does.  Units where that is unclear go alone.
+    def _spelled(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all units in a row, and how many each one has.
+
+        Units go to the library joined by a mark whose id none of them has and
+        which, with its neighbours, always becomes a pre-token of its own.
         """
-        alone = [u for u in units if u[0] in self.marks or MARK in u]
-        joined = [u for u in units if not (u[0] in self.marks or MARK in u)] if alone else units
-        parts, sizes = [], []
-        for k in range(0, len(joined), JOINED):
-            some = joined[k:k + JOINED]
-            text = " " + " ".join(some) if self.kind == "byte" else f" {MARK} ".join(some) + f" {MARK}"
-            ids = np.array(self._library([text])[0], np.uint32)
-            if self.kind == "byte":
-                at = np.flatnonzero(self.opens[ids])
-                parts.append(ids)
-                sizes.append(np.diff(np.append(at, len(ids))))
-            else:
-                at = np.flatnonzero(ids == self.mark_id)
-                parts.append(np.delete(ids, at))
-                sizes.append(np.diff(np.append(-1, at)) - 1)
-            if len(sizes[-1]) != len(some):
+        joint = " | " if self.kind == "word" else _FEED
+        plain = [_BAR not in u for u in units] if self.kind == "word" else [True] * len(units)
+        sizes = np.zeros(len(units), np.int64)
+        found: list = [None] * len(units)
+        at = [k for k, p in enumerate(plain) if p]
+        for k in range(0, len(at), JOINED):
+            some = at[k:k + JOINED]
+            ids = np.array(self._library([joint.join([units[i] for i in some])])[0], np.uint32)
+            parts = np.split(ids, np.flatnonzero(ids == self.mark_id))
+            if len(parts) != len(some):
                 raise ValueError("a joined text did not come apart into its units")
-        found = self._library([self._spell(u) for u in alone])
-        parts.append(np.fromiter(chain.from_iterable(found), np.uint32))
-        sizes.append(np.fromiter(map(len, found), np.int64))
-        return joined + alone, np.concatenate(parts), np.concatenate(sizes)
-
-    def _learn(self) -> None:
-        """Spell the units that the last look-ups added to the index."""
-        units, ids, sizes = self._spelled(self.index.new)
-        self.index.new = []
+            for n, (i, part) in enumerate(zip(some, parts)):
+                found[i] = part[1:] if n else part
+        for i in (k for k, p in enumerate(plain) if not p):
+            found[i] = np.array(self._library([units[i]])[0], np.uint32)
+        sizes[:] = [len(x) for x in found]
+        return np.concatenate(found), sizes
+
+    def _learn(self, keys: np.ndarray, units: list[str], after_feed: np.ndarray) -> None:
+        ids, sizes = self._spelled(units)
+        if after_feed.any():
+            ids = np.insert(ids, (np.cumsum(sizes) - sizes)[after_feed], self.mark_id)
+            sizes = sizes + after_feed
         if self.used + len(ids) > len(self.ids):
-            self.ids = np.resize(self.ids, 2 * (self.used + len(ids)))
-        if len(self.index) > len(self.starts):
-            self.starts, self.sizes, self.hits = (np.resize(x, 2 * len(self.index)) for x in (self.starts, self.sizes, self.hits))
-        rows = np.fromiter(map(self.index.__getitem__, units), np.int64, len(units))
+            self.ids = np.concatenate([self.ids[:self.used], np.zeros(self.used + 2 * len(ids), np.uint32)])
         self.ids[self.used:self.used + len(ids)] = ids
-        self.starts[rows] = self.used + np.cumsum(sizes) - sizes
-        self.sizes[rows] = sizes
-        self.hits[rows] = 0
+        self.starts = np.concatenate([self.starts, self.used + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
         self.used += len(ids)
+        self.slots.add(keys)
 
-    def _thin(self) -> None:
-        """Keep the units met more than once since the last thinning."""
-        n = len(self.index)
-        often = self.hits[:n] > 1
-        if 2 * int(often.sum()) > CACHE_UNITS:
-            often = self.hits[:n] > np.median(self.hits[:n][often])
-        keep = np.flatnonzero(often)
-        names = list(self.index)
-        sizes, starts = self.sizes[keep], self.starts[keep]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        at = np.repeat(starts - (ends - sizes), sizes) + np.arange(total)
-        self.ids[:total] = self.ids[at]
-        self.used = total
-        self.starts[:len(keep)], self.sizes[:len(keep)] = ends - sizes, sizes
-        self.hits[:len(keep)] = 1
-        self.index = _Index((names[k], i) for i, k in enumerate(keep.tolist()))
-
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        """The ids of each text (None counts as empty), as uint32 arrays."""
-        out: list[np.ndarray] = []
-        k = 0
-        while k < len(texts):
-            first, chars = k, 0
-            while k < len(texts) and (k == first or chars < SLICE_CHARS):
-                chars += len(texts[k] or "")
-                k += 1
-            out += self._encode_slice([t or "" for t in texts[first:k]])
-        return out
-
-    def _encode_slice(self, texts: list[str]) -> list[np.ndarray]:
-        split = [self.units(t) for t in texts]
-        if len(self.index) > CACHE_UNITS:
-            self._thin()
-        known = [u or [] for u in split]
-        lengths = np.fromiter(map(len, known), np.int64, len(known))
-        rows = np.fromiter(map(self.index.__getitem__, chain.from_iterable(known)), np.int64, int(lengths.sum()))
-        if self.index.new:
-            self._learn()
-        self.hits[:len(self.index)] += np.bincount(rows, minlength=len(self.index))
+    def _whole(self, data: np.ndarray, texts: np.ndarray) -> np.ndarray:
+        """Which texts must be encoded whole: odd white space, several in a row, or some at an end."""
+        odd = np.zeros(len(texts) - 1, bool)
+        if self.kind == "word":
+            return odd
+        space = (data == 0x20) | (data == 0x0A)
+        bad = _ODD[data]
+        bad[1:] |= space[1:] & space[:-1]
+        full = texts[:-1][texts[:-1] < texts[1:]]
+        bad[full] |= space[full]
+        ends = texts[1:][texts[:-1] < texts[1:]] - 1
+        bad[ends] |= space[ends]
+        for at in np.flatnonzero(_WIDE_FIRST[data]).tolist():
+            rest = data[at + 1:at + 3].tobytes()
+            if any(rest.startswith(bytes(x)) for x in _WIDE[int(data[at])]):
+                bad[at] = True
+        odd[np.searchsorted(texts, np.flatnonzero(bad), "right") - 1] = True
+        return odd
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, n + 1 offsets) of a string column; null counts as empty."""
+        data, texts = text_buffer(column)
+        parts, sizes, k = [], [np.zeros(1, np.int64)], 0
+        while k < len(texts) - 1:
+            j = max(k + 1, int(np.searchsorted(texts, texts[k] + SLICE_BYTES, "right")) - 1)
+            ids, own = self._encode_slice(data[texts[k]:texts[j]], texts[k:j + 1] - texts[k])
+            parts.append(ids)
+            sizes.append(own)
+            k = j
+        return np.concatenate(parts) if parts else np.zeros(0, np.uint32), np.cumsum(np.concatenate(sizes))
+
+    def _encode_slice(self, data: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n = len(texts) - 1
+        if not len(data):
+            return np.zeros(0, np.uint32), np.zeros(n, np.int64)
+        whole = self._whole(data, texts)
+        starts, ends = word_spans(data, texts)
+        of = np.searchsorted(texts, starts, "right") - 1
+        if whole.any():
+            keep = ~whole[of]
+            starts, ends, of = starts[keep], ends[keep], of[keep]
+        keys = span_hashes(data, starts, ends, fold_case=self.kind == "word")
+        if self.kind == "byte":
+            before = np.where(starts == texts[of], _FIRST, np.where(data[starts - 1] == 0x0A, _AFTER_FEED, _AFTER_BLANK))
+            with np.errstate(over="ignore"):
+                keys = mix(keys + before.astype(np.uint64))
+        if len(self.slots.keys) > CACHE_UNITS:
+            self._start()
+        rows = self.slots.find(keys)
+        missing = np.flatnonzero(rows < 0)
+        if len(missing):
+            new, where = np.unique(keys[missing], return_index=True)
+            at = missing[where]
+            raw = data.tobytes()
+            units = [raw[s:e].decode() for s, e in zip(starts[at].tolist(), ends[at].tolist())]
+            feed = np.zeros(len(at), bool)
+            if self.kind == "byte":
+                units = [" " + u if b == _AFTER_BLANK else u for u, b in zip(units, before[at].tolist())]
+                feed = before[at] == _AFTER_FEED
+            self._learn(new, units, feed)
+            rows[missing] = self.slots.find(keys[missing])
         sizes = self.sizes[rows]
-        ends = np.append(0, np.cumsum(sizes))
-        at = np.repeat(self.starts[rows] - ends[:-1], sizes) + np.arange(int(ends[-1]))
-        out = np.split(self.ids[at], ends[np.cumsum(lengths)][:-1])
-        for k, units in enumerate(split):
-            if units is None:
-                out[k] = np.array(self._library([texts[k]])[0], np.uint32)
-        return out
+        stops = np.cumsum(sizes)
+        total = int(stops[-1]) if len(stops) else 0
+        ids = self.ids[np.repeat(self.starts[rows] - (stops - sizes), sizes) + np.arange(total)]
+        own = np.bincount(of, sizes, n).astype(np.int64)
+        if whole.any():
+            raw = data.tobytes()
+            cuts = np.split(ids, np.cumsum(own)[:-1])
+            for k in np.flatnonzero(whole).tolist():
+                cuts[k] = np.array(self._library([raw[texts[k]:texts[k + 1]].decode()])[0], np.uint32)
+                own[k] = len(cuts[k])
+            ids = np.concatenate(cuts)
+        return ids, own
 
 
 @lru_cache(maxsize=4)

@@ -20,7 +20,7 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[ord("A"):ord("Z") + 1] += 32
 #: Bytes hashed at once; a longer word is hashed alone.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 
 
 class _Powers:
@@ -66,19 +66,20 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return own, at - at[0]
 
 
-def column_words(column: pa.Array, fold_case: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of every word, n + 1 word offsets of the texts) of a string column."""
-    data, texts = text_buffer(column)
-    if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
+def word_spans(data: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first byte, end) of every word; a text's end ends its word."""
     word = ~_SPACE[data]
     opens, closes = word.copy(), word.copy()
     opens[1:] &= ~word[:-1]
     closes[:-1] &= ~word[1:]
     inner = texts[(texts > 0) & (texts < len(data))]
-    opens[inner] = word[inner]  # a text's end ends its word
+    opens[inner] = word[inner]
     closes[inner - 1] = word[inner - 1]
-    starts, ends = np.flatnonzero(opens), np.flatnonzero(closes) + 1
+    return np.flatnonzero(opens), np.flatnonzero(closes) + 1
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold_case: bool = False) -> np.ndarray:
+    """Hash of the bytes of each span; spans ascend and do not overlap."""
     hashes = np.empty(len(starts), np.uint64)
     k = 0
     with np.errstate(over="ignore"):
@@ -92,7 +93,16 @@ def column_words(column: pa.Array, fold_case: bool = False) -> tuple[np.ndarray,
             s, e = starts[k:j] - lo, ends[k:j] - lo
             hashes[k:j] = mix((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64))
             k = j
-    return hashes, np.searchsorted(starts, texts)
+    return hashes
+
+
+def column_words(column: pa.Array, fold_case: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of every word, n + 1 word offsets of the texts) of a string column."""
+    data, texts = text_buffer(column)
+    if not len(data):
+        return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
+    starts, ends = word_spans(data, texts)
+    return span_hashes(data, starts, ends, fold_case), np.searchsorted(starts, texts)
 
 
 def run_hashes(words: np.ndarray, length: int) -> np.ndarray:
