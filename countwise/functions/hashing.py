@@ -29,8 +29,20 @@ def _n(x) -> Column:
     return F.lit(x).cast("bigint") if isinstance(x, int) else _c(x).cast("bigint")
 
 
+#: Largest prime whose products stay within BIGINT: p^2 + 2p < 2^63.
+MAX_PRIME = 2_147_483_647
+
+
+def check_prime(p: int) -> int:
+    """p, if every hash of this module stays within BIGINT with it."""
+    if not 2 <= p <= MAX_PRIME:
+        raise ValueError(f"the prime must be between 2 and {MAX_PRIME}: {p}")
+    return p
+
+
 def linear_hash(x, a, b, m, p: int = PRIME) -> Column:
     """((a*x + b) mod p) mod m, always in [0, m-1]."""
+    check_prime(p)
     xp = F.pmod(_c(x).cast("bigint"), F.lit(p).cast("bigint"))
     inner = F.pmod(_n(a) * xp + _n(b), F.lit(p).cast("bigint"))
     return F.pmod(inner, _n(m))
@@ -47,17 +59,23 @@ def vertex_color(x, num_colors: int, a, b, p: int = PRIME) -> Column:
     return linear_hash(x, a, b, num_colors, p)
 
 
+def edge_hash(u, v, params: "BucketParams", p: int = PRIME) -> Column:
+    """(a*u + b*v + c) mod p of an edge."""
+    pp = F.lit(check_prime(p)).cast("bigint")
+    uu = F.pmod(_c(u).cast("bigint"), pp)
+    vv = F.pmod(_c(v).cast("bigint"), pp)
+    # The first product is reduced before the second is added: no overflow.
+    first = F.pmod(_n(params.a) * uu + _n(params.c), pp)
+    return F.pmod(first + _n(params.b) * vv, pp)
+
+
 def edge_bucket(u, v, num_buckets: int, params: "BucketParams", p: int = PRIME) -> Column:
     """Deterministic random subset of an edge: ((a*u + b*v + c) mod p) mod C.
 
     A row hash instead of ``rand()``: both branches of a self-join see the
     same bucket for the same edge, and a retried task reproduces it.
     """
-    pp = F.lit(p).cast("bigint")
-    uu = F.pmod(_c(u).cast("bigint"), pp)
-    vv = F.pmod(_c(v).cast("bigint"), pp)
-    inner = F.pmod(F.lit(params.a) * uu + F.lit(params.b) * vv + F.lit(params.c), pp)
-    return F.pmod(inner, F.lit(num_buckets).cast("bigint"))
+    return F.pmod(edge_hash(u, v, params, p), F.lit(num_buckets).cast("bigint"))
 
 
 @dataclass(frozen=True)

@@ -3,21 +3,26 @@
 All variants share one counting core on canonical edges (u < v):
 
 1. Orient every edge from the lower to the higher vertex of a total order.
-   The default order is (degree, id) (Suri & Vassilvitskii, WWW 2011):
-   every out-degree is then at most sqrt(2m), so no vertex -- not even a
-   hub holding a third of all edges -- yields an unbounded group.
-   ``order="id"`` skips the degree pass (cheaper on near-uniform graphs).
+   The default order is (heavy, id), where a vertex is heavy if its degree
+   exceeds sqrt(2m): a light vertex has at most sqrt(2m) neighbours at all,
+   and fewer than sqrt(2m) vertices are heavy, so no out-neighbour list is
+   longer -- not even that of a hub holding a third of all edges.  The same
+   bound holds for the heavy table, so it can be broadcast.
+   ``order="degree"`` is the (degree, id) order (Suri & Vassilvitskii, WWW
+   2011) with the same bound and shorter lists on strongly skewed graphs, at
+   the price of two joins of the edges with the degrees.
 2. Out-neighbour lists N+(x) by ``groupBy(src).collect_list(dst)``.
 3. Every oriented edge (x -> y) meets N+(y) in one equi-join; the triangle
    count of the edge is ``size(array_intersect(N+(x), N+(y)))``.  Each
    triangle is counted once, at the edge between its two lowest vertices.
-   Rows stay one per edge: no wedge (vertex pair) is ever emitted.
+   Rows stay one per edge: no wedge (vertex pair) is ever emitted.  A list of
+   one vertex closes no triangle, so its edge is not sent.
 
-The join in 3 takes N+(x) from the exploded adjacency row, so it is the
-only shuffle after the grouping.  Every join is a shuffled hash join built
-on the per-vertex side (degrees, neighbour lists): the edge rows stream
-through unsorted, AQE splits a skewed partition (a hub's many in-edges),
-and nothing is broadcast without a size bound.
+The join in 3 takes N+(x) from the exploded adjacency row.  A hub has few
+out-neighbours but up to n in-edges, each with a list: one join key.  AQE
+splits such a partition only if both sides of the join are shuffle stages,
+and an aggregate is not; so the lists are written to the shared folder once
+and read back, and likewise the degrees.
 
 The orientation is computed once on the base graph; group columns
 (colour, run, bucket, colour triplet) are then extra key columns of every
@@ -36,11 +41,13 @@ from countwise.functions.hashing import (
     BucketParams,
     LinearParams,
     edge_bucket,
+    edge_hash,
     vertex_color,
 )
 from countwise.functions.stats import int_median
+from countwise.session import stored
 
-ORDERS = ("degree", "id")
+ORDERS = ("id", "degree")
 
 
 def _check_colors(num_colors: int) -> None:
@@ -52,7 +59,7 @@ def _check_colors(num_colors: int) -> None:
 # counting core
 # --------------------------------------------------------------------------
 
-def orient_edges(edges: DataFrame, order: str = "degree") -> DataFrame:
+def orient_edges(edges: DataFrame, order: str = "id") -> DataFrame:
     """Canonical edges (u, v, extra..) -> oriented edges (extra.., src, dst).
 
     Extra columns (a subset key, say) are carried along.  The orientation
@@ -65,20 +72,28 @@ def orient_edges(edges: DataFrame, order: str = "degree") -> DataFrame:
     if order not in ORDERS:
         raise ValueError(f"order must be one of {ORDERS}")
     extra = [c for c in edges.columns if c not in ("u", "v")]
-    if order == "id":
-        return edges.select(*extra, F.col("u").alias("src"), F.col("v").alias("dst"))
     ends = edges.select(F.explode(F.array("u", "v")).alias("x"))
     deg = ends.groupBy("x").agg(F.count(F.lit(1)).alias("d"))
-    du = deg.select(F.col("x").alias("u"), F.col("d").alias("du"))
-    dv = deg.select(F.col("x").alias("v"), F.col("d").alias("dv"))
-    # Shuffled hash joins built on the degree table (one row per vertex,
-    # never more rows than the edges): the edges stream through in
-    # parallel, a hub's many edges are split by AQE's skew handling, and no
-    # side is broadcast without a size bound.
-    e = (edges.join(du.hint("shuffle_hash"), "u")
-         .join(dv.hint("shuffle_hash"), "v"))
-    # u < v on canonical edges, so ties on degree orient by id.
-    forward = F.col("du") <= F.col("dv")
+    if order == "id":
+        twice_m = deg.agg(F.sum("d")).scalar()
+        d = F.col("d").cast("double")
+        heavy = stored(deg.where(d * d > twice_m).select("x"), "heavy-vertices")
+        # Fewer than sqrt(2m) rows: degrees above sqrt(2m) sum to 2m at most.
+        hu, hv = (F.broadcast(heavy.select(F.col("x").alias(c), F.lit(True).alias("h" + c)))
+                  for c in ("u", "v"))
+        e = edges.join(hu, "u", "left").join(hv, "v", "left")
+        # u < v on canonical edges, so within a class u comes first.
+        forward = F.col("hu").isNull() | F.col("hv").isNotNull()
+    else:
+        deg = stored(deg, "degrees")
+        du = deg.select(F.col("x").alias("u"), F.col("d").alias("du"))
+        dv = deg.select(F.col("x").alias("v"), F.col("d").alias("dv"))
+        # Shuffled hash joins built on the degree table (one row per vertex,
+        # never more rows than the edges): the edges stream through, and a
+        # hub's many edges can be split because the degrees are read back.
+        e = (edges.join(du.hint("shuffle_hash"), "u")
+             .join(dv.hint("shuffle_hash"), "v"))
+        forward = F.col("du") <= F.col("dv")
     return e.select(
         *extra,
         F.when(forward, F.col("u")).otherwise(F.col("v")).alias("src"),
@@ -87,23 +102,19 @@ def orient_edges(edges: DataFrame, order: str = "degree") -> DataFrame:
 
 
 def neighbour_lists(oriented: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """(keys.., src, nbrs): out-neighbours of every vertex with out-edges.
-
-    The explicit not-null filter equals the one the optimizer infers for
-    the join side, so both sides of the self-join in ``common_neighbours``
-    share one exchange (the grouping runs once).
-    """
-    return (oriented.where(F.col("src").isNotNull())
-            .groupBy(*keys, "src").agg(F.collect_list("dst").alias("nbrs")))
+    """(keys.., src, nbrs): out-neighbours of every vertex with out-edges."""
+    return oriented.groupBy(*keys, "src").agg(F.collect_list("dst").alias("nbrs"))
 
 
 def common_neighbours(oriented: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Oriented edges (keys.., src, dst) -> (keys.., src, dst, common) for
-    every edge whose head has out-neighbours; ``common`` = N+(src) & N+(dst),
-    the third vertices of the triangles counted at this edge."""
+    every edge whose tail has two out-neighbours or more and whose head has
+    any; ``common`` = N+(src) & N+(dst), the third vertices of the triangles
+    counted at this edge."""
     keys = list(keys)
-    adj = neighbour_lists(oriented, keys)
-    tails = adj.select(*keys, "src", F.explode("nbrs").alias("dst"), F.col("nbrs").alias("n_src"))
+    adj = stored(neighbour_lists(oriented, keys), "neighbours")
+    tails = adj.where(F.size("nbrs") >= 2).select(
+        *keys, "src", F.explode("nbrs").alias("dst"), F.col("nbrs").alias("n_src"))
     heads = adj.select(*keys, F.col("src").alias("dst"), F.col("nbrs").alias("n_dst"))
     # Built on the heads (one row per vertex): the exploded tails, which
     # carry arrays, stream through unsorted.
@@ -133,7 +144,7 @@ def sorted3(a: Column, b: Column, c: Column) -> tuple[Column, Column, Column]:
     return lo, a + b + c - lo - hi, hi
 
 
-def triangles(edges: DataFrame, order: str = "degree") -> DataFrame:
+def triangles(edges: DataFrame, order: str = "id") -> DataFrame:
     """List every triangle once -> (u, v, w) with u < v < w by id."""
     tri = (common_neighbours(orient_edges(edges, order))
            .select("src", "dst", F.explode("common").alias("w")))
@@ -141,7 +152,7 @@ def triangles(edges: DataFrame, order: str = "degree") -> DataFrame:
     return tri.select(u.alias("u"), v.alias("v"), w.alias("w"))
 
 
-def exact_tc(edges: DataFrame, order: str = "degree") -> DataFrame:
+def exact_tc(edges: DataFrame, order: str = "id") -> DataFrame:
     """Exact triangle count of canonical edges -> one row (triangles)."""
     return triangle_counts(orient_edges(edges, order)).select(F.col("t").alias("triangles"))
 
@@ -167,7 +178,7 @@ def monochromatic(edges: DataFrame, num_colors: int, params: LinearParams,
 
 
 def triangles_by_color(edges: DataFrame, num_colors: int, params: LinearParams,
-                       p: int = PRIME, order: str = "degree") -> DataFrame:
+                       p: int = PRIME, order: str = "id") -> DataFrame:
     """t(i), the triangles of the edges of colour i -> (color, t)."""
     _check_colors(num_colors)
     mono = _mono(edges, num_colors, params, p, ("u", "v"))
@@ -175,7 +186,7 @@ def triangles_by_color(edges: DataFrame, num_colors: int, params: LinearParams,
 
 
 def approx_tc_colors(edges: DataFrame, num_colors: int, params: LinearParams,
-                     p: int = PRIME, order: str = "degree") -> DataFrame:
+                     p: int = PRIME, order: str = "id") -> DataFrame:
     """T4: C^2 * (triangles of monochromatic edges) -> one row (estimate).
 
     A triangle of monochromatic edges is wholly one colour (the edges share
@@ -199,7 +210,7 @@ def _runs_column(runs: Sequence[LinearParams]) -> Column:
 
 
 def approx_tc_runs(edges: DataFrame, num_colors: int, runs: Sequence[LinearParams],
-                   p: int = PRIME, order: str = "degree") -> DataFrame:
+                   p: int = PRIME, order: str = "id") -> DataFrame:
     """T4 repeated R times in one plan -> (run, estimate), every run present.
 
     Each oriented edge is replicated once per run by exploding a literal
@@ -226,7 +237,7 @@ def approx_tc_runs(edges: DataFrame, num_colors: int, runs: Sequence[LinearParam
 
 
 def approx_tc_median(edges: DataFrame, num_colors: int, runs: Sequence[LinearParams],
-                     p: int = PRIME, order: str = "degree") -> DataFrame:
+                     p: int = PRIME, order: str = "id") -> DataFrame:
     """T4r: median over R colourings -> one row (estimate)."""
     per_run = approx_tc_runs(edges, num_colors, runs, p, order)
     return per_run.agg(int_median(F.collect_list("estimate")).alias("estimate"))
@@ -251,7 +262,7 @@ def _oriented_buckets(edges: DataFrame, num_buckets: int, params: BucketParams,
     return o.select(edge_bucket(lo, hi, num_buckets, params, p).alias("bucket"), "src", "dst")
 
 
-def triangles_by_bucket(bucketed_edges: DataFrame, order: str = "degree") -> DataFrame:
+def triangles_by_bucket(bucketed_edges: DataFrame, order: str = "id") -> DataFrame:
     """t(i) within each subset of (bucket, u, v) -> (bucket, t)."""
     return triangle_counts(orient_edges(bucketed_edges, order), ["bucket"])
 
@@ -262,65 +273,62 @@ def _scaled_sum(per_group: DataFrame, num_buckets: int) -> DataFrame:
 
 
 def triangles_by_hash_bucket(edges: DataFrame, num_buckets: int, params: BucketParams,
-                             p: int = PRIME, order: str = "degree") -> DataFrame:
+                             p: int = PRIME, order: str = "id") -> DataFrame:
     """A8 (hash mode) -> (bucket, t), the subset computed after orienting."""
     _check_colors(num_buckets)
     return triangle_counts(_oriented_buckets(edges, num_buckets, params, p, order), ["bucket"])
 
 
 def approx_tc_buckets(edges: DataFrame, num_buckets: int, params: BucketParams,
-                      p: int = PRIME, order: str = "degree") -> DataFrame:
+                      p: int = PRIME, order: str = "id") -> DataFrame:
     """T5: C^2 * sum of triangles inside random edge subsets -> (estimate)."""
     return _scaled_sum(triangles_by_hash_bucket(edges, num_buckets, params, p, order), num_buckets)
 
 
-DEALS = ("in_place", "shuffle")
-
-
-def partition_buckets(edges: DataFrame, num_buckets: int, order: str = "degree",
-                      deal: str = "in_place", seed: int = 0) -> DataFrame:
-    """P7 (partition mode): Spark's round-robin partitioning into C subsets
+def partition_buckets(edges: DataFrame, num_buckets: int, params: BucketParams,
+                      p: int = PRIME, order: str = "id") -> DataFrame:
+    """P7 (partition mode): a round-robin deal of all edges into C subsets
     -> oriented (bucket, src, dst).
 
-    ``deal="shuffle"`` is the literal ``repartition(C)`` + partition id: all
-    edges pass through C tasks, so it only suits a large C.
-    ``deal="in_place"`` (default) computes the same round-robin deal where
-    the rows already are: row i of input partition q goes to subset
-    ``(start(q) + i) mod C`` with a seeded start per partition -- the subsets
-    have the sizes ``repartition(C)`` gives them, but no row moves and every
-    task stays an input split.
-
-    Either way the subset is written once with ``checkpoint()`` (into
-    ``spark.checkpoint.dir``), so later branches and retried tasks see the
-    same subset of an edge; positional ids are not promised to be stable
-    under recomputation.
-    """
-    from countwise.session import checkpoint_root
+    The edges are ranked by (hash, u, v), where ``params`` gives the hash --
+    other parameters, another shuffle -- and the edge of rank r goes to
+    subset r mod C: subset sizes differ by one at most, as Spark's own
+    ``repartition(C)`` would make them, but the deal depends on the rows
+    alone, not on how they were split.
 
+    Ranks come from a range partitioning: each task numbers its own rows,
+    and the driver adds up one count per task.  The numbered rows are
+    written once, so a retried task cannot number them anew.
+    """
     _check_colors(num_buckets)
-    if deal not in DEALS:
-        raise ValueError(f"deal must be one of {DEALS}")
-    checkpoint_root(edges.sparkSession)
-    o = orient_edges(edges, order)
-    c = F.lit(num_buckets).cast("bigint")
-    if deal == "shuffle":
-        dealt = o.repartition(num_buckets).select(
-            F.spark_partition_id().cast("bigint").alias("bucket"), "src", "dst")
-    else:
-        part = F.spark_partition_id()
-        # monotonically_increasing_id = partition id << 33 | row index
-        row = F.monotonically_increasing_id() - F.shiftleft(part.cast("bigint"), 33)
-        start = F.pmod(F.xxhash64(part, F.lit(seed)), c)
-        dealt = o.select(F.pmod(start + row, c).alias("bucket"), "src", "dst")
-    return dealt.checkpoint(eager=True)
-
-
-def approx_tc_partitions(edges: DataFrame, num_buckets: int, order: str = "degree",
-                         deal: str = "in_place", seed: int = 0) -> DataFrame:
-    """T5 with Spark's round-robin partitions as the subsets -> (estimate)."""
-    per_bucket = triangle_counts(partition_buckets(edges, num_buckets, order, deal, seed),
-                                 ["bucket"])
-    return _scaled_sum(per_bucket, num_buckets)
+    spark = edges.sparkSession
+    part = F.spark_partition_id()
+    ranked = (edges.select(edge_hash("u", "v", params, p).alias("s"), "u", "v")
+              .repartitionByRange("s", "u", "v").sortWithinPartitions("s", "u", "v"))
+    # monotonically_increasing_id = partition id << 33 | row index
+    numbered = stored(ranked.select(
+        part.alias("part"), "u", "v",
+        (F.monotonically_increasing_id() - F.shiftleft(part.cast("bigint"), 33)).alias("row")), "ranked-edges")
+    before, starts = 0, []
+    for r in sorted(numbered.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()):
+        starts.append((r["part"], before))
+        before += r["n"]
+    first = spark.createDataFrame(starts, "part INT, first BIGINT")
+    bucket = F.pmod(F.col("first") + F.col("row"), F.lit(num_buckets).cast("bigint"))
+    dealt = numbered.join(first, "part").select(bucket.alias("bucket"), "u", "v")
+    return orient_edges(dealt, order).select("bucket", "src", "dst")
+
+
+def triangles_by_partition(edges: DataFrame, num_buckets: int, params: BucketParams,
+                           p: int = PRIME, order: str = "id") -> DataFrame:
+    """A8 (partition mode) -> (bucket, t)."""
+    return triangle_counts(partition_buckets(edges, num_buckets, params, p, order), ["bucket"])
+
+
+def approx_tc_partitions(edges: DataFrame, num_buckets: int, params: BucketParams,
+                         p: int = PRIME, order: str = "id") -> DataFrame:
+    """T5 with round-robin partitions as the subsets -> (estimate)."""
+    return _scaled_sum(triangles_by_partition(edges, num_buckets, params, p, order), num_buckets)
 
 
 # --------------------------------------------------------------------------
@@ -350,7 +358,7 @@ TRIPLET_METHODS = ("expand", "direct")
 
 
 def triangles_by_triplet(edges: DataFrame, num_colors: int, params: LinearParams,
-                         p: int = PRIME, order: str = "degree",
+                         p: int = PRIME, order: str = "id",
                          method: str = "expand") -> DataFrame:
     """t_k, the triangles inside key k whose sorted colours equal k
     -> (k1, k2, k3, t).  Every triangle is counted at exactly one key.
@@ -387,7 +395,7 @@ def triangles_by_triplet(edges: DataFrame, num_colors: int, params: LinearParams
 
 
 def exact_tc_triplets(edges: DataFrame, num_colors: int, params: LinearParams,
-                      p: int = PRIME, order: str = "degree", method: str = "expand") -> DataFrame:
+                      p: int = PRIME, order: str = "id", method: str = "expand") -> DataFrame:
     """Sum of t_k -> one row (triangles); equals ``exact_tc``."""
     per_key = triangles_by_triplet(edges, num_colors, params, p, order, method)
     return per_key.agg(F.coalesce(F.sum("t"), F.lit(0)).cast("bigint").alias("triangles"))

@@ -3,8 +3,7 @@
 ``QUERIES[name](spark, sf_dir)`` returns a DataFrame over the driver
 tables; ``ORACLE_SQL[name]`` is the same result written as plain SQL for
 DuckDB (tables registered as views).  Column names match one to one.
-Queries without an SQL form (Spark partitions as subsets, stream
-prefixes) have no oracle entry.
+Every query has an SQL form.
 
 Inputs: the graph is the part-supplier graph (one edge per lineitem
 row), the item stream is ``lineitem.l_partkey`` (``events.user_id`` for
@@ -154,9 +153,11 @@ QUERIES: dict[str, Query] = {
     "approx_tc_median": lambda s, d: tri.approx_tc_median(_edges(s, d), P.COLORS, P.RUN_PARAMS),
     "approx_tc_buckets": lambda s, d: tri.approx_tc_buckets(_edges(s, d), P.BUCKETS,
                                                             P.BUCKET_PARAMS),
-    "approx_tc_partitions": lambda s, d: tri.approx_tc_partitions(_edges(s, d), P.BUCKETS),
+    "approx_tc_partitions": lambda s, d: tri.approx_tc_partitions(_edges(s, d), P.BUCKETS,
+                                                                  P.BUCKET_PARAMS),
     "exact_tc": lambda s, d: tri.exact_tc(_edges(s, d)),
     "exact_tc_id_order": lambda s, d: tri.exact_tc(_edges(s, d), order="id"),
+    "exact_tc_degree_order": lambda s, d: tri.exact_tc(_edges(s, d), order="degree"),
     "exact_tc_triplets": lambda s, d: tri.exact_tc_triplets(_edges(s, d), P.COLORS, P.COLORING),
     # frequencies and sketch
     "item_frequencies": _freq,
@@ -181,7 +182,7 @@ QUERIES: dict[str, Query] = {
     "report_tc_approx": lambda s, d: rp.report_tc_approx(
         tb.edges_partsupp(s, d), P.COLORS, P.RUN_PARAMS, P.BUCKET_PARAMS),
     "report_tc_approx_partitions": lambda s, d: rp.report_tc_approx(
-        tb.edges_partsupp(s, d), P.COLORS, P.RUN_PARAMS, None),
+        tb.edges_partsupp(s, d), P.COLORS, P.RUN_PARAMS, P.BUCKET_PARAMS, subsets="partitions"),
     "report_tc": lambda s, d: rp.report_tc(tb.edges_partsupp(s, d), P.COLORS, P.RUN_PARAMS, 1,
                                            P.COLORING),
     "report_tc_colors": lambda s, d: rp.report_tc(tb.edges_partsupp(s, d), P.COLORS,
@@ -317,6 +318,14 @@ S_BUCKET_T = (f"{W_E}, b AS (SELECT {_bucket()} AS bucket, u, v FROM e) "
               f"SELECT CAST(x.bucket AS BIGINT) AS bucket, count(*) AS t FROM b x "
               f"JOIN b y ON x.bucket = y.bucket AND x.v = y.u "
               f"JOIN b z ON z.bucket = x.bucket AND z.u = x.u AND z.v = y.v GROUP BY x.bucket")
+_BP = P.BUCKET_PARAMS
+S_PARTITION_EST = (
+    f"{W_E}, b AS (SELECT (row_number() OVER (ORDER BY "
+    f"({_BP.a} * (u % {PRIME}) + {_BP.b} * (v % {PRIME}) + {_BP.c}) % {PRIME}, u, v) - 1) "
+    f"% {P.BUCKETS} AS bucket, u, v FROM e) "
+    f"SELECT CAST({_B2} * count(*) AS BIGINT) AS estimate FROM b x "
+    f"JOIN b y ON x.bucket = y.bucket AND x.v = y.u "
+    f"JOIN b z ON z.bucket = x.bucket AND z.u = x.u AND z.v = y.v")
 S_COLOR_T = (f"{W_E}, m AS ({S_MONO}) SELECT CAST(x.color AS BIGINT) AS color, count(*) AS t "
              f"FROM m x JOIN m y ON x.color = y.color AND x.v = y.u "
              f"JOIN m z ON z.color = x.color AND z.u = x.u AND z.v = y.v GROUP BY x.color")
@@ -363,8 +372,10 @@ ORACLE_SQL: dict[str, str] = {
     "approx_tc_median": S_MEDIAN_RUNS,
     "approx_tc_buckets": (f"SELECT CAST({_B2} * coalesce(sum(t), 0) AS BIGINT) AS estimate "
                           f"FROM ({S_BUCKET_T})"),
+    "approx_tc_partitions": S_PARTITION_EST,
     "exact_tc": S_EXACT,
     "exact_tc_id_order": S_EXACT,
+    "exact_tc_degree_order": S_EXACT,
     "exact_tc_triplets": (f"SELECT CAST(coalesce(sum(t), 0) AS BIGINT) AS triangles "
                           f"FROM ({S_TRIPLET_T})"),
     "item_frequencies": S_FREQ,
@@ -401,6 +412,10 @@ ORACLE_SQL: dict[str, str] = {
         f"{P.RUNS} AS \"R\", ({S_MEDIAN_RUNS}) AS est_colors_median, "
         f"(SELECT CAST({_B2} * coalesce(sum(t), 0) AS BIGINT) FROM ({S_BUCKET_T})) "
         f"AS est_partitions"),
+    "report_tc_approx_partitions": (
+        f"SELECT (SELECT count(*) FROM lineitem) AS n_edges, {P.COLORS} AS \"C\", "
+        f"{P.RUNS} AS \"R\", ({S_MEDIAN_RUNS}) AS est_colors_median, "
+        f"({S_PARTITION_EST}) AS est_partitions"),
     "report_tc": (
         f"SELECT (SELECT count(*) FROM lineitem) AS n_edges, {P.COLORS} AS \"C\", "
         f"{P.RUNS} AS \"R\", 1 AS mode, ({S_EXACT}) AS triangles"),

@@ -14,48 +14,67 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from countwise.functions.hashing import PRIME, BucketParams, LinearParams, SketchRow
+from countwise.functions.text import space_tokens
 from countwise.operators import frequency as fq
 from countwise.operators import triangles as tri
 from countwise.operators import words as wd
 from countwise.sources.readers import canonical_edges
 
 
+def _lines_and_words(lines: DataFrame) -> DataFrame:
+    """(word, n) from one pass over the text: the counts of all words, and one
+    row without a word whose ``n`` is the number of documents."""
+    token = F.explode(F.concat(F.array(F.lit(None).cast("string")), space_tokens("text")))
+    return lines.select(token.alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+
+
 def report_words(lines: DataFrame) -> DataFrame:
-    """C1 -> (n_docs, n_distinct_words, avg_word_length)."""
-    stats = wd.word_stats(wd.word_count(lines))
-    n_docs = lines.agg(F.count(F.lit(1))).scalar()
-    return stats.select(n_docs.alias("n_docs"), "n_distinct_words", "avg_word_length")
+    """C1 -> (n_docs, n_distinct_words, avg_word_length).
+
+    Every document adds one null token, so the same aggregate that counts
+    the words counts the documents: the text is read and split once.
+    """
+    counts = _lines_and_words(lines)
+    is_word = F.col("word").isNotNull()
+    n = F.count("word")
+    total = F.sum(F.when(is_word, F.length("word").cast("bigint")))
+    return counts.agg(
+        F.coalesce(F.max(F.when(~is_word, F.col("n"))), F.lit(0)).cast("bigint").alias("n_docs"),
+        n.alias("n_distinct_words"), total.alias("total")).select(
+        "n_docs", "n_distinct_words", F.when(F.col("n_distinct_words") > 0, F.expr("total div n_distinct_words")).alias("avg_word_length"))
 
 
 def report_word_counts(lines: DataFrame, num_keys: int, seed: int = 0) -> DataFrame:
     """The word-count program's cross-check -> (n_docs, n_words_one_round,
     n_words_salted, n_words_partitioned, avg_word_length): the distinct-word
-    count after each variant (they must agree) and the average length."""
-    stats = wd.word_stats(wd.word_count(lines))
-    n_docs = lines.agg(F.count(F.lit(1))).scalar()
+    count after each variant (they must agree) and the average length.
+
+    Each variant is a pass over the text of its own, as that is what is
+    compared; the number of documents comes with the first.
+    """
+    first = report_words(lines)
     salted = wd.word_count_salted(lines, num_keys, seed).agg(F.count(F.lit(1))).scalar()
     parts = wd.word_count_by_partition(lines).agg(F.count(F.lit(1))).scalar()
-    return stats.select(n_docs.alias("n_docs"),
-                        F.col("n_distinct_words").alias("n_words_one_round"),
+    return first.select("n_docs", F.col("n_distinct_words").alias("n_words_one_round"),
                         salted.alias("n_words_salted"), parts.alias("n_words_partitioned"),
                         "avg_word_length")
 
 
 def report_tc_approx(raw_edges: DataFrame, num_colors: int, runs: Sequence[LinearParams],
-                     buckets: BucketParams | None = None, p: int = PRIME,
-                     order: str = "degree") -> DataFrame:
+                     buckets: BucketParams, p: int = PRIME, order: str = "id",
+                     subsets: str = "hash") -> DataFrame:
     """C2 -> (n_edges, C, R, est_colors_median, est_partitions).
 
     ``n_edges`` is the raw row count.  The second estimate uses random
-    edge subsets: hash subsets when ``buckets`` is given (deterministic),
-    else Spark's own partitions.
+    edge subsets: by hash, or with ``subsets="partitions"`` the round-robin
+    deal of the hash order.
     """
+    if subsets not in ("hash", "partitions"):
+        raise ValueError("subsets must be hash or partitions")
     edges = canonical_edges(raw_edges)
     med = tri.approx_tc_median(edges, num_colors, runs, p, order).scalar()
-    if buckets is not None:
-        part = tri.approx_tc_buckets(edges, num_colors, buckets, p, order).scalar()
-    else:
-        part = tri.approx_tc_partitions(edges, num_colors, order).scalar()
+    estimate = tri.approx_tc_buckets if subsets == "hash" else tri.approx_tc_partitions
+    part = estimate(edges, num_colors, buckets, p, order).scalar()
     return raw_edges.agg(F.count(F.lit(1)).alias("n_edges")).select(
         "n_edges", F.lit(num_colors).alias("C"), F.lit(len(runs)).alias("R"),
         med.alias("est_colors_median"), part.alias("est_partitions"))
@@ -63,7 +82,7 @@ def report_tc_approx(raw_edges: DataFrame, num_colors: int, runs: Sequence[Linea
 
 def report_tc(raw_edges: DataFrame, num_colors: int, runs: Sequence[LinearParams], mode: int,
               coloring: LinearParams | None = None, p: int = PRIME,
-              order: str = "degree") -> DataFrame:
+              order: str = "id") -> DataFrame:
     """C3 -> (n_edges, C, R, mode, triangles).
 
     mode 0: median of R node-colouring estimates; mode 1: exact count by

@@ -4,8 +4,9 @@ Library code never builds its own session: every operator takes the
 caller's DataFrames.  ``local_session`` is for tests and the bench only.
 Scratch output (materialised buckets, stream checkpoints and partials)
 always lives under the shared folder named by ``spark.checkpoint.dir``;
-a private temporary folder is used only when that setting is absent,
-which happens in local test sessions, never on a configured cluster.
+a private temporary folder is used only when that setting is absent and
+the session is local; without it a cluster session raises, because every
+machine would write to its own disk.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -31,7 +32,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         # partitions, since the array work after a shuffle is per-row heavy.
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
         .config("spark.ui.showConsoleProgress", "false")
     )
     spark = builder.getOrCreate()
@@ -43,7 +44,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session.
 
     Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir); only
-    when neither is set (a bare local test session) a temporary folder is
+    when neither is set and the session is local a temporary folder is
     created and registered, so that ``DataFrame.checkpoint`` works.
     """
     sc = spark.sparkContext
@@ -52,6 +53,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return _parent_of_context_dir(current)
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder (master {sc.master})")
         configured = tempfile.mkdtemp(prefix="countwise-ckpt-")
     sc.setCheckpointDir(configured)
     return configured.rstrip("/")
@@ -72,3 +75,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder name under the shared checkpoint folder."""
     root = checkpoint_root(spark)
     return f"{root}/countwise/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared scratch folder and read it back.
+
+    Cuts the lineage, and drops the partitioning that a later join would
+    reuse: both sides of that join are then shuffle stages of their own, the
+    only kind whose skewed partitions AQE splits.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

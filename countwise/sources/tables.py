@@ -14,26 +14,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread_if_narrow(df: DataFrame) -> DataFrame:
-    """Deal rows round robin over the default parallelism when the scan
-    yields fewer partitions than that (a file with one row group is one
-    split); a scan that is already wide -- the normal case at scale -- is
-    left alone, so no shuffle is added there."""
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        narrow = df.rdd.getNumPartitions() < target
-    except Exception:  # noqa: BLE001 -- no RDD access (e.g. Spark Connect): leave as is
-        return df
-    return df.repartition(target) if narrow else df
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, text) of the ``documents`` table.
-
-    Tokenising is the expensive per-row step, so a narrow scan is spread
-    before it (``spread_if_narrow``).
-    """
-    return spread_if_narrow(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """(doc_id, text) of the ``documents`` table, as the scan delivers it."""
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 def edges_partsupp(spark: SparkSession, sf_dir: str) -> DataFrame:

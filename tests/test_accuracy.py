@@ -24,7 +24,7 @@ def test_triangle_estimates_near_exact(graph):
         T.approx_tc_colors(e, P.COLORS, P.COLORING).first()["estimate"],
         T.approx_tc_median(e, P.COLORS, P.RUN_PARAMS).first()["estimate"],
         T.approx_tc_buckets(e, P.BUCKETS, P.BUCKET_PARAMS).first()["estimate"],
-        T.approx_tc_partitions(e, P.BUCKETS).first()["estimate"],
+        T.approx_tc_partitions(e, P.BUCKETS, P.BUCKET_PARAMS).first()["estimate"],
     ]
     for est in estimates:
         assert abs(est - exact) / exact < 0.10, estimates

@@ -52,13 +52,22 @@ def test_scan_prunes_columns_and_pushes_range(spark):
 
 def test_triangle_plan_uses_hash_joins_on_vertices(spark):
     text = plan(E.queries()["exact_tc"](spark, SF_SMALL))
-    # before execution the shared subtrees are printed once per use
-    assert text.count("ShuffledHashJoin") >= 3
-    assert text.count("Join") == text.count("ShuffledHashJoin")
-    assert "collect_list" in text
+    # the neighbour lists are read back, so both sides are shuffle stages
+    assert text.count("Join") == text.count("ShuffledHashJoin") == 1
+    assert text.count("Exchange hashpartitioning(dst") == 2
 
 
 def test_sketch_family_is_a_literal_explode(spark):
     text = plan(E.queries()["count_sketch"](spark, SF_SMALL))
     assert "Generate explode(" in text
     assert "Join" not in text
+
+
+def test_words_take_one_shuffle(spark):
+    text = plan(E.queries()["word_count"](spark, SF_SMALL))
+    assert text.count("Exchange") == 1
+
+
+def test_word_report_reads_the_text_once(spark):
+    text = plan(E.queries()["report_words"](spark, SF_SMALL))
+    assert text.count("FileScan") == 1

@@ -55,7 +55,7 @@ def test_c1_estimates_equal_exact(spark):
     e = canonical_edges(edges_df(spark, K4))
     assert T.approx_tc_colors(e, 1, LinearParams(17, 3)).first()["estimate"] == 4
     assert T.approx_tc_buckets(e, 1, BucketParams(5, 7, 11)).first()["estimate"] == 4
-    assert T.approx_tc_partitions(e, 1).first()["estimate"] == 4
+    assert T.approx_tc_partitions(e, 1, DEAL).first()["estimate"] == 4
     assert T.approx_tc_median(e, 1, color_params(1, 3)).first()["estimate"] == 4
 
 
@@ -125,23 +125,28 @@ def test_median_of_runs_matches_per_run(partsupp):
         assert one in runs
 
 
-@pytest.mark.parametrize("deal", ["in_place", "shuffle"])
-def test_partition_buckets_cover_each_edge_once(partsupp, deal):
-    b = T.partition_buckets(partsupp, 4, deal=deal)
+DEAL = BucketParams(11, 13, 17)
+
+
+def test_partition_buckets_cover_each_edge_once(partsupp):
+    b = T.partition_buckets(partsupp, 4, DEAL)
     m = partsupp.count()
-    assert b.count() == m
-    assert b.select("src", "dst").distinct().count() == m
+    assert b.select("src", "dst").distinct().count() == b.count() == m
     sizes = [r["n"] for r in b.groupBy("bucket").agg(F.count("*").alias("n")).collect()]
-    assert len(sizes) == 4 and sum(sizes) == m
-    # a round-robin deal: subset sizes differ by at most one row per input split
-    splits = partsupp.rdd.getNumPartitions() if deal == "in_place" else 1
-    assert max(sizes) - min(sizes) <= splits
+    assert len(sizes) == 4 and max(sizes) - min(sizes) <= 1
+
+
+def test_partition_deal_depends_on_rows_and_parameters_only(partsupp):
+    one = sorted(map(tuple, T.partition_buckets(partsupp, 4, DEAL).collect()))
+    assert sorted(map(tuple, T.partition_buckets(partsupp.repartition(13), 4, DEAL).collect())) == one
+    estimates = {T.approx_tc_partitions(partsupp, 4, BucketParams(a, a + 5, 3)).first()["estimate"]
+                 for a in (17, 401, 1999, 5003)}
+    assert len(estimates) > 1  # other parameters, another deal
 
 
 def test_partition_estimates_with_c1(spark):
     e = canonical_edges(edges_df(spark, BOWTIE))
-    for deal in ["in_place", "shuffle"]:
-        assert T.approx_tc_partitions(e, 1, deal=deal).first()["estimate"] == 2
+    assert T.approx_tc_partitions(e, 1, DEAL).first()["estimate"] == 2
 
 
 def test_bucketed_input_matches_hash_buckets(partsupp):
@@ -168,13 +173,57 @@ def test_hub_out_degree_is_bounded(spark):
     pairs = [(0, i) for i in range(1, n + 1)] + [(i, i + 1) for i in range(1, n)]
     e = canonical_edges(edges_df(spark, pairs))
     m = e.count()
-    from pyspark.sql import functions as F
-    adj = T.neighbour_lists(T.orient_edges(e, "degree"))
-    assert adj.agg(F.max(F.size("nbrs"))).first()[0] <= int((2 * m) ** 0.5)
-    # by id the hub would own every edge it touches
-    by_id = T.neighbour_lists(T.orient_edges(e, "id"))
-    assert by_id.agg(F.max(F.size("nbrs"))).first()[0] == n
-    assert exact(spark, pairs) == brute(pairs) == n - 1
+    for order in T.ORDERS:
+        adj = T.neighbour_lists(T.orient_edges(e, order))
+        assert adj.agg(F.max(F.size("nbrs"))).first()[0] <= int((2 * m) ** 0.5)
+        assert exact(spark, pairs, order) == brute(pairs) == n - 1
+
+
+@pytest.fixture
+def skew_settings(spark):
+    """Thresholds that make a few kilobytes a skewed partition."""
+    small = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+             "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
+             "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("count", [
+    lambda e: T.exact_tc(e),
+    lambda e: T.exact_tc(e, "degree"),
+    lambda e: T.approx_tc_runs(e, 2, color_params(3, 3)),
+    lambda e: T.exact_tc_triplets(e, 2, LinearParams(1234, 567)),
+], ids=["exact", "exact_degree", "median", "triplets"])
+def test_a_hub_is_split(spark, skew_settings, count):
+    # two hubs share all leaves: their in-edges are two join keys
+    n = 6000
+    e = canonical_edges(edges_df(spark, [(h, i) for h in (0, 1) for i in range(2, n)] + [(0, 1)]))
+    df = count(e)
+    got = df.collect()
+    assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    if "triangles" in df.columns:
+        assert got[0]["triangles"] == n - 2
+
+
+def test_prime_above_8191(spark):
+    p = 2**31 - 1
+    e = canonical_edges(edges_df(spark, [(p - 2, 2**40), (2**40, 2**62), (p - 2, 2**62), (-5, 7)]))
+    assert T.approx_tc_colors(e, 1, LinearParams(p - 1, p - 1), p).first()["estimate"] == 1
+    assert T.approx_tc_buckets(e, 1, BucketParams(p - 1, p - 1, p - 1), p).first()["estimate"] == 1
+    assert T.approx_tc_partitions(e, 1, BucketParams(p - 1, p - 1, p - 1), p).first()["estimate"] == 1
+    assert T.exact_tc_triplets(e, 5, LinearParams(p - 1, p - 1), p).first()["triangles"] == 1
+    colors = {r["color"] for r in T.monochromatic(e, 1, LinearParams(p - 1, 3), p).collect()}
+    assert colors == {0}
+    for bad in (1, 2**61 - 1):
+        with pytest.raises(ValueError):
+            T.approx_tc_colors(e, 2, LinearParams(1, 1), bad)
 
 
 def test_read_edges_from_text_file(spark, tmp_path):
