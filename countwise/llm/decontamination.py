@@ -4,9 +4,11 @@ A document is contaminated by a benchmark item if some window of the item's
 size is at least ``SIMILAR`` alike: the weighted Jaccard similarity of their
 five-word shingles, each weighted by how often it occurs.
 
-1. Shingles that a document shares with an item are looked up.  A window as
-   similar as asked holds a known share of them, so only windows that can reach
-   it go on; this drops no match.
+1. Shingles that a document shares with an item are looked up and keep the few
+   shingles around them.  A window as similar as asked holds a known number of
+   shared ones, so only windows that can reach it go on, and every place of
+   such a window lies near a shared one.  This drops no match, and the texts
+   are read once.
 2. Windows and items get 64-bit SimHash fingerprints.  Fingerprints are cut
    into blocks; two within ``RADIUS`` bits differ by at most RADIUS / BLOCKS
    bits in some block, so items are indexed under every value that near to each
@@ -16,6 +18,7 @@ five-word shingles, each weighted by how often it occurs.
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -31,7 +34,8 @@ SIMILAR = 75
 RADIUS = 24
 BLOCKS = 8
 BLOCK_BITS = 64 // BLOCKS
-#: Item shingles up to which the look-up table is sent to every task (24 bytes each).
+#: Item shingles looked up at once (24 bytes each go to every task); a larger
+#: benchmark is taken in blocks of items.
 BROADCAST_SHINGLES = 1 << 20
 _LANES = 32
 _LANE_MASK = 0x0000000100000001
@@ -125,12 +129,20 @@ def _best_windows(docs: DataFrame, benchmark: DataFrame, radius: int) -> DataFra
     items = benchmark.select(F.struct("item_id", F.xxhash64("text").alias("text_hash")).alias("item"), shingles(F.col("text")).alias("own"))
     items = stored(items.filter(F.size("own") > 0).distinct().withColumn("m", F.size("own")), "items")
     entries = items.select("item", "m", F.explode(F.array_distinct("own")).alias("h"))
-    if (items.agg(F.sum("m")).first()[0] or 0) <= BROADCAST_SHINGLES:
-        entries = F.broadcast(entries)
-
-    texts = docs.select(_name(), "text")
-    hashed = texts.select("doc", shingles(F.col("text")).alias("own"))
-    shared = hashed.select("doc", F.size("own").alias("n"), F.posexplode("own").alias("place", "h")).join(entries, "h")
+    n_blocks = max(1, math.ceil((items.agg(F.sum("m")).first()[0] or 0) / BROADCAST_SHINGLES))
+
+    hashed = docs.select(_name(), shingles(F.col("text")).alias("own"))
+    each = hashed.select("doc", F.size("own").alias("n"), "own", F.posexplode_outer("own").alias("place", "h"))
+    reach = F.col("m") - least_shared(F.col("m"), F.col("m"))
+    first = F.greatest(F.lit(0), F.col("place") - reach)
+    found = None
+    for k in range(n_blocks):
+        block = entries.filter(F.pmod(F.xxhash64("item"), F.lit(n_blocks)) == k)
+        some = each.join(F.broadcast(block), "h").select(
+            "doc", "n", "item", "m", "place", first.alias("first"),
+            F.slice("own", first + 1, F.least(F.col("n") - 1, F.col("place") + reach) - first + 1).alias("around"))
+        found = some if found is None else found.union(some)
+    shared = stored(found, "leak-shingles")
     w = F.least("n", "m")
     places = shared.groupBy("doc", "n", "item", "m").agg(F.sort_array(F.collect_set("place")).alias("places")).withColumn(
         "need", least_shared(F.col("m"), w)).filter(F.size("places") >= F.col("need"))
@@ -141,15 +153,13 @@ def _best_windows(docs: DataFrame, benchmark: DataFrame, radius: int) -> DataFra
         return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
 
     every = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), F.size("places") - F.col("need")), starts)))
-    wanted = stored(places.select("doc", "m", F.explode(every).alias("start")).distinct(), "leak-windows")
-
-    held = wanted.groupBy("doc").agg(F.collect_set(F.struct("m", "start")).alias("windows"))
-    again = texts.join(held.withColumnRenamed("doc", "doc_"), F.col("doc") == F.col("doc_")).select(
-        "doc", "windows", shingles(F.col("text")).alias("own"))
-    windows = again.select("doc", "own", F.explode("windows").alias("w")).select(
-        "doc", F.col("w.m").alias("m"), F.col("w.start").alias("start"),
-        F.slice("own", F.col("w.start") + 1, F.col("w.m")).alias("own")).distinct()
-    windows = stored(windows, "leak-texts")
+    wanted = places.select("doc", "m", w.alias("w"), F.explode(every).alias("start")).distinct()
+    cells = wanted.select("doc", "m", "start", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("w") - 1)).alias("place"))
+    values = shared.select("doc", "first", F.posexplode("around").alias("i", "h")).select(
+        "doc", (F.col("first") + F.col("i")).alias("place"), "h").distinct()
+    windows = cells.join(values, ["doc", "place"]).groupBy("doc", "m", "start").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("place", "h"))), lambda x: x["h"]).alias("own"))
+    windows = stored(windows, "leak-windows")
 
     prints = simhash(windows, ["doc", "m", "start"], "own")
     probes = prints.select("doc", "m", "start", "fingerprint", F.inline(blocks(F.col("fingerprint"))))
