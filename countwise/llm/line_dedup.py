@@ -117,6 +117,12 @@ def _automaton(a: Column, b: Column, edits: int) -> Column:
         F.call_function("shiftright", last[edits], end).bitwiseAND(F.lit(1)) == 1)
 
 
+def _whole(row: str) -> Column:
+    """The struct column ``row`` with all its fields: whatever is used of it
+    later, every join shuffles the same columns, and so the documents once."""
+    return F.get(F.transform(F.array(row), lambda r: r), 0)
+
+
 def _characters(line: Column) -> Column:
     return F.filter(F.split(line, ""), lambda c: c != "")
 
@@ -131,10 +137,9 @@ def dedup_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MI
     so they do not remove each other's lines.  Other columns pass through; one
     named like a result is replaced.
     """
-    others = [c for c in docs.columns if c not in ("text", "n_lines", "n_removed", "kept_text")]
-    full = docs.select(F.struct("doc_id").alias("doc"), "text", F.struct(*[F.col(f"`{c}`") for c in others]).alias("row"))
-    rows = full.select("doc", "text")
-    each = rows.select("doc", F.posexplode_outer(F.split("text", "\n")).alias("line_no", "line"))
+    others = [c for c in docs.columns if c not in ("doc_id", "text", "n_lines", "n_removed", "kept_text")]
+    rows = docs.select(F.struct("doc_id").alias("doc"), F.struct("text", *[F.col(f"`{c}`") for c in others]).alias("row"))
+    each = rows.select("doc", F.posexplode_outer(F.split("row.text", "\n")).alias("line_no", "line"))
     each = each.withColumn("n", F.char_length("line")).filter(F.col("n") >= min_chars)
     line, n = F.col("line"), F.col("n")
     heads = stored(
@@ -153,7 +158,7 @@ def dedup_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MI
 
     def with_line(pairs: DataFrame, place: str) -> DataFrame:
         return pairs.join(rows, F.col(place + ".doc") == F.col("doc")).drop("doc").withColumn(
-            "line_" + place, F.get(F.split("text", "\n"), F.col(place + ".line_no"))).drop("text")
+            "line_" + place, F.get(F.split(_whole("row")["text"], "\n"), F.col(place + ".line_no"))).drop("row")
 
     close = with_line(with_line(met, "a"), "b").filter(within_edits(F.col("line_a"), F.col("line_b"), max_edits))
     later = close.select(F.greatest("a", "b").alias("later")).groupBy(F.col("later.doc").alias("near_doc")).agg(
@@ -161,13 +166,14 @@ def dedup_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MI
     first = heads.groupBy(F.col("place.doc").alias("first_doc")).agg(F.collect_set("place.line_no").alias("first"))
 
     none = F.array().cast("array<int>")
-    decided = (full.join(first, F.col("doc") == F.col("first_doc"), "left").join(later, F.col("doc") == F.col("near_doc"), "left")
-               .select("row", "text", F.split("text", "\n").alias("lines"),
-                       F.array_except(F.coalesce("first", none), F.coalesce("near", none)).alias("kept")))
+    decided = (rows.join(first, F.col("doc") == F.col("first_doc"), "left").join(later, F.col("doc") == F.col("near_doc"), "left")
+               .select("doc", _whole("row").alias("row"), F.array_except(F.coalesce("first", none), F.coalesce("near", none)).alias("kept"))
+               .select("doc", "row", "kept", F.split("row.text", "\n").alias("lines")))
     short = F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: F.char_length(F.get("lines", i)) < min_chars)
     at = decided.withColumn("at", F.sort_array(F.filter(F.concat("kept", short), lambda i: i < F.size("lines"))))
     done = at.select(
-        "row", "text", F.coalesce(F.size("lines"), F.lit(0)).cast("bigint").alias("n_lines"),
+        "doc", "row", F.coalesce(F.size("lines"), F.lit(0)).cast("bigint").alias("n_lines"),
         F.coalesce(F.size("lines") - F.size("at"), F.lit(0)).cast("bigint").alias("n_removed"),
         F.array_join(F.transform("at", lambda i: F.get("lines", i)), "\n").alias("kept_text"))
-    return done.select(*[F.col("row").getField(c).alias(c) for c in others], "text", "n_lines", "n_removed", "kept_text")
+    return done.select(*[F.col("doc" if c == "doc_id" else "row").getField(c).alias(c) for c in docs.columns if c in ("doc_id", "text", *others)],
+                       "n_lines", "n_removed", "kept_text")
