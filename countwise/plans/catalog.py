@@ -90,7 +90,7 @@ def q_estimates(spark, d):
 
 def q_estimates_range(spark, d):
     items = _items(spark, d)
-    return fq.estimate_frequencies(_sketch(spark, d), fq.range_candidates(items, P.LEFT, P.RIGHT),
+    return fq.estimate_frequencies(_sketch(spark, d), fq.range_candidates(items, P.LEFT, P.INTERVAL_RIGHT),
                                    P.FAMILY, P.SKETCH_W, candidates_by_item=False)
 
 
@@ -131,7 +131,7 @@ QUERIES: dict[str, Query] = {
     "item_hashes": q_item_hashes,
     "monochromatic_edges": lambda s, d: tri.monochromatic(_edges(s, d), P.COLORS, P.COLORING),
     "edge_color_triplets": lambda s, d: tri.expand_triplets(_edges(s, d), P.COLORS, P.COLORING),
-    "items_in_range": lambda s, d: fq.in_range(_items(s, d), P.LEFT, P.RIGHT),
+    "items_in_range": lambda s, d: fq.in_range(_items(s, d), P.INNER_LEFT, P.INNER_RIGHT),
     # joins
     "triangles": lambda s, d: tri.triangles(_edges(s, d)),
     # word statistics
@@ -196,6 +196,8 @@ QUERIES: dict[str, Query] = {
     "stream_distinct_items": _stream("stream_distinct_items"),
     "stream_prefix": _stream("stream_prefix"),
     "batch_counts": _stream("batch_counts"),
+    "stream_report_sketch": _stream("stream_report_sketch"),
+    "stream_report_distinct": _stream("stream_report_distinct"),
 }
 
 
@@ -340,6 +342,27 @@ S_WORDSTATS_BODY = ("count(*) AS n_distinct_words, "
                     "CAST(coalesce(sum(length(word)), 0) AS BIGINT) / "
                     "nullif(CAST(count(*) AS DOUBLE), 0.0) AS avg_word_length_exact")
 
+S_REPORT_SKETCH = (
+    f"SELECT {P.SKETCH_D} AS \"D\", {P.SKETCH_W} AS \"W\", {P.LEFT} AS \"left\", "
+    f"{P.RIGHT} AS \"right\", {P.TOP_K} AS \"K\", (SELECT count(*) FROM ({S_ITEMS})) AS n_items, "
+    f"(SELECT count(*) FROM ({S_INR})) AS n_in_range, "
+    f"{P.RIGHT - P.LEFT + 1} AS range_width, "
+    f"(SELECT count(*) FROM ({S_FREQ})) AS distinct_items, ({S_ERR}) AS avg_rel_err, "
+    f"({S_F2}) AS f2, ({S_F2EST}) AS f2_est")
+
+
+def _prefix(table: str, key: str, n: int) -> tuple[str, str]:
+    """(batches, condition): the arrivals with their lengths, and whether a
+    row's arrival begins before n items are committed."""
+    part = f"{key} % {P.STREAM_ARRIVALS}"
+    batches = (f"SELECT k, n, coalesce(sum(n) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 "
+               f"PRECEDING), 0) AS before FROM (SELECT {part} AS k, count(*) AS n FROM {table} GROUP BY 1)")
+    return batches, f"{part} IN (SELECT k FROM ({batches}) WHERE before < {n})"
+
+
+S_BATCHES, S_IN_PREFIX = _prefix("lineitem", "l_orderkey", P.PREFIX_ITEMS)
+_, S_USER_PREFIX = _prefix("events", "event_id", P.PREFIX_USERS)
+
 ORACLE_SQL: dict[str, str] = {
     "document_lines": S_LINES,
     "edge_list": S_RAW,
@@ -353,7 +376,8 @@ ORACLE_SQL: dict[str, str] = {
         f"{W_E} SELECT CAST(k[1] AS BIGINT) AS k1, CAST(k[2] AS BIGINT) AS k2, "
         f"CAST(k[3] AS BIGINT) AS k3, u, v FROM (SELECT u, v, list_sort([{_color('u')}, "
         f"{_color('v')}, i]) AS k FROM e CROSS JOIN range(0, {P.COLORS}) r(i))"),
-    "items_in_range": S_INR,
+    "items_in_range": (f"SELECT item FROM ({S_ITEMS}) "
+                       f"WHERE item BETWEEN {P.INNER_LEFT} AND {P.INNER_RIGHT}"),
     "triangles": f"{W_E} {S_TRI}",
     "doc_word_counts": (f"SELECT doc_id, line_no, word, count(*) AS n FROM ({S_TOKENS}) "
                         f"GROUP BY doc_id, line_no, word"),
@@ -385,7 +409,7 @@ ORACLE_SQL: dict[str, str] = {
         f"WHERE item BETWEEN {P.LEFT} AND {P.RIGHT}"),
     "estimate_frequencies": _estimates(f"SELECT item FROM ({S_FREQ})"),
     "estimate_range": _estimates(f"SELECT CAST(range AS BIGINT) AS item "
-                                 f"FROM range({P.LEFT}, {P.RIGHT + 1})"),
+                                 f"FROM range({P.LEFT}, {P.INTERVAL_RIGHT + 1})"),
     "estimate_median": _estimates(f"SELECT item FROM ({S_FREQ})",
                                   family_sql=_family_sql(P.FAMILY_EVEN)),
     "count_sketch_from_frequencies": (
@@ -422,13 +446,7 @@ ORACLE_SQL: dict[str, str] = {
     "report_tc_colors": (
         f"SELECT (SELECT count(*) FROM lineitem) AS n_edges, {P.COLORS} AS \"C\", "
         f"{P.RUNS} AS \"R\", 0 AS mode, ({S_MEDIAN_RUNS}) AS triangles"),
-    "report_sketch": (
-        f"SELECT {P.SKETCH_D} AS \"D\", {P.SKETCH_W} AS \"W\", {P.LEFT} AS \"left\", "
-        f"{P.RIGHT} AS \"right\", {P.TOP_K} AS \"K\", (SELECT count(*) FROM lineitem) AS n_items, "
-        f"(SELECT count(*) FROM ({S_INR})) AS n_in_range, "
-        f"{P.RIGHT - P.LEFT + 1} AS range_width, "
-        f"(SELECT count(*) FROM ({S_FREQ})) AS distinct_items, ({S_ERR}) AS avg_rel_err, "
-        f"({S_F2}) AS f2, ({S_F2EST}) AS f2_est"),
+    "report_sketch": S_REPORT_SKETCH,
     "report_distinct": (f"SELECT count(*) AS n_items, count(DISTINCT item) AS n_distinct, "
                         f"max(item) AS max_item FROM ({S_USERS})"),
     # streams equal their batch counterparts
@@ -437,4 +455,10 @@ ORACLE_SQL: dict[str, str] = {
     "stream_count_sketch": S_SKETCH,
     "stream_distinct_items": (f"SELECT count(*) AS n_items, count(DISTINCT item) AS n_distinct, "
                               f"max(item) AS max_item FROM ({S_USERS})"),
+    "batch_counts": f"SELECT CAST(k AS INTEGER) AS batch_id, n AS n_items FROM ({S_BATCHES})",
+    "stream_prefix": (f"SELECT CAST(sum(n) AS BIGINT) AS n_items, count(*) AS n_batches "
+                      f"FROM ({S_BATCHES}) WHERE before < {P.PREFIX_ITEMS}"),
+    "stream_report_sketch": S_REPORT_SKETCH.replace("FROM lineitem", f"FROM lineitem WHERE {S_IN_PREFIX}"),
+    "stream_report_distinct": (f"SELECT count(*) AS n_items, count(DISTINCT item) AS n_distinct, "
+                               f"max(item) AS max_item FROM ({S_USERS} WHERE {S_USER_PREFIX})"),
 }

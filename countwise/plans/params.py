@@ -37,10 +37,17 @@ FAMILY = hash_family(SKETCH_SEED, SKETCH_D, PRIME)
 # An even depth: the median of D estimates is then the truncated mean of
 # the middle two (N1's even branch).
 FAMILY_EVEN = hash_family(SKETCH_SEED + 1, 4, PRIME)
+# All non-negative 32-bit items: the reference's item type.
 LEFT = 0
-RIGHT = 999_999
+RIGHT = 2_147_483_647
+# An inner interval, for the keys whose feature is the cut.
+INNER_LEFT = 50
+INNER_RIGHT = 149
+# Candidates of the estimates over a whole interval.
+INTERVAL_RIGHT = 999_999
 TOP_K = 10
 
-# Streaming: items per micro-batch file and the prefix length N.
-STREAM_FILES = 4
+# Streaming: parts in which a table arrives, and the prefix lengths N.
+STREAM_ARRIVALS = 4
 PREFIX_ITEMS = 25_000
+PREFIX_USERS = 4_000

@@ -113,7 +113,14 @@ def report_sketch(items: DataFrame, family: Sequence[SketchRow], width: int, lef
     ``range_width`` is what the reference printed as the number of
     distinct items; ``distinct_items`` is the true number.
     """
-    freq = fq.item_frequencies(items, left, right)
+    n_items = items.agg(F.count(F.lit(1)).alias("n_items"))
+    return report_sketch_of(fq.item_frequencies(items, left, right), n_items, family, width, left, right, k, p)
+
+
+def report_sketch_of(freq: DataFrame, n_items: DataFrame, family: Sequence[SketchRow], width: int, left: int,
+                     right: int, k: int, p: int = PRIME) -> DataFrame:
+    """C4 from the frequencies in [left, right], of a table or of the committed
+    part of a stream, and one row (n_items) with the whole length."""
     sketch = fq.sketch_from_frequencies(freq, family, width, p)
     sizes = freq.agg(F.coalesce(F.sum("f"), F.lit(0)).cast("bigint").alias("n"),
                      F.count(F.lit(1)).alias("d"))
@@ -122,7 +129,7 @@ def report_sketch(items: DataFrame, family: Sequence[SketchRow], width: int, lef
     err = fq.top_k_error(freq, sketch, family, width, k, p).scalar()
     f2 = fq.f2_exact(freq).scalar()
     f2_est = fq.f2_estimate(sketch, len(family), n_in_range).scalar()
-    return items.agg(F.count(F.lit(1)).alias("n_items")).select(
+    return n_items.select(
         F.lit(len(family)).alias("D"), F.lit(width).alias("W"), F.lit(left).alias("left"),
         F.lit(right).alias("right"), F.lit(k).alias("K"), "n_items",
         n_in_range.alias("n_in_range"), F.lit(right - left + 1).alias("range_width"),

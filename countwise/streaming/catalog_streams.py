@@ -1,65 +1,97 @@
 """Streaming versions of the registered frequency queries.
 
-The item stream of a table is landed as a few files in a fresh folder
-under ``spark.checkpoint.dir`` and read back as a file stream, one file
-per micro-batch, with ``availableNow``; the result is the batch read of
-the committed state, and must equal the batch query on the same rows.
+The item stream of a table arrives in ``STREAM_ARRIVALS`` parts, dealt by a
+key of the row, so SQL can say which items a part holds.  Each part is
+appended to a folder under ``spark.checkpoint.dir`` with the scan's own
+parallelism, and then the query is started on its checkpoint with
+``availableNow``: one micro-batch per part, as many files as the part has.
+The result is the batch read of the committed state, and must equal the batch
+query on the same rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from countwise.plans import params as P
+from countwise.plans import reports as rp
 from countwise.session import scratch_path
 from countwise.sources import tables as tb
 from countwise.streaming import items as st
 
+Start = Callable[[DataFrame, str, str], StreamingQuery]
+
 
-def land_items(items: DataFrame, path: str, files: int) -> str:
-    """Write an item column as ``files`` Parquet files (the stream's arrivals)."""
-    items.select("item").repartition(files).write.mode("overwrite").parquet(path)
+def land_items(items: DataFrame, path: str) -> str:
+    """Append the items of one arrival to the folder of a stream."""
+    items.select("item").write.mode("append").parquet(path)
     return path
 
 
-def _staged(spark: SparkSession, items: DataFrame, name: str) -> tuple[str, str, str]:
+def arrivals(items: DataFrame, parts: int) -> list[DataFrame]:
+    """(item, key) dealt into parts by the key."""
+    part = F.pmod(F.col("key"), F.lit(parts))
+    return [items.where(part == k).select("item") for k in range(parts)]
+
+
+def run_arrivals(spark: SparkSession, items: DataFrame, name: str, start: Start,
+                 parts: int = P.STREAM_ARRIVALS) -> str:
+    """Feed all parts to the query that ``start`` makes -> its state folder."""
     root = scratch_path(spark, name)
-    src = land_items(items, f"{root}/landing", P.STREAM_FILES)
-    return src, f"{root}/out", f"{root}/checkpoint"
+    src, out, ckpt = f"{root}/landing", f"{root}/out", f"{root}/checkpoint"
+    for part in arrivals(items, parts):
+        land_items(part, src)
+        st.run_to_end(start(st.item_stream(spark, src, max_files_per_trigger=None), out, ckpt))
+    return out
+
+
+def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tb.table(spark, sf_dir, "lineitem").select(
+        F.col("l_partkey").cast("bigint").alias("item"), F.col("l_orderkey").alias("key"))
+
+
+def _users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tb.table(spark, sf_dir, "events").select(
+        F.col("user_id").cast("bigint").alias("item"), F.col("event_id").alias("key"))
+
+
+def _partials(per_batch, prefix: int | None = None, compact_every: int | None = None) -> Start:
+    return lambda stream, out, ckpt: st.start_partials(stream, out, ckpt, per_batch, prefix,
+                                                       compact_every=compact_every)
 
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    freq, seen = st.frequency_partials(P.LEFT, P.RIGHT), st.distinct_partials()
     if name == "stream_count_sketch":
-        src, out, ckpt = _staged(spark, tb.items_parts(spark, sf_dir), name)
-        q = st.start_sketch(st.item_stream(spark, src), out, ckpt, P.FAMILY, P.SKETCH_W,
-                            P.LEFT, P.RIGHT)
-        st.run_to_end(q)
+        out = run_arrivals(spark, _parts(spark, sf_dir), name, lambda stream, out, ckpt: st.start_sketch(
+            stream, out, ckpt, P.FAMILY, P.SKETCH_W, P.LEFT, P.RIGHT))
         return st.latest_sketch(spark, out)
     if name == "stream_frequencies":
-        src, out, ckpt = _staged(spark, tb.items_parts(spark, sf_dir), name)
-        q = st.start_partials(st.item_stream(spark, src), out, ckpt,
-                              st.frequency_partials(P.LEFT, P.RIGHT))
-        st.run_to_end(q)
-        st.compact_partials(spark, out, "freq")
+        out = run_arrivals(spark, _parts(spark, sf_dir), name, _partials(freq, compact_every=2))
         return st.running_frequencies(spark, out)
     if name == "stream_frequencies_stateful":
-        src, out, ckpt = _staged(spark, tb.items_parts(spark, sf_dir), name)
-        q = st.start_stateful_frequencies(st.item_stream(spark, src), out, ckpt, P.LEFT, P.RIGHT)
-        st.run_to_end(q)
+        out = run_arrivals(spark, _parts(spark, sf_dir), name, lambda stream, out, ckpt: (
+            st.start_stateful_frequencies(stream, out, ckpt, P.LEFT, P.RIGHT, compact_every=2)))
         return st.stateful_frequencies(spark, out)
     if name == "stream_distinct_items":
-        src, out, ckpt = _staged(spark, tb.items_users(spark, sf_dir), name)
-        q = st.start_partials(st.item_stream(spark, src), out, ckpt, st.distinct_partials())
-        st.run_to_end(q)
-        st.compact_partials(spark, out, "seen")
+        out = run_arrivals(spark, _users(spark, sf_dir), name, _partials(seen, compact_every=2))
         return st.running_distinct(spark, out)
-    if name in ("stream_prefix", "batch_counts"):
-        src, out, ckpt = _staged(spark, tb.items_parts(spark, sf_dir), name)
-        prefix = P.PREFIX_ITEMS if name == "stream_prefix" else None
-        q = st.start_partials(st.item_stream(spark, src), out, ckpt,
-                              st.frequency_partials(P.LEFT, P.RIGHT), prefix_items=prefix)
-        st.run_to_end(q)
-        if name == "stream_prefix":
-            return st.committed_length(spark, out)
+    if name == "batch_counts":
+        out = run_arrivals(spark, _parts(spark, sf_dir), name, _partials({}))
         return st.batch_counts(spark, out)
+    if name == "stream_prefix":
+        out = run_arrivals(spark, _parts(spark, sf_dir), name, _partials({}, P.PREFIX_ITEMS))
+        return st.committed_length(spark, out)
+    if name == "stream_report_sketch":
+        out = run_arrivals(spark, _parts(spark, sf_dir), name, _partials(freq, P.PREFIX_ITEMS))
+        return rp.report_sketch_of(
+            st.running_frequencies(spark, out), st.committed_length(spark, out).select("n_items"),
+            P.FAMILY, P.SKETCH_W, P.LEFT, P.RIGHT, P.TOP_K)
+    if name == "stream_report_distinct":
+        out = run_arrivals(spark, _users(spark, sf_dir), name, _partials(seen, P.PREFIX_USERS))
+        return st.running_distinct(spark, out)
     raise KeyError(name)

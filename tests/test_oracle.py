@@ -24,6 +24,12 @@ def test_every_oracle_key_is_a_query():
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
+def kind(column):
+    """What a column holds: whole numbers, other numbers, truth values or text."""
+    values = {type(v.item() if hasattr(v, "item") else v).__name__ for v in column if v is not None and v == v}
+    return values or {"nothing"}
+
+
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, con, name):
     sdf = E.queries()[name](spark, SF_SMALL).toPandas()
@@ -34,4 +40,5 @@ def test_query_matches_oracle(spark, con, name):
     ddf = con.execute(sql).df()
     assert sorted(sdf.columns) == sorted(ddf.columns)
     assert len(sdf) == len(ddf)
+    assert {c: kind(sdf[c]) for c in sdf.columns} == {c: kind(ddf[c]) for c in sdf.columns}
     assert canon(sdf) == canon(ddf)

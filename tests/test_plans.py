@@ -10,7 +10,8 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 
 STREAMING = {"stream_frequencies", "stream_frequencies_stateful", "stream_count_sketch",
-             "stream_distinct_items", "stream_prefix", "batch_counts"}
+             "stream_distinct_items", "stream_prefix", "batch_counts",
+             "stream_report_sketch", "stream_report_distinct"}
 
 
 @pytest.fixture(autouse=True)

@@ -16,7 +16,7 @@ FAM = hash_family(5, 3)
 def landed(spark):
     items = items_parts(spark, SF_SMALL)
     root = scratch_path(spark, "test-stream")
-    return items, land_items(items, f"{root}/landing", 3), root
+    return items, land_items(items.repartition(3), f"{root}/landing"), root
 
 
 def rows(df, *cols):
@@ -78,7 +78,7 @@ def test_text_item_stream_parses(spark, tmp_path):
 
 def test_compaction_keeps_results(spark, landed):
     items, _, root = landed
-    src = land_items(items, f"{root}/cmp-landing", 2)
+    src = land_items(items.repartition(2), f"{root}/cmp-landing")
     out, ckpt = f"{root}/cmp-out", f"{root}/cmp-ckpt"
     parts = {**S.frequency_partials(None, None), **S.distinct_partials()}
     S.run_to_end(S.start_partials(S.item_stream(spark, src), out, ckpt, parts))
@@ -149,10 +149,103 @@ def test_compaction_inside_the_stream(spark, landed):
     parts = {**S.frequency_partials(None, None), **S.distinct_partials()}
     S.run_to_end(S.start_partials(S.item_stream(spark, src), out, ckpt, parts, compact_every=2))
     # batch 2 compacted batches 0-1 before it ran
-    marks = spark.read.parquet(f"{out}/freq_compactions").agg(F.max("upto")).first()[0]
-    assert marks == 1
+    assert S._written(spark, f"{out}/freq_compactions", "upto") == [1]
     assert rows(S.running_frequencies(spark, out), "item", "f") == \
         rows(Q.item_frequencies(items), "item", "f")
     assert S.committed_length(spark, out).first()["n_items"] == items.count()
     # a second compaction through the same batch is a no-op
     assert S.compact_partials(spark, out, "freq", through_batch=1) is None
+
+
+def test_a_larger_prefix_takes_up_what_was_left(spark, landed):
+    items, src, root = landed
+    out, ckpt = f"{root}/more-out", f"{root}/more-ckpt"
+    n = items.count()
+
+    def run(prefix):
+        S.run_to_end(S.start_partials(S.item_stream(spark, src), out, ckpt,
+                                      S.frequency_partials(None, None), prefix_items=prefix))
+        return S.committed_length(spark, out).first()["n_items"]
+
+    first = run(1)
+    assert 0 < first < n
+    assert run(1) == first  # nothing is counted twice, or behind the prefix
+    assert first < run(first + 1) < n
+    assert run(None) == n
+    assert rows(S.running_frequencies(spark, out), "item", "f") == \
+        rows(Q.item_frequencies(items), "item", "f")
+
+
+def test_a_failing_batch_is_not_taken_for_a_prefix(spark, landed):
+    _, src, root = landed
+
+    def broken(batch):
+        raise ValueError("broken on purpose")
+
+    q = S.start_partials(S.item_stream(spark, src), f"{root}/bad-out", f"{root}/bad-ckpt", {"freq": broken})
+    with pytest.raises(Exception, match="broken on purpose"):
+        S.run_to_end(q)
+
+
+def test_timeouts_raise(spark, landed):
+    _, src, root = landed
+
+    def slow(batch):
+        import time
+        time.sleep(5)
+        return S.frequency_partials(None, None)["freq"](batch)
+
+    q = S.start_partials(S.item_stream(spark, src), f"{root}/slow-out", f"{root}/slow-ckpt", {"freq": slow})
+    with pytest.raises(TimeoutError):
+        S.run_to_end(q, timeout_s=1)
+    q = S.start_partials(S.item_stream(spark, src), f"{root}/slow2-out", f"{root}/slow2-ckpt",
+                         S.frequency_partials(None, None), trigger="100 milliseconds")
+    with pytest.raises(TimeoutError):
+        S.stop_after_prefix(q, spark, f"{root}/slow2-out", 10**9, poll_s=0.1, timeout_s=1)
+    assert not q.isActive
+
+
+@pytest.mark.parametrize("read", [S.running_frequencies, S.running_distinct, S.batch_counts, S.committed_length,
+                                  S.latest_sketch, S.stateful_frequencies])
+def test_missing_state_raises_and_open_state_may_be_empty(spark, landed, read):
+    root = landed[2]
+    with pytest.raises(FileNotFoundError):
+        read(spark, f"{root}/no-such-folder").collect()
+    S.open_state(spark, f"{root}/opened")
+    assert all(not any(r) for r in read(spark, f"{root}/opened").collect())
+
+
+def test_state_stays_bounded(spark, tmp_path):
+    out = str(tmp_path / "state")
+    handle = S.partials_handler(spark, out, S.frequency_partials(None, None), compact_every=5)
+    n = 42
+    for k in range(n):
+        handle(spark.range(3).selectExpr("id + 1 AS item"), k)
+    for name in ("freq", "counts"):
+        assert len(S._written(spark, f"{out}/{name}", "batch_id")) <= 10
+        for kind in ("base", "compactions"):
+            assert len(S._written(spark, f"{out}/{name}_{kind}", "upto")) <= 2
+    assert rows(S.running_frequencies(spark, out), "item", "f") == [(1, n), (2, n), (3, n)]
+    assert S.committed_length(spark, out).first()["n_batches"] == n
+    assert len(S.running_frequencies(spark, out).inputFiles()) <= 60
+
+
+def test_snapshots_and_updates_stay_bounded(spark, landed):
+    items, _, root = landed
+    src, parts = f"{root}/many-landing", 7
+    out, ckpt = f"{root}/many-out", f"{root}/many-ckpt"
+    land_items(items.repartition(parts), src)
+    S.run_to_end(S.start_sketch(S.item_stream(spark, src), out, ckpt, FAM, 32))
+    assert S._written(spark, f"{out}/sketch", "batch_id") == [parts - 2, parts - 1]
+    S.run_to_end(S.start_stateful_frequencies(S.item_stream(spark, src), out, f"{ckpt}2", compact_every=2))
+    assert len(S._written(spark, f"{out}/updates", "batch_id")) <= 4
+    assert rows(S.stateful_frequencies(spark, out), "item", "f") == rows(Q.item_frequencies(items), "item", "f")
+
+
+def test_a_half_written_batch_is_not_read(spark, tmp_path):
+    out = str(tmp_path / "half")
+    handle = S.partials_handler(spark, out, S.frequency_partials(None, None))
+    handle(spark.range(3).selectExpr("id AS item"), 0)
+    spark.range(5).selectExpr("id AS item", "id AS f").write.parquet(f"{out}/freq/batch_id=1")  # no counts
+    assert rows(S.running_frequencies(spark, out), "item", "f") == [(0, 1), (1, 1), (2, 1)]
+    assert S.compact_partials(spark, out, "freq") == 0
