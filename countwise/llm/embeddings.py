@@ -138,7 +138,6 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     named = classes.select(*key, "rep", "copies").join(links, "rep", "left").join(
         joined, F.col("rep") == F.col("node"), "left").select(
         *key, (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
-    out = keyed.select("vec_id", *key).join(stored(named, "vector-named"), key, "left").select(
-        "vec_id", F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"),
-        F.coalesce("component_id", "vec_id").alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
+    out = keyed.filter(usable).select("vec_id", *key).join(stored(named, "vector-named"), key).select("vec_id", "n_links", "component_id")
+    alone = keyed.filter(~usable).select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"))
+    return out.union(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))

@@ -180,8 +180,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     sketches = stored(
         rows.mapInArrow(_sketch, "doc_id BIGINT, n_shingles BIGINT, key1 BIGINT, key2 BIGINT, tokens ARRAY<BIGINT>"), "minhash-sketches")
     key, matches = ["n_shingles", "key1", "key2"], match_threshold(percent)
+    linked = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     classes = stored(
-        sketches.filter("n_shingles > 0 and doc_id is not null").groupBy(*key)
+        sketches.filter(linked).groupBy(*key)
         .agg(F.min("doc_id").alias("rep"), F.first("tokens").alias("tokens")), "minhash-classes")
 
     posted = classes.select("rep", F.explode("tokens").alias("token"))
@@ -225,6 +226,6 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     named = classes.select(*key, "rep").join(found, classes["rep"] == found["node"], "left").select(
         *key, F.coalesce("component", "rep").alias("component_id"))
     named = stored(named, "minhash-named")
-    out = sketches.select("doc_id", *key).join(named, key, "left").withColumn(
-        "component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")))
-    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    out = sketches.filter(linked).select("doc_id", *key).join(named, key).select("doc_id", "n_shingles", "component_id")
+    alone = sketches.filter(~linked).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return out.union(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

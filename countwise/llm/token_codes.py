@@ -113,14 +113,15 @@ def _segments(tokenizer: str, kind: str, end_id: int):
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, kind: str = "word", end_id: int = 1) -> None:
     """Encode ``docs`` (doc_id, text) and write the ids to ``path``.
 
-    Ascending ``doc_id`` (null first, ties by text; every row is a document,
-    repeated rows too); a null or empty text has only ``end_id``.  Other
-    columns are ignored; an empty table gives an empty folder of the format.
-    Rows are dealt out by ranges of ``doc_id``, so each task writes one run of
-    the order.
+    Ascending ``doc_id`` (null first, ties by a hash of the text; every row is
+    a document, repeated rows too); a null or empty text has only ``end_id``.
+    Other columns are ignored; an empty table gives an empty folder of the
+    format.  Rows are dealt out by ranges of that order, so each task writes
+    one run of it, and many rows without an id are still spread.
     """
     rows = pick(docs, doc_id="doc_id", text="text").withColumn("doc_id", F.col("doc_id").cast("bigint"))
-    (rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    order = ["doc_id", F.xxhash64("text")]
+    (rows.repartitionByRange(*order).sortWithinPartitions(*order, "text")
          .mapInArrow(_segments(tokenizer, kind, end_id), SEGMENT)
          .write.parquet(path))
 
