@@ -38,7 +38,8 @@ for _c in range(256):
     _CLASS[_c] = (6 if _c > 127 else 0 if _x.islower() else 1 if _x.isupper() else 2 if _x.isdigit()
                   else 4 if _x == "\n" else 3 if _x.isspace() else 5)
 _CLASSES = 7
-N_FEATURES = 128 + _CLASSES * _CLASSES + 8
+_WORD_FEATURES = 9
+N_FEATURES = 128 + _CLASSES * _CLASSES + _WORD_FEATURES
 
 
 def text_features(texts: pa.Array) -> np.ndarray:
@@ -59,8 +60,9 @@ def text_features(texts: pa.Array) -> np.ndarray:
         _, counts = np.unique(own_words, return_counts=True)
         top = counts.max() if len(counts) else 0
         lines = 1 + np.count_nonzero(kind == 4)
-        row[-8:] = (np.log1p(n), np.log1p(len(own_words)), n / m, len(counts) / m, top / m,
-                    np.square(counts / m).sum(), np.log1p(lines), np.log1p(n / lines))
+        again = np.count_nonzero(own_words[1:] == own_words[:-1])
+        row[-_WORD_FEATURES:] = (np.log1p(n), np.log1p(len(own_words)), n / m, len(counts) / m, top / m,
+                                 np.square(counts / m).sum(), again / m, np.log1p(lines), np.log1p(n / lines))
     return out
 
 
