@@ -114,8 +114,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS) -> D
     count once; null ids are ids like others.
     """
     return _best_windows(docs, benchmark, radius).select(
-        F.col("doc.doc_id").alias("doc_id"), F.col("item.item_id").alias("item_id"), (-F.col("best.start")).alias("start_shingle"),
-        F.col("best.n_shared").alias("n_shared"), F.col("best.similarity").alias("similarity"))
+        F.col("doc.doc_id").alias("doc_id"), F.col("item.item_id").alias("item_id"), (-F.col("best.start")).cast("bigint").alias("start_shingle"),
+        F.col("best.n_shared").cast("bigint").alias("n_shared"), F.col("best.similarity").alias("similarity"))
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS) -> DataFrame:

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countwise.session import scratch_path
+from countwise.session import stored
+
+__all__ = ["WORD_SPLIT", "pick", "stored", "table"]
 
 #: The white space that separates words: blank, tab, line feed, vertical tab,
 #: form feed, carriage return.
@@ -16,18 +18,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared scratch folder and read it back.
-
-    Cuts the lineage (a lost executor recomputes from files, not from the
-    start) and gives later joins a scan without inherited partitioning, so
-    that both join sides are shuffle stages which AQE can split when skewed.
-    """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def pick(df: DataFrame, **columns: str) -> DataFrame:
     """Only the columns ``new=old``: extra columns cannot clash later."""
     return df.select(*[F.col(f"`{old}`").alias(new) for new, old in columns.items()])
