@@ -3,14 +3,14 @@
 All variants share one counting core on canonical edges (u < v):
 
 1. Orient every edge from the lower to the higher vertex of a total order.
-   The default order is (heavy, id), where a vertex is heavy if its degree
-   exceeds sqrt(2m): a light vertex has at most sqrt(2m) neighbours at all,
-   and fewer than sqrt(2m) vertices are heavy, so no out-neighbour list is
-   longer -- not even that of a hub holding a third of all edges.  The same
-   bound holds for the heavy table, so it can be broadcast.
-   ``order="degree"`` is the (degree, id) order (Suri & Vassilvitskii, WWW
-   2011) with the same bound and shorter lists on strongly skewed graphs, at
-   the price of two joins of the edges with the degrees.
+   The default order is (degree, id) (Suri & Vassilvitskii, WWW 2011): every
+   out-degree is then at most sqrt(2m), so no vertex -- not even a hub holding
+   a third of all edges -- yields an unbounded list.
+   ``order="id"`` orders by (heavy, id), where a vertex is heavy if its degree
+   exceeds sqrt(2m).  A light vertex has at most sqrt(2m) neighbours at all
+   and fewer than sqrt(2m) vertices are heavy, so the same bound holds for the
+   lists, and for the heavy table, which can be broadcast: the edges are not
+   shuffled to be oriented.  On skewed graphs the lists are longer.
 2. Out-neighbour lists N+(x) by ``groupBy(src).collect_list(dst)``.
 3. Every oriented edge (x -> y) meets N+(y) in one equi-join; the triangle
    count of the edge is ``size(array_intersect(N+(x), N+(y)))``.  Each
@@ -47,7 +47,7 @@ from countwise.functions.hashing import (
 from countwise.functions.stats import int_median
 from countwise.session import stored
 
-ORDERS = ("id", "degree")
+ORDERS = ("degree", "id")
 
 
 def _check_colors(num_colors: int) -> None:
@@ -59,7 +59,7 @@ def _check_colors(num_colors: int) -> None:
 # counting core
 # --------------------------------------------------------------------------
 
-def orient_edges(edges: DataFrame, order: str = "id") -> DataFrame:
+def orient_edges(edges: DataFrame, order: str = "degree") -> DataFrame:
     """Canonical edges (u, v, extra..) -> oriented edges (extra.., src, dst).
 
     Extra columns (a subset key, say) are carried along.  The orientation
@@ -144,7 +144,7 @@ def sorted3(a: Column, b: Column, c: Column) -> tuple[Column, Column, Column]:
     return lo, a + b + c - lo - hi, hi
 
 
-def triangles(edges: DataFrame, order: str = "id") -> DataFrame:
+def triangles(edges: DataFrame, order: str = "degree") -> DataFrame:
     """List every triangle once -> (u, v, w) with u < v < w by id."""
     tri = (common_neighbours(orient_edges(edges, order))
            .select("src", "dst", F.explode("common").alias("w")))
@@ -152,7 +152,7 @@ def triangles(edges: DataFrame, order: str = "id") -> DataFrame:
     return tri.select(u.alias("u"), v.alias("v"), w.alias("w"))
 
 
-def exact_tc(edges: DataFrame, order: str = "id") -> DataFrame:
+def exact_tc(edges: DataFrame, order: str = "degree") -> DataFrame:
     """Exact triangle count of canonical edges -> one row (triangles)."""
     return triangle_counts(orient_edges(edges, order)).select(F.col("t").alias("triangles"))
 
@@ -178,7 +178,7 @@ def monochromatic(edges: DataFrame, num_colors: int, params: LinearParams,
 
 
 def triangles_by_color(edges: DataFrame, num_colors: int, params: LinearParams,
-                       p: int = PRIME, order: str = "id") -> DataFrame:
+                       p: int = PRIME, order: str = "degree") -> DataFrame:
     """t(i), the triangles of the edges of colour i -> (color, t)."""
     _check_colors(num_colors)
     mono = _mono(edges, num_colors, params, p, ("u", "v"))
@@ -186,7 +186,7 @@ def triangles_by_color(edges: DataFrame, num_colors: int, params: LinearParams,
 
 
 def approx_tc_colors(edges: DataFrame, num_colors: int, params: LinearParams,
-                     p: int = PRIME, order: str = "id") -> DataFrame:
+                     p: int = PRIME, order: str = "degree") -> DataFrame:
     """T4: C^2 * (triangles of monochromatic edges) -> one row (estimate).
 
     A triangle of monochromatic edges is wholly one colour (the edges share
@@ -210,7 +210,7 @@ def _runs_column(runs: Sequence[LinearParams]) -> Column:
 
 
 def approx_tc_runs(edges: DataFrame, num_colors: int, runs: Sequence[LinearParams],
-                   p: int = PRIME, order: str = "id") -> DataFrame:
+                   p: int = PRIME, order: str = "degree") -> DataFrame:
     """T4 repeated R times in one plan -> (run, estimate), every run present.
 
     Each oriented edge is replicated once per run by exploding a literal
@@ -237,7 +237,7 @@ def approx_tc_runs(edges: DataFrame, num_colors: int, runs: Sequence[LinearParam
 
 
 def approx_tc_median(edges: DataFrame, num_colors: int, runs: Sequence[LinearParams],
-                     p: int = PRIME, order: str = "id") -> DataFrame:
+                     p: int = PRIME, order: str = "degree") -> DataFrame:
     """T4r: median over R colourings -> one row (estimate)."""
     per_run = approx_tc_runs(edges, num_colors, runs, p, order)
     return per_run.agg(int_median(F.collect_list("estimate")).alias("estimate"))
@@ -262,7 +262,7 @@ def _oriented_buckets(edges: DataFrame, num_buckets: int, params: BucketParams,
     return o.select(edge_bucket(lo, hi, num_buckets, params, p).alias("bucket"), "src", "dst")
 
 
-def triangles_by_bucket(bucketed_edges: DataFrame, order: str = "id") -> DataFrame:
+def triangles_by_bucket(bucketed_edges: DataFrame, order: str = "degree") -> DataFrame:
     """t(i) within each subset of (bucket, u, v) -> (bucket, t)."""
     return triangle_counts(orient_edges(bucketed_edges, order), ["bucket"])
 
@@ -273,20 +273,20 @@ def _scaled_sum(per_group: DataFrame, num_buckets: int) -> DataFrame:
 
 
 def triangles_by_hash_bucket(edges: DataFrame, num_buckets: int, params: BucketParams,
-                             p: int = PRIME, order: str = "id") -> DataFrame:
+                             p: int = PRIME, order: str = "degree") -> DataFrame:
     """A8 (hash mode) -> (bucket, t), the subset computed after orienting."""
     _check_colors(num_buckets)
     return triangle_counts(_oriented_buckets(edges, num_buckets, params, p, order), ["bucket"])
 
 
 def approx_tc_buckets(edges: DataFrame, num_buckets: int, params: BucketParams,
-                      p: int = PRIME, order: str = "id") -> DataFrame:
+                      p: int = PRIME, order: str = "degree") -> DataFrame:
     """T5: C^2 * sum of triangles inside random edge subsets -> (estimate)."""
     return _scaled_sum(triangles_by_hash_bucket(edges, num_buckets, params, p, order), num_buckets)
 
 
 def partition_buckets(edges: DataFrame, num_buckets: int, params: BucketParams,
-                      p: int = PRIME, order: str = "id") -> DataFrame:
+                      p: int = PRIME, order: str = "degree") -> DataFrame:
     """P7 (partition mode): a round-robin deal of all edges into C subsets
     -> oriented (bucket, src, dst).
 
@@ -320,13 +320,13 @@ def partition_buckets(edges: DataFrame, num_buckets: int, params: BucketParams,
 
 
 def triangles_by_partition(edges: DataFrame, num_buckets: int, params: BucketParams,
-                           p: int = PRIME, order: str = "id") -> DataFrame:
+                           p: int = PRIME, order: str = "degree") -> DataFrame:
     """A8 (partition mode) -> (bucket, t)."""
     return triangle_counts(partition_buckets(edges, num_buckets, params, p, order), ["bucket"])
 
 
 def approx_tc_partitions(edges: DataFrame, num_buckets: int, params: BucketParams,
-                         p: int = PRIME, order: str = "id") -> DataFrame:
+                         p: int = PRIME, order: str = "degree") -> DataFrame:
     """T5 with round-robin partitions as the subsets -> (estimate)."""
     return _scaled_sum(triangles_by_partition(edges, num_buckets, params, p, order), num_buckets)
 
@@ -354,24 +354,27 @@ def expand_triplets(edges: DataFrame, num_colors: int, params: LinearParams,
     return _triplets(edges, num_colors, params, p, ("u", "v"))
 
 
-TRIPLET_METHODS = ("expand", "direct")
+TRIPLET_METHODS = ("direct", "expand")
 
 
 def triangles_by_triplet(edges: DataFrame, num_colors: int, params: LinearParams,
-                         p: int = PRIME, order: str = "id",
-                         method: str = "expand") -> DataFrame:
+                         p: int = PRIME, order: str = "degree",
+                         method: str = "direct") -> DataFrame:
     """t_k, the triangles inside key k whose sorted colours equal k
     -> (k1, k2, k3, t).  Every triangle is counted at exactly one key.
 
-    ``method="expand"`` is the colour-triplet algorithm: every edge is
-    replicated into its C keys and each key group is counted on its own.
-    An edge (x, y) sits in key k = sort(h(x), h(y), i) for exactly one i,
-    so a triangle x, y, w of that group has colours k iff h(w) = i; the
-    candidates w are exploded and tested with a plain column filter.
-
-    ``method="direct"`` gives the same t_k without replication: list the
-    triangles once and group them by their sorted colours (the partial
-    aggregation folds them map-side into at most C^3 rows per task).
+    ``method="direct"`` lists the triangles once and groups them by their
+    sorted colours (the partial aggregation folds them map-side into at most
+    C^3 rows per task).
+
+    ``method="expand"`` is the colour-triplet algorithm as published: every
+    edge is replicated into its C keys and each key group is counted on its
+    own.  An edge (x, y) sits in key k = sort(h(x), h(y), i) for exactly one
+    i, so a triangle x, y, w of that group has colours k iff h(w) = i; the
+    candidates w are exploded and tested with a plain column filter.  It was
+    made for engines whose tasks must hold a whole group: here the list bound
+    of the core already bounds every group, so it ships C times the edges for
+    the same result and serves as an independent check of ``direct``.
     """
     _check_colors(num_colors)
     if method not in TRIPLET_METHODS:
@@ -395,7 +398,7 @@ def triangles_by_triplet(edges: DataFrame, num_colors: int, params: LinearParams
 
 
 def exact_tc_triplets(edges: DataFrame, num_colors: int, params: LinearParams,
-                      p: int = PRIME, order: str = "id", method: str = "expand") -> DataFrame:
+                      p: int = PRIME, order: str = "degree", method: str = "direct") -> DataFrame:
     """Sum of t_k -> one row (triangles); equals ``exact_tc``."""
     per_key = triangles_by_triplet(edges, num_colors, params, p, order, method)
     return per_key.agg(F.coalesce(F.sum("t"), F.lit(0)).cast("bigint").alias("triangles"))

@@ -144,8 +144,8 @@ QUERIES: dict[str, Query] = {
     "triangles_by_color": lambda s, d: tri.triangles_by_color(_edges(s, d), P.COLORS, P.COLORING),
     "triangles_by_bucket": lambda s, d: tri.triangles_by_hash_bucket(_edges(s, d), P.BUCKETS,
                                                                      P.BUCKET_PARAMS),
-    "triangles_by_triplet": lambda s, d: tri.triangles_by_triplet(_edges(s, d), P.COLORS,
-                                                                  P.COLORING),
+    "triangles_by_triplet": lambda s, d: tri.triangles_by_triplet(
+        _edges(s, d), P.COLORS, P.COLORING, method="expand"),
     "triangles_by_triplet_direct": lambda s, d: tri.triangles_by_triplet(
         _edges(s, d), P.COLORS, P.COLORING, method="direct"),
     "approx_tc_colors": lambda s, d: tri.approx_tc_colors(_edges(s, d), P.COLORS, P.COLORING),
@@ -157,7 +157,6 @@ QUERIES: dict[str, Query] = {
                                                                   P.BUCKET_PARAMS),
     "exact_tc": lambda s, d: tri.exact_tc(_edges(s, d)),
     "exact_tc_id_order": lambda s, d: tri.exact_tc(_edges(s, d), order="id"),
-    "exact_tc_degree_order": lambda s, d: tri.exact_tc(_edges(s, d), order="degree"),
     "exact_tc_triplets": lambda s, d: tri.exact_tc_triplets(_edges(s, d), P.COLORS, P.COLORING),
     # frequencies and sketch
     "item_frequencies": _freq,
@@ -399,7 +398,6 @@ ORACLE_SQL: dict[str, str] = {
     "approx_tc_partitions": S_PARTITION_EST,
     "exact_tc": S_EXACT,
     "exact_tc_id_order": S_EXACT,
-    "exact_tc_degree_order": S_EXACT,
     "exact_tc_triplets": (f"SELECT CAST(coalesce(sum(t), 0) AS BIGINT) AS triangles "
                           f"FROM ({S_TRIPLET_T})"),
     "item_frequencies": S_FREQ,

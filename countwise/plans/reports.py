@@ -61,7 +61,7 @@ def report_word_counts(lines: DataFrame, num_keys: int, seed: int = 0) -> DataFr
 
 
 def report_tc_approx(raw_edges: DataFrame, num_colors: int, runs: Sequence[LinearParams],
-                     buckets: BucketParams, p: int = PRIME, order: str = "id",
+                     buckets: BucketParams, p: int = PRIME, order: str = "degree",
                      subsets: str = "hash") -> DataFrame:
     """C2 -> (n_edges, C, R, est_colors_median, est_partitions).
 
@@ -82,7 +82,7 @@ def report_tc_approx(raw_edges: DataFrame, num_colors: int, runs: Sequence[Linea
 
 def report_tc(raw_edges: DataFrame, num_colors: int, runs: Sequence[LinearParams], mode: int,
               coloring: LinearParams | None = None, p: int = PRIME,
-              order: str = "id") -> DataFrame:
+              order: str = "degree") -> DataFrame:
     """C3 -> (n_edges, C, R, mode, triangles).
 
     mode 0: median of R node-colouring estimates; mode 1: exact count by
