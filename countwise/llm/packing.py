@@ -17,6 +17,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from countwise.llm.frames import pick
-from countwise.llm.tokenizing import encoder
+from countwise.llm.tokenizing import encoder, slices
 
 CAPACITY = 1024
 #: Documents per packing group on average.
@@ -75,7 +76,7 @@ def sum_of_squares(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.nd
 
 def _pieces(tokenizer: str, kind: str, end_id: int, capacity: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in chain.from_iterable(map(slices, batches)):
             flat, offsets = encoder(tokenizer, kind).encode(batch.column(1))
             rows: list[tuple] = []
             for doc, lo, hi in zip(batch.column(0).to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist()):

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from countwise.llm.frames import pick
-from countwise.llm.tokenizing import encoder
+from countwise.llm.tokenizing import encoder, slices
 
 CHUNK_BITS = 8
 RANK_EVERY = 512
@@ -96,7 +97,7 @@ def _segments(tokenizer: str, kind: str, end_id: int):
             seq, start, held, docs, ids = seq + 1, start + held, 0, [], []
             return pa.RecordBatch.from_pylist([row], schema=_ARROW)
 
-        for batch in batches:
+        for batch in chain.from_iterable(map(slices, batches)):
             flat, offsets = encoder(tokenizer, kind).encode(batch.column(1))
             for doc, lo, hi in zip(batch.column(0).to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist()):
                 docs.append(doc)

@@ -9,6 +9,7 @@ provably safe is encoded whole by the library.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -17,9 +18,9 @@ import pyarrow as pa
 from countwise.llm.word_hashes import mix, span_hashes, text_buffer, word_spans
 
 #: Cached units beyond which a worker forgets them all.
-CACHE_UNITS = 1 << 21
+CACHE_UNITS = 1 << 20
 #: Bytes of text handled at once in a task.
-SLICE_BYTES = 1 << 22
+SLICE_BYTES = 1 << 21
 #: Units given to the library in one call, and what stands between them.
 JOINED = 1000
 _BAR, _FEED = "|", "\n"
@@ -38,16 +39,16 @@ class _Slots:
     """Row numbers by 64-bit key: open addressing in arrays, for whole arrays of keys at once."""
 
     def __init__(self):
-        self.table = np.full(1 << 16, -1, np.int32)
-        self.keys = np.zeros(0, np.uint64)
+        self.table = np.full(1 << 17, -1, np.int32)
+        self.keys = np.zeros(1 << 15, np.uint64)
+        self.n = 0
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """The row of each key, or -1."""
         mask = np.uint64(len(self.table) - 1)
         at = keys & mask
         rows = self.table[at]
-        open_ = np.flatnonzero(rows >= 0)
-        open_ = open_[self.keys[rows[open_]] != keys[open_]]
+        open_ = np.flatnonzero((self.keys[rows] != keys) & (rows >= 0))
         while len(open_):
             at[open_] = (at[open_] + np.uint64(1)) & mask
             rows[open_] = self.table[at[open_]]
@@ -57,13 +58,12 @@ class _Slots:
 
     def add(self, keys: np.ndarray) -> None:
         """Give new, distinct keys the next rows."""
-        first = len(self.keys)
-        self.keys = np.concatenate([self.keys, keys])
-        if 2 * len(self.keys) > len(self.table):
-            self.table = np.full(4 * len(self.table), -1, np.int32)
-            while 2 * len(self.keys) > len(self.table):
-                self.table = np.full(2 * len(self.table), -1, np.int32)
-            first, keys = 0, self.keys
+        first, self.n = self.n, self.n + len(keys)
+        self.keys = grown(self.keys, self.n)
+        self.keys[first:self.n] = keys
+        if 2 * self.n > len(self.table):
+            self.table = np.full(1 << (4 * self.n - 1).bit_length(), -1, np.int32)
+            first, keys = 0, self.keys[:self.n]
         mask = np.uint64(len(self.table) - 1)
         rows, at = np.arange(first, first + len(keys), dtype=np.int32), keys & mask
         while len(rows):
@@ -73,6 +73,15 @@ class _Slots:
             rows, at = rows[lost], (at[lost] + np.uint64(1)) & mask
 
 
+def grown(values: np.ndarray, n: int) -> np.ndarray:
+    """``values``, or a copy with room for n and half as many more."""
+    if n <= len(values):
+        return values
+    more = np.zeros(n + n // 2, values.dtype)
+    more[:len(values)] = values
+    return more
+
+
 class Encoder:
     """Encodes texts with one tokenizer file.
 
@@ -97,8 +106,8 @@ class Encoder:
         self.slots = _Slots()
         self.ids = np.zeros(1 << 16, np.uint32)
         self.used = 0
-        self.starts = np.zeros(0, np.int64)
-        self.sizes = np.zeros(0, np.int64)
+        self.starts = np.zeros(1 << 15, np.int64)
+        self.sizes = np.zeros(1 << 15, np.int32)
 
     def _library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
@@ -110,35 +119,37 @@ class Encoder:
         which, with its neighbours, always becomes a pre-token of its own.
         """
         joint = " | " if self.kind == "word" else _FEED
-        plain = [_BAR not in u for u in units] if self.kind == "word" else [True] * len(units)
-        sizes = np.zeros(len(units), np.int64)
-        found: list = [None] * len(units)
-        at = [k for k, p in enumerate(plain) if p]
-        for k in range(0, len(at), JOINED):
-            some = at[k:k + JOINED]
-            ids = np.array(self._library([joint.join([units[i] for i in some])])[0], np.uint32)
-            parts = np.split(ids, np.flatnonzero(ids == self.mark_id))
-            if len(parts) != len(some):
-                raise ValueError("a joined text did not come apart into its units")
-            for n, (i, part) in enumerate(zip(some, parts)):
-                found[i] = part[1:] if n else part
-        for i in (k for k, p in enumerate(plain) if not p):
-            found[i] = np.array(self._library([units[i]])[0], np.uint32)
-        sizes[:] = [len(x) for x in found]
-        return np.concatenate(found), sizes
+        parts, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for k in range(0, len(units), JOINED):
+            some = units[k:k + JOINED]
+            ids = np.array(self._library([joint.join(some)])[0], np.uint32)
+            mark = np.flatnonzero(ids == self.mark_id)
+            if len(mark) == len(some) - 1:
+                parts.append(np.delete(ids, mark))
+                sizes.append(np.diff(np.concatenate([[-1], mark, [len(ids)]])) - 1)
+            else:  # a unit has the mark in it
+                alone = self._library(some)
+                parts += [np.array(x, np.uint32) for x in alone]
+                sizes.append(np.fromiter(map(len, alone), np.int64, len(alone)))
+        return np.concatenate(parts), np.concatenate(sizes)
 
     def _learn(self, keys: np.ndarray, units: list[str], after_feed: np.ndarray) -> None:
+        # Units with the mark in them come last, so few calls hold one.
+        hold = np.array([_BAR in u for u in units]) if self.kind == "word" else np.zeros(len(units), bool)
+        order = np.argsort(hold, kind="stable")
+        keys, units, after_feed = keys[order], [units[i] for i in order.tolist()], after_feed[order]
         ids, sizes = self._spelled(units)
         if after_feed.any():
             ids = np.insert(ids, (np.cumsum(sizes) - sizes)[after_feed], self.mark_id)
             sizes = sizes + after_feed
-        if self.used + len(ids) > len(self.ids):
-            self.ids = np.concatenate([self.ids[:self.used], np.zeros(self.used + 2 * len(ids), np.uint32)])
+        first = self.slots.n
+        self.slots.add(keys)
+        self.ids, self.starts, self.sizes = (
+            grown(self.ids, self.used + len(ids)), grown(self.starts, self.slots.n), grown(self.sizes, self.slots.n))
         self.ids[self.used:self.used + len(ids)] = ids
-        self.starts = np.concatenate([self.starts, self.used + np.cumsum(sizes) - sizes])
-        self.sizes = np.concatenate([self.sizes, sizes])
+        self.starts[first:self.slots.n] = self.used + np.cumsum(sizes) - sizes
+        self.sizes[first:self.slots.n] = sizes
         self.used += len(ids)
-        self.slots.add(keys)
 
     def _whole(self, data: np.ndarray, texts: np.ndarray) -> np.ndarray:
         """Which texts must be encoded whole: odd white space, several in a row, or some at an end."""
@@ -186,7 +197,7 @@ class Encoder:
             before = np.where(starts == texts[of], _FIRST, np.where(data[starts - 1] == 0x0A, _AFTER_FEED, _AFTER_BLANK))
             with np.errstate(over="ignore"):
                 keys = mix(keys + before.astype(np.uint64))
-        if len(self.slots.keys) > CACHE_UNITS:
+        if self.slots.n > CACHE_UNITS:
             self._start()
         rows = self.slots.find(keys)
         missing = np.flatnonzero(rows < 0)
@@ -202,7 +213,7 @@ class Encoder:
             self._learn(new, units, feed)
             rows[missing] = self.slots.find(keys[missing])
         sizes = self.sizes[rows]
-        stops = np.cumsum(sizes)
+        stops = np.cumsum(sizes, dtype=np.int64)
         total = int(stops[-1]) if len(stops) else 0
         ids = self.ids[np.repeat(self.starts[rows] - (stops - sizes), sizes) + np.arange(total)]
         own = np.bincount(of, sizes, n).astype(np.int64)
@@ -216,6 +227,12 @@ class Encoder:
         return ids, own
 
 
+def slices(batch: pa.RecordBatch, rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch, so that a task holds the ids of few texts at once."""
+    for first in range(0, batch.num_rows, rows):
+        yield batch.slice(first, rows)
+
+
 @lru_cache(maxsize=4)
 def encoder(path: str, kind: str) -> Encoder:
     """One encoder per Python worker, kept between batches and tasks."""
