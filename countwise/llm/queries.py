@@ -51,7 +51,9 @@ def op2_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+    pages = table(spark, sf_dir, "pages")
+    evidence = url_filter.page_evidence(pages, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return url_filter.judge_urls(pages, URL_RULES, evidence=evidence)
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
