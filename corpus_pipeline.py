@@ -28,7 +28,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that an earlier place holds already; one that loses its whole text goes."""
     # Stored first: a filter on the new text, pushed down, would build it anew for every use.
-    done = stored(line_dedup.dedup_lines(docs).drop("text"), "pipeline-lines")
+    done = stored(line_dedup.dedup_lines(docs, exact_chars=line_dedup.EXACT_CHARS).drop("text"), "pipeline-lines")
     kept = done.filter((F.col("n_removed") == 0) | (F.col("kept_text") != ""))
     new = {"text": F.col("kept_text"), "n_chars": F.char_length("kept_text").cast("bigint")}
     return kept.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])

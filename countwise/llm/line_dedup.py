@@ -24,8 +24,10 @@ from pyspark.sql import functions as F
 from countwise.llm.frames import stored
 
 MAX_EDITS = 1
-#: Shorter lines are left alone: an edit would join unrelated ones.
+#: Shorter lines are not compared with near ones: an edit would join unrelated ones.
 MIN_CHARS = 20
+#: Equal lines of so many characters are removed, if they are not blank.
+EXACT_CHARS = 1
 
 
 def segments(n: Column, count: int) -> list[tuple[Column, Column]]:
@@ -127,11 +129,14 @@ def _characters(line: Column) -> Column:
     return F.filter(F.split(line, ""), lambda c: c != "")
 
 
-def dedup_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def dedup_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS,
+                exact_chars: int | None = None) -> DataFrame:
     """The rows and columns of ``docs`` (doc_id, text, ..) with n_lines, n_removed and kept_text.
 
-    Lines end at line feeds; lines of fewer than ``min_chars`` characters stay
-    and remove nothing.  Kept lines are joined by line feeds.  A null text has
+    Lines end at line feeds.  Lines of fewer than ``min_chars`` characters have
+    no near lines; from ``exact_chars`` on (if None, ``min_chars``), and unless
+    they are blank, they go if an earlier line is equal.  The others stay and
+    remove nothing.  Kept lines are joined by line feeds.  A null text has
     no line and stays null; an empty text has one, empty line.  Rows that
     repeat a doc_id (null counts as one id, before all others) are one place,
     so they do not remove each other's lines.  Other columns pass through; one
@@ -140,13 +145,19 @@ def dedup_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MI
     others = [c for c in docs.columns if c not in ("doc_id", "text", "n_lines", "n_removed", "kept_text")]
     rows = docs.select(F.struct("doc_id").alias("doc"), F.struct("text", *[F.col(f"`{c}`") for c in others]).alias("row"))
     each = rows.select("doc", F.posexplode_outer(F.split("row.text", "\n")).alias("line_no", "line"))
-    each = each.withColumn("n", F.char_length("line")).filter(F.col("n") >= min_chars)
+
+    def compared(line: Column) -> Column:
+        n = F.char_length(line)
+        return n >= min_chars if exact_chars is None else (n >= min_chars) | ((n >= exact_chars) & line.rlike(r"\S"))
+
+    each = each.withColumn("n", F.char_length("line")).filter(compared(F.col("line")))
     line, n = F.col("line"), F.col("n")
+    long = n >= min_chars
     heads = stored(
         each.groupBy(F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("line"), "line").alias("h2")).agg(
             F.min(F.struct("doc", "line_no")).alias("place"),
-            F.first(F.struct(word_bits(line).alias("bits"), index_keys(line, n, max_edits).alias("index"),
-                             probe_keys(line, n, max_edits).alias("probes"))).alias("own")).select("place", "own.*"), "line-heads")
+            F.first(F.struct(F.when(long, word_bits(line)).alias("bits"), F.when(long, index_keys(line, n, max_edits)).alias("index"),
+                             F.when(long, probe_keys(line, n, max_edits)).alias("probes"))).alias("own")).select("place", "own.*"), "line-heads")
 
     a, b = (F.struct(F.struct(F.col("doc_" + x).alias("doc_id")).alias("doc"), F.col("line_no_" + x).alias("line_no")) for x in "ab")
     indexed, probing = (heads.select(
@@ -169,7 +180,7 @@ def dedup_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MI
     decided = (rows.join(first, F.col("doc") == F.col("first_doc"), "left").join(later, F.col("doc") == F.col("near_doc"), "left")
                .select("doc", _whole("row").alias("row"), F.array_except(F.coalesce("first", none), F.coalesce("near", none)).alias("kept"))
                .select("doc", "row", "kept", F.split("row.text", "\n").alias("lines")))
-    short = F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: F.char_length(F.get("lines", i)) < min_chars)
+    short = F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: ~compared(F.get("lines", i)))
     at = decided.withColumn("at", F.sort_array(F.filter(F.concat("kept", short), lambda i: i < F.size("lines"))))
     done = at.select(
         "doc", "row", F.coalesce(F.size("lines"), F.lit(0)).cast("bigint").alias("n_lines"),

@@ -40,7 +40,7 @@ def tokenizer_file(name: str) -> str:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), exact_chars=line_dedup.EXACT_CHARS).select(
         "doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 

@@ -1,10 +1,12 @@
 """Cases that earlier versions of the operators left out."""
 
 import random
+from collections import Counter
 
 from helpers import DOC, frame, prose
 
-from countwise.llm import url_filter
+from countwise.llm import line_dedup, url_filter
+from countwise.llm.frames import table
 from countwise.llm.queries import URL_RULES
 
 LABELS = "doc_id BIGINT, quality INT, toxic INT"
@@ -30,3 +32,23 @@ def test_url_rules_are_learned_from_page_labels(spark):
     share = url_filter.undecided_share(judged).first()
     assert (share["n_undecided"], share["n_blocked"], share["share"]) == (53, 21, 21 / 53)
     assert url_filter.judge_urls(pages, URL_RULES).filter("rule IS NULL AND verdict = 'block'").count() == 0
+
+
+# -- 1 -------------------------------------------------------------------------
+
+def test_equal_short_lines_go(spark):
+    docs = [(1, "Menu\n\nhome\nMenu"), (2, "menu\nMenu\n  \n\nan earlier line of some length"), (3, "home\n  \nhomf"), (4, "an earlier line of some lengths\nx"), (5, "x")]
+    got = {r["doc_id"]: (r["kept_text"], r["n_removed"]) for r in line_dedup.dedup_lines(frame(spark, docs, DOC), exact_chars=line_dedup.EXACT_CHARS).collect()}
+    # Blank lines stay, and short lines have no near ones.
+    assert got == {1: ("Menu\n\nhome", 1), 2: ("menu\n  \n\nan earlier line of some length", 1), 3: ("  \nhomf", 1), 4: ("x", 1), 5: ("", 1)}
+
+
+def test_no_line_is_left_twice_by_query_and_pipeline(spark):
+    import corpus_pipeline
+
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    after = dict(corpus_pipeline.STAGES)["line_dedup"](spark, docs, "/root/testdata/sf0.001").collect()
+    lines = Counter(line for r in after for line in r["text"].split("\n") if line.strip())
+    assert max(lines.values()) == 1
+    every = {line for r in docs.collect() for line in r["text"].split("\n") if 0 < len(line) < 20 and line.strip()}
+    assert every <= set(lines)
