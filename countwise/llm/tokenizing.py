@@ -96,7 +96,8 @@ class Encoder:
         if kind not in ("byte", "word"):
             raise ValueError(f"unknown kind of tokenizer: {kind}")
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        #: Texts that hold one are encoded whole: the library cuts them there first.
+        self.markers = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.kind = kind
         self.mark = _FEED if kind == "byte" else _BAR
         (self.mark_id,) = self._library([self.mark])[0]
@@ -152,8 +153,16 @@ class Encoder:
         self.used += len(ids)
 
     def _whole(self, data: np.ndarray, texts: np.ndarray) -> np.ndarray:
-        """Which texts must be encoded whole: odd white space, several in a row, or some at an end."""
+        """Which texts must be encoded whole: with an added token in them, odd white space, several in a row, or some at an end."""
         odd = np.zeros(len(texts) - 1, bool)
+        raw = data.tobytes()
+        for marker in self.markers:
+            at = raw.find(marker)
+            while at >= 0:
+                # A match across two texts only sends the first one to the library.
+                k = int(np.searchsorted(texts, at, "right")) - 1
+                odd[k] = True
+                at = raw.find(marker, at + 1)
         if self.kind == "word":
             return odd
         space = (data == 0x20) | (data == 0x0A)

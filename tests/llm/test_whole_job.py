@@ -3,11 +3,15 @@
 import random
 from collections import Counter
 
+import pyarrow as pa
+import pytest
 from helpers import DOC, frame, prose
+from tokenizers import Tokenizer
 
 from countwise.llm import line_dedup, url_filter
 from countwise.llm.frames import table
-from countwise.llm.queries import URL_RULES
+from countwise.llm.queries import URL_RULES, tokenizer_file
+from countwise.llm.tokenizing import Encoder
 
 LABELS = "doc_id BIGINT, quality INT, toxic INT"
 
@@ -52,3 +56,16 @@ def test_no_line_is_left_twice_by_query_and_pipeline(spark):
     assert max(lines.values()) == 1
     every = {line for r in docs.collect() for line in r["text"].split("\n") if 0 < len(line) < 20 and line.strip()}
     assert every <= set(lines)
+
+
+# -- 2, 4 ----------------------------------------------------------------------
+
+@pytest.mark.parametrize("name,kind", [("word_bpe_49k.json", "word"), ("byte_bpe_50k.json", "byte")])
+def test_markers_are_encoded_as_the_library_does(name, kind):
+    plain = Tokenizer.from_file(tokenizer_file(name))
+    mark = "<|endoftext|>"
+    texts = ["a <|endoftext|> b", mark, mark * 2, f"a{mark}b", "<|ENDOFTEXT|> x", "a <|EndOfText|> b", "<|startoftext|> hi", "<|endof", "text|>", "no mark", f"x\n{mark}\ny", "", None, f"é{mark}"]
+    e = Encoder(tokenizer_file(name), kind)
+    for _ in range(2):
+        ids, offsets = e.encode(pa.array(texts))
+        assert [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:])] == [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
