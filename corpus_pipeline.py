@@ -35,10 +35,19 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near duplicates."""
+    """The document with the smallest doc_id of each group of near duplicates.
+
+    Each (doc_id, text) is decided by itself, under a number of its own in the
+    order of doc_id (nulls last); one row of equal ones stays.
+    """
     ship_package(spark)
-    gone = minhash.near_duplicates(docs).filter("not kept").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
+    keys = {"key_1": F.xxhash64("doc_id", "text"), "key_2": F.xxhash64(F.isnull("doc_id"), F.isnull("text"), "text", "doc_id")}
+    ids = docs.select("doc_id", *[k.alias(name) for name, k in keys.items()]).distinct().orderBy(F.asc_nulls_last("doc_id"), *keys)
+    ids = stored(ids.select(*keys, F.monotonically_increasing_id().alias("row_no")), "pipeline-row-numbers")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[k.alias(name) for name, k in keys.items()])
+    rows = stored(rows.join(ids, list(keys)).groupBy(*keys, "row_no").agg(F.first("row").alias("row")), "pipeline-rows")
+    gone = minhash.near_duplicates(rows.select(F.col("row_no").alias("doc_id"), "row.text")).filter("not kept").select(F.col("doc_id").alias("gone"))
+    return rows.join(gone, F.col("row_no") == F.col("gone"), "left_anti").select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -69,3 +69,16 @@ def test_markers_are_encoded_as_the_library_does(name, kind):
     for _ in range(2):
         ids, offsets = e.encode(pa.array(texts))
         assert [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:])] == [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+# -- pipeline ------------------------------------------------------------------
+
+def test_near_duplicates_go_by_row(spark):
+    import corpus_pipeline
+
+    rng = random.Random(8)
+    a, b, c, d = (prose(rng, 80) for _ in range(4))
+    rows = [(1, a), (2, a), (2, b), (3, c), (3, c), (None, d), (None, d), (None, a), (4, None), (4, None)]
+    stage = dict(corpus_pipeline.STAGES)["minhash_near_dedup"]
+    kept = [tuple(r) for r in stage(spark, frame(spark, rows, DOC), "").collect()]
+    assert sorted(kept, key=repr) == sorted([(1, a), (2, b), (3, c), (None, d), (4, None)], key=repr)
