@@ -8,7 +8,8 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countwise.llm import chat, decontamination, embeddings, line_dedup, minhash, packing, quality, substrings, token_codes, url_filter
+from countwise.llm import (chat, decontamination, embeddings, hard_negatives, lexical, line_dedup, minhash, packing, quality, substrings, token_codes, token_counts,
+                           url_filter)
 from countwise.llm.frames import table
 from countwise.llm.shipping import ship_package
 from countwise.llm.sql import ORACLE_SQL  # noqa: F401
@@ -76,6 +77,20 @@ def op8_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(table(spark, sf_dir, "conversations"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", noisy), F.col("vec_id") % 50 == 0)
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,5 +101,8 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: _shipped(f) for f in (op1_line_dedup, op2_token_codes, op3_url_filter, op4_best_fit_packing, op5_benchmark_decontamination, op6_minhash_near_dedup, op7_quality_classifier, op8_chat_rotation, op9_embedding_near_dedup, op10_substring_dedup)
+    f.__name__: _shipped(f) for f in (
+        op1_line_dedup, op2_token_codes, op3_url_filter, op4_best_fit_packing, op5_benchmark_decontamination, op6_minhash_near_dedup,
+        op7_quality_classifier, op8_chat_rotation, op9_embedding_near_dedup, op10_substring_dedup, op11_ranked_search, op12_token_counts,
+        op13_hard_negatives)
 }

@@ -130,4 +130,45 @@ SELECT conv_id, participant, count(*) AS n_turns,
 FROM lines GROUP BY conv_id, participant
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_line_dedup": OP1, "op3_url_filter": OP3, "op5_benchmark_decontamination": OP5, "op8_chat_rotation": OP8}
+OP11 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents
+), q AS (
+  SELECT row_number() OVER () AS i, item_id,
+    unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), asked AS (SELECT i, item_id, term, count(*) AS repeats FROM q GROUP BY i, item_id, term
+), totals AS (SELECT count(*)::BIGINT AS nn, sum(len(t))::BIGINT AS ll FROM d WHERE len(t) > 0
+), tf AS (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM d) WHERE term IN (SELECT term FROM asked) GROUP BY r, term
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, totals GROUP BY term, nn
+), scored AS (
+  SELECT i, item_id, r, doc_id, sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * len(t) * nn) // ll))))::BIGINT AS score
+  FROM asked JOIN tf USING (term) JOIN weights USING (term) JOIN d USING (r), totals GROUP BY ALL
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+OP13 = r"""
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS codes
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, list_inner_product(a.codes, b.codes)::BIGINT AS score
+  FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND a.vec_id % 50 = 0
+), near AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) AS place
+  FROM pairs WHERE same
+), met AS (
+  SELECT n.anchor_id, positive_id, other_id AS negative_id, positive_score, score AS negative_score,
+    row_number() OVER (PARTITION BY n.anchor_id, positive_id ORDER BY score DESC, other_id) AS rank
+  FROM near n JOIN pairs p ON p.anchor_id = n.anchor_id AND NOT same AND place <= 5 AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM met WHERE rank <= 3
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_line_dedup": OP1, "op3_url_filter": OP3, "op5_benchmark_decontamination": OP5, "op8_chat_rotation": OP8, "op11_ranked_search": OP11, "op13_hard_negatives": OP13}
