@@ -134,7 +134,7 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
 
 def _text_slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
     """Parts of a batch of about SLICE_BYTES of text, one text at least."""
-    ends = np.cumsum(np.array(pa.compute.binary_length(batch.column(column)).fill_null(0), np.int64))
+    ends = text_buffer(batch.column(column))[1][1:]
     at = 0
     while at < batch.num_rows:
         done = ends[at - 1] if at else 0
