@@ -38,10 +38,10 @@ BITS = 12
 PROBES = 3
 #: Documents and bytes of a block.
 BLOCK_DOCS = 4096
-BLOCK_BYTES = 1 << 22
+BLOCK_BYTES = 1 << 21
 #: Bytes of text handled at once, and distinct terms counted before they are handed on.
-SLICE_BYTES = 1 << 22
-COUNTED = 1 << 19
+SLICE_BYTES = 1 << 20
+COUNTED = 1 << 18
 #: Items and terms searched for in one go.
 QUERY_ITEMS = 512
 QUERY_TERMS = 1 << 16
