@@ -1,9 +1,10 @@
 """Connected components of a link table, by alternating large and small stars.
 
 Links never leave the cluster: every step is an aggregate and a join on the
-node.  The smallest neighbours are written and read back before the join, so
-both of its sides are shuffle stages and AQE can split the partition of a node
-with very many links.
+node.  The smallest neighbours are written and read back before the join: few
+of them are broadcast, and of many both sides of the join are shuffle stages,
+so AQE can split the partition of a node with very many links.  Link tables
+are written in as many partitions as their rows need.
 """
 
 from __future__ import annotations
@@ -12,27 +13,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from countwise.llm.frames import stored
+from countwise.llm.frames import sized, stored
 
+#: Nodes whose smallest neighbours are broadcast: a few MB.
+BROADCAST_NODES = 1 << 17
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.union(edges.select(F.col("low").alias("high"), F.col("high").alias("low")))
-    least = stored(both.groupBy("high").agg(F.least(F.first("high"), F.min("low")).alias("least")), "star")
-    out = both.filter("low > high").join(least, "high").select(F.col("low").alias("high"), F.col("least").alias("low"))
-    return stored(out.filter("high <> low").distinct(), "links")
 
-
-def _small_star(edges: DataFrame) -> DataFrame:
-    least = stored(edges.groupBy("high").agg(F.min("low").alias("least")), "star")
-    moved = edges.join(least, "high").filter("low <> least").select(F.col("low").alias("high"), F.col("least").alias("low"))
-    return stored(moved.union(least.select("high", F.col("least").alias("low"))).distinct(), "links")
-
-
-def _flat(edges: DataFrame) -> bool:
-    """Does every node point to one end, which itself points nowhere?"""
-    ends = edges.select(F.col("high").alias("node"), F.lit(1).alias("out")).union(edges.select("low", F.lit(0)))
-    nodes = ends.groupBy("node").agg(F.sum("out").alias("out"), F.min("out").alias("least"))
-    return nodes.filter("out > 1 or (out = 1 and least = 0)").isEmpty()
+def _with_least(links: DataFrame, least: DataFrame, nodes: int) -> DataFrame:
+    return links.join(F.broadcast(least) if nodes <= BROADCAST_NODES else least, "node")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -41,11 +29,27 @@ def components(links: DataFrame) -> DataFrame:
     The component is the smallest node reachable.  Self-links, repeated links
     and links with a null end count for nothing.
     """
-    edges = stored(
-        links.filter("a <> b").select(F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low")).distinct(), "links")
-    while not _flat(edges):
-        edges = _small_star(_large_star(edges))
-    return edges.select(F.col("high").alias("node"), F.col("low").alias("component"))
+    edges = stored(links.filter("a <> b").select(F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low")).distinct(), "links")
+    rows = edges.count()
+    while True:
+        # Large star: every node hands its larger neighbours to the smallest node around.
+        ends = edges.select(F.col("high").alias("node"), "low", F.lit(None).cast("bigint").alias("larger")).union(
+            edges.select(F.col("low").alias("node"), "low", "high"))
+        # A node is settled if it has a single, smaller neighbour, or larger ones only.
+        smaller = F.when(F.col("low") < F.col("node"), F.col("low"))
+        least = stored(sized(ends.groupBy("node").agg(
+            F.min("low").alias("least"),
+            (F.min(smaller).isNull() | ((F.min(smaller) == F.max(smaller)) & F.max("larger").isNull())).alias("settled")), 2 * rows), "star")
+        state = least.agg(F.count("*").alias("nodes"), F.count(F.when(~F.col("settled"), 1)).alias("open")).first()
+        if not state.open:
+            return edges.select(F.col("high").alias("node"), F.col("low").alias("component")).distinct()
+        handed = edges.select(F.col("low").alias("node"), "high")
+        edges = stored(sized(_with_least(handed, least, state.nodes).select("high", F.col("least").alias("low")), rows), "links")
+        # Small star: every node hands its smaller neighbours to the smallest of them.
+        least = stored(sized(edges.groupBy(F.col("high").alias("node")).agg(F.min("low").alias("least")), rows), "star")
+        moved = _with_least(edges.select(F.col("high").alias("node"), "low"), least, state.nodes).filter("low <> least")
+        edges = stored(sized(moved.select(F.col("low").alias("high"), F.col("least").alias("low")).union(
+            least.select(F.col("node").alias("high"), F.col("least").alias("low"))), rows), "links")
 
 
 def local_roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from countwise.session import stored
 
-__all__ = ["WORD_SPLIT", "pick", "stored", "table"]
+__all__ = ["WORD_SPLIT", "pick", "sized", "stored", "table"]
 
 #: The white space that separates words: blank, tab, line feed, vertical tab,
 #: form feed, carriage return.
@@ -21,3 +23,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def pick(df: DataFrame, **columns: str) -> DataFrame:
     """Only the columns ``new=old``: extra columns cannot clash later."""
     return df.select(*[F.col(f"`{old}`").alias(new) for new, old in columns.items()])
+
+
+def sized(df: DataFrame, rows: int, per_partition: int = 1 << 17) -> DataFrame:
+    """``df``, which has at most ``rows`` rows, in no more partitions than these need."""
+    return df.coalesce(max(1, math.ceil(rows / per_partition)))

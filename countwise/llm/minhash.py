@@ -12,8 +12,10 @@
    still hold several groups are then merged pair by pair, between groups.
    Texts that collide often enough, directly or by way of others, make up a
    group of candidates.
-5. Within a group all full sets are compared, in tiles, and the links become
-   components.  A task returns a spanning forest of its links, not the pairs.
+5. Within a group all full sets are compared with the pivot, its smallest
+   member.  Those linked with it are in one component already; only the others
+   are compared with all, in tiles, and the links become components.  A task
+   returns a spanning forest of its links, not the pairs.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from countwise.llm.components import components, local_roots
-from countwise.llm.frames import pick, stored
+from countwise.llm.frames import pick, sized, stored
 from countwise.llm.word_hashes import column_words, mix, run_hashes
 
 SHINGLE_WORDS = 5
@@ -42,6 +44,8 @@ SLICE_ROWS = 256
 TILE = 256
 BUCKET_ROWS = 2048
 COLUMNS = 8192
+#: Members of groups whose ids are broadcast to pick their texts; more are joined by a shuffle.
+BROADCAST_MEMBERS = 1 << 17
 
 _RNG = np.random.default_rng(6)
 _FACTORS = _RNG.integers(0, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -162,12 +166,60 @@ def _compare(percent: int):
     return run
 
 
+def _like_pivot(percent: int):
+    """Marks the members (rep, cluster, shingles, pivot) whose set is linked with their group's pivot."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            joined = []
+            for own, other in zip(batch.column(2), batch.column(3)):
+                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (own, other))
+                n = 0
+                if 100 * min(len(x), len(y)) >= percent * max(len(x), len(y)):
+                    n = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+                joined.append(100 * n >= percent * (len(x) + len(y) - n))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(joined, pa.bool_())], ["rep", "cluster", "joined"])
+
+    return run
+
+
 def _colliding(pairs: DataFrame, cards: DataFrame, matches: int) -> DataFrame:
     """The pairs (a, b) that agree on at least ``matches`` coordinates."""
     x, y = (cards.select(F.col("rep").alias(s), F.col("tokens").alias("t" + s)) for s in "ab")
     return pairs.join(y, "b").join(x, "a").filter(F.size(F.array_intersect("ta", "tb")) >= matches).select("a", "b")
 
 
+def _candidate_groups(classes: DataFrame, matches: int) -> DataFrame:
+    """(node, component) of the texts that collide with others, but the smallest of each group."""
+    n = classes.count()
+    posted = classes.select("rep", F.explode("tokens").alias("token"))
+    met = stored(sized(posted.groupBy("token").agg(F.count("*").alias("n_met")).filter("n_met > 1"), COORDINATES * n // 2), "minhash-values")
+    own = posted.join(met, "token").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("n_met", "token"))).alias("own"))
+    # Values that are met once match nothing: collisions are counted over the others.
+    cards = stored(sized(own.filter(F.size("own") >= matches).select("rep", F.col("own.token").alias("tokens")), n), "minhash-cards")
+    n = cards.count()
+    postings = cards.select("rep", F.explode(F.slice("tokens", F.lit(1), F.size("tokens") - (matches - 1))).alias("token"))
+    n_postings = (COORDINATES - matches + 1) * n
+
+    heads = stored(sized(postings.groupBy("token").agg(F.min("rep").alias("a")), n_postings), "minhash-heads")
+    star = postings.join(heads, "token").filter("rep <> a").select("a", F.col("rep").alias("b")).distinct()
+    label = stored(sized(components(_colliding(star, cards, matches)), n), "minhash-labels")
+    placed = postings.join(label, postings["rep"] == label["node"], "left").select(
+        "rep", "token", F.coalesce("component", "rep").alias("label"))
+    mixed = placed.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("token")
+    rest = stored(sized(placed.join(mixed, "token", "left_semi").join(cards, "rep"), n_postings), "minhash-rest")
+    x, y = (rest.select("token", *[F.col(c).alias(c + s) for c in ("rep", "label", "tokens")]) for s in ("_x", "_y"))
+    cross = x.join(y, (x["token"] == y["token"]) & (F.col("label_x") < F.col("label_y"))
+                   & (F.size(F.array_intersect("tokens_x", "tokens_y")) >= matches))
+    more = stored(sized(cross.select(F.col("label_x").alias("a"), F.col("label_y").alias("b")).distinct(), n), "minhash-more")
+    if more.isEmpty():
+        return label
+    higher = components(more).withColumnRenamed("node", "label")
+    alone = more.select(F.explode(F.array("a", "b")).alias("node")).distinct().select("node", F.col("node").alias("label"))
+    labels = label.select("node", F.col("component").alias("label")).union(alone)
+    moved = labels.join(higher, "label", "left").select("node", F.coalesce("component", "label").alias("component"))
+    return stored(sized(moved.filter("node <> component"), n), "minhash-labels")
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text).
 
@@ -181,51 +233,42 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         rows.mapInArrow(_sketch, "doc_id BIGINT, n_shingles BIGINT, key1 BIGINT, key2 BIGINT, tokens ARRAY<BIGINT>"), "minhash-sketches")
     key, matches = ["n_shingles", "key1", "key2"], match_threshold(percent)
     linked = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
+    n = sketches.count()
     classes = stored(
-        sketches.filter(linked).groupBy(*key)
-        .agg(F.min("doc_id").alias("rep"), F.first("tokens").alias("tokens")), "minhash-classes")
-
-    posted = classes.select("rep", F.explode("tokens").alias("token"))
-    met = stored(posted.groupBy("token").agg(F.count("*").alias("n_met")).filter("n_met > 1"), "minhash-values")
-    own = posted.join(met, "token").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("n_met", "token"))).alias("own"))
-    own = own.filter(F.size("own") >= matches).select(
-        "rep", F.explode(F.slice("own", F.lit(1), F.size("own") - (matches - 1))).alias("entry"))
-    postings = stored(own.select("rep", F.col("entry.token").alias("token")), "minhash-postings")
-    members = postings.select("rep").distinct()
-    cards = stored(classes.join(members, "rep", "left_semi").select("rep", "tokens"), "minhash-cards")
-
-    heads = stored(postings.groupBy("token").agg(F.min("rep").alias("a")), "minhash-heads")
-    star = postings.join(heads, "token").filter("rep <> a").select("a", F.col("rep").alias("b")).distinct()
-    near = stored(_colliding(star, cards, matches), "minhash-near")
-    label = stored(components(near), "minhash-labels")
-    placed = postings.join(label, postings["rep"] == label["node"], "left").select(
-        "rep", "token", F.coalesce("component", "rep").alias("label"))
-    mixed = placed.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("token")
-    rest = stored(placed.join(mixed, "token", "left_semi").join(cards, "rep"), "minhash-rest")
-    x, y = (rest.select("token", *[F.col(c).alias(c + s) for c in ("rep", "label", "tokens")]) for s in ("_x", "_y"))
-    cross = x.join(y, (x["token"] == y["token"]) & (F.col("label_x") < F.col("label_y"))
-                   & (F.size(F.array_intersect("tokens_x", "tokens_y")) >= matches))
-    more = cross.select(F.col("label_x").alias("a"), F.col("label_y").alias("b")).distinct()
-
-    groups = components(near.union(more))
-    groups = groups.union(groups.select(F.col("component").alias("node"), "component").distinct())
-    sizes = stored(groups.groupBy("component").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles")), "minhash-sizes")
-    tile = F.pmod(F.xxhash64("node", "component"), F.col("tiles")).cast("int")
-    dealt = groups.join(sizes, "component").select(
-        F.col("node").alias("rep"), F.col("component").alias("cluster"), tile.alias("tile"),
-        F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
-    dealt = stored(dealt.select("rep", "cluster", "tile", F.least("tile", "other").alias("low"),
-                                F.greatest("tile", "other").alias("high")), "minhash-groups")
-    sets = rows.join(dealt.select("rep").distinct(), F.col("doc_id") == F.col("rep"), "left_semi").mapInArrow(
+        sized(sketches.filter(linked).groupBy(*key).agg(F.min("doc_id").alias("rep"), F.first("tokens").alias("tokens")), n), "minhash-classes")
+
+    groups = _candidate_groups(classes.select("rep", "tokens"), matches)
+    groups = groups.select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
+    groups = groups.union(groups.select(F.col("cluster").alias("rep"), "cluster").distinct())
+    members = groups.select(F.col("rep").alias("doc_id")).distinct()
+    n_members = groups.count()
+    few = n_members <= BROADCAST_MEMBERS
+    sets = rows.join(F.broadcast(members) if few else members, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(
         _sets, "doc_id BIGINT, shingles BINARY").withColumnRenamed("doc_id", "rep")
+    sets = stored(groups.join(sets, "rep"), "minhash-sets")
+    pivots = sets.filter("rep = cluster").select("cluster", F.col("shingles").alias("pivot"))
+    checked = stored(sized(sets.select("rep", "cluster", "shingles").join(pivots, "cluster").select("rep", "cluster", "shingles", "pivot").mapInArrow(
+        _like_pivot(percent), "rep BIGINT, cluster BIGINT, joined BOOLEAN"), n_members, BUCKET_ROWS // 4), "minhash-pivots")
+
+    # Members linked with the pivot are in one component already: only the others are compared, with all.
+    tiles = stored(sized(checked.groupBy("cluster").agg(
+        F.ceil(F.sum(F.col("joined").cast("int")) / TILE).cast("int").alias("done"),
+        F.ceil(F.sum((~F.col("joined")).cast("int")) / TILE).cast("int").alias("open")).filter("open > 0"), n), "minhash-tiles")
+    spot = F.xxhash64("rep", "cluster")
+    tile = F.when(F.col("joined"), F.pmod(spot, F.col("done"))).otherwise(F.col("done") + F.pmod(spot, F.col("open"))).cast("int")
+    first = F.when(F.col("joined"), F.col("done")).otherwise(F.lit(0))
+    dealt = checked.distinct().join(tiles, "cluster").withColumn("tile", tile).select(
+        "rep", "cluster", "tile", F.explode(F.sequence(first, F.col("done") + F.col("open") - 1)).alias("other"))
+    dealt = stored(dealt.select("rep", "cluster", "tile", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high")), "minhash-groups")
     buckets = max(1, math.ceil(dealt.count() / BUCKET_ROWS))
-    together = dealt.join(sets, "rep").withColumn("bucket", F.pmod(F.xxhash64("cluster", "low", "high"), F.lit(buckets)))
+    together = dealt.join(sets.select("rep", "shingles"), "rep").withColumn("bucket", F.pmod(F.xxhash64("cluster", "low", "high"), F.lit(buckets)))
     links = together.groupBy("bucket").applyInArrow(_compare(percent), "a BIGINT, b BIGINT")
+    links = links.union(checked.filter("joined").select(F.col("cluster").alias("a"), F.col("rep").alias("b")))
 
-    found = stored(components(links), "minhash-components")
+    found = stored(sized(components(links), n), "minhash-components")
     named = classes.select(*key, "rep").join(found, classes["rep"] == found["node"], "left").select(
         *key, F.coalesce("component", "rep").alias("component_id"))
-    named = stored(named, "minhash-named")
+    named = stored(sized(named, n), "minhash-named")
     out = sketches.filter(linked).select("doc_id", *key).join(named, key).select("doc_id", "n_shingles", "component_id")
     alone = sketches.filter(~linked).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return out.union(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
