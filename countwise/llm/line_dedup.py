@@ -1,15 +1,16 @@
 """Line dedup by a segment-partition edit join (operator 1), in DataFrame functions only.
 
-A line goes if an earlier line of the collection, by (doc_id, line number), is
-equal or within ``max_edits`` character edits.
+A line goes if an earlier line of the collection, by (doc_id, text, line
+number), is equal or within a few character edits.  Longer lines may differ by
+more of them: the shorter line of a pair decides, by its length class.
 
 1. Equal lines: the first place of every distinct line, by a 128-bit hash.
-2. Near lines: a line of n characters is cut into max_edits + 1 segments.  Of
-   two lines within max_edits edits the longer one holds some segment of the
-   shorter one unchanged, shifted by no more than the edits allow.  Segments
-   are indexed under (length of the line, segment number, text); each line
-   probes the index for its own length and up to max_edits less, at the few
-   starts that the segment's place and the difference in length permit.
+2. Near lines: a line of a class with e edits is cut into e + 1 segments.  Of
+   two lines within e edits the longer one holds some segment of the shorter
+   one unchanged, shifted by no more than the edits allow.  Segments are
+   indexed under (length of the line, segment number, text); each line probes
+   the index for its own length and up to e less, at the few starts that the
+   segment's place and the difference in length permit.
 3. Lines that meet must have nearly the same set of words, by a bitmap of 64
    bits of which an edit can change three; only then their texts are fetched
    and compared by an automaton that keeps, for each number of errors, one
@@ -23,9 +24,9 @@ from pyspark.sql import functions as F
 
 from countwise.llm.frames import stored
 
-MAX_EDITS = 1
-#: Shorter lines are not compared with near ones: an edit would join unrelated ones.
-MIN_CHARS = 20
+#: (least characters, edits) of the length classes.  Shorter lines are not
+#: compared with near ones: an edit would join unrelated ones.
+EDIT_CLASSES = ((20, 1), (100, 2), (200, 3))
 #: Equal lines of so many characters are removed, if they are not blank.
 EXACT_CHARS = 1
 
@@ -50,33 +51,49 @@ def index_keys(line: Column, n: Column, edits: int) -> Column:
     return F.array(*[_key(n, i, F.substring(line, s.cast("int"), k.cast("int"))) for i, (s, k) in enumerate(segments(n, edits + 1))])
 
 
-def probe_keys(line: Column, n: Column, edits: int) -> Column:
-    """(key, shorter) under which a line of n characters meets lines of n - edits to n characters.
+def probe_keys(line: Column, n: Column, edits: int, d: int) -> Column:
+    """Keys under which a line of n characters meets those with d characters less.
 
-    With d the difference in length, a segment after i others can start from
-    max(-i, d - (edits - i)) to min(i, d + (edits - i)) characters later: the
-    errors before it and those behind it leave no more.
+    A segment after i others can start from max(-i, d - (edits - i)) to
+    min(i, d + (edits - i)) characters later: the errors before it and those
+    behind it leave no more.
     """
     keys = []
-    for d in range(edits + 1):
-        short = n - d
-        for i, (s, k) in enumerate(segments(short, edits + 1)):
-            for shift in range(max(-i, d - (edits - i)), min(i, d + (edits - i)) + 1):
-                start = s + shift
-                fits = (start >= 1) & (start + k - 1 <= n) & (k > 0)
-                key = _key(short, i, F.substring(line, start.cast("int"), k.cast("int")))
-                keys.append(F.when(fits, F.struct(key.alias("key"), F.lit(d > 0).alias("shorter"))))
+    short = n - d
+    for i, (s, k) in enumerate(segments(short, edits + 1)):
+        for shift in range(max(-i, d - (edits - i)), min(i, d + (edits - i)) + 1):
+            start = s + shift
+            fits = (start >= 1) & (start + k - 1 <= n) & (k > 0)
+            keys.append(F.when(fits, _key(short, i, F.substring(line, start.cast("int"), k.cast("int")))))
     return F.filter(F.array(*keys), lambda x: x.isNotNull())
 
 
+def _by_class(n: Column, classes: tuple[tuple[int, int], ...], value) -> Column:
+    """``value(edits)`` of the class of a line of n characters, null below all classes."""
+    out = F.lit(None)
+    for least, edits in sorted(classes):
+        out = F.when(n >= least, value(edits)).otherwise(out)
+    return out
+
+
+def all_probes(line: Column, n: Column, classes: tuple[tuple[int, int], ...]) -> Column:
+    """(key, shorter) of all lines that a line of n characters may be near to."""
+    none = F.array().cast("array<bigint>")
+    parts = []
+    for d in range(max(e for _, e in classes) + 1):
+        keys = F.coalesce(_by_class(n - d, classes, lambda e: probe_keys(line, n, e, d) if d <= e else none), none)
+        parts.append(F.transform(keys, lambda k: F.struct(k.alias("key"), F.lit(d > 0).alias("shorter"))))
+    return F.concat(*parts)
+
+
 def word_bits(line: Column) -> Column:
     """A bit per word of the line, by hash, flipped for each time it occurs."""
     return F.aggregate(F.split(line, " "), F.lit(0).cast("bigint"), lambda bits, word: bits.bitwiseXOR(
         F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.xxhash64(word), F.lit(64)).cast("int"))))
 
 
-def within_edits(a: Column, b: Column, edits: int) -> Column:
-    """Are the strings ``a`` and ``b`` within ``edits`` edits?
+def within_edits(a: Column, b: Column, edits: int, allowed: Column | None = None) -> Column:
+    """Are the strings ``a`` and ``b`` within ``edits`` edits, or ``allowed`` ones if that is less?
 
     Row e of the automaton holds the diagonals (of 2 edits + 1 around the main
     one) that the text so far reaches with at most e errors, as bits of one
@@ -85,11 +102,11 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
     down a diagonal, and one in ``a`` moves up within the same step.
     """
     # A lambda's argument is computed once; a column could be computed again at every step.
-    both = F.array(F.struct(_characters(a).alias("a"), _characters(b).alias("b")))
-    return F.get(F.transform(both, lambda x: _automaton(x["a"], x["b"], edits)), 0)
+    both = F.array(F.struct(_characters(a).alias("a"), _characters(b).alias("b"), (F.lit(edits) if allowed is None else allowed).alias("most")))
+    return F.get(F.transform(both, lambda x: _automaton(x["a"], x["b"], edits, x["most"])), 0)
 
 
-def _automaton(a: Column, b: Column, edits: int) -> Column:
+def _automaton(a: Column, b: Column, edits: int, most: Column) -> Column:
     width = 2 * edits + 1
     full = (1 << width) - 1
 
@@ -115,8 +132,8 @@ def _automaton(a: Column, b: Column, edits: int) -> Column:
     first = closed([F.lit(1 << edits)] + [F.lit(1 << edits)] * edits)
     last = F.aggregate(F.when(F.size(b) > 0, F.sequence(F.lit(0), F.size(b) - 1)).otherwise(F.array().cast("array<int>")), F.array(*first), step)
     end = F.size(a) - F.size(b) + edits
-    return F.when(F.abs(F.size(a) - F.size(b)) > edits, False).otherwise(
-        F.call_function("shiftright", last[edits], end).bitwiseAND(F.lit(1)) == 1)
+    return F.when(F.abs(F.size(a) - F.size(b)) > most, False).otherwise(
+        F.call_function("shiftright", F.get(last, most), end).bitwiseAND(F.lit(1)) == 1)
 
 
 def _whole(row: str) -> Column:
@@ -129,26 +146,33 @@ def _characters(line: Column) -> Column:
     return F.filter(F.split(line, ""), lambda c: c != "")
 
 
-def dedup_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS,
-                exact_chars: int | None = None) -> DataFrame:
+def _text_key(text: Column) -> Column:
+    """60 bits of a text's MD5: rows that repeat a doc_id with other texts are other places."""
+    return F.coalesce(F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint"), F.lit(-1).cast("bigint"))
+
+
+def dedup_lines(docs: DataFrame, classes: tuple[tuple[int, int], ...] = EDIT_CLASSES, exact_chars: int = EXACT_CHARS) -> DataFrame:
     """The rows and columns of ``docs`` (doc_id, text, ..) with n_lines, n_removed and kept_text.
 
-    Lines end at line feeds.  Lines of fewer than ``min_chars`` characters have
-    no near lines; from ``exact_chars`` on (if None, ``min_chars``), and unless
-    they are blank, they go if an earlier line is equal.  The others stay and
-    remove nothing.  Kept lines are joined by line feeds.  A null text has
-    no line and stays null; an empty text has one, empty line.  Rows that
-    repeat a doc_id (null counts as one id, before all others) are one place,
-    so they do not remove each other's lines.  Other columns pass through; one
-    named like a result is replaced.
+    Lines end at line feeds.  A line goes if an earlier line is equal, from
+    ``exact_chars`` characters on and unless it is blank, or near, by
+    ``classes`` of (least characters, edits).  The others stay and remove
+    nothing.  Kept lines are joined by line feeds.  A null text has no line and
+    stays null; an empty text has one, empty line.  A null doc_id counts as one
+    id, before all others.  Rows that repeat a doc_id come in the order of their
+    texts' MD5; rows equal in doc_id and text are one place, so they do not
+    remove each other's lines.  Other columns pass through; one named like a
+    result is replaced.
     """
     others = [c for c in docs.columns if c not in ("doc_id", "text", "n_lines", "n_removed", "kept_text")]
-    rows = docs.select(F.struct("doc_id").alias("doc"), F.struct("text", *[F.col(f"`{c}`") for c in others]).alias("row"))
+    rows = docs.select(F.struct("doc_id", _text_key(F.col("text")).alias("text_key")).alias("doc"),
+                       F.struct("text", *[F.col(f"`{c}`") for c in others]).alias("row"))
     each = rows.select("doc", F.posexplode_outer(F.split("row.text", "\n")).alias("line_no", "line"))
+    min_chars, max_edits = min(least for least, _ in classes), max(edits for _, edits in classes)
 
     def compared(line: Column) -> Column:
         n = F.char_length(line)
-        return n >= min_chars if exact_chars is None else (n >= min_chars) | ((n >= exact_chars) & line.rlike(r"\S"))
+        return (n >= min_chars) | ((n >= exact_chars) & line.rlike(r"[^\x20\x09-\x0D]"))
 
     each = each.withColumn("n", F.char_length("line")).filter(compared(F.col("line")))
     line, n = F.col("line"), F.col("n")
@@ -156,22 +180,24 @@ def dedup_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MI
     heads = stored(
         each.groupBy(F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("line"), "line").alias("h2")).agg(
             F.min(F.struct("doc", "line_no")).alias("place"),
-            F.first(F.struct(F.when(long, word_bits(line)).alias("bits"), F.when(long, index_keys(line, n, max_edits)).alias("index"),
-                             F.when(long, probe_keys(line, n, max_edits)).alias("probes"))).alias("own")).select("place", "own.*"), "line-heads")
+            F.first(F.struct(_by_class(n, classes, F.lit).alias("edits"), F.when(long, word_bits(line)).alias("bits"),
+                             _by_class(n, classes, lambda e: index_keys(line, n, e)).alias("index"),
+                             F.when(long, all_probes(line, n, classes)).alias("probes"))).alias("own")).select("place", "own.*"), "line-heads")
 
-    a, b = (F.struct(F.struct(F.col("doc_" + x).alias("doc_id")).alias("doc"), F.col("line_no_" + x).alias("line_no")) for x in "ab")
+    a, b = (F.struct(F.struct(F.col("doc_" + x).alias("doc_id"), F.col("text_key_" + x).alias("text_key")).alias("doc"), F.col("line_no_" + x).alias("line_no"))
+            for x in "ab")
     indexed, probing = (heads.select(
-        F.col("place.doc.doc_id").alias("doc_" + x), F.col("place.line_no").alias("line_no_" + x), F.col("bits").alias("bits_" + x),
-        F.explode(keys).alias(k)) for x, keys, k in (("a", "index", "key"), ("b", "probes", "probe")))
-    probing = probing.select("doc_b", "line_no_b", "bits_b", "probe.*")
+        F.col("place.doc.doc_id").alias("doc_" + x), F.col("place.doc.text_key").alias("text_key_" + x), F.col("place.line_no").alias("line_no_" + x),
+        F.col("bits").alias("bits_" + x), F.col("edits").alias("edits_" + x), F.explode(keys).alias(k)) for x, keys, k in (("a", "index", "key"), ("b", "probes", "probe")))
+    probing = probing.select("doc_b", "text_key_b", "line_no_b", "bits_b", "probe.*")
     met = indexed.join(probing, (indexed["key"] == probing["key"]) & (F.col("shorter") | (a < b)) & (
-        F.bit_count(F.col("bits_a").bitwiseXOR(F.col("bits_b"))) <= 3 * max_edits)).select(a.alias("a"), b.alias("b")).distinct()
+        F.bit_count(F.col("bits_a").bitwiseXOR(F.col("bits_b"))) <= 3 * F.col("edits_a"))).select(a.alias("a"), b.alias("b"), F.col("edits_a").alias("edits")).distinct()
 
     def with_line(pairs: DataFrame, place: str) -> DataFrame:
         return pairs.join(rows, F.col(place + ".doc") == F.col("doc")).drop("doc").withColumn(
             "line_" + place, F.get(F.split(_whole("row")["text"], "\n"), F.col(place + ".line_no"))).drop("row")
 
-    close = with_line(with_line(met, "a"), "b").filter(within_edits(F.col("line_a"), F.col("line_b"), max_edits))
+    close = with_line(with_line(met, "a"), "b").filter(within_edits(F.col("line_a"), F.col("line_b"), max_edits, F.col("edits")))
     later = close.select(F.greatest("a", "b").alias("later")).groupBy(F.col("later.doc").alias("near_doc")).agg(
         F.collect_set("later.line_no").alias("near"))
     first = heads.groupBy(F.col("place.doc").alias("first_doc")).agg(F.collect_set("place.line_no").alias("first"))

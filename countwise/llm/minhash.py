@@ -44,6 +44,8 @@ SLICE_ROWS = 256
 TILE = 256
 BUCKET_ROWS = 2048
 COLUMNS = 8192
+#: Rows of a partition of signatures, which are posted value by value.
+CARD_ROWS = 1 << 13
 #: Members of groups whose ids are broadcast to pick their texts; more are joined by a shuffle.
 BROADCAST_MEMBERS = 1 << 17
 
@@ -195,7 +197,7 @@ def _candidate_groups(classes: DataFrame, matches: int) -> DataFrame:
     met = stored(sized(posted.groupBy("token").agg(F.count("*").alias("n_met")).filter("n_met > 1"), COORDINATES * n // 2), "minhash-values")
     own = posted.join(met, "token").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("n_met", "token"))).alias("own"))
     # Values that are met once match nothing: collisions are counted over the others.
-    cards = stored(sized(own.filter(F.size("own") >= matches).select("rep", F.col("own.token").alias("tokens")), n), "minhash-cards")
+    cards = stored(sized(own.filter(F.size("own") >= matches).select("rep", F.col("own.token").alias("tokens")), n, CARD_ROWS), "minhash-cards")
     n = cards.count()
     postings = cards.select("rep", F.explode(F.slice("tokens", F.lit(1), F.size("tokens") - (matches - 1))).alias("token"))
     n_postings = (COORDINATES - matches + 1) * n
@@ -235,7 +237,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     linked = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     n = sketches.count()
     classes = stored(
-        sized(sketches.filter(linked).groupBy(*key).agg(F.min("doc_id").alias("rep"), F.first("tokens").alias("tokens")), n), "minhash-classes")
+        sized(sketches.filter(linked).groupBy(*key).agg(F.min("doc_id").alias("rep"), F.first("tokens").alias("tokens")), n, CARD_ROWS), "minhash-classes")
 
     groups = _candidate_groups(classes.select("rep", "tokens"), matches)
     groups = groups.select(F.col("node").alias("rep"), F.col("component").alias("cluster"))

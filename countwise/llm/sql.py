@@ -4,31 +4,32 @@ from __future__ import annotations
 
 OP1 = r"""
 WITH split AS (
-  SELECT row_number() OVER () AS r, doc_id, text, string_split(text, chr(10)) AS lines FROM documents
+  SELECT row_number() OVER () AS r, doc_id, text, {'doc_id': doc_id, 'text_key': coalesce(('0x' || md5(text)[1:15])::BIGINT, -1)} AS doc,
+    string_split(text, chr(10)) AS lines FROM documents
 ), each AS (
-  SELECT r, doc_id, unnest(range(len(lines))) AS line_no, unnest(lines) AS line FROM split
+  SELECT r, doc, unnest(range(len(lines))) AS line_no, unnest(lines) AS line FROM split
 ), heads AS (
-  SELECT line, length(line) AS n, min({'doc_id': doc_id, 'line_no': line_no}) AS place
-  FROM each WHERE length(line) >= 20 GROUP BY line
+  SELECT line, length(line) AS n, min({'doc': doc, 'line_no': line_no}) AS place
+  FROM each WHERE length(line) >= 20 OR regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY line
+), long AS (
+  SELECT *, CASE WHEN n >= 200 THEN 3 WHEN n >= 100 THEN 2 ELSE 1 END AS e FROM heads WHERE n >= 20
 ), met AS (
-  SELECT a.line AS x, a.n AS nx, a.place AS px, b.line AS y, b.n AS ny, b.place AS py FROM heads a JOIN heads b
-    ON a.n = b.n AND left(a.line, a.n // 2) = left(b.line, a.n // 2) AND a.place < b.place
-  UNION SELECT a.line, a.n, a.place, b.line, b.n, b.place FROM heads a JOIN heads b
-    ON a.n = b.n AND right(a.line, a.n - a.n // 2) = right(b.line, a.n - a.n // 2) AND a.place < b.place
-  UNION SELECT a.line, a.n, a.place, b.line, b.n, b.place FROM heads a JOIN heads b
-    ON b.n = a.n + 1 AND left(a.line, a.n // 2) = left(b.line, a.n // 2)
-  UNION SELECT a.line, a.n, a.place, b.line, b.n, b.place FROM heads a JOIN heads b
-    ON b.n = a.n + 1 AND right(a.line, a.n - a.n // 2) = right(b.line, a.n - a.n // 2)
-), first_difference AS (
-  SELECT *, coalesce(list_min(list_filter(range(1, nx + 1), lambda i: x[i] <> y[i])), nx + 1) AS d FROM met
+  SELECT a.line AS x, b.line AS y, a.e, a.place AS px, b.place AS py
+  FROM long a JOIN (SELECT *, unnest([0, 1, 2, 3]) AS d FROM long) b
+    ON b.n - b.d = a.n AND d <= a.e AND (d > 0 OR a.place < b.place) AND (
+      contains(b.line, substr(a.line, 1, a.n // 4)) OR contains(b.line, substr(a.line, 1 + a.n // 4, a.n * 2 // 4 - a.n // 4))
+      OR contains(b.line, substr(a.line, 1 + a.n * 2 // 4, a.n * 3 // 4 - a.n * 2 // 4)) OR contains(b.line, substr(a.line, 1 + a.n * 3 // 4)))
+), one_byte_letters AS (
+  SELECT *, array_to_string(list_distinct(list_filter(string_split(x || y, ''), lambda c: ord(c) > 127)), '') AS wide,
+    array_to_string(list_transform(list_concat(range(1, 9), range(14, 32)), lambda c: chr(c::INTEGER)), '') AS marks FROM met
 ), later AS (
-  SELECT DISTINCT greatest(px, py) AS place FROM first_difference
-  WHERE (nx = ny AND substr(x, d + 1) = substr(y, d + 1)) OR (ny = nx + 1 AND substr(x, d) = substr(y, d + 1))
+  SELECT DISTINCT greatest(px, py) AS place FROM one_byte_letters
+  WHERE levenshtein(translate(x, wide, left(marks, length(wide))), translate(y, wide, left(marks, length(wide)))) <= e
 ), kept AS (
   SELECT place FROM heads WHERE place NOT IN (SELECT place FROM later)
 ), marked AS (
-  SELECT r, line_no, line, length(line) < 20 OR k.place IS NOT NULL AS stays
-  FROM each LEFT JOIN kept k ON k.place = {'doc_id': each.doc_id, 'line_no': each.line_no}
+  SELECT r, line_no, line, (length(line) < 20 AND NOT regexp_matches(line, '[^\x20\x09-\x0D]')) OR k.place IS NOT NULL AS stays
+  FROM each LEFT JOIN kept k ON k.place = {'doc': each.doc, 'line_no': each.line_no}
 )
 SELECT any_value(doc_id) AS doc_id, count(line_no) AS n_lines, count(line_no) FILTER (NOT stays) AS n_removed,
   CASE WHEN any_value(text) IS NOT NULL THEN sha256(coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (stays), '')) END AS kept_sha256

@@ -148,7 +148,7 @@ def test_line_dedup(spark, edits):
             want[d].append(line)
         if len(line) >= 8:
             seen.append(line)
-    got = {r["doc_id"]: r for r in line_dedup.dedup_lines(frame(spark, docs), edits, 8).collect()}
+    got = {r["doc_id"]: r for r in line_dedup.dedup_lines(frame(spark, docs), ((8, edits),), 8).collect()}
     for d, t in docs:
         assert got[d]["kept_text"] == "\n".join(want[d])
         assert (got[d]["n_lines"], got[d]["n_removed"]) == (t.count("\n") + 1, t.count("\n") + 1 - len(want[d]))

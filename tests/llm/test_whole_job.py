@@ -1,5 +1,6 @@
 """Cases that earlier versions of the operators left out."""
 
+import hashlib
 import random
 from collections import Counter
 
@@ -42,7 +43,7 @@ def test_url_rules_are_learned_from_page_labels(spark):
 
 def test_equal_short_lines_go(spark):
     docs = [(1, "Menu\n\nhome\nMenu"), (2, "menu\nMenu\n  \n\nan earlier line of some length"), (3, "home\n  \nhomf"), (4, "an earlier line of some lengths\nx"), (5, "x")]
-    got = {r["doc_id"]: (r["kept_text"], r["n_removed"]) for r in line_dedup.dedup_lines(frame(spark, docs, DOC), exact_chars=line_dedup.EXACT_CHARS).collect()}
+    got = {r["doc_id"]: (r["kept_text"], r["n_removed"]) for r in line_dedup.dedup_lines(frame(spark, docs, DOC)).collect()}
     # Blank lines stay, and short lines have no near ones.
     assert got == {1: ("Menu\n\nhome", 1), 2: ("menu\n  \n\nan earlier line of some length", 1), 3: ("  \nhomf", 1), 4: ("x", 1), 5: ("", 1)}
 
@@ -58,6 +59,69 @@ def test_no_line_is_left_twice_by_query_and_pipeline(spark):
     assert every <= set(lines)
 
 
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def plain_lines(docs):
+    """(doc_id, kept text) by the production classes; rows equal in both columns are one place."""
+    def key(row):
+        return (row[0] is not None, row[0] or 0, int(hashlib.md5(row[1].encode()).hexdigest()[:15], 16) if row[1] is not None else -1)
+
+    out, seen = {}, []
+    for row in sorted(set(docs), key=key):
+        kept = []
+        for line in (row[1] or "").split("\n"):
+            n = len(line)
+
+            def near(s):
+                short = min(len(s), n)
+                return s == line or short >= 20 and abs(len(s) - n) <= (e := 3 if short >= 200 else 2 if short >= 100 else 1) and edits(s, line) <= e
+
+            if not line.strip(" \t\n\x0b\f\r") and n < 20:
+                kept.append(line)
+                continue
+            if not any(near(s) for s in seen):
+                kept.append(line)
+            seen.append(line)
+        out[row] = None if row[1] is None else "\n".join(kept)
+    return sorted(((d, out[d, t]) for d, t in docs), key=repr)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_lines_by_length_class_and_with_repeated_ids(spark, seed):
+    rng = random.Random(seed)
+    base = ["".join(rng.choice("abcdefé  ") for _ in range(n)) for n in (1, 3, 19, 20, 22, 60, 98, 99, 100, 101, 150, 199, 200, 202, 260)]
+    docs = []
+    for _ in range(70):
+        lines = []
+        for _ in range(rng.randint(1, 4)):
+            line = list(rng.choice(base))
+            for _ in range(rng.choice([0, 0, 1, 2, 3, 4])):
+                line[rng.randrange(len(line))] = rng.choice(["", "x", "yz"])
+                line = line or ["q"]
+            lines.append("".join(line))
+        docs.append((rng.choice([None, *range(25)]), "\n".join(lines)))
+    docs += [docs[3], docs[4], (50, None), (50, None), (51, ""), (None, None)]
+    got = line_dedup.dedup_lines(frame(spark, docs, DOC)).select("doc_id", "kept_text").collect()
+    assert sorted(map(tuple, got), key=repr) == plain_lines(docs)
+
+
+def test_a_repeated_id_costs_no_clean_line(spark):
+    long = "a line that two documents share, of some length"
+    rows = [(1, long), (2, "a unique line that must stay, whatever"), (2, long + "!")]
+    got = {(r["text"], r["kept_text"]) for r in line_dedup.dedup_lines(frame(spark, rows, DOC)).collect()}
+    assert got == {(long, long), (rows[1][1], rows[1][1]), (long + "!", "")}
+    got = sorted((r["doc_id"], r["text"], r["kept_text"]) for r in line_dedup.dedup_lines(frame(spark, [(1, "x"), (2, "x"), (2, "y")], DOC)).collect())
+    assert got == [(1, "x", "x"), (2, "x", ""), (2, "y", "y")]
+
+
 # -- 2, 4 ----------------------------------------------------------------------
 
 @pytest.mark.parametrize("name,kind", [("word_bpe_49k.json", "word"), ("byte_bpe_50k.json", "byte")])
