@@ -61,18 +61,54 @@ WITH split AS (
       || CASE WHEN instr(coalesce(url, ''), '#') > 0 THEN ['mark:#'] ELSE [] END,
       lambda x: x NOT IN ('host:', 'path:', 'name:')))) AS tokens
   FROM ruled
+), texts AS (
+  SELECT 'd' AS kind, row_number() OVER () AS k, doc_id, NULL AS url, text FROM documents
+  UNION ALL
+  SELECT 'p', row_number() OVER (), NULL, url,
+    replace(replace(replace(replace(replace(replace(regexp_replace(
+      CASE WHEN regexp_matches(html, '(?is)<article\b[^>]*>.*?</article>') THEN array_to_string(regexp_extract_all(html, '(?is)<article\b[^>]*>(.*?)</article>', 1), ' ') ELSE html END,
+      '(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>|<[^>]*>', ' ', 'g'),
+      '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&')
+  FROM (SELECT DISTINCT url, html FROM pages WHERE url IS NOT NULL)
+), worded AS (
+  SELECT kind, k, doc_id, url, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM texts
+), cuts AS (
+  SELECT *, len(w) AS n, list_filter(range(1, len(w) + 1), lambda i: i = 1 OR (31 * unicode(w[i]) + length(w[i])) % 8 = 0) AS starts FROM worded
+), places AS (
+  SELECT *, unnest(range(1, len(starts) + 1)) AS place FROM cuts
+), passages AS (
+  SELECT kind, k, doc_id, url, n, place, coalesce(starts[place + 1], n + 1) - starts[place] AS size,
+    array_to_string(w[starts[place]:coalesce(starts[place + 1], n + 1) + 6], ' ') AS said FROM places
+), rated AS (
+  SELECT doc_id, max(bad) AS bad FROM (
+    SELECT doc_id, CASE WHEN quality = 0 OR toxic = 1 THEN 1 WHEN quality = 1 OR toxic = 0 THEN 0 END AS bad FROM labels)
+  WHERE doc_id IS NOT NULL AND bad IS NOT NULL GROUP BY doc_id
+), known AS (
+  SELECT size, said, avg(bad) AS bad FROM passages JOIN rated USING (doc_id) WHERE kind = 'd' GROUP BY size, said
+), evidence AS (
+  SELECT p.url, avg(bad) > 0.5 AS blocked FROM passages p JOIN known USING (size, said) WHERE kind = 'p'
+  GROUP BY k, p.url, n HAVING 100 * sum(size) >= 50 * n
+), examples AS (
+  SELECT row_number() OVER () AS id, tokens, blocked FROM evidence JOIN (SELECT DISTINCT url, tokens FROM judged) USING (url)
+), each AS (SELECT id, blocked, unnest(tokens) AS token FROM examples
+), least AS (SELECT greatest(1, ceil(0.01 * count(*))) AS least FROM examples
+), common AS (
+  SELECT token, count(*) FILTER (blocked) AS b, count(*) FILTER (blocked) / count(*) AS confidence FROM each GROUP BY token
+  HAVING count(*) FILTER (blocked) >= (SELECT least FROM least)
+), best AS (
+  SELECT id, blocked, list(token ORDER BY confidence DESC, b DESC, token)[1:10] AS items FROM each JOIN common USING (token) WHERE confidence < 0.9 GROUP BY id, blocked
 ), subsets AS (
-  SELECT r, explicit, list_filter(tokens, lambda x, i: (mask >> (i - 1)) & 1 = 1) AS part
-  FROM (SELECT r, explicit, tokens, unnest(range(1, (1 << len(tokens))::BIGINT)) AS mask FROM judged)
+  SELECT list_sort(list_filter(items, lambda x, i: (mask >> (i - 1)) & 1 = 1)) AS part, blocked
+  FROM (SELECT items, blocked, unnest(range(1, (1 << len(items))::BIGINT)) AS mask FROM best)
+), candidates AS (
+  SELECT part FROM subsets WHERE len(part) > 1 GROUP BY part HAVING count(*) FILTER (blocked) >= (SELECT least FROM least)
+), confident AS (
+  SELECT part FROM candidates JOIN examples ON list_has_all(tokens, part) GROUP BY part HAVING count(*) FILTER (blocked) / count(*) >= 0.9
 ), learned AS (
-  SELECT part, len(part) AS n, count(*) FILTER (explicit = 'block') / count(*) AS confidence FROM subsets WHERE explicit IS NOT NULL GROUP BY part
-  HAVING count(*) FILTER (explicit = 'block') >= (SELECT ceil(0.01 * count(*)) FROM judged WHERE explicit IS NOT NULL)
-    AND count(*) FILTER (explicit = 'block') / count(*) >= 0.9
-), kept AS (
-  SELECT part FROM learned a WHERE NOT EXISTS (
-    SELECT 1 FROM learned b WHERE b.n < a.n AND b.confidence >= a.confidence AND list_has_all(a.part, b.part))
+  SELECT part FROM confident a WHERE NOT EXISTS (SELECT 1 FROM confident b WHERE b.part <> a.part AND list_has_all(a.part, b.part))
+  UNION ALL SELECT [token] FROM common WHERE confidence >= 0.9
 ), hits AS (
-  SELECT r, count(*) AS n_learned FROM subsets JOIN kept USING (part) WHERE explicit IS NULL GROUP BY r
+  SELECT r, count(*) AS n_learned FROM judged JOIN learned ON list_has_all(tokens, part) WHERE explicit IS NULL GROUP BY r
 )
 SELECT page_id, host, path, rule, coalesce(explicit, CASE WHEN n_learned > 0 THEN 'block' ELSE 'allow' END) AS verdict,
   coalesce(n_learned, 0) AS n_learned

@@ -146,3 +146,32 @@ def test_near_duplicates_go_by_row(spark):
     stage = dict(corpus_pipeline.STAGES)["minhash_near_dedup"]
     kept = [tuple(r) for r in stage(spark, frame(spark, rows, DOC), "").collect()]
     assert sorted(kept, key=repr) == sorted([(1, a), (2, b), (3, c), (None, d), (4, None)], key=repr)
+
+
+# -- 3: mining ------------------------------------------------------------------
+
+def test_long_shared_urls_are_mined_in_bounded_work(spark):
+    """Half of the examples share 40 tokens, each but for one of its own choice."""
+    rng = random.Random(5)
+    words = [f"path:w{i:02}" for i in range(40)]
+    rows = [([w for w in words if w != rng.choice(words)], i % 2 == 0) for i in range(80)]
+    rows += [(["host:bad", "path:a", f"path:x{i}"], True) for i in range(20)] + [(["host:bad", "path:b"], False)] * 10 + [(["host:ok", "path:a"], False)] * 10
+    found = {tuple(r["tokens"]): r["confidence"] for r in url_filter.mine_rules(frame(spark, rows, "tokens ARRAY<STRING>, blocked BOOLEAN"), 0.1, 0.9).collect()}
+    assert found == {("host:bad", "path:a"): 1.0}
+
+
+def test_mined_rules_are_the_minimal_confident_sets(spark):
+    rng = random.Random(9)
+    tokens = [f"t{i}" for i in range(7)]
+    rows = []
+    for _ in range(300):
+        own = [t for t in tokens if rng.random() < 0.5]
+        rows.append((own, rng.random() < (0.95 if {"t0", "t1"} <= set(own) or {"t2", "t3", "t4"} <= set(own) or "t6" in own else 0.1)))
+    found = {tuple(r["tokens"]) for r in url_filter.mine_rules(frame(spark, rows, "tokens ARRAY<STRING>, blocked BOOLEAN"), 0.02, 0.9).collect()}
+    confident = set()
+    for mask in range(1, 128):
+        part = tuple(t for k, t in enumerate(tokens) if mask >> k & 1)
+        hit = [b for own, b in rows if set(part) <= set(own)]
+        if sum(hit) >= 6 and sum(hit) / len(hit) >= 0.9:
+            confident.add(part)
+    assert found == {p for p in confident if not any(set(q) < set(p) for q in confident)}
