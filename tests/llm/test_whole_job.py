@@ -82,7 +82,7 @@ def plain_lines(docs):
 
             def near(s):
                 short = min(len(s), n)
-                return s == line or short >= 20 and abs(len(s) - n) <= (e := 3 if short >= 200 else 2 if short >= 100 else 1) and edits(s, line) <= e
+                return s == line or short >= 20 and abs(len(s) - n) <= (e := 2 if short >= 100 else 1) and edits(s, line) <= e
 
             if not line.strip(" \t\n\x0b\f\r") and n < 20:
                 kept.append(line)
