@@ -25,8 +25,10 @@ from pyspark.sql import functions as F
 from countwise.llm.frames import stored
 
 #: (least characters, edits) of the length classes.  Shorter lines are not
-#: compared with near ones: an edit would join unrelated ones.
-EDIT_CLASSES = ((20, 1), (100, 2))
+#: compared with near ones: an edit would join unrelated ones.  A line of a
+#: class with e edits has 4, 12, 26 .. probes for e = 1, 2, 3 ..; see the README
+#: for what more edits cost.
+EDIT_CLASSES = ((20, 1),)
 #: Equal lines of so many characters are removed, if they are not blank.
 EXACT_CHARS = 1
 
@@ -52,7 +54,7 @@ def index_keys(line: Column, n: Column, edits: int) -> Column:
 
 
 def probe_keys(line: Column, n: Column, edits: int, d: int) -> Column:
-    """Keys, some of them null, under which a line of n characters meets those with d characters less.
+    """Keys under which a line of n characters meets those with d characters less.
 
     A segment after i others can start from max(-i, d - (edits - i)) to
     min(i, d + (edits - i)) characters later: the errors before it and those
@@ -65,7 +67,7 @@ def probe_keys(line: Column, n: Column, edits: int, d: int) -> Column:
             start = s + shift
             fits = (start >= 1) & (start + k - 1 <= n) & (k > 0)
             keys.append(F.when(fits, _key(short, i, F.substring(line, start.cast("int"), k.cast("int")))))
-    return F.array(*keys)
+    return F.filter(F.array(*keys), lambda x: x.isNotNull())
 
 
 def _by_class(n: Column, classes: tuple[tuple[int, int], ...], value) -> Column:
@@ -76,10 +78,14 @@ def _by_class(n: Column, classes: tuple[tuple[int, int], ...], value) -> Column:
     return out
 
 
-def all_probes(line: Column, n: Column, classes: tuple[tuple[int, int], ...]) -> list[Column]:
-    """For each difference in length the keys of the lines that one of n characters may be near to."""
-    return [_by_class(n - d, [(least, e) for least, e in classes if d <= e], lambda e: probe_keys(line, n, e, d))
-            for d in range(max(e for _, e in classes) + 1)]
+def all_probes(line: Column, n: Column, classes: tuple[tuple[int, int], ...]) -> Column:
+    """(key, shorter) of all lines that a line of n characters may be near to."""
+    none = F.array().cast("array<bigint>")
+    parts = []
+    for d in range(max(e for _, e in classes) + 1):
+        keys = F.coalesce(_by_class(n - d, classes, lambda e: probe_keys(line, n, e, d) if d <= e else none), none)
+        parts.append(F.transform(keys, lambda k: F.struct(k.alias("key"), F.lit(d > 0).alias("shorter"))))
+    return F.concat(*parts)
 
 
 def word_bits(line: Column) -> Column:
@@ -170,29 +176,24 @@ def dedup_lines(docs: DataFrame, classes: tuple[tuple[int, int], ...] = EDIT_CLA
         n = F.char_length(line)
         return (n >= min_chars) | ((n >= exact_chars) & line.rlike(r"[^\x20\x09-\x0D]"))
 
-    each = each.filter(compared(F.col("line")))
+    each = each.withColumn("n", F.char_length("line")).filter(compared(F.col("line")))
     line, n = F.col("line"), F.col("n")
+    long = n >= min_chars
     heads = stored(
         each.groupBy(F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("line"), "line").alias("h2")).agg(
-            F.min(F.struct("doc", "line_no")).alias("place"), F.first(F.when(F.char_length("line") >= min_chars, line)).alias("line"))
-        .select("place", "line", F.char_length("line").alias("n")), "line-heads")
+            F.min(F.struct("doc", "line_no")).alias("place"),
+            F.first(F.struct(_by_class(n, classes, F.lit).alias("edits"), F.when(long, word_bits(line)).alias("bits"),
+                             _by_class(n, classes, lambda e: index_keys(line, n, e)).alias("index"),
+                             F.when(long, all_probes(line, n, classes)).alias("probes"))).alias("own")).select("place", "own.*"), "line-heads")
 
     a, b = (F.struct(F.struct(F.col("doc_" + x).alias("doc_id"), F.col("text_key_" + x).alias("text_key")).alias("doc"), F.col("line_no_" + x).alias("line_no"))
             for x in "ab")
-
-    def keyed(x: str, keys: Column, *more: Column) -> DataFrame:
-        own = heads.filter("n IS NOT NULL").select(
-            F.col("place.doc.doc_id").alias("doc_" + x), F.col("place.doc.text_key").alias("text_key_" + x), F.col("place.line_no").alias("line_no_" + x),
-            word_bits(line).alias("bits_" + x), *more, F.explode(keys).alias("key"))
-        return own.filter("key IS NOT NULL")
-
-    indexed = keyed("a", _by_class(n, classes, lambda e: index_keys(line, n, e)), _by_class(n, classes, F.lit).alias("edits"))
-    probing = None
-    for d, keys in enumerate(all_probes(line, n, classes)):
-        some = keyed("b", keys, F.lit(d > 0).alias("shorter"))
-        probing = some if probing is None else probing.union(some)
+    indexed, probing = (heads.select(
+        F.col("place.doc.doc_id").alias("doc_" + x), F.col("place.doc.text_key").alias("text_key_" + x), F.col("place.line_no").alias("line_no_" + x),
+        F.col("bits").alias("bits_" + x), F.col("edits").alias("edits_" + x), F.explode(keys).alias(k)) for x, keys, k in (("a", "index", "key"), ("b", "probes", "probe")))
+    probing = probing.select("doc_b", "text_key_b", "line_no_b", "bits_b", "probe.*")
     met = indexed.join(probing, (indexed["key"] == probing["key"]) & (F.col("shorter") | (a < b)) & (
-        F.bit_count(F.col("bits_a").bitwiseXOR(F.col("bits_b"))) <= 3 * F.col("edits"))).select(a.alias("a"), b.alias("b"), "edits").distinct()
+        F.bit_count(F.col("bits_a").bitwiseXOR(F.col("bits_b"))) <= 3 * F.col("edits_a"))).select(a.alias("a"), b.alias("b"), F.col("edits_a").alias("edits")).distinct()
 
     def with_line(pairs: DataFrame, place: str) -> DataFrame:
         return pairs.join(rows, F.col(place + ".doc") == F.col("doc")).drop("doc").withColumn(

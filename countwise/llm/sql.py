@@ -12,13 +12,11 @@ WITH split AS (
   SELECT line, length(line) AS n, min({'doc': doc, 'line_no': line_no}) AS place
   FROM each WHERE length(line) >= 20 OR regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY line
 ), long AS (
-  SELECT *, CASE WHEN n >= 100 THEN 2 ELSE 1 END AS e FROM heads WHERE n >= 20
+  SELECT *, 1 AS e FROM heads WHERE n >= 20
 ), met AS (
   SELECT a.line AS x, b.line AS y, a.e, a.place AS px, b.place AS py
-  FROM long a JOIN (SELECT *, unnest([0, 1, 2]) AS d FROM long) b
-    ON b.n - b.d = a.n AND d <= a.e AND (d > 0 OR a.place < b.place) AND (
-      contains(b.line, substr(a.line, 1, a.n // 3)) OR contains(b.line, substr(a.line, 1 + a.n // 3, a.n * 2 // 3 - a.n // 3))
-      OR contains(b.line, substr(a.line, 1 + a.n * 2 // 3)))
+  FROM long a JOIN (SELECT *, unnest([0, 1]) AS d FROM long) b
+    ON b.n - b.d = a.n AND d <= a.e AND (d > 0 OR a.place < b.place) AND (contains(b.line, substr(a.line, 1, a.n // 2)) OR contains(b.line, substr(a.line, 1 + a.n // 2)))
 ), one_byte_letters AS (
   SELECT *, array_to_string(list_distinct(list_filter(string_split(x || y, ''), lambda c: ord(c) > 127)), '') AS wide,
     array_to_string(list_transform(list_concat(range(1, 9), range(14, 32)), lambda c: chr(c::INTEGER)), '') AS marks FROM met

@@ -70,7 +70,7 @@ def edits(a, b):
 
 
 def plain_lines(docs):
-    """(doc_id, kept text) by the production classes; rows equal in both columns are one place."""
+    """(doc_id, kept text) by three length classes; rows equal in both columns are one place."""
     def key(row):
         return (row[0] is not None, row[0] or 0, int(hashlib.md5(row[1].encode()).hexdigest()[:15], 16) if row[1] is not None else -1)
 
@@ -82,7 +82,7 @@ def plain_lines(docs):
 
             def near(s):
                 short = min(len(s), n)
-                return s == line or short >= 20 and abs(len(s) - n) <= (e := 2 if short >= 100 else 1) and edits(s, line) <= e
+                return s == line or short >= 20 and abs(len(s) - n) <= (e := 3 if short >= 200 else 2 if short >= 100 else 1) and edits(s, line) <= e
 
             if not line.strip(" \t\n\x0b\f\r") and n < 20:
                 kept.append(line)
@@ -109,7 +109,7 @@ def test_lines_by_length_class_and_with_repeated_ids(spark, seed):
             lines.append("".join(line))
         docs.append((rng.choice([None, *range(25)]), "\n".join(lines)))
     docs += [docs[3], docs[4], (50, None), (50, None), (51, ""), (None, None)]
-    got = line_dedup.dedup_lines(frame(spark, docs, DOC)).select("doc_id", "kept_text").collect()
+    got = line_dedup.dedup_lines(frame(spark, docs, DOC), ((20, 1), (100, 2), (200, 3))).select("doc_id", "kept_text").collect()
     assert sorted(map(tuple, got), key=repr) == plain_lines(docs)
 
 
