@@ -71,7 +71,7 @@ WITH split AS (
 ), worded AS (
   SELECT kind, k, doc_id, url, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM texts
 ), cuts AS (
-  SELECT *, len(w) AS n, list_filter(range(1, len(w) + 1), lambda i: i = 1 OR (31 * unicode(w[i]) + length(w[i])) % 8 = 0) AS starts FROM worded
+  SELECT *, len(w) AS n, list_filter(range(1, len(w) + 1), lambda i: i = 1 OR (31 * unicode(w[i]) + length(w[i])) % 11 = 0) AS starts FROM worded
 ), places AS (
   SELECT *, unnest(range(1, len(starts) + 1)) AS place FROM cuts
 ), passages AS (
