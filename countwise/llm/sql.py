@@ -71,7 +71,7 @@ WITH split AS (
 ), worded AS (
   SELECT kind, k, doc_id, url, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM texts
 ), cuts AS (
-  SELECT *, len(w) AS n, list_filter(range(1, len(w) + 1), lambda i: i = 1 OR (31 * unicode(w[i]) + length(w[i])) % 11 = 0) AS starts FROM worded
+  SELECT *, len(w) AS n, list_filter(range(1, len(w) + 1), lambda i: i = 1 OR (31 * unicode(w[i]) + length(w[i])) % 8 = 0) AS starts FROM worded
 ), places AS (
   SELECT *, unnest(range(1, len(starts) + 1)) AS place FROM cuts
 ), passages AS (
@@ -98,10 +98,9 @@ WITH split AS (
 ), subsets AS (
   SELECT list_sort(list_filter(items, lambda x, i: (mask >> (i - 1)) & 1 = 1)) AS part, blocked
   FROM (SELECT items, blocked, unnest(range(1, (1 << len(items))::BIGINT)) AS mask FROM best)
-), candidates AS (
-  SELECT part FROM subsets WHERE len(part) > 1 GROUP BY part HAVING count(*) FILTER (blocked) >= (SELECT least FROM least)
 ), confident AS (
-  SELECT part FROM candidates JOIN examples ON list_has_all(tokens, part) GROUP BY part HAVING count(*) FILTER (blocked) / count(*) >= 0.9
+  SELECT part FROM subsets WHERE len(part) > 1 GROUP BY part
+  HAVING count(*) FILTER (blocked) >= (SELECT least FROM least) AND count(*) FILTER (blocked) / count(*) >= 0.9
 ), learned AS (
   SELECT part FROM confident a WHERE NOT EXISTS (SELECT 1 FROM confident b WHERE b.part <> a.part AND list_has_all(a.part, b.part))
   UNION ALL SELECT [token] FROM common WHERE confidence >= 0.9
