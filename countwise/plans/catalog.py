@@ -193,6 +193,7 @@ QUERIES: dict[str, Query] = {
     "stream_frequencies_stateful": _stream("stream_frequencies_stateful"),
     "stream_count_sketch": _stream("stream_count_sketch"),
     "stream_distinct_items": _stream("stream_distinct_items"),
+    "stream_distinct_set": _stream("stream_distinct_set"),
     "stream_prefix": _stream("stream_prefix"),
     "batch_counts": _stream("batch_counts"),
     "stream_report_sketch": _stream("stream_report_sketch"),
@@ -453,6 +454,7 @@ ORACLE_SQL: dict[str, str] = {
     "stream_count_sketch": S_SKETCH,
     "stream_distinct_items": (f"SELECT count(*) AS n_items, count(DISTINCT item) AS n_distinct, "
                               f"max(item) AS max_item FROM ({S_USERS})"),
+    "stream_distinct_set": "SELECT DISTINCT CAST(user_id AS BIGINT) AS item FROM events",
     "batch_counts": f"SELECT CAST(k AS INTEGER) AS batch_id, n AS n_items FROM ({S_BATCHES})",
     "stream_prefix": (f"SELECT CAST(sum(n) AS BIGINT) AS n_items, count(*) AS n_batches "
                       f"FROM ({S_BATCHES}) WHERE before < {P.PREFIX_ITEMS}"),

@@ -118,10 +118,13 @@ def report_sketch(items: DataFrame, family: Sequence[SketchRow], width: int, lef
 
 
 def report_sketch_of(freq: DataFrame, n_items: DataFrame, family: Sequence[SketchRow], width: int, left: int,
-                     right: int, k: int, p: int = PRIME) -> DataFrame:
+                     right: int, k: int, p: int = PRIME, sketch: DataFrame | None = None) -> DataFrame:
     """C4 from the frequencies in [left, right], of a table or of the committed
-    part of a stream, and one row (n_items) with the whole length."""
-    sketch = fq.sketch_from_frequencies(freq, family, width, p)
+    part of a stream, and one row (n_items) with the whole length.  ``sketch``
+    is one that a stream has kept; without it, it is built from the
+    frequencies."""
+    if sketch is None:
+        sketch = fq.sketch_from_frequencies(freq, family, width, p)
     sizes = freq.agg(F.coalesce(F.sum("f"), F.lit(0)).cast("bigint").alias("n"),
                      F.count(F.lit(1)).alias("d"))
     n_in_range = sizes.select("n").scalar()

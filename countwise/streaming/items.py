@@ -1,42 +1,20 @@
-"""Frequency statistics on an item stream (Structured Streaming).
+"""Item streams and per-batch results (Structured Streaming).
 
-Two ways of keeping running state:
-
-* Per-batch partials (W3a running frequencies, W3c distinct items, W5
-  batch lengths).  ``foreachBatch`` writes each micro-batch's aggregate
-  to ``<out>/<name>/batch_id=<id>`` with overwrite, so a replayed batch
-  rewrites the same files (effectively exactly-once, W6).  A batch is
-  complete once its ``counts`` are written, after all else; readers take
-  complete batches only.  The running result is a batch aggregation over
-  the partials, so its size is never tied to one task or to the driver.
-* Streaming aggregation with a state store: the count sketch (W3b, state
-  bounded by D*W cells, complete mode, one snapshot per batch) and a
-  state-store variant of the running frequencies (update mode, the newest
-  total per item read back with ``max_by``).
-
-What a stream keeps is bounded: ``compact`` folds partials into a base
-snapshot (made visible by a marker written after it) and then removes what
-the base before it covered, so a reader that still uses that base finds its
-files; of the sketch snapshots the last two stay.
-
-A bounded prefix (W4) ends the query when the committed length (read back
-from the ``counts``, not from a Python variable, so it survives restarts) has
-reached N: the batch that crosses N is wholly counted, as in the reference,
-and the next one fails on purpose, uncommitted -- it and all behind it stay
-unread, and a restart with a larger prefix takes them up.
+Running state -- frequencies, distinct items, the count sketch, a bounded
+prefix -- is kept by Spark's state store, see ``state.py``.  Here are the
+sources (S4) and what belongs to a micro-batch itself: ``foreachBatch`` (W2)
+writes each batch's aggregates and its length (W5) to a folder named by the
+batch id, with overwrite, so a replayed batch rewrites the same files (W6).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Mapping
 
-from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from countwise.functions.hashing import PRIME, SketchRow
-from countwise.operators import frequency as fq
 from countwise.sources.readers import read_item_lines
 
 ITEM_SCHEMA = "item BIGINT"
@@ -69,336 +47,56 @@ def text_item_stream(spark: SparkSession, path: str, max_files_per_trigger: int
     return read_item_lines(src, "value", strict)
 
 
-def _trigger(writer, trigger: str | None):
+def triggered(writer, trigger: str | None):
+    """``writer`` with a processing-time trigger (W1, e.g. "100 milliseconds"),
+    or with ``availableNow``: read what there is and end."""
     if trigger in (None, "availableNow"):
         return writer.trigger(availableNow=True)
-    return writer.trigger(processingTime=trigger)  # W1, e.g. "100 milliseconds"
-
-
-class PrefixReached(Exception):
-    """Raised in a batch that lies behind the wanted prefix."""
-
-
-def _folder(spark: SparkSession, path: str):
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, at = _folder(spark, path)
-    return fs.exists(at)
-
-
-def _written(spark: SparkSession, path: str, key: str) -> list[int]:
-    """The k of all ``<path>/<key>=<k>`` whose write was committed, ascending."""
-    fs, at = _folder(spark, path)
-    if not fs.exists(at):
-        return []
-    found = [f.getPath() for f in fs.listStatus(at) if f.getPath().getName().startswith(f"{key}=")]
-    return sorted(int(p.getName().split("=")[1]) for p in found if _exists(spark, f"{p}/_SUCCESS"))
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    fs, at = _folder(spark, path)
-    fs.delete(at, True)
-
-
-def open_state(spark: SparkSession, out: str) -> None:
-    """Create the state folder: from now on, no committed batch is a legal state."""
-    fs, at = _folder(spark, out)
-    fs.mkdirs(at)
-
-
-def _require_state(spark: SparkSession, out: str) -> None:
-    if not _exists(spark, out):
-        raise FileNotFoundError(f"no stream has written to {out}")
+    return writer.trigger(processingTime=trigger)
 
 
-def _read_folders(spark: SparkSession, path: str, key: str, ids: Sequence[int], schema: str) -> DataFrame:
-    """The rows of some ``<key>=<id>`` folders; an explicit schema (partition
-    column included) and explicit paths: nothing else is listed or opened."""
-    schema = f"{schema}, {key} INT"
-    if not ids:
-        return spark.createDataFrame([], schema)
-    return (spark.read.schema(schema).option("basePath", path)
-            .parquet(*[f"{path}/{key}={k}" for k in ids]))
-
-
-def committed_length(spark: SparkSession, out: str, before_batch: int | None = None) -> DataFrame:
-    """K10 over committed batches -> one row (n_items, n_batches).
-
-    Reads the newest compacted base of ``counts`` plus later partials, so
-    the per-batch prefix test stays cheap on long-running streams."""
-    counts = merged_partials(spark, out, "counts")
-    if before_batch is not None:
-        counts = counts.where(F.col("batch_id") < before_batch)
-    return counts.agg(F.coalesce(F.sum("n_items"), F.lit(0)).cast("bigint").alias("n_items"),
-                      F.count(F.lit(1)).alias("n_batches"))
-
-
-def partials_handler(spark: SparkSession, out: str, per_batch: Mapping[str, BatchFn],
-                     prefix_items: int | None = None,
-                     compact_every: int | None = None) -> Callable[[DataFrame, int], None]:
+def partials_handler(out: str, per_batch: Mapping[str, BatchFn]) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function of ``start_partials``.
 
     Every write is an overwrite of the batch's own folder, so running it
     again for the same batch id (a replay after a failure) leaves exactly
-    the output of one run.  With ``compact_every`` = k, batch B (B a
-    multiple of k) first compacts the partials through B-1: batches run one
-    at a time, so nothing is being written then.
+    the output of one run.
     """
-    open_state(spark, out)
+    every = {**per_batch, "counts": lambda batch: batch.agg(F.count(F.lit(1)).alias("n_items"))}
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if prefix_items is not None:
-            done = committed_length(spark, out, before_batch=batch_id).first()["n_items"]
-            if done >= prefix_items:
-                raise PrefixReached(f"{done} items are committed")
-        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
-            for name in [*per_batch, "counts"]:
-                if name in FOLDS:
-                    compact_partials(spark, out, name, through_batch=batch_id - 1)
         batch.persist()
         try:
-            for name, fn in per_batch.items():
+            for name, fn in every.items():
                 fn(batch).write.mode("overwrite").parquet(f"{out}/{name}/batch_id={batch_id}")
-            (batch.agg(F.count(F.lit(1)).alias("n_items"))
-             .write.mode("overwrite").parquet(f"{out}/counts/batch_id={batch_id}"))
         finally:
             batch.unpersist()
 
     return handle
 
 
-def start_partials(stream: DataFrame, out: str, checkpoint: str,
-                   per_batch: Mapping[str, BatchFn], prefix_items: int | None = None,
-                   trigger: str | None = "availableNow",
-                   compact_every: int | None = None) -> StreamingQuery:
-    """Run ``per_batch`` aggregates of every micro-batch into partials.
-
-    Also records (n_items) per batch under ``counts`` (W5).  With
-    ``prefix_items`` the query ends once N items are committed
-    (``run_to_end`` and ``stop_after_prefix`` take that end as a normal one);
-    with ``compact_every`` it compacts its partials every k batches.
-    """
-    handle = partials_handler(stream.sparkSession, out, per_batch, prefix_items, compact_every)
-    writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
-    return _trigger(writer, trigger).start()
-
-
-# Foldable partials: name -> (key columns, value column, partial schema).
-FOLDS = {
-    "freq": (["item"], "f", "item BIGINT, f BIGINT"),
-    "seen": (["item"], "n", "item BIGINT, n BIGINT"),
-    # one row per batch; the batch id itself is the key
-    "counts": (["batch_id"], "n_items", "n_items BIGINT"),
-    # running totals: the newest one of an item holds
-    "updates": (["item"], "f", "item BIGINT, f BIGINT"),
-}
-
-
-def _base_schema(name: str) -> str:
-    keys, value, _ = FOLDS[name]
-    return ", ".join(f"{k} {'INT' if k == 'batch_id' else 'BIGINT'}" for k in keys) + f", {value} BIGINT"
-
-
-def _base_at(spark: SparkSession, out: str, name: str) -> int:
-    """The last batch that the newest committed base of ``name`` covers, or -1.
-
-    A base counts only once its marker exists; the marker is written after
-    the base's own write job has committed, so a compaction that died midway
-    is never read."""
-    return max(_written(spark, f"{out}/{name}_compactions", "upto"), default=-1)
-
-
-def _complete_batches(spark: SparkSession, out: str, name: str) -> list[int]:
-    """Batches of ``name`` that lie behind its base and are wholly written."""
-    ids = [k for k in _written(spark, f"{out}/{name}", "batch_id") if k > _base_at(spark, out, name)]
-    if name in ("counts", "updates"):
-        return ids
-    counted, folded = set(_written(spark, f"{out}/counts", "batch_id")), _base_at(spark, out, "counts")
-    return [k for k in ids if k <= folded or k in counted]
-
+def start_partials(stream: DataFrame, out: str, checkpoint: str, per_batch: Mapping[str, BatchFn],
+                   trigger: str | None = "availableNow") -> StreamingQuery:
+    """Write ``per_batch`` aggregates of every micro-batch, and its length
+    (n_items) under ``counts`` (W5)."""
+    writer = stream.writeStream.foreachBatch(partials_handler(out, per_batch)).option("checkpointLocation", checkpoint)
+    return triggered(writer, trigger).start()
 
-def merged_partials(spark: SparkSession, out: str, name: str,
-                    through_batch: int | None = None) -> DataFrame:
-    """Newest base snapshot + the partials of later batches (up to
-    ``through_batch`` when given), folded by key.  A folder that no stream
-    has opened raises; an open one without batches is empty."""
-    _require_state(spark, out)
-    keys, value, schema = FOLDS[name]
-    upto = _base_at(spark, out, name)
-    ids = [k for k in _complete_batches(spark, out, name)
-           if through_batch is None or k <= through_batch]
-    rows = _read_folders(spark, f"{out}/{name}", "batch_id", ids, schema).select(
-        *keys, value, F.col("batch_id").alias("at"))
-    if upto >= 0:
-        base = _read_folders(spark, f"{out}/{name}_base", "upto", [upto], _base_schema(name))
-        rows = base.select(*keys, value, F.col("upto").alias("at")).unionByName(rows)
-    fold = F.max_by(value, "at") if name == "updates" else F.sum(value)
-    return rows.groupBy(*keys).agg(fold.cast("bigint").alias(value))
 
-
-def compact_partials(spark: SparkSession, out: str, name: str,
-                     through_batch: int | None = None) -> int | None:
-    """Fold the partials of ``name`` up to ``through_batch`` (default: the
-    last complete batch) into a new base snapshot ``<name>_base/upto=<B>``
-    -> B, or None when there is nothing new to fold.
-
-    Base + later partials always equals the full merge, and readers only see
-    a base once its marker exists.  Only complete batches are folded, so
-    running this beside a live stream never folds a half-written one; inside
-    the stream use ``start_partials(compact_every=...)``.  Then everything
-    that the base before the new one covers is removed.
-    """
-    _require_state(spark, out)
-    keys, value, _ = FOLDS[name]
-    before = _base_at(spark, out, name)
-    ids = [k for k in _complete_batches(spark, out, name)
-           if through_batch is None or k <= through_batch]
-    if not ids:
-        return None
-    last = ids[-1]
-    (merged_partials(spark, out, name, through_batch=last).select(*keys, value)
-     .write.mode("overwrite").parquet(f"{out}/{name}_base/upto={last}"))
-    (spark.range(1).select(F.lit(last).cast("bigint").alias("at"))
-     .write.mode("overwrite").parquet(f"{out}/{name}_compactions/upto={last}"))
-    for k in _written(spark, f"{out}/{name}", "batch_id"):
-        if k <= before:
-            _remove(spark, f"{out}/{name}/batch_id={k}")
-    for kind in ("compactions", "base"):
-        for k in _written(spark, f"{out}/{name}_{kind}", "upto"):
-            if k < before:
-                _remove(spark, f"{out}/{name}_{kind}/upto={k}")
-    return last
-
-
-def running_frequencies(spark: SparkSession, out: str) -> DataFrame:
-    """W3a result: merge of the ``freq`` partials -> (item, f)."""
-    return merged_partials(spark, out, "freq")
-
-
-def running_distinct(spark: SparkSession, out: str) -> DataFrame:
-    """W3c result, the report C5 over what is committed: (n_items, n_distinct,
-    max_item) from the ``seen`` partials."""
-    return merged_partials(spark, out, "seen").agg(
-        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_items"),
-        F.count("item").alias("n_distinct"),
-        F.max("item").alias("max_item"))
+def partials(spark: SparkSession, out: str, name: str, schema: str) -> DataFrame:
+    """The aggregates ``name`` of all batches, with their batch_id; an explicit
+    schema, so no file is opened to learn it."""
+    return spark.read.schema(f"{schema}, batch_id INT").parquet(f"{out}/{name}")
 
 
 def batch_counts(spark: SparkSession, out: str) -> DataFrame:
-    """W5 result: (batch_id, n_items) per committed micro-batch."""
-    return merged_partials(spark, out, "counts").select("batch_id", "n_items")
-
-
-def frequency_partials(left: int | None, right: int | None) -> dict[str, BatchFn]:
-    return {"freq": lambda b: fq.item_frequencies(b, left, right)}
-
-
-def distinct_partials() -> dict[str, BatchFn]:
-    return {"seen": lambda b: b.groupBy("item").agg(F.count(F.lit(1)).alias("n"))}
-
-
-def start_sketch(stream: DataFrame, out: str, checkpoint: str, family: Sequence[SketchRow],
-                 width: int, left: int | None = None, right: int | None = None,
-                 p: int = PRIME, trigger: str | None = "availableNow") -> StreamingQuery:
-    """Running count sketch as a streaming aggregation (state <= D*W).
-
-    Complete output mode hands the whole (bounded) state to every batch;
-    it is written as the snapshot of that batch id.
-    """
-    spark = stream.sparkSession
-    open_state(spark, out)
-    cells = fq.sketch_cells(fq.in_range(stream, left, right), family, width, p)
-    agg = cells.groupBy("j", "h").agg(F.sum("g").cast("bigint").alias("c"))
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/sketch/batch_id={batch_id}")
-        for k in _written(spark, f"{out}/sketch", "batch_id")[:-2]:
-            _remove(spark, f"{out}/sketch/batch_id={k}")
-
-    writer = (agg.writeStream.outputMode("complete").foreachBatch(handle)
-              .option("checkpointLocation", checkpoint))
-    return _trigger(writer, trigger).start()
-
-
-def start_stateful_frequencies(stream: DataFrame, out: str, checkpoint: str,
-                               left: int | None = None, right: int | None = None,
-                               trigger: str | None = "availableNow",
-                               compact_every: int | None = None) -> StreamingQuery:
-    """W3a with a state store: streaming ``groupBy(item).count()``.
-
-    Update mode hands each batch only the items whose count changed, with
-    their new running totals; they are written under the batch id
-    (overwrite, so a replay rewrites them).  The state is one row per
-    distinct item, spread over the shuffle partitions; for many keys use
-    the RocksDB state store provider.  With ``compact_every`` the updates
-    are compacted every k batches.
-    """
-    spark = stream.sparkSession
-    open_state(spark, out)
-    counts = fq.item_frequencies(stream, left, right)
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
-            compact_partials(spark, out, "updates", through_batch=batch_id - 1)
-        batch.write.mode("overwrite").parquet(f"{out}/updates/batch_id={batch_id}")
-
-    writer = (counts.writeStream.outputMode("update").foreachBatch(handle)
-              .option("checkpointLocation", checkpoint))
-    return _trigger(writer, trigger).start()
-
-
-def stateful_frequencies(spark: SparkSession, out: str) -> DataFrame:
-    """W3a (state store) result: the newest running total of every item
-    -> (item, f)."""
-    return merged_partials(spark, out, "updates")
-
-
-def latest_sketch(spark: SparkSession, out: str) -> DataFrame:
-    """The last committed sketch snapshot -> (j, h, c); no other is opened."""
-    _require_state(spark, out)
-    newest = _written(spark, f"{out}/sketch", "batch_id")[-1:]
-    return _read_folders(spark, f"{out}/sketch", "batch_id", newest,
-                         "j BIGINT, h BIGINT, c BIGINT").select("j", "h", "c")
-
-
-def _raise_failure(query: StreamingQuery) -> None:
-    """Raise what ended the query, unless that was its prefix."""
-    err = query.exception()
-    if err is not None and PrefixReached.__name__ not in str(err):
-        raise err
-
-
-def stop_after_prefix(query: StreamingQuery, spark: SparkSession, out: str, n_items: int,
-                      poll_s: float = 0.5, timeout_s: float | None = None) -> int:
-    """W4 for live triggers: the main thread stops the query once the
-    committed length (read back, one row) reaches ``n_items`` -> the
-    committed length.  Raises TimeoutError if that takes too long."""
-    import time
-
-    start = time.monotonic()
-    while query.isActive:
-        if committed_length(spark, out).first()["n_items"] >= n_items:
-            query.stop()
-            break
-        if timeout_s is not None and time.monotonic() - start > timeout_s:
-            query.stop()
-            raise TimeoutError(f"fewer than {n_items} items within {timeout_s} s")
-        time.sleep(poll_s)
-    _raise_failure(query)
-    return committed_length(spark, out).first()["n_items"]
+    """W5 result: (batch_id, n_items) per micro-batch."""
+    return partials(spark, out, "counts", "n_items BIGINT").select("batch_id", "n_items")
 
 
 def run_to_end(query: StreamingQuery, timeout_s: float | None = None) -> None:
-    """Wait until an availableNow query has read all there is, or its prefix;
-    raise its error if it failed, and TimeoutError if it takes too long."""
-    try:
-        ended = query.awaitTermination(timeout_s) if timeout_s is not None else query.awaitTermination() or True
-    except StreamingQueryException:
-        ended = True
-    if not ended:
+    """Wait until an availableNow query has read all there is; raise its error
+    if it failed, and TimeoutError if it takes too long."""
+    if not (query.awaitTermination(timeout_s) if timeout_s is not None else query.awaitTermination() or True):
         query.stop()
         raise TimeoutError(f"the query did not end within {timeout_s} s")
-    _raise_failure(query)

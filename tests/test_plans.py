@@ -11,7 +11,7 @@ from conftest import SF_SMALL
 
 STREAMING = {"stream_frequencies", "stream_frequencies_stateful", "stream_count_sketch",
              "stream_distinct_items", "stream_prefix", "batch_counts",
-             "stream_report_sketch", "stream_report_distinct"}
+             "stream_report_sketch", "stream_report_distinct", "stream_distinct_set"}
 
 
 @pytest.fixture(autouse=True)
