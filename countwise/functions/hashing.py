@@ -11,6 +11,7 @@ formula.
 from __future__ import annotations
 
 import random
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -127,6 +128,37 @@ def hash_family(seed: int, depth: int, p: int = PRIME) -> list[SketchRow]:
             for j in range(depth)]
 
 
+def cubic_hash(x, coefficients: Sequence, p: int = MAX_PRIME) -> Column:
+    """((c3*x + c2)*x + c1)*x + c0 mod p: four-wise independent for random
+    coefficients and x < p.  Every product is reduced before the next, so
+    nothing overflows for p up to ``MAX_PRIME``."""
+    check_prime(p)
+    pp = F.lit(p).cast("bigint")
+    xp = F.pmod(_c(x).cast("bigint"), pp)
+    value = _n(coefficients[0])
+    for c in coefficients[1:]:
+        value = F.pmod(value * xp + _n(c), pp)
+    return value
+
+
+@dataclass(frozen=True)
+class FourWiseRow:
+    """One sketch row with a linear cell hash (ah, bh) and a cubic sign hash."""
+    j: int
+    ah: int
+    bh: int
+    g: tuple[int, int, int, int]
+
+
+def four_wise_family(seed: int, depth: int, p: int = MAX_PRIME) -> list[FourWiseRow]:
+    if depth < 1:
+        raise ValueError("sketch depth D must be >= 1")
+    rng = random.Random(seed)
+    return [FourWiseRow(j, rng.randint(1, p - 1), rng.randint(0, p - 1),
+                        (rng.randint(1, p - 1), *(rng.randint(0, p - 1) for _ in range(3))))
+            for j in range(depth)]
+
+
 def family_struct_array(family: list[SketchRow]) -> Column:
     """The family as a literal ARRAY<STRUCT<j,ah,bh,ag,bg>>.
 

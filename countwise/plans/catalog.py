@@ -22,10 +22,13 @@ from countwise.functions.hashing import PRIME, vertex_color
 from countwise.operators import frequency as fq
 from countwise.operators import triangles as tri
 from countwise.operators import words as wd
+from countwise.operators.heavy import dyadic_sketch, heavy_items
 from countwise.plans import params as P
 from countwise.plans import reports as rp
 from countwise.sources import readers as rd
+from countwise.session import stored
 from countwise.sources import tables as tb
+from countwise.sources.results import save_bucketed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -90,7 +93,9 @@ def q_estimates(spark, d):
 
 def q_estimates_range(spark, d):
     items = _items(spark, d)
-    return fq.estimate_frequencies(_sketch(spark, d), fq.range_candidates(items, P.LEFT, P.INTERVAL_RIGHT),
+    largest = items.agg(F.max("item")).first()[0]
+    right = P.LEFT if largest is None else min(P.RIGHT, largest)
+    return fq.estimate_frequencies(_sketch(spark, d), fq.range_candidates(items, P.LEFT, right),
                                    P.FAMILY, P.SKETCH_W, candidates_by_item=False)
 
 
@@ -109,6 +114,34 @@ def q_f2_estimate(spark, d):
     return fq.f2_estimate(_sketch(spark, d), P.SKETCH_D, n)
 
 
+def q_heavy_items(spark, d):
+    freq = _freq(spark, d)
+    phi = fq.kth_frequency(freq, P.TOP_K).scalar()
+    return heavy_items(stored(dyadic_sketch(freq, P.DYADIC), "dyadic-sketch"), P.DYADIC, phi)
+
+
+def q_f2_four_wise(spark, d):
+    freq = _freq(spark, d)
+    n = freq.agg(F.coalesce(F.sum("f"), F.lit(0)).cast("bigint")).scalar()
+    return fq.f2_estimate(fq.four_wise_sketch(freq, P.FOUR_WISE, P.FOUR_WISE_W), len(P.FOUR_WISE), n)
+
+
+def q_distinct_by_sketch(spark, d):
+    """The estimate from stored sketches of the parts, held against the exact number."""
+    rows = tb.table(spark, d, "lineitem").select(
+        F.col("l_partkey").cast("bigint").alias("item"), F.pmod("l_orderkey", F.lit(P.DISTINCT_PARTS)).alias("part"))
+    merged = fq.merged_distinct(stored(fq.distinct_sketches(rows, "part"), "distinct-sketches"))
+    exact = rows.agg(F.count_distinct("item")).scalar()
+    return merged.select("n_sketches", "n_items", exact.alias("n_distinct"),
+                         (F.abs(F.col("est_distinct") - exact) <= fq.DISTINCT_ERROR * exact).alias("within_error"))
+
+
+def q_bucketed_estimates(spark, d):
+    freq = save_bucketed(_freq(spark, d), "item", P.RESULT_BUCKETS)
+    est = save_bucketed(q_estimates(spark, d), "item", P.RESULT_BUCKETS)
+    return freq.join(est, "item").select("item", "f", "est")
+
+
 def q_report_sketch(spark, d):
     return rp.report_sketch(_items(spark, d), P.FAMILY, P.SKETCH_W, P.LEFT, P.RIGHT, P.TOP_K)
 
@@ -174,6 +207,10 @@ QUERIES: dict[str, Query] = {
     "top_k_error": lambda s, d: fq.top_k_error(_freq(s, d), _sketch(s, d), P.FAMILY,
                                                P.SKETCH_W, P.TOP_K),
     "distinct_items": lambda s, d: fq.distinct_stats(_items(s, d)),
+    "heavy_items": q_heavy_items,
+    "f2_estimate_four_wise": q_f2_four_wise,
+    "distinct_by_sketch": q_distinct_by_sketch,
+    "bucketed_estimates": q_bucketed_estimates,
     # reports
     "report_words": lambda s, d: rp.report_words(_lines(s, d)),
     "report_word_counts": lambda s, d: rp.report_word_counts(_lines(s, d), P.SALT_KEYS,
@@ -289,6 +326,54 @@ S_F2EST = (
     f"SELECT r.j, CAST(coalesce(sum(CAST(k.c AS HUGEINT) * k.c), 0) AS BIGINT) AS s "
     f"FROM range(0, {P.SKETCH_D}) r(j) LEFT JOIN ({S_SKETCH}) k ON k.j = r.j GROUP BY r.j)")
 
+def _linear(x: str, a, b, m, p: int) -> str:
+    return f"((({a} * ({x} % {p}) + {b}) % {p}) % {m})"
+
+
+def _heavy_sql() -> str:
+    """The dyadic search, one step per level."""
+    spec = P.DYADIC
+    family = ", ".join(f"({level}, {r.j}, {r.ah}, {r.bh}, {r.ag}, {r.bg})" for level, rows in spec.families for r in rows)
+
+    def cell(prefix: str) -> str:
+        return _linear(prefix, "f.ah", "f.bh", spec.width, spec.p)
+
+    def sign(prefix: str) -> str:
+        return f"CASE WHEN {_linear(prefix, 'f.ag', 'f.bg', 2, spec.p)} = 0 THEN -1 ELSE 1 END"
+
+    prefix = f"((q.item - {spec.left}) >> f.level)"
+    out = (f"WITH freq AS ({S_FREQ}), phi AS ({S_PHI}), "
+           f"family AS (SELECT * FROM (VALUES {family}) AS t(level, j, ah, bh, ag, bg)), "
+           f"cells AS (SELECT f.level, f.j, {cell(prefix)} AS h, CAST(sum({sign(prefix)} * q.f) AS BIGINT) AS c "
+           f"FROM freq q CROSS JOIN family f GROUP BY f.level, f.j, h)")
+    above = None
+    for level, _ in reversed(spec.families):
+        last = spec.span >> level
+        asked = (f"SELECT CAST(range AS BIGINT) AS x FROM range(0, {last + 1})" if above is None else
+                 f"SELECT x FROM (SELECT unnest(range(x << {spec.bits}, (x + 1) << {spec.bits})) AS x FROM e{above}) WHERE x <= {last}")
+        out += (f", c{level} AS ({asked}), e{level} AS (SELECT x, {_median('list_sort(list(g * coalesce(c, 0)))')} AS est FROM ("
+                f"SELECT a.x, {sign('a.x')} AS g, s.c FROM c{level} a CROSS JOIN (SELECT * FROM family WHERE level = {level}) f "
+                f"LEFT JOIN cells s ON s.level = {level} AND s.j = f.j AND s.h = {cell('a.x')}) GROUP BY x "
+                f"HAVING est >= (SELECT phi FROM phi))")
+        above = level
+    return f"{out} SELECT x + {spec.left} AS item, CAST(est AS BIGINT) AS est FROM e0"
+
+
+def _f2_four_wise_sql() -> str:
+    p = (1 << 31) - 1
+    family = ", ".join(f"({r.j}, {r.ah}, {r.bh}, {', '.join(map(str, r.g))})" for r in P.FOUR_WISE)
+    x = f"(q.item % {p})"
+    cubic = f"(((((r.g0 * {x} + r.g1) % {p}) * {x} + r.g2) % {p}) * {x} + r.g3) % {p}"
+    cells = (f"SELECT r.j, {_linear('q.item', 'r.ah', 'r.bh', P.FOUR_WISE_W, p)} AS h, "
+             f"sum(CASE WHEN ({cubic}) % 2 = 1 THEN q.f ELSE -q.f END) AS c "
+             f"FROM ({S_FREQ}) q CROSS JOIN (SELECT * FROM (VALUES {family}) AS t(j, ah, bh, g0, g1, g2, g3)) r GROUP BY r.j, h")
+    rows = f"SELECT r.j, coalesce(sum(CAST(k.c AS HUGEINT) * k.c), 0) AS s FROM range(0, {len(P.FOUR_WISE)}) r(j) LEFT JOIN ({cells}) k ON k.j = r.j GROUP BY r.j"
+    n = f"CAST((SELECT count(*) FROM ({S_INR})) AS DOUBLE)"
+    return f"SELECT CAST({_median('list_sort(list(s))')} AS DOUBLE) / nullif({n} * {n}, 0.0) AS f2_est FROM ({rows})"
+
+
+S_F2_FOUR_WISE = _f2_four_wise_sql()
+
 S_RUNS = ("SELECT * FROM (VALUES " + ", ".join(
     f"({i}, {prm.a}, {prm.b})" for i, prm in enumerate(P.RUN_PARAMS)) + ") AS t(run, a, b)")
 
@@ -408,7 +493,7 @@ ORACLE_SQL: dict[str, str] = {
         f"WHERE item BETWEEN {P.LEFT} AND {P.RIGHT}"),
     "estimate_frequencies": _estimates(f"SELECT item FROM ({S_FREQ})"),
     "estimate_range": _estimates(f"SELECT CAST(range AS BIGINT) AS item "
-                                 f"FROM range({P.LEFT}, {P.INTERVAL_RIGHT + 1})"),
+                                 f"FROM range({P.LEFT}, (SELECT least({P.RIGHT}, coalesce(max(item), {P.LEFT})) + 1 FROM ({S_ITEMS})))"),
     "estimate_median": _estimates(f"SELECT item FROM ({S_FREQ})",
                                   family_sql=_family_sql(P.FAMILY_EVEN)),
     "count_sketch_from_frequencies": (
@@ -421,6 +506,11 @@ ORACLE_SQL: dict[str, str] = {
     "top_k_error": S_ERR,
     "distinct_items": (f"SELECT count(*) AS n_items, count(DISTINCT item) AS n_distinct, "
                        f"max(item) AS max_item FROM ({S_ITEMS})"),
+    "heavy_items": _heavy_sql(),
+    "f2_estimate_four_wise": S_F2_FOUR_WISE,
+    "distinct_by_sketch": (f"SELECT {P.DISTINCT_PARTS} AS n_sketches, count(*) AS n_items, "
+                           f"count(DISTINCT item) AS n_distinct, TRUE AS within_error FROM ({S_ITEMS})"),
+    "bucketed_estimates": _estimates(S_FREQ, extra="f"),
     "report_words": (f"SELECT (SELECT count(*) FROM ({S_LINES})) AS n_docs, "
                      f"count(*) AS n_distinct_words, "
                      f"CAST(sum(length(word)) // count(*) AS BIGINT) AS avg_word_length "

@@ -11,8 +11,10 @@ from countwise.functions.hashing import (
     LinearParams,
     bucket_params,
     color_params,
+    four_wise_family,
     hash_family,
 )
+from countwise.operators.heavy import dyadic
 
 # Graph algorithms: number of colours / subsets C, one colouring (a, b),
 # R seeded colourings for the median, and the seeded subset hash.
@@ -43,9 +45,15 @@ RIGHT = 2_147_483_647
 # An inner interval, for the keys whose feature is the cut.
 INNER_LEFT = 50
 INNER_RIGHT = 149
-# Candidates of the estimates over a whole interval.
-INTERVAL_RIGHT = 999_999
 TOP_K = 10
+# Dyadic sketch of [LEFT, RIGHT]: heavy items without enumerating the interval.
+DYADIC = dyadic(LEFT, RIGHT, SKETCH_D, 1 << 14, SKETCH_SEED)
+# Four-wise independent signs: F2 within a few percent.
+FOUR_WISE_W = 1024
+FOUR_WISE = four_wise_family(SKETCH_SEED, SKETCH_D)
+# Parts whose distinct items are sketched apart, and buckets of stored results.
+DISTINCT_PARTS = 4
+RESULT_BUCKETS = 8
 
 # Streaming: parts in which a table arrives, and the prefix lengths N.
 STREAM_ARRIVALS = 4

@@ -13,6 +13,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,10 +74,37 @@ def _parent_of_context_dir(path: str) -> str:
         return path
 
 
+#: The folders of the innermost scope, if there is one.
+_SCOPE: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder name under the shared checkpoint folder."""
-    root = checkpoint_root(spark)
-    return f"{root}/countwise/{name}-{uuid.uuid4().hex}"
+    """A fresh, unique folder name under the shared checkpoint folder, owned by
+    the ``scratch_scope`` around the call."""
+    path = f"{checkpoint_root(spark)}/countwise/{name}-{uuid.uuid4().hex}"
+    owned = _SCOPE.get()
+    if owned is not None:
+        owned.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """The life of intermediate results.
+
+    Everything that the library materialises inside the ``with`` block is
+    removed at its end, also after an error.  Results are lazy, so write them
+    out inside the block; what is read from removed folders fails.
+    """
+    owned: list[str] = []
+    token = _SCOPE.set(owned)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        for path in owned:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
