@@ -18,6 +18,12 @@ UNNAMED = "unknown"
 END = "<|end|>\n"
 
 
+def _plain_name(name: Column) -> Column:
+    for sign in '%"<|>\n\r':  # the percent sign first: it stands for all others
+        name = F.replace(name, F.lit(sign), F.lit(f"%{ord(sign):02X}"))
+    return name
+
+
 def rotate(conversations: DataFrame) -> DataFrame:
     """conv_id, participant, n_turns, rendered, mask, n_trained.
 
@@ -25,16 +31,18 @@ def rotate(conversations: DataFrame) -> DataFrame:
     ignored.  Turns are ordered by turn, then role, then text; null turns come
     first, repeated rows are repeated turns.  A null or blank role is the
     speaker ``unknown``; a null text is empty.  ``<|`` inside a text is
-    written ``< |`` and ``"`` inside a name ``'``, so no text can pass for
-    a mark.  Rows without a conv_id belong to no conversation; a conversation
-    of system turns alone has no participant; both give no row.
+    written ``< |``; of a name, ``%``, ``"``, ``<``, ``|``, ``>`` and line ends
+    are written as ``%`` and two hex digits.  So no text or name can pass for a
+    mark, and different names stay different.  Rows without a conv_id belong to
+    no conversation; a conversation of system turns alone has no participant;
+    both give no row.
 
     A rendering is one value, so a conversation's turns meet in one row, as
     they do in the result; different conversations never share a group.
     """
     speaker = F.when(F.trim(F.coalesce("role", F.lit(""))) == "", UNNAMED).otherwise(F.col("role"))
     turns = conversations.filter(F.col("conv_id").isNotNull()).select(
-        "conv_id", F.struct(F.col("turn").alias("turn"), F.translate(speaker, '"', "'").alias("speaker"),
+        "conv_id", F.struct(F.col("turn").alias("turn"), speaker.alias("speaker"),
                             F.replace(F.coalesce("text", F.lit("")), F.lit("<|"), F.lit("< |")).alias("text")).alias("said"))
     dialogues = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list("said")).alias("turns"))
     seats = F.filter(F.array_distinct(F.transform("turns", lambda t: t["speaker"])), lambda s: s != SYSTEM)
@@ -45,7 +53,7 @@ def rotate(conversations: DataFrame) -> DataFrame:
 
     def head(t: Column) -> Column:
         return (F.when(own(t), "<|assistant|>\n").when(t["speaker"] == SYSTEM, "<|system|>\n")
-                .otherwise(F.concat(F.lit('<|user name="'), t["speaker"], F.lit('"|>\n'))))
+                .otherwise(F.concat(F.lit('<|user name="'), _plain_name(t["speaker"]), F.lit('"|>\n'))))
 
     def body(t: Column) -> Column:
         return F.concat(t["text"], F.lit(END))

@@ -13,12 +13,15 @@ five-word shingles, each weighted by how often it occurs.
    into blocks; two within ``RADIUS`` bits differ by at most RADIUS / BLOCKS
    bits in some block, so items are indexed under every value that near to each
    of their blocks, and every pair within the radius meets.
-3. Pairs within the radius are compared exactly.
+   The radius holds for shingles that occur once: with more weight on few of
+   them the angle between two windows that are alike enough can be much wider.
+   So windows and items with a repeated shingle skip the fingerprints: they are
+   compared with all that step 1 leaves.
+3. Pairs within the radius, and those, are compared exactly.
 """
 
 from __future__ import annotations
 
-import math
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -29,13 +32,14 @@ from countwise.llm.frames import WORD_SPLIT, stored
 SHINGLE_WORDS = 5
 #: Least similarity, in percent.
 SIMILAR = 75
-#: Two windows of that similarity are at 31 degrees: 11 of 64 bits differ on
-#: average, with a deviation of 3.
+#: Two windows of that similarity, without repeated shingles, are at 31 degrees:
+#: 11 of 64 bits differ on average, with a deviation of 3, and more than 24 with
+#: a chance of 2 in 100,000.
 RADIUS = 24
 BLOCKS = 8
 BLOCK_BITS = 64 // BLOCKS
-#: Item shingles looked up at once (24 bytes each go to every task); a larger
-#: benchmark is taken in blocks of items.
+#: Item shingles that are broadcast, at 24 bytes; a larger benchmark meets the
+#: documents' shingles by a shuffle.
 BROADCAST_SHINGLES = 1 << 20
 _LANES = 32
 _LANE_MASK = 0x0000000100000001
@@ -109,7 +113,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS) -> D
     ``docs`` has doc_id and text, ``benchmark`` item_id and text; other columns
     are ignored.  Words are runs of other characters than blank and 0x09-0x0D,
     lower-cased.  A document shorter than the item is one window.  Items of
-    fewer than five words match only documents that are nothing else.  Null and
+    fewer than five words match only documents that are nothing else: they
+    have no shingle of five words.  Null and
     empty texts match nothing.  Ties go to the earliest window.  Repeated rows
     count once; null ids are ids like others.
     """
@@ -121,7 +126,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS) -> D
 def without_leaks(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS) -> DataFrame:
     """The rows and columns of ``docs`` whose text holds no window of a benchmark item."""
     leaks = _best_windows(docs, benchmark, radius).select(F.col("doc").alias("leaked")).distinct()
-    return docs.withColumn("_name", _name()).join(leaks, F.col("_name") == F.col("leaked"), "left_anti").drop("_name")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _name())
+    return rows.join(leaks, F.col("doc") == F.col("leaked"), "left_anti").select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def _best_windows(docs: DataFrame, benchmark: DataFrame, radius: int) -> DataFrame:
@@ -129,20 +135,20 @@ def _best_windows(docs: DataFrame, benchmark: DataFrame, radius: int) -> DataFra
     items = benchmark.select(F.struct("item_id", F.xxhash64("text").alias("text_hash")).alias("item"), shingles(F.col("text")).alias("own"))
     items = stored(items.filter(F.size("own") > 0).distinct().withColumn("m", F.size("own")), "items")
     entries = items.select("item", "m", F.explode(F.array_distinct("own")).alias("h"))
-    n_blocks = max(1, math.ceil((items.agg(F.sum("m")).first()[0] or 0) / BROADCAST_SHINGLES))
+    few = (items.agg(F.sum("m")).first()[0] or 0) <= BROADCAST_SHINGLES
 
     hashed = docs.select(_name(), shingles(F.col("text")).alias("own"))
     each = hashed.select("doc", F.size("own").alias("n"), "own", F.posexplode_outer("own").alias("place", "h"))
     reach = F.col("m") - least_shared(F.col("m"), F.col("m"))
     first = F.greatest(F.lit(0), F.col("place") - reach)
-    found = None
-    for k in range(n_blocks):
-        block = entries.filter(F.pmod(F.xxhash64("item"), F.lit(n_blocks)) == k)
-        some = each.join(F.broadcast(block), "h").select(
-            "doc", "n", "item", "m", "place", first.alias("first"),
-            F.slice("own", first + 1, F.least(F.col("n") - 1, F.col("place") + reach) - first + 1).alias("around"))
-        found = some if found is None else found.union(some)
-    shared = stored(found, "leak-shingles")
+    if few:
+        found = each.join(F.broadcast(entries), "h")
+    else:  # the places alone are shuffled, and then meet their documents again
+        hits = each.select("doc", "n", "place", "h").join(entries, "h").drop("h")
+        found = hits.join(hashed.groupBy("doc").agg(F.first("own").alias("own")), "doc")
+    shared = stored(found.select(
+        "doc", "n", "item", "m", "place", first.alias("first"),
+        F.slice("own", first + 1, F.least(F.col("n") - 1, F.col("place") + reach) - first + 1).alias("around")), "leak-shingles")
     w = F.least("n", "m")
     places = shared.groupBy("doc", "n", "item", "m").agg(F.sort_array(F.collect_set("place")).alias("places")).withColumn(
         "need", least_shared(F.col("m"), w)).filter(F.size("places") >= F.col("need"))
@@ -153,13 +159,15 @@ def _best_windows(docs: DataFrame, benchmark: DataFrame, radius: int) -> DataFra
         return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
 
     every = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), F.size("places") - F.col("need")), starts)))
-    wanted = places.select("doc", "m", w.alias("w"), F.explode(every).alias("start")).distinct()
+    asked_for = places.select("doc", "item", "m", w.alias("w"), F.explode(every).alias("start"))
+    wanted = asked_for.select("doc", "m", "w", "start").distinct()
     cells = wanted.select("doc", "m", "start", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("w") - 1)).alias("place"))
     values = shared.select("doc", "first", F.posexplode("around").alias("i", "h")).select(
         "doc", (F.col("first") + F.col("i")).alias("place"), "h").distinct()
     windows = cells.join(values, ["doc", "place"]).groupBy("doc", "m", "start").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("place", "h"))), lambda x: x["h"]).alias("own"))
-    windows = stored(windows, "leak-windows")
+    repeats = F.size(F.array_distinct("own")) < F.size("own")
+    windows = stored(windows.withColumn("repeats", repeats), "leak-windows")
 
     prints = simhash(windows, ["doc", "m", "start"], "own")
     probes = prints.select("doc", "m", "start", "fingerprint", F.inline(blocks(F.col("fingerprint"))))
@@ -170,6 +178,9 @@ def _best_windows(docs: DataFrame, benchmark: DataFrame, radius: int) -> DataFra
     met = probes.join(index, ["m", "block", "bits"]).filter(
         F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_print"))) <= radius).select("doc", "m", "start", "item").distinct()
 
+    odd_windows = asked_for.join(windows.filter("repeats").select("doc", "m", "start"), ["doc", "m", "start"]).select("doc", "m", "start", "item")
+    odd_items = asked_for.join(F.broadcast(items.filter(repeats).select("item")) if few else items.filter(repeats).select("item"), "item")
+    met = met.union(odd_windows).union(odd_items.select("doc", "m", "start", "item")).distinct()
     pairs = met.join(windows, ["doc", "m", "start"]).join(
         items.select("item", F.col("own").alias("asked")), "item").select(
         "doc", "item", "start", (F.size("own") + F.size("asked")).alias("both"), weighted_shared(F.col("own"), F.col("asked")).alias("n_shared"))

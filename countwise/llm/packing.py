@@ -29,8 +29,8 @@ from countwise.llm.frames import pick
 from countwise.llm.tokenizing import encoder, slices
 
 CAPACITY = 1024
-#: Documents per packing group on average.
-GROUP_DOCUMENTS = 16_384
+#: Pieces per packing group on average.
+GROUP_PIECES = 32_768
 TAKEN = np.iinfo(np.int64).max
 PIECE = "doc_id BIGINT, piece INT, start BIGINT, length BIGINT, ids_crc32 BIGINT"
 
@@ -112,13 +112,13 @@ def _place(capacity: int):
     return run
 
 
-def pack(parts: DataFrame, n_documents: int, capacity: int = CAPACITY) -> DataFrame:
+def pack(parts: DataFrame, n_pieces: int, capacity: int = CAPACITY) -> DataFrame:
     """Add sequence_id and offset to the rows of ``pieces``; other columns stay.
 
     Every row is placed, repeated rows and null ids too; an empty table stays
     empty.  A sequence is filled without gaps from offset 0.
     """
-    groups = max(1, math.ceil(n_documents / GROUP_DOCUMENTS))
+    groups = max(1, math.ceil(n_pieces / GROUP_PIECES))
     deal = F.xxhash64("doc_id", "piece", "start", "ids_crc32")
     dealt = parts.withColumn("deal", deal).withColumn("group", F.pmod("deal", F.lit(groups)).cast("int"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in parts.schema.fields)
@@ -128,7 +128,9 @@ def pack(parts: DataFrame, n_documents: int, capacity: int = CAPACITY) -> DataFr
 
 def pack_documents(docs: DataFrame, tokenizer: str, kind: str = "byte", end_id: int = 2, capacity: int = CAPACITY) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece."""
-    return pack(pieces(docs, tokenizer, kind, end_id, capacity), docs.count(), capacity)
+    size = docs.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n_bytes")).first()
+    # A token takes a byte at least: no more pieces than these.
+    return pack(pieces(docs, tokenizer, kind, end_id, capacity), size.n + size.n_bytes // capacity, capacity)
 
 
 def assemble(packed: DataFrame) -> DataFrame:

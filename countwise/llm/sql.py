@@ -145,7 +145,7 @@ SELECT doc_id, item_id, start AS start_shingle, n_shared, n_shared / (m + w - n_
 
 OP8 = r"""
 WITH said AS (
-  SELECT conv_id, turn, replace(CASE WHEN trim(coalesce(role, '')) = '' THEN 'unknown' ELSE role END, '"', '''') AS speaker,
+  SELECT conv_id, turn, CASE WHEN trim(coalesce(role, '')) = '' THEN 'unknown' ELSE role END AS speaker,
     replace(coalesce(text, ''), '<|', '< |') AS text
   FROM conversations WHERE conv_id IS NOT NULL
 ), seats AS (
@@ -153,7 +153,8 @@ WITH said AS (
 ), lines AS (
   SELECT conv_id, participant, turn, speaker, text, speaker = participant AS own,
     CASE WHEN speaker = participant THEN '<|assistant|>' WHEN speaker = 'system' THEN '<|system|>'
-      ELSE '<|user name="' || speaker || '"|>' END || chr(10) AS head, text || '<|end|>' || chr(10) AS body
+      ELSE '<|user name="' || replace(replace(replace(replace(replace(replace(replace(speaker, '%', '%25'), '"', '%22'), '<', '%3C'), '|', '%7C'), '>', '%3E'),
+        chr(10), '%0A'), chr(13), '%0D') || '"|>' END || chr(10) AS head, text || '<|end|>' || chr(10) AS body
   FROM said JOIN seats USING (conv_id)
 )
 SELECT conv_id, participant, count(*) AS n_turns,

@@ -175,3 +175,67 @@ def test_mined_rules_are_the_minimal_confident_sets(spark):
         if sum(hit) >= 6 and sum(hit) / len(hit) >= 0.9:
             confident.add(part)
     assert found == {p for p in confident if not any(set(q) < set(p) for q in confident)}
+
+
+# -- 5 -------------------------------------------------------------------------
+
+def leaks_by_hand(docs, items):
+    """The best window of each document and item, by counting."""
+    from collections import Counter as C
+
+    def shingles(t):
+        w = t.lower().split()
+        return [tuple(w[i:i + 5]) for i in range(len(w) - 4)] if len(w) >= 5 else [tuple(w)] if w else []
+
+    out = set()
+    for d, t in docs:
+        own = shingles(t)
+        for i, asked in ((i, shingles(q)) for i, q in items):
+            if not own or not asked:
+                continue
+            w = min(len(own), len(asked))
+            best = max((sum((C(own[k:k + w]) & C(asked)).values()), -k) for k in range(len(own) - w + 1))
+            if 175 * best[0] >= 75 * (w + len(asked)):
+                out.add((d, i, -best[1], best[0]))
+    return out
+
+
+def repeated_word_case():
+    rng = random.Random(6)
+    items, docs = [], []
+    for i in range(40):
+        words = [f"w{rng.randrange(10 ** 6)}" for _ in range(104)]
+        items.append((i, " ".join(words)))
+        docs.append((i, " ".join(words[:90] + ["again"] * 14)))
+    docs += [(100 + i, prose(rng, 150)) for i in range(10)] + [(200, "same " * 60), (201, "same " * 20 + "other words at the end")]
+    items += [(50, "same " * 55), (51, "same " * 18)]
+    return docs, items
+
+
+@pytest.mark.parametrize("broadcast", [1 << 20, 0])
+def test_windows_with_a_repeated_run_are_found(spark, monkeypatch, broadcast):
+    from countwise.llm import decontamination
+
+    monkeypatch.setattr(decontamination, "BROADCAST_SHINGLES", broadcast)
+    docs, items = repeated_word_case()
+    found = decontamination.find_leaks(frame(spark, docs, DOC), frame(spark, items, "item_id BIGINT, text STRING")).collect()
+    got = {(r["doc_id"], r["item_id"], r["start_shingle"], r["n_shared"]) for r in found}
+    assert got == leaks_by_hand(docs, items)
+    assert {(i, i) for i in range(40)} <= {g[:2] for g in got}
+
+
+def test_stages_pass_clashing_columns_through(spark):
+    import corpus_pipeline
+
+    rng = random.Random(3)
+    names = ["quality_score", "n_removed", "n_lines", "kept_text", "leaked", "_name", "row", "doc", "other_0", "other_2", "a.b", "key_1", "row_no"]
+    docs = frame(spark, [(i, prose(rng, 80)) for i in range(30)], DOC)
+    from pyspark.sql import functions as F
+
+    docs = docs.select(*[F.concat(F.lit(f"{n} of "), "doc_id").alias(n) for n in names], "text", "doc_id", F.lit(7).alias("n_chars"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, "/root/testdata/sf0.001")
+        assert after.columns == docs.columns, name
+        rows = after.collect()
+        assert rows and all(r[n] == f"{n} of {r['doc_id']}" for r in rows for n in names), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() >= 30
