@@ -18,20 +18,28 @@ from countwise.llm.queries import tokenizer_file
 from countwise.llm.shipping import ship_package
 
 
+def _renamed(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with the columns that no stage reads under names that none uses, and column: name."""
+    names = {c: c if c in ("doc_id", "text") else f"other_{i}" for i, c in enumerate(docs.columns)}
+    return docs.select(*[F.col(f"`{c}`").alias(name) for c, name in names.items()]), names
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
     ship_package(spark)
-    scored = quality.with_scores(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
-    return scored.filter(F.col("quality_score") >= quality.THRESHOLD).select(*docs.columns)
+    rows, names = _renamed(docs)
+    scored = quality.with_scores(rows, quality.learn(docs, table(spark, sf_dir, "labels")))
+    return scored.filter(F.col("quality_score") >= quality.THRESHOLD).select(*[F.col(name).alias(c) for c, name in names.items()])
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that an earlier place holds already; one that loses its whole text goes."""
     # Stored first: a filter on the new text, pushed down, would build it anew for every use.
-    done = stored(line_dedup.dedup_lines(docs).drop("text"), "pipeline-lines")
+    rows, names = _renamed(docs)
+    done = stored(line_dedup.dedup_lines(rows).drop("text"), "pipeline-lines")
     kept = done.filter((F.col("n_removed") == 0) | (F.col("kept_text") != ""))
     new = {"text": F.col("kept_text"), "n_chars": F.char_length("kept_text").cast("bigint")}
-    return kept.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])
+    return kept.select(*[new.get(c, F.col(names[c])).alias(c) for c in docs.columns])
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
