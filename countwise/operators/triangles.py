@@ -67,10 +67,13 @@ def orient_edges(edges: DataFrame, order: str = "degree") -> DataFrame:
     is a valid orientation of every subgraph, so keyed variants (colours,
     runs, subsets, colour triplets) attach their keys afterwards instead
     of re-orienting C or R copies of the edges; the out-degree bound holds
-    within every group as well.
+    within every group as well.  Edges that are oriented already (they have
+    src and dst) are returned as they are, so a report orients once.
     """
     if order not in ORDERS:
         raise ValueError(f"order must be one of {ORDERS}")
+    if {"src", "dst"} <= set(edges.columns):
+        return edges
     extra = [c for c in edges.columns if c not in ("u", "v")]
     ends = edges.select(F.explode(F.array("u", "v")).alias("x"))
     deg = ends.groupBy("x").agg(F.count(F.lit(1)).alias("d"))
@@ -303,11 +306,13 @@ def partition_buckets(edges: DataFrame, num_buckets: int, params: BucketParams,
     _check_colors(num_buckets)
     spark = edges.sparkSession
     part = F.spark_partition_id()
-    ranked = (edges.select(edge_hash("u", "v", params, p).alias("s"), "u", "v")
+    ends = orient_edges(edges, order).select(
+        F.least("src", "dst").alias("u"), F.greatest("src", "dst").alias("v"), "src", "dst")
+    ranked = (ends.select(edge_hash("u", "v", params, p).alias("s"), "u", "v", "src", "dst")
               .repartitionByRange("s", "u", "v").sortWithinPartitions("s", "u", "v"))
     # monotonically_increasing_id = partition id << 33 | row index
     numbered = stored(ranked.select(
-        part.alias("part"), "u", "v",
+        part.alias("part"), "src", "dst",
         (F.monotonically_increasing_id() - F.shiftleft(part.cast("bigint"), 33)).alias("row")), "ranked-edges")
     before, starts = 0, []
     for r in sorted(numbered.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()):
@@ -315,8 +320,7 @@ def partition_buckets(edges: DataFrame, num_buckets: int, params: BucketParams,
         before += r["n"]
     first = spark.createDataFrame(starts, "part INT, first BIGINT")
     bucket = F.pmod(F.col("first") + F.col("row"), F.lit(num_buckets).cast("bigint"))
-    dealt = numbered.join(first, "part").select(bucket.alias("bucket"), "u", "v")
-    return orient_edges(dealt, order).select("bucket", "src", "dst")
+    return numbered.join(first, "part").select(bucket.alias("bucket"), "src", "dst")
 
 
 def triangles_by_partition(edges: DataFrame, num_buckets: int, params: BucketParams,

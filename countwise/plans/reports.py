@@ -18,6 +18,7 @@ from countwise.functions.text import space_tokens
 from countwise.operators import frequency as fq
 from countwise.operators import triangles as tri
 from countwise.operators import words as wd
+from countwise.session import stored
 from countwise.sources.readers import canonical_edges
 
 
@@ -71,7 +72,8 @@ def report_tc_approx(raw_edges: DataFrame, num_colors: int, runs: Sequence[Linea
     """
     if subsets not in ("hash", "partitions"):
         raise ValueError("subsets must be hash or partitions")
-    edges = canonical_edges(raw_edges)
+    # Both estimates count on the same oriented edges.
+    edges = stored(tri.orient_edges(canonical_edges(raw_edges), order), "oriented-edges")
     med = tri.approx_tc_median(edges, num_colors, runs, p, order).scalar()
     estimate = tri.approx_tc_buckets if subsets == "hash" else tri.approx_tc_partitions
     part = estimate(edges, num_colors, buckets, p, order).scalar()
