@@ -4,15 +4,16 @@ A line goes if an earlier line of the collection, by (doc_id, text, line
 number), is equal or within a few character edits.  Longer lines may differ by
 more of them: the shorter line of a pair decides, by its length class.
 
-1. Equal lines: the first place of every distinct line, by a 128-bit hash.
+1. Equal lines: the first place of every distinct line, by two 64-bit hashes.
+   The first is also its id: a bitmap of its words and 32 bits of its hash.
 2. Near lines: a line of a class with e edits is cut into e + 1 segments.  Of
    two lines within e edits the longer one holds some segment of the shorter
    one unchanged, shifted by no more than the edits allow.  Segments are
    indexed under (length of the line, segment number, text); each line probes
    the index for its own length and up to e less, at the few starts that the
    segment's place and the difference in length permit.
-3. Lines that meet must have nearly the same set of words, by a bitmap of 64
-   bits of which an edit can change three; only then their texts are fetched
+3. Lines that meet must have nearly the same set of words, by the bitmaps in
+   their ids of which an edit can change three bits; only then their texts are fetched
    and compared by an automaton that keeps, for each number of errors, one
    bit per diagonal of the band.
 """
@@ -24,74 +25,70 @@ from pyspark.sql import functions as F
 
 from countwise.llm.frames import stored
 
-#: (least characters, edits) of the length classes.  Shorter lines are not
-#: compared with near ones: an edit would join unrelated ones.  A line of a
-#: class with e edits has 4, 12, 26 .. probes for e = 1, 2, 3 ..; see the README
-#: for what more edits cost.
-EDIT_CLASSES = ((20, 1),)
+#: (least characters, edits) of the length classes; a class's lines need more
+#: characters than edits.  Shorter lines are not compared with near ones: an
+#: edit would join unrelated ones.
+EDIT_CLASSES = ((20, 1), (100, 2), (200, 3))
 #: Equal lines of so many characters are removed, if they are not blank.
 EXACT_CHARS = 1
 
 
-def segments(n: Column, count: int) -> list[tuple[Column, Column]]:
-    """(first character, length) of the segments of a line of n characters: even ones, the longer ones last."""
-    size, longer = F.floor(n / count), n % count
-    out, start = [], F.lit(1)
-    for i in range(count):
-        length = size + F.when(F.lit(count - i) <= longer, 1).otherwise(0)
-        out.append((start, length))
-        start = start + length
-    return out
-
+def _class_edits(n: int, classes: tuple[tuple[int, int], ...]) -> int | None:
+    """Edits of the class of a line of n characters, None below all classes."""
+    return max(((least, edits) for least, edits in classes if n >= least), default=(0, None))[1]
 
-def _key(n: Column, i: int, text: Column) -> Column:
-    return F.xxhash64(n.cast("int"), F.lit(i), text)
 
+def _index_places(n: int, classes: tuple[tuple[int, int], ...]) -> list[tuple[int, int, int, int]]:
+    """(edits, 0, segment, 0) of each segment of a line of n characters."""
+    edits = _class_edits(n, classes)
+    return [(edits, 0, i, 0) for i in range(edits + 1)]
 
-def index_keys(line: Column, n: Column, edits: int) -> Column:
-    """Keys of the segments of a line of n characters."""
-    return F.array(*[_key(n, i, F.substring(line, s.cast("int"), k.cast("int"))) for i, (s, k) in enumerate(segments(n, edits + 1))])
 
+def _probe_places(n: int, classes: tuple[tuple[int, int], ...]) -> list[tuple[int, int, int, int]]:
+    """(edits, less, segment, shift) of each substring under which a line of n
+    characters meets those with ``less`` characters less.
 
-def probe_keys(line: Column, n: Column, edits: int, d: int) -> Column:
-    """Keys under which a line of n characters meets those with d characters less.
-
-    A segment after i others can start from max(-i, d - (edits - i)) to
-    min(i, d + (edits - i)) characters later: the errors before it and those
+    A segment after i others can start from max(-i, less - (edits - i)) to
+    min(i, less + (edits - i)) characters later: the errors before it and those
     behind it leave no more.
     """
-    keys = []
-    short = n - d
-    for i, (s, k) in enumerate(segments(short, edits + 1)):
-        for shift in range(max(-i, d - (edits - i)), min(i, d + (edits - i)) + 1):
-            start = s + shift
-            fits = (start >= 1) & (start + k - 1 <= n) & (k > 0)
-            keys.append(F.when(fits, _key(short, i, F.substring(line, start.cast("int"), k.cast("int")))))
-    return F.filter(F.array(*keys), lambda x: x.isNotNull())
-
-
-def _by_class(n: Column, classes: tuple[tuple[int, int], ...], value) -> Column:
-    """``value(edits)`` of the class of a line of n characters, null below all classes."""
-    out = F.lit(None)
-    for least, edits in sorted(classes):
-        out = F.when(n >= least, value(edits)).otherwise(out)
+    out = []
+    for less in range(max(e for _, e in classes) + 1):
+        edits = _class_edits(n - less, classes)
+        if edits is not None and less <= edits:
+            out += [(edits, less, i, shift) for i in range(edits + 1)
+                    for shift in range(max(-i, less - (edits - i)), min(i, less + (edits - i)) + 1)]
     return out
 
 
-def all_probes(line: Column, n: Column, classes: tuple[tuple[int, int], ...]) -> Column:
-    """(key, shorter) of all lines that a line of n characters may be near to."""
-    none = F.array().cast("array<bigint>")
-    parts = []
-    for d in range(max(e for _, e in classes) + 1):
-        keys = F.coalesce(_by_class(n - d, classes, lambda e: probe_keys(line, n, e, d) if d <= e else none), none)
-        parts.append(F.transform(keys, lambda k: F.struct(k.alias("key"), F.lit(d > 0).alias("shorter"))))
-    return F.concat(*parts)
+def keyed(lines: DataFrame, classes: tuple[tuple[int, int], ...], places) -> DataFrame:
+    """(id, edits, less, key) of the substrings that ``places`` names, for ``lines`` (id, line).
+
+    Segments are even, the longer ones last.  What a line's length n asks for
+    changes only at the classes' borders, so it is a literal for each range.
+    """
+    # One row per substring and one small expression for its key: compiled, and no array of keys.
+    borders = sorted({least + less for least, edits in classes for less in range(edits + 1)})
+    asked = F.lit(None)
+    for at in borders:
+        literal = F.array(*[F.struct(*[F.lit(x).alias(name) for name, x in zip(("edits", "less", "segment", "shift"), place)]) for place in places(at, classes)])
+        asked = F.when(F.col("n") >= at, literal).otherwise(asked)
+    each = lines.withColumn("n", F.char_length("line")).filter(F.col("n") >= borders[0]).select("id", "line", "n", F.inline(asked))
+    sized = each.select("*", F.expr("n - less").alias("short"), F.expr("int((n - less) div (edits + 1))").alias("size"), F.expr("(n - less) % (edits + 1)").alias("longer"))
+    cut = sized.select("*", F.expr("1 + segment * size + greatest(0, segment + longer - edits - 1) + shift").alias("start"),
+                       F.expr("size + if(edits + 1 - segment <= longer, 1, 0)").alias("length"))
+    return cut.filter("start >= 1 and start + length - 1 <= n").select(
+        "id", "edits", "less", F.expr("xxhash64(short, segment, substring(line, start, length))").alias("key"))
 
 
 def word_bits(line: Column) -> Column:
-    """A bit per word of the line, by hash, flipped for each time it occurs."""
-    return F.aggregate(F.split(line, " "), F.lit(0).cast("bigint"), lambda bits, word: bits.bitwiseXOR(
-        F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.xxhash64(word), F.lit(64)).cast("int"))))
+    """32 bits, one per word of the line by its hash, flipped for each time it occurs: an edit flips at most three."""
+    return F.aggregate(F.split(line, " "), F.lit(0), lambda bits, word: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1), F.hash(word))))
+
+
+def line_id(line: Column) -> Column:
+    """The word bits of a line above 32 bits of its hash."""
+    return F.shiftleft(word_bits(line).cast("bigint"), 32).bitwiseOR(F.xxhash64(line).bitwiseAND(F.lit(0xFFFFFFFF)))
 
 
 def within_edits(a: Column, b: Column, edits: int, allowed: Column | None = None) -> Column:
@@ -166,6 +163,8 @@ def dedup_lines(docs: DataFrame, classes: tuple[tuple[int, int], ...] = EDIT_CLA
     remove each other's lines.  Other columns pass through; one named like a
     result is replaced.
     """
+    if any(least <= edits for least, edits in classes):
+        raise ValueError("the lines of a class need more characters than edits")
     others = [c for c in docs.columns if c not in ("doc_id", "text", "n_lines", "n_removed", "kept_text")]
     rows = docs.select(F.struct("doc_id", _text_key(F.col("text")).alias("text_key")).alias("doc"),
                        F.struct("text", *[F.col(f"`{c}`") for c in others]).alias("row"))
@@ -176,37 +175,46 @@ def dedup_lines(docs: DataFrame, classes: tuple[tuple[int, int], ...] = EDIT_CLA
         n = F.char_length(line)
         return (n >= min_chars) | ((n >= exact_chars) & line.rlike(r"[^\x20\x09-\x0D]"))
 
-    each = each.withColumn("n", F.char_length("line")).filter(compared(F.col("line")))
-    line, n = F.col("line"), F.col("n")
-    long = n >= min_chars
-    heads = stored(
-        each.groupBy(F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("line"), "line").alias("h2")).agg(
-            F.min(F.struct("doc", "line_no")).alias("place"),
-            F.first(F.struct(_by_class(n, classes, F.lit).alias("edits"), F.when(long, word_bits(line)).alias("bits"),
-                             _by_class(n, classes, lambda e: index_keys(line, n, e)).alias("index"),
-                             F.when(long, all_probes(line, n, classes)).alias("probes"))).alias("own")).select("place", "own.*"), "line-heads")
-
-    a, b = (F.struct(F.struct(F.col("doc_" + x).alias("doc_id"), F.col("text_key_" + x).alias("text_key")).alias("doc"), F.col("line_no_" + x).alias("line_no"))
-            for x in "ab")
-    indexed, probing = (heads.select(
-        F.col("place.doc.doc_id").alias("doc_" + x), F.col("place.doc.text_key").alias("text_key_" + x), F.col("place.line_no").alias("line_no_" + x),
-        F.col("bits").alias("bits_" + x), F.col("edits").alias("edits_" + x), F.explode(keys).alias(k)) for x, keys, k in (("a", "index", "key"), ("b", "probes", "probe")))
-    probing = probing.select("doc_b", "text_key_b", "line_no_b", "bits_b", "probe.*")
-    met = indexed.join(probing, (indexed["key"] == probing["key"]) & (F.col("shorter") | (a < b)) & (
-        F.bit_count(F.col("bits_a").bitwiseXOR(F.col("bits_b"))) <= 3 * F.col("edits_a"))).select(a.alias("a"), b.alias("b"), F.col("edits_a").alias("edits")).distinct()
+    line = F.col("line")
+    heads = stored(each.filter(compared(line)).groupBy(line_id(line).alias("id"), F.xxhash64(F.lit("line"), line).alias("h")).agg(
+        F.min(F.struct("doc", "line_no")).alias("place")).select("id", "place"), "line-heads")
+    first = heads.groupBy(F.col("place.doc").alias("first_doc")).agg(F.collect_list(F.struct("place.line_no", "id")).alias("first"))
+
+    def heads_of(texts: DataFrame) -> DataFrame:
+        """(id, line) of the distinct lines, from the texts (doc, text) of their first places."""
+        both = F.array(F.struct(F.split("text", "\n").alias("lines"), F.col("first")))
+        own = F.get(F.transform(both, lambda x: F.transform(x["first"], lambda f: F.struct(f["id"].alias("id"), F.get(x["lines"], f["line_no"]).alias("line")))), 0)
+        return texts.join(first, F.col("doc") == F.col("first_doc")).select(F.inline(own))
+
+    # Rows equal in doc_id and text are one place and give their lines once.
+    again = rows.groupBy(F.col("doc").alias("again")).count().filter("count > 1").select("again")
+    text = _whole("row")["text"].alias("text")
+    once = rows.join(again, F.col("doc") == F.col("again"), "left_anti").select("doc", text)
+    many = rows.join(again, F.col("doc") == F.col("again"), "left_semi").select("doc", text).groupBy("doc").agg(F.first("text").alias("text"))
+
+    def keys(places) -> DataFrame:
+        return keyed(heads_of(once), classes, places).unionAll(keyed(heads_of(many), classes, places))
+
+    indexed = keys(_index_places).select("key", F.col("id").alias("id_a"), "edits")
+    probing = keys(_probe_places).select(F.col("key").alias("probe"), F.col("id").alias("id_b"), (F.col("less") > 0).alias("shorter"))
+    flipped = F.bit_count(F.shiftrightunsigned(F.col("id_a").bitwiseXOR(F.col("id_b")), 32))
+    met = indexed.join(probing, (F.col("key") == F.col("probe")) & (F.col("shorter") | (F.col("id_a") < F.col("id_b"))) & (flipped <= 3 * F.col("edits"))
+                       ).select("id_a", "id_b", "edits").distinct()
+    for x in "ab":
+        met = met.join(heads.select(F.col("id").alias("id_of_" + x), F.col("place").alias(x)), F.col("id_" + x) == F.col("id_of_" + x))
+    met = met.select("a", "b", "edits")
 
     def with_line(pairs: DataFrame, place: str) -> DataFrame:
         return pairs.join(rows, F.col(place + ".doc") == F.col("doc")).drop("doc").withColumn(
-            "line_" + place, F.get(F.split(_whole("row")["text"], "\n"), F.col(place + ".line_no"))).drop("row")
+            "line_" + place, F.get(F.split(_whole("row")["text"], "\n"), F.col(place + ".line_no"))).drop("row").distinct()
 
     close = with_line(with_line(met, "a"), "b").filter(within_edits(F.col("line_a"), F.col("line_b"), max_edits, F.col("edits")))
     later = close.select(F.greatest("a", "b").alias("later")).groupBy(F.col("later.doc").alias("near_doc")).agg(
         F.collect_set("later.line_no").alias("near"))
-    first = heads.groupBy(F.col("place.doc").alias("first_doc")).agg(F.collect_set("place.line_no").alias("first"))
 
     none = F.array().cast("array<int>")
     decided = (rows.join(first, F.col("doc") == F.col("first_doc"), "left").join(later, F.col("doc") == F.col("near_doc"), "left")
-               .select("doc", _whole("row").alias("row"), F.array_except(F.coalesce("first", none), F.coalesce("near", none)).alias("kept"))
+               .select("doc", _whole("row").alias("row"), F.array_except(F.coalesce(F.col("first.line_no"), none), F.coalesce("near", none)).alias("kept"))
                .select("doc", "row", "kept", F.split("row.text", "\n").alias("lines")))
     short = F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: ~compared(F.get("lines", i)))
     at = decided.withColumn("at", F.sort_array(F.filter(F.concat("kept", short), lambda i: i < F.size("lines"))))
