@@ -5,7 +5,7 @@ number), is equal or within a few character edits.  Longer lines may differ by
 more of them: the shorter line of a pair decides, by its length class.
 
 1. Equal lines: the first place of every distinct line, by two 64-bit hashes.
-   The first is also its id: a bitmap of its words and 32 bits of its hash.
+   Its id is a bitmap of its words and 23 bits of a hash.
 2. Near lines: a line of a class with e edits is cut into e + 1 segments.  Of
    two lines within e edits the longer one holds some segment of the shorter
    one unchanged, shifted by no more than the edits allow.  Segments are
@@ -64,7 +64,7 @@ def _probe_places(n: int, classes: tuple[tuple[int, int], ...]) -> list[tuple[in
 def keyed(lines: DataFrame, classes: tuple[tuple[int, int], ...], places) -> DataFrame:
     """(id, edits, less, key) of the substrings that ``places`` names, for ``lines`` (id, line).
 
-    Segments are even, the longer ones last.  What a line's length n asks for
+    A key is 56 bits of a hash; one met by chance costs a comparison.  Segments are even, the longer ones last.  What a line's length n asks for
     changes only at the classes' borders, so it is a literal for each range.
     """
     # One row per substring and one small expression for its key: compiled, and no array of keys.
@@ -73,12 +73,14 @@ def keyed(lines: DataFrame, classes: tuple[tuple[int, int], ...], places) -> Dat
     for at in borders:
         literal = F.array(*[F.struct(*[F.lit(x).alias(name) for name, x in zip(("edits", "less", "segment", "shift"), place)]) for place in places(at, classes)])
         asked = F.when(F.col("n") >= at, literal).otherwise(asked)
-    each = lines.withColumn("n", F.char_length("line")).filter(F.col("n") >= borders[0]).select("id", "line", "n", F.inline(asked))
+    # Four bytes a character: a substring is cut without walking to its start.
+    wide = lines.withColumn("n", F.char_length("line")).filter(F.col("n") >= borders[0]).select("id", "n", F.encode("line", "UTF-32").alias("wide"))
+    each = wide.select("id", "wide", "n", F.inline(asked))
     sized = each.select("*", F.expr("n - less").alias("short"), F.expr("int((n - less) div (edits + 1))").alias("size"), F.expr("(n - less) % (edits + 1)").alias("longer"))
     cut = sized.select("*", F.expr("1 + segment * size + greatest(0, segment + longer - edits - 1) + shift").alias("start"),
                        F.expr("size + if(edits + 1 - segment <= longer, 1, 0)").alias("length"))
     return cut.filter("start >= 1 and start + length - 1 <= n").select(
-        "id", "edits", "less", F.expr("xxhash64(short, segment, substring(line, start, length))").alias("key"))
+        "id", "edits", "less", F.expr(f"xxhash64(short, segment, substring(wide, 4 * start - 3, 4 * length)) & {-1 << 8}").alias("key"))
 
 
 def word_bits(line: Column) -> Column:
@@ -87,8 +89,8 @@ def word_bits(line: Column) -> Column:
 
 
 def line_id(line: Column) -> Column:
-    """The word bits of a line above 32 bits of its hash."""
-    return F.shiftleft(word_bits(line).cast("bigint"), 32).bitwiseOR(F.xxhash64(line).bitwiseAND(F.lit(0xFFFFFFFF)))
+    """The word bits of a line above 23 bits of its hash: 55 bits that lead to the line's places."""
+    return F.shiftleft(word_bits(line).cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF)), 23).bitwiseOR(F.xxhash64(line).bitwiseAND(F.lit((1 << 23) - 1)))
 
 
 def within_edits(a: Column, b: Column, edits: int, allowed: Column | None = None) -> Column:
@@ -100,9 +102,39 @@ def within_edits(a: Column, b: Column, edits: int, allowed: Column | None = None
     substitution stays with one more error, an extra character in ``b`` moves
     down a diagonal, and one in ``a`` moves up within the same step.
     """
-    # A lambda's argument is computed once; a column could be computed again at every step.
-    both = F.array(F.struct(_characters(a).alias("a"), _characters(b).alias("b"), (F.lit(edits) if allowed is None else allowed).alias("most")))
-    return F.get(F.transform(both, lambda x: _automaton(x["a"], x["b"], edits, x["most"])), 0)
+    words = F.struct(F.split(a, " ").alias("a"), F.split(b, " ").alias("b"), (F.lit(edits) if allowed is None else allowed).alias("most"))
+    return _let(words, lambda x: F.when(_few_other_words(x["a"], x["b"], x["most"]), _let(
+        _without_common_ends(x["a"], x["b"], x["most"]), lambda y: _automaton(y["a"], y["b"], edits, y["most"]))).otherwise(False))
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)``: a lambda's argument is computed once; a column could be computed again at every use."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _few_other_words(a: Column, b: Column, most: Column) -> Column:
+    """An edit touches at most two words of a line, so few words of one line may lack in the other."""
+    return (F.size(F.array_except(a, b)) <= 2 * most) & (F.size(F.array_except(b, a)) <= 2 * most)
+
+
+def _without_common_ends(a: Column, b: Column, most: Column) -> Column:
+    """Characters of both lines without the words that they share at the start and at the end.
+
+    A word of each stays, so the blanks at both its ends are common too and the
+    edit distance is that of the whole lines.
+    """
+    def common(x: Column, y: Column) -> Column:
+        other = F.array_position(F.zip_with(x, y, lambda u, v: u.eqNullSafe(v)), False)
+        return F.when(other > 0, other - 1).otherwise(F.size(x)).cast("int")
+
+    room = F.least(F.size(a), F.size(b)) - 1
+    ends = F.struct(a.alias("a"), b.alias("b"), F.least(common(a, b), room).alias("start"), common(F.reverse(a), F.reverse(b)).alias("end"), room.alias("room"))
+
+    def middle(x: Column, words: Column) -> Column:
+        end = F.least(x["end"], x["room"] - x["start"])
+        return _characters(F.array_join(F.slice(words, x["start"] + 1, F.size(words) - x["start"] - end), " "))
+
+    return _let(ends, lambda x: F.struct(middle(x, x["a"]).alias("a"), middle(x, x["b"]).alias("b"), most.alias("most")))
 
 
 def _automaton(a: Column, b: Column, edits: int, most: Column) -> Column:
@@ -147,7 +179,8 @@ def _characters(line: Column) -> Column:
 
 def _text_key(text: Column) -> Column:
     """60 bits of a text's MD5: rows that repeat a doc_id with other texts are other places."""
-    return F.coalesce(F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint"), F.lit(-1).cast("bigint"))
+    # Nullable like a stored column: every join on a place then shuffles the documents alike, and so once.
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
 
 
 def dedup_lines(docs: DataFrame, classes: tuple[tuple[int, int], ...] = EDIT_CLASSES, exact_chars: int = EXACT_CHARS) -> DataFrame:
@@ -196,10 +229,12 @@ def dedup_lines(docs: DataFrame, classes: tuple[tuple[int, int], ...] = EDIT_CLA
         return keyed(heads_of(once), classes, places).unionAll(keyed(heads_of(many), classes, places))
 
     indexed = keys(_index_places).select("key", F.col("id").alias("id_a"), "edits")
-    probing = keys(_probe_places).select(F.col("key").alias("probe"), F.col("id").alias("id_b"), (F.col("less") > 0).alias("shorter"))
-    flipped = F.bit_count(F.shiftrightunsigned(F.col("id_a").bitwiseXOR(F.col("id_b")), 32))
-    met = indexed.join(probing, (F.col("key") == F.col("probe")) & (F.col("shorter") | (F.col("id_a") < F.col("id_b"))) & (flipped <= 3 * F.col("edits"))
-                       ).select("id_a", "id_b", "edits").distinct()
+    probing = keys(_probe_places).select(F.col("key").alias("probe"), F.expr("2 * id + if(less > 0, 1, 0)").alias("id_and_shorter"))
+    id_b = F.shiftright("id_and_shorter", 1)
+    shorter = F.col("id_and_shorter").bitwiseAND(F.lit(1)) == 1
+    flipped = F.bit_count(F.shiftright(F.col("id_a").bitwiseXOR(id_b), 23))
+    met = indexed.join(probing, (F.col("key") == F.col("probe")) & (shorter | (F.col("id_a") < id_b)) & (flipped <= 3 * F.col("edits"))
+                       ).select("id_a", id_b.alias("id_b"), "edits").distinct()
     for x in "ab":
         met = met.join(heads.select(F.col("id").alias("id_of_" + x), F.col("place").alias(x)), F.col("id_" + x) == F.col("id_of_" + x))
     met = met.select("a", "b", "edits")
