@@ -1,6 +1,7 @@
 """Every operator against a plain version on small inputs."""
 
 import hashlib
+import math
 import random
 import zlib
 from collections import Counter
@@ -351,6 +352,36 @@ def test_quality(spark):
     assert {r["doc_id"]: r["score"] for r in again.collect()} == {r["doc_id"]: r["score"] for r in out}
 
 
+def plain_risk(scorer, positive, unlabelled, prior):
+    """The non-negative PU risk with logistic losses, term by term."""
+    def margin(x):
+        return sum(float(np.clip((v - m) / s, -8, 8)) * w for v, m, s, w in zip(x, scorer.mean, scorer.scale, scorer.weights)) + scorer.bias
+
+    def loss(z):
+        return math.log1p(math.exp(-z))
+
+    p, u = [margin(x) for x in positive], [margin(x) for x in unlabelled]
+    negative = sum(loss(-z) for z in u) / len(u) - prior * sum(loss(-z) for z in p) / len(p)
+    return prior * sum(loss(z) for z in p) / len(p) + max(0.0, negative)
+
+
+def test_quality_fit_minimises_the_plain_risk():
+    rng = np.random.default_rng(3)
+    prior = 0.6
+    positive = rng.normal(1, 1.5, (300, 3))
+    unlabelled = np.where(rng.random((400, 1)) < prior, rng.normal(1, 1.5, (400, 3)), rng.normal(-1, 1.5, (400, 3)))
+    fitted = quality.fit(positive, unlabelled, prior)
+    least = plain_risk(fitted, positive, unlabelled, prior)
+    # No small step in any direction does better than the weight penalty and the descent's last step account for.
+    for _ in range(20):
+        other = quality.Scorer(fitted.mean, fitted.scale, fitted.weights + rng.normal(0, 0.2, 3), fitted.bias + rng.normal(0, 0.2))
+        assert plain_risk(other, positive, unlabelled, prior) > least - 1e-3
+    nothing = quality.Scorer(fitted.mean, fitted.scale, np.zeros(3), 0.0)
+    assert least < plain_risk(nothing, positive, unlabelled, prior) - 0.05
+    # Scores follow the prior: with few positives among web text they are lower.
+    assert quality.fit(positive, unlabelled, 0.2).score(unlabelled).mean() < fitted.score(unlabelled).mean()
+
+
 # -- 9 -------------------------------------------------------------------------
 
 @pytest.mark.parametrize("tile", [1024, 7])
