@@ -6,8 +6,10 @@ unbiased risk
 
     p R+(positives) + max(0, R-(unlabelled) - p R-(positives))
 
-where p is the estimated share of positives among web text and R+, R- are
-logistic losses.  Fitting uses a bounded sample; scoring covers every text.
+where p is the share of positives among web text and R+, R- are logistic
+losses.  Web text is drawn from all documents and p estimated from the two
+samples alone, or both come from rated documents.  Fitting uses a bounded
+sample; scoring covers every text.
 """
 
 from __future__ import annotations
@@ -31,6 +33,11 @@ FOLDS = 5
 STEPS = 400
 RATE = 0.05
 PENALTY = 1e-4
+#: Rounds of the prior's estimate, and the prior of its first round.
+PRIOR_ROUNDS = 3
+FIRST_PRIOR = 0.9
+#: With fewer texts in half of a sample a share is uncertain by 0.05 and more, and the prior is not estimated from it.
+LEAST_HALF = 100
 
 _CLASS = np.zeros(256, np.int64)  # letter, capital, digit, space, line feed, mark, beyond ASCII
 for _c in range(256):
@@ -110,6 +117,37 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> Scorer:
     return Scorer(mean, scale, w, b)
 
 
+def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+    """Share of positives among the unlabelled rows.
+
+    Above any score, at most all unlabelled rows are positives and the
+    positives among them are as frequent as in the positive sample; so the
+    share of unlabelled rows above it, divided by that of positives, is no less
+    than the prior, and equal to it where no negative scores so high.  The
+    least such ratio over the scores that half of the positives or more reach is
+    the estimate.  The scorer comes from one half of both samples with the
+    estimate of the round before, the ratios from the other half; the halves
+    change places and the mean counts.  A standard error is added before the
+    least is taken, which would else be too low in small samples and cost clean
+    documents.  Samples too small to halve have the first round's prior.
+    """
+    if min(len(positive), len(unlabelled)) < 2 * LEAST_HALF:
+        return FIRST_PRIOR
+    halves = [(positive[k::2], unlabelled[k::2]) for k in (0, 1)]
+    found = []
+    for (p, u), (other_p, other_u) in (halves, halves[::-1]):
+        prior = FIRST_PRIOR
+        for _ in range(PRIOR_ROUNDS):
+            scorer = fit(p, u, prior)
+            of_p, of_u = np.sort(scorer.score(other_p)), np.sort(scorer.score(other_u))
+            levels = np.quantile(of_p, np.linspace(0, 0.5, 51))
+            above_p, above_u = (1 - np.searchsorted(x, levels) / len(x) for x in (of_p, of_u))
+            error = np.sqrt(above_u * (1 - above_u) / len(other_u))
+            prior = float(np.clip(((above_u + error) / above_p).min(), 1 / len(other_u), 1))
+        found.append(prior)
+    return sum(found) / 2
+
+
 def held_out(doc_id: Column) -> Column:
     """Is the row's label kept from learning?  A null id has no label."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
@@ -123,31 +161,44 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array(rows, pa.binary())], ["id", "trusted", "features"])
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Scorer | None:
+def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, web: str = "rated") -> Scorer | None:
     """Fit a scorer, or None without trusted positives or unlabelled texts.
 
-    Of the labelled rows that are not held out, those with quality 1 are
-    trusted (a document with several labels: if all are 1); the prior is their
-    share.  At most ``sample_rows`` of them, the first by a hash of the id, are
-    the positives; as many labelled rows of any quality, taken by another hash
-    and used without their labels, stand for web text.
+    Of the rated documents that are not held out, those with quality 1 are
+    trusted (with several ratings: if all are 1).  At most ``sample_rows`` of
+    them, the first by a hash of the id, are the positives; as many documents
+    taken by another hash are the web text:
+
+    * ``web="all"``: of all documents that are not held out, rated or not.  The
+      prior is estimated from the two samples and no rating but the trusted
+      positives' is used.
+    * ``web="rated"``: of the rated ones, whose ratings are not used; the prior
+      is the share of positives among them.  For a few hundred documents, too
+      few to estimate a prior.
+
+    Rows without an id are in neither sample.
     """
+    if web not in ("all", "rated"):
+        raise ValueError("web must be 'all' or 'rated'")
     known = (labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
              .groupBy(F.col("doc_id").cast("bigint").alias("id")).agg((F.min("quality") == 1).alias("good")))
     prior = known.agg(F.avg(F.col("good").cast("double"))).first()[0]
     if not prior:
         return None
     positives = known.filter("good").orderBy(F.xxhash64("id"), "id").limit(sample_rows).select("id", F.lit(True).alias("trusted"))
-    web = known.orderBy(F.xxhash64("id", F.lit("web")), "id").limit(sample_rows).select("id", F.lit(False).alias("trusted"))
+    ids = known if web == "rated" else (pick(docs, doc_id="doc_id").filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+                                        .select(F.col("doc_id").cast("bigint").alias("id")).distinct())
+    unrated = ids.orderBy(F.xxhash64("id", F.lit("web")), "id").limit(sample_rows).select("id", F.lit(False).alias("trusted"))
     texts = pick(docs, doc_id="doc_id", text="text").withColumn("doc_id", F.col("doc_id").cast("bigint"))
     # Two samples of bounded size: small enough to send to every task.
-    chosen = texts.join(F.broadcast(positives.union(web)), F.col("doc_id") == F.col("id")).select("id", "trusted", "text")
+    chosen = texts.join(F.broadcast(positives.union(unrated)), F.col("doc_id") == F.col("id")).select("id", "trusted", "text")
     rows = (chosen.mapInArrow(_features, "id BIGINT, trusted BOOLEAN, features BINARY")
             .groupBy("id", "trusted").agg(F.min("features").alias("features")).orderBy("id", "trusted").collect())
     parts = [[np.frombuffer(r["features"], np.float32) for r in rows if r["trusted"] == kind] for kind in (True, False)]
     if not all(parts):
         return None
-    return fit(np.array(parts[0]), np.array(parts[1]), float(prior))
+    positive, unlabelled = np.array(parts[0]), np.array(parts[1])
+    return fit(positive, unlabelled, float(prior) if web == "rated" else estimate_prior(positive, unlabelled))
 
 
 def _score(scorer: Scorer | None, text_at: int):
@@ -171,13 +222,13 @@ def with_scores(docs: DataFrame, scorer: Scorer | None) -> DataFrame:
     return docs.mapInArrow(_score(scorer, docs.columns.index("text")), f"{fields}, quality_score DOUBLE")
 
 
-def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, sample_rows: int = SAMPLE_ROWS, web: str = "rated") -> DataFrame:
     """doc_id, held_out, score, predicted for every row of ``docs`` (doc_id, text).
 
-    ``labels`` has doc_id and quality; other columns of both are ignored.
+    The scorer is that of ``learn``.  ``labels`` has doc_id and quality; other columns of both are ignored.
     Repeated rows are scored alike; null ids stay null and are not held out.
     """
     rows = pick(docs, doc_id="doc_id", text="text").withColumn("doc_id", F.col("doc_id").cast("bigint"))
-    scored = with_scores(rows, learn(docs, labels, sample_rows))
+    scored = with_scores(rows, learn(docs, labels, sample_rows, web))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("quality_score").alias("score"),
                          (F.col("quality_score") >= threshold).cast("int").alias("predicted"))

@@ -70,7 +70,7 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), web="all")
 
 
 def op8_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:

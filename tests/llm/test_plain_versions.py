@@ -333,7 +333,8 @@ def test_match_threshold():
 
 # -- 7 -------------------------------------------------------------------------
 
-def test_quality(spark):
+@pytest.mark.parametrize("web", ["all", "rated"])
+def test_quality(spark, web):
     rng = random.Random(4)
     docs, labels = [], []
     for d in range(600):
@@ -341,15 +342,19 @@ def test_quality(spark):
         text = prose(rng, rng.randint(5, 80))
         docs.append((d, " ".join(w + "%%%" for w in text.split(" ")) if bad else text))
         labels.append((d, int(not bad), 0))
-    out = quality.classify(frame(spark, docs), frame(spark, labels, "doc_id BIGINT, quality INT, toxic INT")).collect()
+    out = quality.classify(frame(spark, docs), frame(spark, labels, "doc_id BIGINT, quality INT, toxic INT"), web=web).collect()
     assert len(out) == 600 and all(0 <= r["score"] <= 1 for r in out)
     held = [r for r in out if r["held_out"]]
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in out)
     assert sum(r["predicted"] == int(r["doc_id"] % 6 > 0) for r in held) >= 0.95 * len(held)
     # Held-out labels change nothing.
     turned = [(d, 1 - q if zlib.crc32(str(d).encode()) % 5 == 0 else q, t) for d, q, t in labels]
-    again = quality.classify(frame(spark, docs), frame(spark, turned, "doc_id BIGINT, quality INT, toxic INT"))
+    again = quality.classify(frame(spark, docs), frame(spark, turned, "doc_id BIGINT, quality INT, toxic INT"), web=web)
     assert {r["doc_id"]: r["score"] for r in again.collect()} == {r["doc_id"]: r["score"] for r in out}
+    if web == "all":
+        # Nor do ratings other than the trusted positives'.
+        trusted = quality.classify(frame(spark, docs), frame(spark, [x for x in labels if x[1] == 1], "doc_id BIGINT, quality INT, toxic INT"), web=web)
+        assert {r["doc_id"]: r["score"] for r in trusted.collect()} == {r["doc_id"]: r["score"] for r in out}
 
 
 def plain_risk(scorer, positive, unlabelled, prior):
@@ -365,6 +370,16 @@ def plain_risk(scorer, positive, unlabelled, prior):
     return prior * sum(loss(z) for z in p) / len(p) + max(0.0, negative)
 
 
+@pytest.mark.parametrize("prior", [0.25, 0.6, 0.9])
+def test_quality_prior(prior):
+    rng = np.random.default_rng(5)
+    positive = rng.normal(1.5, 1, (2000, 3))
+    unlabelled = np.where(rng.random((2000, 1)) < prior, rng.normal(1.5, 1, (2000, 3)), rng.normal(-1.5, 1, (2000, 3)))
+    assert abs(quality.estimate_prior(positive, unlabelled) - prior) < 0.05
+    assert quality.estimate_prior(positive[:20], unlabelled) == quality.FIRST_PRIOR
+    assert 0 < quality.estimate_prior(positive, -np.abs(unlabelled) - 5) < 0.01
+
+
 def test_quality_fit_minimises_the_plain_risk():
     rng = np.random.default_rng(3)
     prior = 0.6
