@@ -94,7 +94,7 @@ def q_estimates(spark, d):
 def q_estimates_range(spark, d):
     items = _items(spark, d)
     largest = items.agg(F.max("item")).first()[0]
-    right = P.LEFT if largest is None else min(P.RIGHT, largest)
+    right = P.INTERVAL_RIGHT if largest is None else max(P.INTERVAL_RIGHT, min(P.RIGHT, largest))
     return fq.estimate_frequencies(_sketch(spark, d), fq.range_candidates(items, P.LEFT, right),
                                    P.FAMILY, P.SKETCH_W, candidates_by_item=False)
 
@@ -493,7 +493,7 @@ ORACLE_SQL: dict[str, str] = {
         f"WHERE item BETWEEN {P.LEFT} AND {P.RIGHT}"),
     "estimate_frequencies": _estimates(f"SELECT item FROM ({S_FREQ})"),
     "estimate_range": _estimates(f"SELECT CAST(range AS BIGINT) AS item "
-                                 f"FROM range({P.LEFT}, (SELECT least({P.RIGHT}, coalesce(max(item), {P.LEFT})) + 1 FROM ({S_ITEMS})))"),
+                                 f"FROM range({P.LEFT}, (SELECT greatest({P.INTERVAL_RIGHT}, least({P.RIGHT}, coalesce(max(item), {P.LEFT}))) + 1 FROM ({S_ITEMS})))"),
     "estimate_median": _estimates(f"SELECT item FROM ({S_FREQ})",
                                   family_sql=_family_sql(P.FAMILY_EVEN)),
     "count_sketch_from_frequencies": (

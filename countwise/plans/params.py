@@ -42,6 +42,9 @@ FAMILY_EVEN = hash_family(SKETCH_SEED + 1, 4, PRIME)
 # All non-negative 32-bit items: the reference's item type.
 LEFT = 0
 RIGHT = 2_147_483_647
+# Least right end of the interval whose every integer is estimated; larger
+# items of the table move it up.
+INTERVAL_RIGHT = 999_999
 # An inner interval, for the keys whose feature is the cut.
 INNER_LEFT = 50
 INNER_RIGHT = 149

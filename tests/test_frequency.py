@@ -109,6 +109,18 @@ def test_range_candidates_cover_unseen(spark, parts):
     assert est.count() == 131
 
 
+@pytest.mark.parametrize("largest", [3, 1_000_004])
+def test_registered_range_is_whole(spark, tmp_path, largest):
+    """The whole interval is estimated however small the table's items are, and beyond it up to the largest."""
+    from countwise.plans.catalog import QUERIES
+
+    spark.createDataFrame([(1,), (1,), (largest,)], "l_partkey BIGINT").write.parquet(f"{tmp_path}/lineitem.parquet")
+    est = QUERIES["estimate_range"](spark, str(tmp_path))
+    row = est.agg(F.count("item").alias("n"), F.min("item").alias("lo"), F.max("item").alias("hi")).first()
+    right = max(999_999, largest)
+    assert tuple(row) == (right + 1, 0, right)
+
+
 def test_width_above_prime_warns(spark, parts):
     with pytest.warns(UserWarning):
         Q.count_sketch(parts, hash_family(1, 2), 9000)
