@@ -16,7 +16,12 @@ All variants share one counting core on canonical edges (u < v):
    count of the edge is ``size(array_intersect(N+(x), N+(y)))``.  Each
    triangle is counted once, at the edge between its two lowest vertices.
    Rows stay one per edge: no wedge (vertex pair) is ever emitted.  A list of
-   one vertex closes no triangle, so its edge is not sent.
+   one vertex closes no triangle, so its edge is not sent.  In id order a
+   list may be as long as a degree although its edges end where there is
+   none, so the shorter of an edge's two lists is sent to the longer, and
+   nothing if one is empty: at most sum(min(d(x), d(y))) ids, which is
+   within 2a times the edges for a graph of arboricity a (Chiba & Nishizeki,
+   SIAM J. Comput. 1985), whatever the order.
 
 The join in 3 takes N+(x) from the exploded adjacency row.  A hub has few
 out-neighbours but up to n in-edges, each with a list: one join key.  AQE
@@ -109,13 +114,33 @@ def neighbour_lists(oriented: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return oriented.groupBy(*keys, "src").agg(F.collect_list("dst").alias("nbrs"))
 
 
-def common_neighbours(oriented: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def shorter_lists(adj: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Neighbour lists (keys.., src, nbrs) -> (keys.., src, dst, at, sent) for
+    every edge that can close a triangle: the shorter list of its ends and
+    the end ``at`` whose list it has to meet."""
+    keys = list(keys)
+    asked = adj.where(F.size("nbrs") >= 2).select(
+        *keys, "src", F.explode("nbrs").alias("dst"), F.size("nbrs").alias("n_src"))
+    sizes = adj.select(*keys, F.col("src").alias("dst"), F.size("nbrs").alias("n_dst"))
+    tail = F.col("n_src") <= F.col("n_dst")
+    asked = asked.join(sizes.hint("shuffle_hash"), [*keys, "dst"]).select(
+        *keys, "src", "dst", F.when(tail, F.col("src")).otherwise(F.col("dst")).alias("of"),
+        F.when(tail, F.col("dst")).otherwise(F.col("src")).alias("at"))
+    lists = adj.select(*keys, F.col("src").alias("of"), F.col("nbrs").alias("sent"))
+    return asked.join(lists.hint("shuffle_hash"), [*keys, "of"]).select(*keys, "src", "dst", "at", "sent")
+
+
+def common_neighbours(oriented: DataFrame, keys: Sequence[str] = (), order: str = "degree") -> DataFrame:
     """Oriented edges (keys.., src, dst) -> (keys.., src, dst, common) for
     every edge whose tail has two out-neighbours or more and whose head has
     any; ``common`` = N+(src) & N+(dst), the third vertices of the triangles
     counted at this edge."""
     keys = list(keys)
     adj = stored(neighbour_lists(oriented, keys), "neighbours")
+    if order == "id":
+        there = adj.select(*keys, F.col("src").alias("at"), F.col("nbrs").alias("kept"))
+        return shorter_lists(adj, keys).join(there.hint("shuffle_hash"), [*keys, "at"]).select(
+            *keys, "src", "dst", F.array_intersect("sent", "kept").alias("common"))
     tails = adj.where(F.size("nbrs") >= 2).select(
         *keys, "src", F.explode("nbrs").alias("dst"), F.col("nbrs").alias("n_src"))
     heads = adj.select(*keys, F.col("src").alias("dst"), F.col("nbrs").alias("n_dst"))
@@ -125,13 +150,13 @@ def common_neighbours(oriented: DataFrame, keys: Sequence[str] = ()) -> DataFram
         *keys, "src", "dst", F.array_intersect("n_src", "n_dst").alias("common"))
 
 
-def triangle_counts(oriented: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def triangle_counts(oriented: DataFrame, keys: Sequence[str] = (), order: str = "degree") -> DataFrame:
     """Triangles per group of oriented edges -> (keys.., t); one row (t)
     when there are no keys.  Groups without triangles are absent; with no
     keys the row is 0.
     """
     keys = list(keys)
-    per_edge = common_neighbours(oriented, keys).select(*keys, F.size("common").alias("n"))
+    per_edge = common_neighbours(oriented, keys, order).select(*keys, F.size("common").alias("n"))
     if not keys:
         return per_edge.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("t"))
     return per_edge.groupBy(*keys).agg(F.sum("n").cast("bigint").alias("t")).where("t > 0")
@@ -149,7 +174,7 @@ def sorted3(a: Column, b: Column, c: Column) -> tuple[Column, Column, Column]:
 
 def triangles(edges: DataFrame, order: str = "degree") -> DataFrame:
     """List every triangle once -> (u, v, w) with u < v < w by id."""
-    tri = (common_neighbours(orient_edges(edges, order))
+    tri = (common_neighbours(orient_edges(edges, order), order=order)
            .select("src", "dst", F.explode("common").alias("w")))
     u, v, w = sorted3(F.col("src"), F.col("dst"), F.col("w"))
     return tri.select(u.alias("u"), v.alias("v"), w.alias("w"))
@@ -157,7 +182,7 @@ def triangles(edges: DataFrame, order: str = "degree") -> DataFrame:
 
 def exact_tc(edges: DataFrame, order: str = "degree") -> DataFrame:
     """Exact triangle count of canonical edges -> one row (triangles)."""
-    return triangle_counts(orient_edges(edges, order)).select(F.col("t").alias("triangles"))
+    return triangle_counts(orient_edges(edges, order), order=order).select(F.col("t").alias("triangles"))
 
 
 # --------------------------------------------------------------------------
@@ -185,7 +210,7 @@ def triangles_by_color(edges: DataFrame, num_colors: int, params: LinearParams,
     """t(i), the triangles of the edges of colour i -> (color, t)."""
     _check_colors(num_colors)
     mono = _mono(edges, num_colors, params, p, ("u", "v"))
-    return triangle_counts(orient_edges(mono, order), ["color"])
+    return triangle_counts(orient_edges(mono, order), ["color"], order)
 
 
 def approx_tc_colors(edges: DataFrame, num_colors: int, params: LinearParams,
@@ -201,7 +226,7 @@ def approx_tc_colors(edges: DataFrame, num_colors: int, params: LinearParams,
     # only the monochromatic subgraph (its own degrees order it).
     mono = _mono(edges, num_colors, params, p, ("u", "v")).select("u", "v")
     c2 = F.lit(num_colors).cast("bigint") * F.lit(num_colors).cast("bigint")
-    return (triangle_counts(orient_edges(mono, order))
+    return (triangle_counts(orient_edges(mono, order), order=order)
             .select((c2 * F.col("t")).alias("estimate")))
 
 
@@ -231,7 +256,7 @@ def approx_tc_runs(edges: DataFrame, num_colors: int, runs: Sequence[LinearParam
     cd = vertex_color("dst", num_colors, F.col("r.a"), F.col("r.b"), p)
     mono = (rep.select(F.col("r.run").alias("run"), "src", "dst", cs.alias("cs"), cd.alias("cd"))
             .where("cs = cd").select("run", "src", "dst"))
-    counts = triangle_counts(mono, ["run"])
+    counts = triangle_counts(mono, ["run"], order)
     zeros = spark.range(len(runs)).select(F.col("id").cast("int").alias("run"),
                                           F.lit(0).cast("bigint").alias("t"))
     c2 = F.lit(num_colors).cast("bigint") * F.lit(num_colors).cast("bigint")
@@ -267,7 +292,7 @@ def _oriented_buckets(edges: DataFrame, num_buckets: int, params: BucketParams,
 
 def triangles_by_bucket(bucketed_edges: DataFrame, order: str = "degree") -> DataFrame:
     """t(i) within each subset of (bucket, u, v) -> (bucket, t)."""
-    return triangle_counts(orient_edges(bucketed_edges, order), ["bucket"])
+    return triangle_counts(orient_edges(bucketed_edges, order), ["bucket"], order)
 
 
 def _scaled_sum(per_group: DataFrame, num_buckets: int) -> DataFrame:
@@ -279,7 +304,7 @@ def triangles_by_hash_bucket(edges: DataFrame, num_buckets: int, params: BucketP
                              p: int = PRIME, order: str = "degree") -> DataFrame:
     """A8 (hash mode) -> (bucket, t), the subset computed after orienting."""
     _check_colors(num_buckets)
-    return triangle_counts(_oriented_buckets(edges, num_buckets, params, p, order), ["bucket"])
+    return triangle_counts(_oriented_buckets(edges, num_buckets, params, p, order), ["bucket"], order)
 
 
 def approx_tc_buckets(edges: DataFrame, num_buckets: int, params: BucketParams,
@@ -326,7 +351,7 @@ def partition_buckets(edges: DataFrame, num_buckets: int, params: BucketParams,
 def triangles_by_partition(edges: DataFrame, num_buckets: int, params: BucketParams,
                            p: int = PRIME, order: str = "degree") -> DataFrame:
     """A8 (partition mode) -> (bucket, t)."""
-    return triangle_counts(partition_buckets(edges, num_buckets, params, p, order), ["bucket"])
+    return triangle_counts(partition_buckets(edges, num_buckets, params, p, order), ["bucket"], order)
 
 
 def approx_tc_partitions(edges: DataFrame, num_buckets: int, params: BucketParams,
@@ -385,14 +410,14 @@ def triangles_by_triplet(edges: DataFrame, num_colors: int, params: LinearParams
         raise ValueError(f"method must be one of {TRIPLET_METHODS}")
     keys = ["k1", "k2", "k3"]
     if method == "direct":
-        listed = (common_neighbours(orient_edges(edges, order))
+        listed = (common_neighbours(orient_edges(edges, order), order=order)
                   .select("src", "dst", F.explode("common").alias("w")))
         k1, k2, k3 = sorted3(*[vertex_color(c, num_colors, params.a, params.b, p)
                                for c in ("src", "dst", "w")])
         return (listed.groupBy(k1.alias("k1"), k2.alias("k2"), k3.alias("k3"))
                 .agg(F.count(F.lit(1)).alias("t")))
     expanded = _triplets(orient_edges(edges, order), num_colors, params, p, ("src", "dst"))
-    common = common_neighbours(expanded, keys)
+    common = common_neighbours(expanded, keys, order)
     i = F.col("k1") + F.col("k2") + F.col("k3") \
         - vertex_color("src", num_colors, params.a, params.b, p) \
         - vertex_color("dst", num_colors, params.a, params.b, p)
