@@ -386,6 +386,39 @@ def expand_triplets(edges: DataFrame, num_colors: int, params: LinearParams,
 TRIPLET_METHODS = ("direct", "expand")
 
 
+def _triplet_candidates(oriented: DataFrame, num_colors: int, params: LinearParams,
+                        p: int) -> DataFrame:
+    """Oriented edges (src, dst) -> (cx, cy, i, n): for an edge of the colours
+    cx, cy within its key sort(cx, cy, i), the common out-neighbours of
+    colour i.
+
+    The edges are gathered by tail before they are expanded: one row for the
+    out-neighbours of one colour goes into its C keys at once.  A head's list
+    within a key, cut to colour i, is known by (cx, i) beside the head.  An
+    edge whose tail has no other out-neighbour of colour i has no candidate
+    in that key and is not sent to it.
+    """
+    def color(x: str) -> Column:
+        return vertex_color(x, num_colors, params.a, params.b, p)
+
+    ends = oriented.select("src", color("src").alias("c"), F.struct(color("dst").alias("c"), "dst").alias("end"))
+    adj = stored(ends.groupBy("src", "c").agg(F.collect_list("end").alias("ends")), "colored-neighbours")
+    by_color = adj.select("src", "c", "ends", F.explode(F.array_distinct("ends.c")).alias("i"))
+    of_color = F.transform(F.filter("ends", lambda e: e["c"] == F.col("i")), lambda e: e["dst"])
+    lists = by_color.select("src", "c", "ends", "i", of_color.alias("nbrs"))
+    edges = lists.where(F.size("ends") >= 2).select(
+        F.col("c").alias("cx"), "i", "nbrs", F.explode("ends").alias("end"))
+    tails = edges.select(
+        "cx", F.col("end.c").alias("cy"), "i", F.col("end.dst").alias("dst"),
+        F.when(F.col("end.c") == F.col("i"), F.array_remove("nbrs", F.col("end.dst")))
+        .otherwise(F.col("nbrs")).alias("n_src")).where(F.size("n_src") > 0)
+    heads = lists.select(
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(num_colors - 1).cast("bigint"))).alias("cx"),
+        "i", F.col("src").alias("dst"), F.col("nbrs").alias("n_dst"))
+    met = tails.join(heads.hint("shuffle_hash"), ["cx", "i", "dst"])
+    return met.select("cx", "cy", "i", F.size(F.array_intersect("n_src", "n_dst")).alias("n"))
+
+
 def triangles_by_triplet(edges: DataFrame, num_colors: int, params: LinearParams,
                          p: int = PRIME, order: str = "degree",
                          method: str = "direct") -> DataFrame:
@@ -399,8 +432,8 @@ def triangles_by_triplet(edges: DataFrame, num_colors: int, params: LinearParams
     ``method="expand"`` is the colour-triplet algorithm as published: every
     edge is replicated into its C keys and each key group is counted on its
     own.  An edge (x, y) sits in key k = sort(h(x), h(y), i) for exactly one
-    i, so a triangle x, y, w of that group has colours k iff h(w) = i; the
-    candidates w are exploded and tested with a plain column filter.  It was
+    i, so a triangle x, y, w of that group has colours k iff h(w) = i: only
+    out-neighbours of that colour are sent and compared.  It was
     made for engines whose tasks must hold a whole group: here the list bound
     of the core already bounds every group, so it ships C times the edges for
     the same result and serves as an independent check of ``direct``.
@@ -416,14 +449,10 @@ def triangles_by_triplet(edges: DataFrame, num_colors: int, params: LinearParams
                                for c in ("src", "dst", "w")])
         return (listed.groupBy(k1.alias("k1"), k2.alias("k2"), k3.alias("k3"))
                 .agg(F.count(F.lit(1)).alias("t")))
-    expanded = _triplets(orient_edges(edges, order), num_colors, params, p, ("src", "dst"))
-    common = common_neighbours(expanded, keys, order)
-    i = F.col("k1") + F.col("k2") + F.col("k3") \
-        - vertex_color("src", num_colors, params.a, params.b, p) \
-        - vertex_color("dst", num_colors, params.a, params.b, p)
-    cand = common.select(*keys, i.alias("i"), F.explode("common").alias("w"))
-    hits = cand.where(vertex_color("w", num_colors, params.a, params.b, p) == F.col("i"))
-    return hits.groupBy(*keys).agg(F.count(F.lit(1)).alias("t"))
+    common = _triplet_candidates(orient_edges(edges, order), num_colors, params, p)
+    k1, k2, k3 = sorted3(F.col("cx"), F.col("cy"), F.col("i"))
+    return (common.groupBy(k1.alias("k1"), k2.alias("k2"), k3.alias("k3"))
+            .agg(F.sum("n").cast("bigint").alias("t")).where("t > 0"))
 
 
 def exact_tc_triplets(edges: DataFrame, num_colors: int, params: LinearParams,
