@@ -10,13 +10,18 @@ word into one row before the shuffle.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from countwise.functions.text import space_tokens
+from countwise.session import stored
 
 DOC_KEYS = ("doc_id", "line_no")
+#: Keys of documents in several rows that are broadcast; more are joined by a shuffle.
+BROADCAST_REPEATED = 1 << 20
 
 
 def tokenize(docs: DataFrame, keys: Sequence[str] = DOC_KEYS, text_col: str = "text") -> DataFrame:
@@ -25,8 +30,39 @@ def tokenize(docs: DataFrame, keys: Sequence[str] = DOC_KEYS, text_col: str = "t
 
 
 def doc_word_counts(docs: DataFrame, keys: Sequence[str] = DOC_KEYS) -> DataFrame:
-    """A2: per-document histogram -> (keys.., word, n)."""
-    return tokenize(docs, keys).groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("n"))
+    """A2: per-document histogram -> (keys.., word, n).
+
+    A document that is one row is counted within that row, so only the
+    documents' keys are shuffled, to find those of several rows; the words
+    of these are counted together by a shuffle.
+    """
+    keys = list(keys)
+    repeated = stored(docs.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+                      .select(*[F.col(k).alias(f"_{i}") for i, k in enumerate(keys)]), "repeated-documents")
+    n_repeated = repeated.count()
+    if not n_repeated:
+        return row_word_counts(docs, keys)
+    if n_repeated <= BROADCAST_REPEATED:
+        repeated = F.broadcast(repeated)
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{i}")) for i, k in enumerate(keys)])
+    together = (tokenize(docs.join(repeated, same, "left_semi"), keys).groupBy(*keys, "word")
+                .agg(F.count(F.lit(1)).alias("n")))
+    return row_word_counts(docs.join(repeated, same, "left_anti"), keys).unionByName(together)
+
+
+def row_word_counts(docs: DataFrame, keys: Sequence[str] = DOC_KEYS, text_col: str = "text") -> DataFrame:
+    """The histogram of every row by itself -> (keys.., word, n): its tokens are
+    sorted and the runs of equal ones counted, without a shuffle."""
+    def runs(w: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(1), F.size(w)), lambda i: (i == 1) | (F.get(w, i - 1) != F.get(w, i - 2)))
+        ends = F.concat(F.slice(starts, 2, F.size(w)), F.array(F.size(w) + 1))
+        return F.zip_with(starts, ends, lambda i, j: F.struct(
+            F.get(w, i - 1).alias("word"), (j - i).cast("bigint").alias("n")))
+
+    # A lambda's argument is computed once; a column could be computed again at every step.
+    words = F.filter(F.array(F.sort_array(space_tokens(text_col))), lambda w: F.size(w) > 0)
+    return docs.select(*keys, F.explode(F.flatten(F.transform(words, runs))).alias("r")).select(
+        *keys, "r.word", F.coalesce(F.col("r.n"), F.lit(0).cast("bigint")).alias("n"))
 
 
 def word_count(docs: DataFrame, keys: Sequence[str] = DOC_KEYS) -> DataFrame:

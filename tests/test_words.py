@@ -75,3 +75,18 @@ def test_word_count_from_text_file(spark, tmp_path):
     assert got == {"a": 2, "b": 2, "c": 1, "": 2}
     rep = report_words(docs).first()
     assert rep["n_docs"] == 3 and rep["n_distinct_words"] == 4
+
+
+def test_doc_word_counts_shuffle_no_words(spark, monkeypatch):
+    """Rows of one key are counted together, all others where they stand: no exchange is keyed by a word."""
+    rows = [(1, 0, "b a b  a\ta"), (1, 1, ""), (2, 0, " "), (3, 0, None), (4, 0, "a b"), (4, 0, "b c"), (None, 0, "a"), (None, 0, "a a")]
+    df = spark.createDataFrame(rows, "doc_id BIGINT, line_no INT, text STRING")
+    want = {(1, 0, "b", 2), (1, 0, "a", 1), (1, 0, "", 1), (1, 0, "a\ta", 1), (1, 1, "", 1),
+            (4, 0, "a", 1), (4, 0, "b", 2), (4, 0, "c", 1), (None, 0, "a", 3)}
+    for limit in (W.BROADCAST_REPEATED, 0):
+        monkeypatch.setattr(W, "BROADCAST_REPEATED", limit)
+        got = list(map(tuple, W.doc_word_counts(df).collect()))
+        assert len(got) == len(want) and set(got) == want
+    single = W.doc_word_counts(df.where("doc_id <= 3"))
+    assert "Exchange" not in single._jdf.queryExecution().executedPlan().toString()
+    assert set(map(tuple, single.collect())) == {r for r in want if r[0] in (1, 2, 3)}
