@@ -177,6 +177,46 @@ def test_mined_rules_are_the_minimal_confident_sets(spark):
     assert found == {p for p in confident if not any(set(q) < set(p) for q in confident)}
 
 
+def _mined(spark, rows, min_support, min_confidence):
+    found = url_filter.mine_rules(frame(spark, rows, "tokens ARRAY<STRING>, blocked BOOLEAN"), min_support, min_confidence).collect()
+    assert len({r["rule_id"] for r in found}) == len(found) == len({tuple(r["tokens"]) for r in found})
+    return {tuple(r["tokens"]): r["confidence"] for r in found}
+
+
+def test_tokens_that_tell_little_are_combined_too(spark):
+    """Ten tokens tell more than the two that block together, in the examples that these are in."""
+    often = [f"path:w{i}" for i in range(10)]
+    rows = [(["host:a", "name:b", *often], True)] * 20 + [(["host:a"], False)] * 40 + [(["name:b"], False)] * 40
+    rows += [([w], False) for w in often for _ in range(5)]
+    found = _mined(spark, rows, 0.1, 0.9)
+    assert found[("host:a", "name:b")] == 1.0
+    assert set(found) == {tuple(sorted((x, y))) for i, x in enumerate(["host:a", "name:b", *often]) for y in ["host:a", "name:b", *often][:i]}
+
+
+def test_all_tokens_are_combined(spark):
+    """Thirteen tokens, nearly all of whose sets are frequent: by brute force."""
+    rng = random.Random(13)
+    tokens = [f"t{i:02}" for i in range(13)]
+    rows = [([t for t in tokens if rng.random() < 0.8], rng.random() < 0.6) for _ in range(105)]
+    own = [(sum(1 << tokens.index(t) for t in part), b) for part, b in rows]
+    minimal = {}
+    for mask in sorted(range(1, 1 << 13), key=int.bit_count):
+        hit = [b for o, b in own if o & mask == mask]
+        if sum(hit) >= 6 and sum(hit) / len(hit) >= 0.8 and not any(q & mask == q for q in minimal):
+            minimal[mask] = sum(hit) / len(hit)
+    assert sorted(map(int.bit_count, minimal)) == [6] * 5 + [7]
+    assert _mined(spark, rows, 0.05, 0.8) == {tuple(t for k, t in enumerate(tokens) if m >> k & 1): c for m, c in minimal.items()}
+
+
+def test_long_urls_with_one_word_left_out(spark):
+    """All examples but one share 14 words, each unblocked one but for a word: a rule must name all but two."""
+    words = [f"path:w{i:02}" for i in range(14)]
+    rows = [(words, True)] * 36 + [([w for w in words if w != words[i % 14]], False) for i in range(28)] + [(["path:x"], False)]
+    found = _mined(spark, rows, 0.1, 0.9)
+    # 36 / (36 + u) >= 0.9 up to u = 4; a word that is not named lets two unblocked examples in.
+    assert found == {tuple(w for w in words if w not in (x, y)): 0.9 for i, x in enumerate(words) for y in words[:i]}
+
+
 # -- 5 -------------------------------------------------------------------------
 
 def leaks_by_hand(docs, items):
